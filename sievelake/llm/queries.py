@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .mixing import mix_sources
 from .sharding import assign_shards
+from .substrings import remove_repeats
 
 SHARD_BYTES = 1 << 20
 
@@ -22,6 +23,34 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, length="chars")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word windows that a smaller document holds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, width=13, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed").cast("long").alias("n_intervals"))
+
+
+OP2_SQL = """
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + 12), ' ') AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+least AS (SELECT seq, min(doc_id) AS d FROM win GROUP BY seq),
+gone AS (
+  SELECT DISTINCT doc_id, j FROM (
+    SELECT win.doc_id, unnest(range(i, i + 13)) AS j FROM win JOIN least USING (seq) WHERE least.d < win.doc_id)),
+each AS (SELECT doc_id, words, CASE WHEN len(words) > 0 THEN unnest(range(1, len(words) + 1)) END AS j FROM w WHERE len(words) > 0),
+kept AS (
+  SELECT e.doc_id, string_agg(CASE WHEN g.j IS NULL THEN e.words[e.j] END, ' ' ORDER BY e.j) AS kept,
+         count(g.j)::BIGINT AS n_removed,
+         count(*) FILTER (WHERE g.j IS NOT NULL AND NOT EXISTS (SELECT 1 FROM gone p WHERE p.doc_id = e.doc_id AND p.j = e.j - 1))::BIGINT AS n_intervals
+  FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.j = e.j GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_intervals, 0)::BIGINT AS n_intervals
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of at most 1 MiB of text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +72,6 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth
 FROM j WHERE r = 1
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op4_extendible_shards": op4_extendible_shards}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op4_extendible_shards": op4_extendible_shards}
 
-ORACLES = {"op4_extendible_shards": OP4_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL}
