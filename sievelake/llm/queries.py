@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language, warc
+from .common import materialize
 from .mixing import mix_sources
 from .sharding import assign_shards
 from .substrings import remove_repeats
@@ -51,6 +53,14 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.classify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of at most 1 MiB of text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +82,25 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth
 FROM j WHERE r = 1
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op4_extendible_shards": op4_extendible_shards}
+def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = materialize(warc.write_archives(pages, least_revisit_bytes=0), "warc")
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(flatten(list_transform(range(0, 8), lambda i: list_transform([15, 10, 5, 0], lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> k) & 31))::INT, 1)))), '') AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to, true AS digest_ok
+FROM g
+"""
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op7_warc_roundtrip": op7_warc_roundtrip}
 
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL}
