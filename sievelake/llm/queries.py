@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import language, warc
 from .common import materialize
+from .fingerprints import edited
 from .mixing import mix_sources
 from .sharding import assign_shards
 from .substrings import remove_repeats
@@ -82,6 +83,11 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth
 FROM j WHERE r = 1
 """
 
+def op6_exact_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's canonical fingerprint, and that of its edited text."""
+    return edited(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, read back from the archives."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -101,6 +107,6 @@ SELECT page_id, payload_bytes,
 FROM g
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op7_warc_roundtrip": op7_warc_roundtrip}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL}
