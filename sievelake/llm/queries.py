@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import language, warc
 from .common import materialize
+from .decontaminate import matches
 from .fingerprints import edited
 from .mixing import mix_sources
 from .sharding import assign_shards
@@ -107,6 +108,12 @@ SELECT page_id, payload_bytes,
 FROM g
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) where the document holds the item with edits of at most a tenth of its length."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op10_decontamination": op10_decontamination}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL}
