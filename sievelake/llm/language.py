@@ -78,20 +78,25 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(place < F.element_at(scale, F.col("label"))).orderBy(F.xxhash64("key"), "key").limit(2 * each * len(counts))
     packed = sample.select("label", F.pandas_udf(_packed, "binary")("text").alias("bits")).collect()
-    seen = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in packed], np.float32)
+    bits = [np.frombuffer(r["bits"], np.uint8) for r in packed]
+    count = np.array([np.bitwise_count(x).sum(dtype=np.int64) for x in bits])
     names = [r["label"] for r in packed]
-    usable = np.flatnonzero(seen.sum(axis=1) > 0)
+    usable = np.flatnonzero(count > 0)
     labels = sorted({names[i] for i in usable})
     if not labels:
         return {"labels": [], "weights": np.zeros((DIMS, 0), np.float32)}
-    phi = seen[usable] / np.sqrt(seen[usable].sum(axis=1, keepdims=True))
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        return np.stack([np.unpackbits(bits[i]) for i in rows]).astype(np.float32) / np.sqrt(count[rows, None]).astype(np.float32)
+
     target = np.array([[1.0 if names[i] == c else -1.0 for c in labels] for i in usable], np.float64)
-    chosen = np.random.default_rng(0).permutation(len(phi))[:landmarks]
-    kmm = (phi[chosen] @ phi[chosen].T).astype(np.float64)
-    values, vectors = np.linalg.eigh(kmm)
+    chosen = np.random.default_rng(0).permutation(len(usable))[:landmarks]
+    marks = unit(usable[chosen])
+    knm = np.concatenate([unit(usable[i : i + 128]) @ marks.T for i in range(0, len(usable), 128)]).astype(np.float64)
+    values, vectors = np.linalg.eigh(knm[chosen])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # K_mm^(-1/2), without the null space
-    z = (phi @ phi[chosen].T).astype(np.float64) @ root
+    z = knm @ root
     z1 = np.hstack([z, np.ones((len(z), 1))])
     # every language weighs the same in its own regression's two sides
     share = np.array([[1.0 / max((target[:, c] == target[i, c]).sum(), 1) for c in range(len(labels))] for i in range(len(target))])
@@ -100,7 +105,7 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
         w = share[:, c] / share[:, c].sum()
         solved.append(np.linalg.solve(z1.T @ (z1 * w[:, None]) + ridge / len(z) * np.eye(z1.shape[1]), z1.T @ (w * target[:, c])))
     duals = np.stack(solved, axis=1)
-    return {"labels": labels, "weights": (phi[chosen].T @ (root @ duals[:-1])).astype(np.float32), "bias": duals[-1].astype(np.float32)}
+    return {"labels": labels, "weights": (marks.T @ (root @ duals[:-1]).astype(np.float32)), "bias": duals[-1].astype(np.float32)}
 
 
 def classify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
