@@ -1,0 +1,27 @@
+"""Connected components of a distributed edge table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialize
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of the edges (a, b); label is a node of its component, the same for all of it.
+
+    Each round hooks every label to the smallest neighbouring label and contracts the edges, until none is left.
+    Rounds are written to scratch tables, so lineage doesn't grow. No edges give no rows.
+    """
+    edges = edges.where("a is not null and b is not null and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = materialize(edges, "cc-edges")
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
+    while edges.limit(1).count():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = materialize(both.groupBy(F.col("a").alias("label")).agg(F.min("b").alias("to")).where("to < label"), "cc-hook")
+        labels = materialize(labels.join(hook, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "cc-labels")
+        for side in ("a", "b"):
+            edges = edges.join(hook.select(F.col("label").alias(side), F.col("to").alias(f"to_{side}")), side, "left").withColumn(side, F.coalesce(f"to_{side}", side)).drop(f"to_{side}")
+        edges = materialize(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
+    return labels

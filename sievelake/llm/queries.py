@@ -9,6 +9,7 @@ from . import language, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
+from .jaccard import similarity_components
 from .mixing import mix_sources
 from .sharding import assign_shards
 from .substrings import remove_repeats
@@ -108,12 +109,33 @@ SELECT page_id, payload_bytes,
 FROM g
 """
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of 3-word shingle sets with a Jaccard similarity of 0.9 or more."""
+    return similarity_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=90)
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ') ELSE array_to_string(list_slice(words, i, i + 2), ' ') END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b USING (shingle) GROUP BY ALL),
+link AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 90 * (p.n + q.n - shared)),
+reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(min(r.y), w.doc_id)::BIGINT AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach r ON r.x = w.doc_id GROUP BY w.doc_id, n.n
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) where the document holds the item with edits of at most a tenth of its length."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
 
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
