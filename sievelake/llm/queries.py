@@ -9,6 +9,7 @@ from . import language, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
+from .html import extract
 from .jaccard import similarity_components
 from .mixing import mix_sources
 from .sharding import assign_shards
@@ -85,6 +86,11 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth
 FROM j WHERE r = 1
 """
 
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_exact_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's canonical fingerprint, and that of its edited text."""
     return edited(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -136,6 +142,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
