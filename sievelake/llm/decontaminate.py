@@ -124,6 +124,11 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
+def _items(benchmark: DataFrame, least_chars: int, item: str, item_text: str) -> DataFrame:
+    plain = F.trim(F.regexp_replace(F.lower(F.col(item_text)), r"(?U)\s+", " "))
+    return benchmark.select(F.col(item).cast("long").alias("item_id"), plain.alias("text")).where(F.char_length("text") >= least_chars).orderBy("item_id", "text")
+
+
 def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars: int = 30, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, distance, end_pos) of every item that a document's whole text holds with at most share * length edits.
 
@@ -136,11 +141,9 @@ def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars
     """
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    plain = F.trim(F.regexp_replace(F.lower(F.col(item_text)), r"(?U)\s+", " "))
-    items = benchmark.select(F.col(item).cast("long").alias("item_id"), plain.alias("text")).where(F.char_length("text") >= least_chars).orderBy("item_id", "text")
     schema = "doc_id long, item_id long, distance long, end_pos long"
     out = None
-    for block in _blocks(items):
+    for block in _blocks(_items(benchmark, least_chars, item, item_text)):
         held = spark.sparkContext.broadcast(block)  # at most BLOCK_CHARS and one item
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -155,7 +158,20 @@ def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df``, with all columns, whose id no item matches; rows with a null id stay."""
-    leaks = matches(df, benchmark, key=key, **options).select(F.col("doc_id").alias("_leak")).where("_leak is not null").distinct()
-    return df.join(leaks, df[key] == leaks["_leak"], "left_anti")
+def decontaminate(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars: int = 30, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``df``, with all columns, whose text holds no item; decided row by row, so nothing is shuffled.
+
+    Rows with null or empty text stay.
+    """
+    for block in _blocks(_items(benchmark, least_chars, item, item_text)):
+        held = df.sparkSession.sparkContext.broadcast(block)
+
+        @F.pandas_udf("boolean")
+        def leaks(batches: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
+            matcher = None
+            for batch in batches:
+                matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share)
+                yield pd.Series([bool(matcher.match(normal(t))) for t in batch])
+
+        df = df.where(~leaks(F.col(text)))
+    return df

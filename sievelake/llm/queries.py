@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, warc
+from . import cotraining, language, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
@@ -115,6 +115,13 @@ SELECT page_id, payload_bytes,
 FROM g
 """
 
+def op8_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; labels of held-out documents are not used."""
+    labels = _table(spark, sf_dir, "labels").where(~language.held_out()).select("doc_id", "quality")
+    found = cotraining.classify(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), labels)
+    return found.withColumn("held_out", language.held_out())
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component under links of 3-word shingle sets with a Jaccard similarity of 0.9 or more."""
     return similarity_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=90)
@@ -142,6 +149,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
