@@ -158,20 +158,24 @@ def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars
     return spark.createDataFrame([], schema) if out is None else out
 
 
+def _leaks(held, share: float):
+    """Whether a text holds an item of the block, as a column function."""
+
+    @F.pandas_udf("boolean")
+    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = None
+        for batch in batches:
+            matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share)
+            yield pd.Series([bool(matcher.match(normal(t))) for t in batch])
+
+    return leaks
+
+
 def decontaminate(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars: int = 30, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``df``, with all columns, whose text holds no item; decided row by row, so nothing is shuffled.
 
     Rows with null or empty text stay.
     """
     for block in _blocks(_items(benchmark, least_chars, item, item_text)):
-        held = df.sparkSession.sparkContext.broadcast(block)
-
-        @F.pandas_udf("boolean")
-        def leaks(batches: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
-            matcher = None
-            for batch in batches:
-                matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share)
-                yield pd.Series([bool(matcher.match(normal(t))) for t in batch])
-
-        df = df.where(~leaks(F.col(text)))
+        df = df.where(~_leaks(df.sparkSession.sparkContext.broadcast(block), share)(F.col(text)))
     return df
