@@ -85,7 +85,7 @@ def cooldown_answers(log: DataFrame, keys: list[str], seq: str, ts: str, warning
     marked = log.withColumns({"_w": F.when(warning, F.col(seq)), "_r": F.when(result, F.col(seq)), "_t": F.when(warning, F.col(ts))})
     marked = marked.withColumns({"_lw": F.max("_w").over(before), "_lr": F.max("_r").over(before), "_lt": F.last("_t", ignorenulls=True).over(before)})
     quiet = F.col("_lw").isNull() | (F.coalesce(F.col("_lr"), F.lit(-1)) > F.col("_lw"))
-    over = F.col("_lt").isNull() | (F.unix_micros(F.col(ts)) >= F.unix_micros(F.col("_lt")) + cooldown * 1_000_000)
+    over = F.col("_lt").isNull() | (F.col(ts) >= F.col("_lt") + F.make_dt_interval(secs=F.lit(cooldown)))
     return marked.where(result).withColumn("answered", quiet & over).drop("_w", "_r", "_t", "_lw", "_lr", "_lt")
 
 
