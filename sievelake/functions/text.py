@@ -28,10 +28,10 @@ KEYWORDS = (
 ).split()
 TEMPORAL_NAMES = ["G", "F", "U", "R", "X", "inf"]
 SYNONYMS = [  # in this order; each replacement is followed by a space
-    (r"\\square(?![a-zA-Z])", r"\\\\Box"), (r"\\(?:lozenge|diamond|diamondsuit)(?![a-zA-Z])", r"\\\\Diamond"), (r"\\land(?![a-zA-Z])", r"\\\\wedge"), (r"\\lor(?![a-zA-Z])", r"\\\\vee"),
-    (r"\\lnot(?![a-zA-Z])", r"\\\\neg"), (r"\\(?:to|rightarrow|implies|Rightarrow|Longrightarrow)(?![a-zA-Z])", r"\\\\rightarrow"),
-    (r"\\(?:iff|Leftrightarrow|Longleftrightarrow|leftrightarrow)(?![a-zA-Z])", r"\\\\Leftrightarrow"), (r"\\(?:leq|leqslant)(?![a-zA-Z])", r"\\\\le"), (r"\\(?:geq|geqslant)(?![a-zA-Z])", r"\\\\ge"),
-    (r"\\varphi(?![a-zA-Z])", r"\\\\phi"), (r"\\varepsilon(?![a-zA-Z])", r"\\\\epsilon"), (r"\\vartheta(?![a-zA-Z])", r"\\\\theta"), (r"\\widetilde(?![a-zA-Z])", r"\\\\tilde"), (r"\\widehat(?![a-zA-Z])", r"\\\\hat"),
+    (r"\\square(?![a-zA-Z])", r"\\Box"), (r"\\(?:lozenge|diamond|diamondsuit)(?![a-zA-Z])", r"\\Diamond"), (r"\\land(?![a-zA-Z])", r"\\wedge"), (r"\\lor(?![a-zA-Z])", r"\\vee"),
+    (r"\\lnot(?![a-zA-Z])", r"\\neg"), (r"\\(?:to|rightarrow|implies|Rightarrow|Longrightarrow)(?![a-zA-Z])", r"\\rightarrow"),
+    (r"\\(?:iff|Leftrightarrow|Longleftrightarrow|leftrightarrow)(?![a-zA-Z])", r"\\Leftrightarrow"), (r"\\(?:leq|leqslant)(?![a-zA-Z])", r"\\le"), (r"\\(?:geq|geqslant)(?![a-zA-Z])", r"\\ge"),
+    (r"\\varphi(?![a-zA-Z])", r"\\phi"), (r"\\varepsilon(?![a-zA-Z])", r"\\epsilon"), (r"\\vartheta(?![a-zA-Z])", r"\\theta"), (r"\\widetilde(?![a-zA-Z])", r"\\tilde"), (r"\\widehat(?![a-zA-Z])", r"\\hat"),
     (r"\\mid(?![a-zA-Z])", "|"), (r"\\(max|min)(?![a-zA-Z])", "$1"), (r"\\(?:mathcal|mathbf|mathsf|mathrm)\{U\}|\\until(?![a-zA-Z])", "U"), (r"\\(?:left|right|big|Big|bigg|Bigg)(?![a-zA-Z])", ""),
     (r"\\coloneqq|:=|\\triangleq|\\equiv|\\doteq", "="),
 ]

@@ -15,12 +15,11 @@ def exclusion_reason(*tests: tuple[Column, Column | str]) -> Column:
 
 def dedupe_records(df: DataFrame, keys: list[str], id: str, order: list[str]) -> DataFrame:
     """Adds same_as: the id of the first row with the same keys; null for the first."""
-    first = df.groupBy(*keys).agg(F.min_by(id, F.struct(*order)).alias("_first"))
-    condition = None
+    first = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min_by(id, F.struct(*order)).alias("_first"))
+    condition = F.lit(True)
     for k in keys:
-        equal = df[k].eqNullSafe(first[k])
-        condition = equal if condition is None else condition & equal
-    joined = df.join(first, condition, "left").select(*(df[c] for c in df.columns), "_first")
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = df.join(first, condition, "left").drop(*(f"_{k}" for k in keys))
     return joined.withColumn("same_as", F.when(F.col("_first") != F.col(id), F.col("_first"))).drop("_first")
 
 
