@@ -8,6 +8,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType
 
 TOKEN = re.compile(r"\d+(?:\.\d+)?|[A-Za-z_][A-Za-z0-9_']*")
 
@@ -30,25 +31,25 @@ def common_length(a: str, b: str) -> int:
     return best
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def longest_common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([common_length(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching ratio of two texts by character (2 * matched / total)."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def word_difference(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 - matching ratio of the lower-case token lists; 0 for the same words in the same order."""
     tokens = lambda t: [w.lower() for w in TOKEN.findall(t or "")]
     return pd.Series([1 - difflib.SequenceMatcher(None, tokens(x), tokens(y), autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
@@ -83,7 +84,7 @@ def pieces_in_order(piece_text: str, excerpt: str, most: int = 3, least: int = 1
     return n
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def ordered_pieces(text: pd.Series, excerpt: pd.Series) -> pd.Series:
     return pd.Series([pieces_in_order(x, y) for x, y in zip(text, excerpt, strict=True)], dtype="int64")
 

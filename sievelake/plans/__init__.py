@@ -1,6 +1,6 @@
 """Registered queries of the curation library."""
 
-from . import corpus, selection  # noqa: F401
+from . import corpus, passages, selection  # noqa: F401
 from .registry import ORACLES as ALL_ORACLES
 from .registry import QUERIES as ALL_QUERIES
 

@@ -35,8 +35,9 @@ def read_source_tree(spark: SparkSession, root: str, depth_pattern: str = r"/([^
 
 
 def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Entries of saved Atom feeds."""
-    return spark.read.format("xml").option("rowTag", "entry").schema(schema).load(path)
+    """Entries of saved Atom feeds, one response per line."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.explode(F.from_xml("value", f"entry array<struct<{schema}>>")["entry"]).alias("e")).select("e.*")
 
 
 def write_csv(df: DataFrame, path: str, lists: list[str] | None = None) -> None:
