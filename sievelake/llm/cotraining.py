@@ -85,14 +85,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 250) ->
 
 
 def _platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, b of the calibrated log-odds a * score + b, by Newton steps on smoothed targets."""
+    """a, b of the calibrated log-odds a * score + b, by damped Newton steps on smoothed targets."""
     pos, neg = y.sum(), len(y) - y.sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    x, w = np.stack([score, np.ones(len(score))], axis=1).astype(np.float64), np.array([1.0, 0.0])
-    for _ in range(30):
+    scale = max(float(np.abs(score).max()), 1e-6)
+    x, w = np.stack([score / scale, np.ones(len(score))], axis=1).astype(np.float64), np.array([1.0, 0.0])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - target * z).sum() + 5e-4 * v @ v)
+
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w = w - np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (p - target) + 1e-3 * w)
-    return float(max(w[0], 0)), float(w[1])
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (p - target) + 1e-3 * w)
+        rate = 1.0
+        while rate > 1e-6 and loss(w - rate * step) > loss(w):
+            rate /= 2
+        w = w - rate * step
+        if rate <= 1e-6 or np.abs(rate * step).max() < 1e-8:
+            break
+    return float(max(w[0], 0)) / scale, float(w[1])
 
 
 def _each(batch: pa.RecordBatch):
