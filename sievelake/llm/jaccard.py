@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from .components import components
 BASE = 0xD6E8FEB86659FD93
 SHORT = 0xA0761D6478BD642F
 SLICE_BYTES = 4 << 20
-LIST_BYTES = 4 << 20
+LIST_BYTES = 1 << 20
 CELLS = 512
 BLOCK = 256
 
@@ -288,6 +289,8 @@ def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     """
     lists = sorted((x for x in lists if x), key=len)
     longest = len(lists[-1]) if lists else 0
+    if longest <= 1:  # nothing to merge: count
+        return {x: n for x, n in Counter(x[0] for x in lists).items() if n >= least}
     aside = min(max(0, least - 1), int(least / (0.0085 * math.log2(longest + 1) + 1))) if longest > 2 else 0
     aside = min(aside, len(lists))
     short, long_ = lists[: len(lists) - aside], lists[len(lists) - aside :]
@@ -384,22 +387,27 @@ def similarity_components(df: DataFrame, width: int = 5, percent: int = 80, key:
     found = materialize(sent.groupBy("part").applyInArrow(_lists(percent), _LISTS), "jaccard-lists")
     own = found.where("kind = 1").select("doc_id", "n", "s0", "s1", "signature")
     entries = found.where("kind = 0").select("token", "role", "n", "s0")
-    # one text and signature for each set that is on a list
+    # one document and signature for each set that is on a list
     listed = materialize(entries.select("s0").distinct(), "jaccard-listed")
     reps = own.where("n > 0 and doc_id is not null").groupBy("s0").agg(F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
     reps = materialize(reps.join(listed, "s0", "left_semi"), "jaccard-reps")
-    texts = docs.join(reps.select("doc_id", "s0"), "doc_id").select("s0", "text")
-    texts = materialize(texts.mapInArrow(_zip_texts, "s0 long, k long, z binary").dropDuplicates(["s0"]), "jaccard-texts")
+    marked = entries.join(reps.select("s0", "signature"), "s0")
 
-    def verified(lists: DataFrame, assume: bool, name: str) -> DataFrame:
+    def candidates(lists: DataFrame, assume: bool, name: str) -> DataFrame:
         ranged = lists.withColumn("part", F.shiftrightunsigned("token", 64 - part_bits))
-        pairs = ranged.groupBy("part").applyInArrow(_pairs(percent, assume), "a long, b long").distinct()
-        pairs = materialize(pairs, f"{name}-pairs")
+        return materialize(ranged.groupBy("part").applyInArrow(_pairs(percent, assume), "a long, b long").distinct(), name)
+
+    first = candidates(marked.withColumn("grp", F.col("s0")), True, "jaccard-pairs-1")
+    # the texts of candidates, which the second round's are among
+    nodes = first.select(F.explode(F.array("a", "b")).alias("s0")).distinct().join(reps.select("s0", "doc_id"), "s0")
+    texts = docs.join(materialize(nodes, "jaccard-nodes").hint("merge"), "doc_id").select("s0", "text")  # the same join at every size
+    texts = materialize(texts.mapInArrow(_zip_texts, "s0 long, k long, z binary").dropDuplicates(["s0"]), "jaccard-texts")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda c: texts.select(F.col("s0").alias(c), F.col("k").alias(f"k{c}"), F.col("z").alias(f"z{c}"))
-        return materialize(pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(_verify(width, percent), "a long, b long, ok boolean"), f"{name}-links")
+        return materialize(pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a").mapInArrow(_verify(width, percent), "a long, b long, ok boolean"), name)
 
-    marked = entries.join(reps.select("s0", "signature"), "s0")
-    tried = verified(marked.withColumn("grp", F.col("s0")), True, "jaccard-1")
+    tried = verified(first, "jaccard-links-1")
     links = tried.where("ok").select("a", "b")
     labels = components(links)
     if tried.where("not ok").limit(1).count():
@@ -409,7 +417,7 @@ def similarity_components(df: DataFrame, width: int = 5, percent: int = 80, key:
         dirty = materialize(assumed.join(materialize(bad, "jaccard-bad"), "label", "left_semi").select(F.col("node").alias("s0")), "jaccard-dirty")
         known = labels.select(F.col("node").alias("s0"), F.col("label").alias("grp"))
         again = marked.join(dirty, "s0", "left_semi").join(known, "s0", "left").withColumn("grp", F.coalesce("grp", "s0"))
-        labels = components(links.unionByName(verified(again, False, "jaccard-2").where("ok").select("a", "b")))
+        labels = components(links.unionByName(verified(candidates(again, False, "jaccard-pairs-2"), "jaccard-links-2").where("ok").select("a", "b")))
     labels = materialize(labels.select(F.col("node").alias("s0"), "label"), "jaccard-labels")
     sets = own.where("n > 0").groupBy("s0", "s1").agg(F.min("doc_id").alias("least"))
     sets = sets.join(labels, "s0", "left").withColumn("_set", F.when(F.col("label").isNotNull(), F.struct(F.col("label").alias("x"), F.lit(0).cast("long").alias("y"))).otherwise(F.struct(F.col("s0").alias("x"), F.col("s1").alias("y"))))
