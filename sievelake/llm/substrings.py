@@ -1,9 +1,10 @@
 """Substring deduplication by Rabin-Karp hashes of every fixed-length word window.
 
-Every window's 64-bit hash goes to one of P hash ranges, in packed form: a task first reduces its own documents to one
-holder per hash (the smallest doc_id), so a window that every document holds is sent once per slice of a task. A hash
-range decides for each holder whether a smaller document has the window, and sends the positions of those that lose
-back by document, where windows merge into maximal intervals of words and the words are removed.
+Every window's hash (64 bits and 16 of a second one) goes to one of P hash ranges, in packed form: a task first reduces
+its own documents to one holder per hash (the smallest doc_id, and its first position), so a window that every document
+holds, or one document holds many times, is sent once per slice of a task. A hash range decides for each holder whether a
+smaller document has the window, and sends the positions of those that lose back by document. There a holder's other
+positions of the same window follow, windows merge into maximal intervals of words, and the words are removed.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import binary_column, parts_for, rolling, slices, text_size, words_of
 
-BASE = 0x9E3779B97F4A7C15  # any odd number
+BASE, SECOND = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # any odd numbers
 NO_ID = np.iinfo(np.int64).max
 SLICE_BYTES = 6 << 20
 RANGE_BYTES = 12 << 20
@@ -36,17 +37,16 @@ def _unplanes(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<u8").ravel()
 
 
-def _pack(ids: np.ndarray, positions: np.ndarray, hashes: np.ndarray | None = None) -> bytes:
-    """Windows sorted by (id, position): ids and positions as differences, hashes as they are (7 bytes each)."""
+def _pack(ids: np.ndarray, positions: np.ndarray, tail: np.ndarray | None = None) -> bytes:
+    """Windows sorted by (id, position): ids and positions as differences, then ``tail`` (bytes of each row) as it is."""
     step = np.diff(ids.view(np.uint64), prepend=np.uint64(0))
     pos = positions.astype(np.int64)
     gap = np.where(step == 0, np.diff(pos, prepend=0), pos).astype(np.int64)
     a, b = _planes(step), _planes(gap.view(np.uint64))
-    tail = b"" if hashes is None else hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-    return struct.pack("<III", len(ids), len(a), len(b)) + a + b + tail
+    return struct.pack("<III", len(ids), len(a), len(b)) + a + b + (b"" if tail is None else tail.tobytes())
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, a, b = struct.unpack_from("<III", data)
     at = 12
     step, gap = _unplanes(data[at : at + a], n), _unplanes(data[at + a : at + a + b], n).view(np.int64)
@@ -57,25 +57,30 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     if n:
         heads = np.append(0, heads[heads > 0])
         base = np.repeat(total[heads] - gap[heads], np.diff(np.append(heads, n)))
-    tail = data[at + a + b :]
-    hashes = None
-    if tail:
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :7] = np.frombuffer(tail, np.uint8).reshape(n, 7)
-        hashes = wide.view("<u8").ravel()
-    return ids, total - base, hashes
+    tail = np.frombuffer(data, np.uint8, offset=at + a + b)
+    return ids, total - base, tail.reshape(n, -1) if n else tail.reshape(0, 0)
 
 
-def _by_part(part: np.ndarray, ids: np.ndarray, positions: np.ndarray, hashes: np.ndarray | None = None):
+def _bytes_of(values: np.ndarray, size: int) -> np.ndarray:
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :size]
+
+
+def _number(rows: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    return wide.view("<u8").ravel()
+
+
+def _by_part(part: np.ndarray, ids: np.ndarray, positions: np.ndarray, tail: np.ndarray | None = None):
     """(part, packed windows) for each part that has any."""
     if not len(part):
         return
     order = np.lexsort((positions, ids, part))
     part, ids, positions = part[order], ids[order], positions[order]
-    hashes = None if hashes is None else hashes[order]
+    tail = None if tail is None else tail[order]
     cuts = np.flatnonzero(np.diff(part, prepend=-1))
     for s, e in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
-        yield int(part[s]), _pack(ids[s:e], positions[s:e], None if hashes is None else hashes[s:e])
+        yield int(part[s]), _pack(ids[s:e], positions[s:e], None if tail is None else tail[s:e])
 
 
 def _doc_part(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -83,14 +88,14 @@ def _doc_part(ids: np.ndarray, bits: int) -> np.ndarray:
         return ((ids.view(np.uint64) * np.uint64(BASE)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _losers(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (hash, id); in that order, True where a smaller id has the same hash."""
-    order = np.lexsort((ids, hashes))
-    h, d = hashes[order], ids[order]
+def _losers(hashes: np.ndarray, second: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by (hash, id); in that order, where each row's group begins, and True where a smaller id has the same hash."""
+    order = np.lexsort((ids, second, hashes))
+    h, k, d = hashes[order], second[order], ids[order]
     first = np.ones(len(h), bool)
-    first[1:] = h[1:] != h[:-1]
-    least = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))] if len(h) else d
-    return order, d > least
+    first[1:] = (h[1:] != h[:-1]) | (k[1:] != k[:-1])
+    begin = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
+    return order, begin, d > d[begin]
 
 
 _SENT = "kind int, part long, data binary"
@@ -102,7 +107,8 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _windows(width: int, bits: int):
-    """Map side: kind 0 holds windows by hash range, kind 1 holds windows that lose within the slice, by document."""
+    """Map side: kind 0 holds windows by hash range; by document, kind 1 holds windows that lose within the slice, and kind
+    3 holds further positions of a holder's window, with the position that is judged."""
 
     def run(batches):
         for batch in batches:
@@ -110,22 +116,21 @@ def _windows(width: int, bits: int):
             every = batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             for s, e in slices(texts, SLICE_BYTES):
                 words, bounds = words_of(texts[s:e])
-                hashes = rolling(words, width, BASE)
+                hashes, second = rolling(words, width, BASE), rolling(words, width, SECOND) >> np.uint64(48)
                 if not len(hashes):
                     continue
                 doc = np.repeat(np.arange(e - s), np.diff(bounds))
                 whole = doc[: len(hashes)] == doc[width - 1 :]
                 position = (np.arange(len(words)) - bounds[:-1][doc])[: len(hashes)][whole]
-                ids, hashes = every[s:e][doc[: len(hashes)][whole]], hashes[whole]
-                order, lost = _losers(hashes, ids)
-                h, d, p = hashes[order], ids[order], position[order]
-                first = np.ones(len(h), bool)
-                first[1:] = h[1:] != h[:-1]
-                rows = [(0, k, x) for k, x in _by_part((h[first] >> np.uint64(64 - bits)).astype(np.int64), d[first], p[first], h[first])]
-                # the other windows of the holder itself share its fate; they follow it by hash
-                same = ~first & ~lost
-                rows += [(0, k, x) for k, x in _by_part((h[same] >> np.uint64(64 - bits)).astype(np.int64), d[same], p[same], h[same])]
-                rows += [(1, k, x) for k, x in _by_part(_doc_part(d[lost], bits), d[lost], p[lost])]
+                ids, hashes, second = every[s:e][doc[: len(hashes)][whole]], hashes[whole], second[whole]
+                order, begin, lost = _losers(hashes, second, ids)
+                h, k, d, p = hashes[order], second[order], ids[order], position[order]
+                first = begin == np.arange(len(h))
+                follow = ~first & ~lost
+                tail = np.concatenate((_bytes_of(h[first], 7), _bytes_of(k[first], 2)), axis=1)
+                rows = [(0, n, x) for n, x in _by_part((h[first] >> np.uint64(64 - bits)).astype(np.int64), d[first], p[first], tail)]
+                rows += [(1, n, x) for n, x in _by_part(_doc_part(d[lost], bits), d[lost], p[lost])]
+                rows += [(3, n, x) for n, x in _by_part(_doc_part(d[follow], bits), d[follow], p[follow], _bytes_of(p[begin[follow]], 4))]
                 yield _batch(rows)
 
     return run
@@ -135,20 +140,20 @@ def _decide(bits: int):
     """One hash range: positions whose window a smaller document has, by document."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, positions, hashes = [], [], []
+        ids, positions, tails = [], [], []
         for batch in batches:
             for kind, part, data in zip(batch.column("kind").to_pylist(), batch.column("part").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if kind:
-                    yield _batch([(1, part, data)])
+                    yield _batch([(kind, part, data)])
                     continue
                 a, b, c = _unpack(data)
                 ids.append(a)
                 positions.append(b)
-                hashes.append(c)
+                tails.append(c)
         if ids:
-            d, p, h = map(np.concatenate, (ids, positions, hashes))
-            del ids, positions, hashes
-            order, lost = _losers(h, d)
+            d, p, tail = np.concatenate(ids), np.concatenate(positions), np.concatenate(tails)
+            del ids, positions, tails
+            order, _, lost = _losers(_number(tail[:, :7]), _number(tail[:, 7:]), d)
             take = order[lost]
             yield _batch([(1, k, x) for k, x in _by_part(_doc_part(d[take], bits), d[take], p[take])])
 
@@ -196,16 +201,24 @@ def _apply(width: int, with_text: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", removed), ("kept_text", pa.string())])
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, positions, texts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        ids, positions, texts, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
         for batch in batches:
             for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if kind == 2:
                     texts.append(data)
+                elif kind == 3:
+                    more.append(_unpack(data))
                 else:
                     a, b, _ = _unpack(data)
                     ids.append(a)
                     positions.append(b)
         d, p = np.concatenate(ids), np.concatenate(positions)
+        if more:  # positions whose judged position is removed
+            fd, fp, judged = (np.concatenate(x) for x in zip(*more, strict=True))
+            _, at = np.unique(np.concatenate((d, fd)), return_inverse=True)
+            place = lambda n, x: n.astype(np.int64) << 32 | x.astype(np.int64)
+            gone = np.isin(place(at[len(d) :], _number(judged)), place(at[: len(d)], p))
+            d, p = np.concatenate((d, fd[gone])), np.concatenate((p, fp[gone]))
         order = np.lexsort((p, d))
         d, p = d[order], p[order]
         for data in texts:
@@ -242,7 +255,7 @@ def remove_repeats(df: DataFrame, width: int = 13, key: str = "doc_id", text: st
     Null text has no words and an empty kept text; a null id counts as larger than any other and is returned as null;
     rows that repeat an id are one document for the comparison, and a position removed from one is removed from the
     others where it exists; documents of fewer words than a window lose nothing; an empty table gives no rows; other
-    columns are not read. Windows are equal if 62 bits of their hash are.
+    columns are not read. Windows are equal if 78 or more bits of their hashes are.
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total, _ = text_size(docs, "text")
