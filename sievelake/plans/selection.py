@@ -14,7 +14,11 @@ from .registry import Tables, query
 
 LABELS = {"view": "correct", "click": "ambiguous", "purchase": "wrong", "signup": "no"}
 LABEL_SQL = "CASE event_type WHEN 'view' THEN 'correct' WHEN 'click' THEN 'ambiguous' WHEN 'purchase' THEN 'wrong' WHEN 'signup' THEN 'no' END"
-OK = F.col("event_type") != "error"
+
+
+def ok():
+    return F.col("event_type") != "error"
+
 
 
 def log(t: Tables):
@@ -34,7 +38,7 @@ voted AS (SELECT *, CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN a = b THEN a
 
 
 def latest(t: Tables):
-    return A.latest_answer(log(t), ["item", "model"], "seq", OK)
+    return A.latest_answer(log(t), ["item", "model"], "seq", ok())
 
 
 def voted(t: Tables):
@@ -157,7 +161,7 @@ def w1_latest_answer(t):
 k AS (SELECT *, max(CASE WHEN seq = good THEN content END) OVER w AS kg, max(CASE WHEN seq = fail THEN content END) OVER w AS kf FROM g WINDOW w AS (PARTITION BY item, model))
 SELECT item, model, seq, content FROM k WHERE seq = CASE WHEN good IS NULL OR (fail > good AND kf != kg) THEN fail ELSE good END""")
 def w2_latest_usable(t):
-    return A.latest_usable(log(t), ["item", "model"], "seq", OK, "content").select("item", "model", "seq", "content")
+    return A.latest_usable(log(t), ["item", "model"], "seq", ok(), "content").select("item", "model", "seq", "content")
 
 
 @query(f"WITH {LOG_SQL}, s AS (SELECT item, seq, cost, coalesce(sum(cost) OVER (PARTITION BY item ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent FROM log) SELECT item, seq, round(spent, 4) AS spent_before FROM s WHERE spent < 200")
@@ -174,12 +178,12 @@ def w8_log_runs(t):
   last_value(CASE WHEN event_type = 'error' THEN ts END IGNORE NULLS) OVER w AS lt FROM log WINDOW w AS (PARTITION BY item ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT item, seq, (lw IS NULL OR coalesce(lr, -1) > lw) AND (lt IS NULL OR epoch_us(ts) >= epoch_us(lt) + 86400000000) AS answered FROM m WHERE event_type != 'error'""")
 def j16_cooldown_join(t):
-    return A.cooldown_answers(log(t), ["item"], "seq", "ts", F.col("event_type") == "error", OK, 86400).select("item", "seq", "answered")
+    return A.cooldown_answers(log(t), ["item"], "seq", "ts", F.col("event_type") == "error", ok(), 86400).select("item", "seq", "answered")
 
 
 @query(f"WITH {LOG_SQL} SELECT item, model, seq, event_type != 'error' AS answered FROM log QUALIFY row_number() OVER (PARTITION BY item, model ORDER BY (event_type != 'error') DESC, seq DESC) = 1")
 def a35_lookup_evidence(t):
-    rows = log(t).select("item", "model", "seq", OK.alias("answered"))
+    rows = log(t).select("item", "model", "seq", ok().alias("answered"))
     return A.lookup_evidence(rows, ["item", "model"], "seq", "answered")
 
 
@@ -196,7 +200,7 @@ FROM items i CROSS JOIN (SELECT DISTINCT model FROM log) m LEFT JOIN asked a ON
 def j6_plan_tasks(t):
     models = t.spark.createDataFrame([("m0",), ("m1",), ("m2",)], "model string")
     rows = log(t).where("seq % 7 < 2")
-    best = rows.groupBy("item", "model").agg(F.max_by("content", F.when(OK, F.col("seq"))).alias("content"), F.max(F.when(OK, 1).otherwise(0)).alias("u"))
+    best = rows.groupBy("item", "model").agg(F.max_by("content", F.when(ok(), F.col("seq"))).alias("content"), F.max(F.when(ok(), 1).otherwise(0)).alias("u"))
     return A.plan_tasks(_items(t), models, best, "item", "model", "content", F.col("u") == 1).select("item", "model", "state")
 
 
@@ -230,7 +234,7 @@ def j19_answer_by_label(t):
 
 @query(f"WITH {LOG_SQL} SELECT model, count(*)::BIGINT AS calls, count(*) FILTER (event_type = 'error')::BIGINT AS failures, round(sum(cost), 2) AS total_cost, round(avg(cost), 6) AS mean_cost, round(avg(k), 6) AS mean_seconds FROM log GROUP BY model")
 def a18_cost_report(t):
-    report = A.cost_report(log(t), "model", OK, "cost", "k")
+    report = A.cost_report(log(t), "model", ok(), "cost", "k")
     return report.select("model", "calls", "failures", F.round("total_cost", 2).alias("total_cost"), F.round("mean_cost", 6).alias("mean_cost"), F.round("mean_seconds", 6).alias("mean_seconds"))
 
 
