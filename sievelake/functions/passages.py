@@ -92,3 +92,23 @@ def ordered_pieces(text: pd.Series, excerpt: pd.Series) -> pd.Series:
 def check_passage(pieces):
     """copy, joined or not a copy."""
     return F.when(pieces == 1, "copy").when(pieces > 1, "joined").otherwise("not a copy")
+
+
+_LAYOUT = re.compile(r"\\[,;:! ]|~|\\q?quad(?![a-zA-Z])|\\\\|&|\$|\s+")
+
+
+def matched_stretch(source: str | None, copy: str | None) -> str | None:
+    """The stretch of the source that the copy stands for, layout aside; the whole source, trimmed, if it isn't found."""
+    if source is None:
+        return None
+    kept = [i for i in range(len(source))]
+    for m in reversed(list(_LAYOUT.finditer(source))):
+        del kept[m.start() : m.end()]
+    core, wanted = "".join(source[i] for i in kept), _LAYOUT.sub("", copy or "")
+    at = core.find(wanted) if wanted else -1
+    return source.strip() if at < 0 else source[kept[at] : kept[at + len(wanted) - 1] + 1]
+
+
+@F.pandas_udf(StringType())
+def trim_formula(source: pd.Series, copy: pd.Series) -> pd.Series:
+    return pd.Series([matched_stretch(x, y) for x, y in zip(source, copy, strict=True)], dtype=object)

@@ -242,3 +242,22 @@ def validate_paraphrases(answer: Column, k: int) -> Column:
     got = F.from_json(answer_body(answer), "struct<paraphrases:array<string>>")["paraphrases"]
     texts = F.transform(got, lambda t: F.trim(F.regexp_replace(t, r"\s+", " ")))
     return F.when((F.size(texts) == k) & F.forall(texts, lambda t: F.coalesce(t != "", F.lit(False))), texts)
+
+
+# Kinds of passages and domains that an answer may name.
+KINDS = ["generic", "specific"]
+DOMAINS = ["automotive", "aerospace", "robotics", "medical", "energy", "industrial", "network", "biology", "generic", "other"]
+# End of fixed values.
+
+
+def check_extraction(formula: Column, source: Column, kinds: Column, domain: Column, symbols: Column) -> Column:
+    """Flags of an extracted formula: none, not a copy (layout aside), unknown kind or domain, mixed kinds, symbols it lacks."""
+    core = lambda c: F.regexp_replace(F.regexp_replace(c, LAYOUT, ""), FONTS, "")
+    none = F.coalesce(F.trim(formula), F.lit("")) == ""
+    lacking = F.filter(symbols, lambda s: ~F.contains(core(formula), core(s)))
+    flags = F.array(
+        F.when(none, "no formula"), F.when(~none & ~F.contains(core(source), core(formula)), "not a copy"), F.when(F.exists(kinds, lambda k: ~k.isin(KINDS)), "unknown kind"),
+        F.when(F.size(F.array_distinct(kinds)) > 1, "mixed kinds"), F.when(~F.coalesce(domain.isin(DOMAINS), F.lit(False)), "unknown domain"),
+        F.when(~none & (F.size(lacking) > 0), F.concat(F.lit("symbol not in formula: "), F.array_join(lacking, ", "))),
+    )
+    return F.array_compact(flags)

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from ..functions import passages as H
 from ..functions import scan as X
+from ..functions import text as T
 from ..functions.passages import check_passage, nearly_equal, same_passage
-from ..operators import report as P
 from ..operators.graph import _table
+from ..operators.spans import point_in_interval
 from ..sources import readers as R
 from ..streaming.ingest import ingest
 from .corpus import FORMULA, TURNS_SQL, turns
 from .registry import Tables, query
-from .selection import LABEL_SQL, log
+from .selection import log
 
 
 def _scratch(t: Tables, name: str) -> str:
@@ -196,7 +197,34 @@ def t1_ingest_answers(t):
     return out
 
 
-@query(f"SELECT event_type, count(*)::BIGINT AS n, count(*) FILTER ({LABEL_SQL} IS NOT NULL)::BIGINT AS labelled FROM events GROUP BY event_type")
+@query("""WITH s AS (SELECT user_id, event_id AS a, event_id + 900 AS b FROM events WHERE event_type = 'signup' AND value < 20), e AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'purchase'),
+x AS (SELECT e.*, min(s.a) AS a FROM e LEFT JOIN s ON s.user_id = e.user_id AND s.a <= e.event_id AND e.event_id < s.b GROUP BY ALL)
+SELECT CASE WHEN a IS NULL THEN 'in no region' WHEN EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = x.user_id AND c.props = x.props AND c.event_id >= a AND c.event_id < a + 900) THEN 'marked' ELSE 'inside, not marked' END AS state, count(*)::BIGINT AS n FROM x GROUP BY ALL""")
 def a36_eval_coverage(t):
-    rows = log(t).select("event_type", "label")
-    return P.conditional_counts(rows, "event_type", {"labelled": F.col("label").isNotNull()}).withColumnRenamed("n_all", "n")
+    e = t.events.select("event_id", "user_id", "props", "event_type", "value")
+    spans = e.where("event_type = 'signup' and value < 20").select("user_id", F.col("event_id").alias("a"), (F.col("event_id") + 900).alias("b"))
+    entries = point_in_interval(e.where("event_type = 'purchase'").select("user_id", "props", F.col("event_id").alias("pos")), spans, ["user_id"], "pos", "a", "b")
+    marks = e.where("event_type = 'click'").select("user_id", "props", F.col("event_id").alias("mark"))
+    found = entries.join(marks, ["user_id", "props"], "left").groupBy("user_id", "pos", "a").agg(F.max(F.coalesce((F.col("mark") >= F.col("a")) & (F.col("mark") < F.col("b")), F.lit(False))).alias("marked"))
+    state = F.when(F.col("a").isNull(), "in no region").when(F.col("marked"), "marked").otherwise("inside, not marked")
+    return found.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT event_id, 'G_{[0, ' || (props->>'$.k') || ']} ' || event_type AS formula FROM events")
+def f5_trim_formula(t):
+    k = F.get_json_object("props", "$.k")
+    written = F.concat(F.lit("G_{[0, "), k, F.lit("]} "), F.col("event_type"))
+    source = F.concat(F.lit("$ \\phi := "), written, F.lit(" $ \\\\ & rest"))
+    copy = F.concat(F.lit("G_{[0,"), k, F.lit("]}"), F.col("event_type"))
+    return t.events.select("event_id", H.trim_formula(source, copy).alias("formula"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no formula' WHEN 2 THEN 'not a copy|symbol not in formula: y' ELSE 'unknown kind|mixed kinds|unknown domain' END AS flags FROM events")
+def f10_check_extraction(t):
+    n = F.col("event_id") % 4
+    source = F.concat(F.lit("$G_{[0,1]} "), F.col("event_type"), F.lit("$"))
+    formula = F.when(n == 1, " ").when(n == 2, "G q").otherwise(F.concat(F.lit("G_{[0,1]}"), F.col("event_type")))
+    kinds = F.when(n == 3, F.array(F.lit("generic"), F.lit("new"))).otherwise(F.array(F.lit("generic")))
+    symbols = F.when(n == 2, F.array(F.lit("y"), F.lit("q"))).otherwise(F.array(F.col("event_type")))
+    flags = T.check_extraction(formula, source, kinds, F.when(n == 3, "cooking").otherwise("robotics"), symbols)
+    return t.events.select("event_id", F.array_join(flags, "|").alias("flags"))
