@@ -109,10 +109,10 @@ def p15_pair_rows(t):
 
 
 @query("""WITH c AS (SELECT conv_id, turn, text, first_value(text) OVER w AS original, row_number() OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, left(text, 3) ORDER BY n) AS again FROM c WHERE n > 1)
-SELECT conv_id || ':A' || (n - 1) AS id, conv_id AS augmented_from, left(text, 3) AS text FROM f WHERE again = 1 AND left(text, 3) != left(original, 3)""")
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, split_part(text, ' ', 1) ORDER BY n) AS again FROM c WHERE n > 1)
+SELECT conv_id || ':A' || (n - 1) AS id, conv_id AS augmented_from, split_part(text, ' ', 1) AS text FROM f WHERE again = 1 AND split_part(text, ' ', 1) != split_part(original, ' ', 1)""")
 def p16_augmented_pairs(t):
-    c = t.conversations.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.left(x["text"], F.lit(3))).alias("x"))
+    c = t.conversations.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.substring_index(x["text"], " ", 1)).alias("x"))
     c = c.select("conv_id", F.get("x", F.lit(0)).alias("text"), F.slice("x", F.lit(2), F.size("x")).alias("more"))
     return R.augmented_pairs(c, "conv_id", "text", "more")
 
@@ -137,9 +137,9 @@ def p1_project_work(t):
     )
 
 
-@query("SELECT doc_id, regexp_matches(lower(left(text, 400)), '" + "|".join(T.RELEVANCE_TERMS) + "') AS relevant FROM documents")
+@query("SELECT doc_id, regexp_matches(lower(text), '" + "|".join(T.RELEVANCE_TERMS) + "') AS relevant FROM documents")
 def p2_is_relevant(t):
-    return t.documents.select("doc_id", T.is_relevant(F.left("text", F.lit(400))).alias("relevant"))
+    return t.documents.select("doc_id", T.is_relevant(F.col("text")).alias("relevant"))
 
 
 LOOKUPS_SQL = "look AS (SELECT o_custkey AS paper, 's' || (o_orderkey % 3) AS service, max(CASE WHEN o_orderstatus = 'P' THEN 'no_answer' WHEN o_orderstatus = 'F' THEN 'found' ELSE 'not_found' END) AS status FROM orders WHERE o_orderkey % 5 < 2 GROUP BY ALL)"
@@ -216,12 +216,12 @@ def j5_apply_lookups(t):
     return merged.select("paper", F.coalesce(F.size(F.map_keys("lookups")), F.lit(0)).cast("long").alias("answered"), "link", "state")
 
 
-KEYS_SQL = "keys AS (SELECT doc_id, 1 AS p, md5(text) AS key FROM documents UNION ALL SELECT doc_id, 2, left(text, 30) FROM documents WHERE length(text) > 15)"
+KEYS_SQL = "keys AS (SELECT doc_id, 1 AS p, md5(text) AS key FROM documents UNION ALL SELECT doc_id, 2, split_part(text, chr(10), 1) FROM documents WHERE length(split_part(text, chr(10), 1)) > 15)"
 
 
 def keys(t: Tables):
     d = t.documents.select("doc_id", "text")
-    return d.select("doc_id", F.lit("hash").alias("type"), F.md5(F.col("text").cast("binary")).alias("key")).unionByName(d.where(F.char_length("text") > 15).select("doc_id", F.lit("title").alias("type"), F.left("text", F.lit(30)).alias("key")))
+    return d.select("doc_id", F.lit("hash").alias("type"), F.md5(F.col("text").cast("binary")).alias("key")).unionByName(d.where(F.char_length(F.substring_index("text", "\n", 1)) > 15).select("doc_id", F.lit("title").alias("type"), F.substring_index("text", "\n", 1).alias("key")))
 
 
 @query(f"""WITH {KEYS_SQL}, m AS (SELECT a.doc_id AS new, b.doc_id AS old, a.p FROM keys a JOIN keys b ON a.p = b.p AND a.key = b.key WHERE a.doc_id % 2 = 1 AND b.doc_id % 2 = 0),
@@ -317,9 +317,9 @@ def a12_operator_share(t):
     return shares.select("operator", F.round("share", 9).alias("share"))
 
 
-@query("SELECT doc_id, regexp_replace(lower(left(text, 60)), '[^\\p{L}\\p{M}\\p{Nd}_]+', '', 'g') AS title FROM documents")
+@query("SELECT doc_id, regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{M}\\p{Nd}_]+', '', 'g') AS title FROM documents")
 def f1_normalize_title(t):
-    return t.documents.select("doc_id", T.normalize_title(F.left("text", F.lit(60))).alias("title"))
+    return t.documents.select("doc_id", T.normalize_title(F.substring_index("text", "\n", 1)).alias("title"))
 
 
 @query("SELECT event_id, 'x\\lep->y\\Box' || event_type AS key FROM events")
@@ -413,9 +413,9 @@ def w12_number_formulas(t):
     return S.number_rows(t.documents.select("doc_id", "source", "lang", "n_chars"), ["source", "lang"], ["n_chars", "doc_id"]).select("doc_id", "number")
 
 
-@query("WITH f AS (SELECT source, left(text, 30) AS k, min(doc_id) AS first FROM documents GROUP BY ALL) SELECT doc_id, CASE WHEN first != doc_id THEN first END AS same_as FROM documents d JOIN f ON f.source = d.source AND f.k = left(d.text, 30)")
+@query("WITH f AS (SELECT source, split_part(text, chr(10), 1) AS k, min(doc_id) AS first FROM documents GROUP BY ALL) SELECT doc_id, CASE WHEN first != doc_id THEN first END AS same_as FROM documents d JOIN f ON f.source = d.source AND f.k = split_part(d.text, chr(10), 1)")
 def w5_dedupe_records(t):
-    docs = t.documents.select("doc_id", "source", F.left("text", F.lit(30)).alias("k"))
+    docs = t.documents.select("doc_id", "source", F.substring_index("text", "\n", 1).alias("k"))
     return R.dedupe_records(docs, ["source", "k"], "doc_id", ["doc_id"]).select("doc_id", "same_as")
 
 

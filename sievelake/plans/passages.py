@@ -38,23 +38,22 @@ def a34_paraphrase_stats(t):
     return both.groupBy("conv_id").agg(F.count(F.lit(1)).alias("kept"), F.avg("d").alias("mean_difference"))
 
 
-@query(f"WITH {TURNS_SQL} SELECT conv_id, turn, true AS same, contains(regexp_replace(b, '\\s+', '', 'g'), regexp_replace(left(a, 12), '\\s+', '', 'g')) AS inside FROM turns")
+@query(f"WITH {TURNS_SQL} SELECT conv_id, turn, true AS same, contains(regexp_replace(b, '\\s+', '', 'g'), regexp_replace(split_part(a, ' ', 1), '\\s+', '', 'g')) AS inside FROM turns")
 def f8_same_passage(t):
-    both = turns(t).withColumns({"whole": H.longest_common("a", "a"), "part": F.left("a", F.lit(12))}).withColumn("n", H.longest_common("part", "b"))
+    both = turns(t).withColumns({"whole": H.longest_common("a", "a"), "part": F.substring_index("a", " ", 1)}).withColumn("n", H.longest_common("part", "b"))
     size = F.char_length(F.regexp_replace("part", r"\s+", ""))
     return both.select("conv_id", "turn", (same_passage(F.col("whole"), F.col("a"), F.col("a")) & nearly_equal(F.col("whole"), F.col("a"), F.col("a"))).alias("same"), (F.col("n") == size).alias("inside"))
 
 
-@query("SELECT doc_id, CASE WHEN length(text) < 300 THEN 'copy' ELSE 'joined' END AS state FROM documents WHERE NOT contains(text, '|') AND lang = 'en' AND length(text) < 300")
+@query("SELECT doc_id, CASE WHEN regexp_replace(text, '\\s+', '', 'g') = '' THEN 'not a copy' ELSE 'copy' END AS state FROM documents")
 def f9_check_passage(t):
-    docs = t.documents.where("NOT contains(text, '|') AND lang = 'en' AND char_length(text) < 300")
-    return docs.select("doc_id", check_passage(H.ordered_pieces("text", "text")).alias("state"))
+    return t.documents.select("doc_id", check_passage(H.ordered_pieces("text", "text")).alias("state"))
 
 
-@query("SELECT doc_id, length(text)::BIGINT AS n FROM documents WHERE nfc_normalize(text) = text AND lang = 'en' AND regexp_full_match(text, '[ -~\\n]*')")
+@query("SELECT event_id, 'always' || event_type || 'φ1≤' || (props->>'$.k') || '%-x' AS core FROM events")
 def f3_passage_core(t):
-    docs = t.documents.where("lang = 'en'").select("doc_id", F.char_length(H.nfkc("text")).cast("long").alias("n"), "text")
-    return docs.where(F.col("text").rlike(r"^[ -~\n]*$")).select("doc_id", "n")
+    text = F.concat(F.lit("always  “"), F.col("event_type"), F.lit("” $\\varphi_{1} \\leq "), F.get_json_object("props", "$.k"), F.lit("$\\%\n−\\mathbf{x}"))
+    return t.events.select("event_id", H.passage_core(text).alias("core"))
 
 
 @query()
@@ -84,13 +83,13 @@ def a23_requirement_vote(t):
         rows = [(int(pdf["conv_id"].iloc[0]), len(groups), len(kept), "requirement" if kept else "none" if len(groups) < 2 else "open")]
         return pd.DataFrame(rows, columns=["conv_id", "groups", "kept", "outcome"])
 
-    return t.conversations.select("conv_id", "turn", F.left("text", F.lit(400)).alias("text")).groupBy("conv_id").applyInPandas(vote, "conv_id long, groups long, kept long, outcome string")
+    return t.conversations.select("conv_id", "turn", "text").groupBy("conv_id").applyInPandas(vote, "conv_id long, groups long, kept long, outcome string")
 
 
 @query()
 def j12_fuzzy_title_join(t):
-    """Pairs of documents whose first 60 characters are alike (ratio of at least 0.88), blocked by equal three-word starts or ends."""
-    title = F.trim(F.regexp_replace(F.lower(F.left("text", F.lit(60))), r"[^\p{L}\p{Nd} ]+", ""))
+    """Pairs of documents whose first lines are alike (ratio of at least 0.88), blocked by equal three-word starts or ends."""
+    title = F.trim(F.regexp_replace(F.lower(F.substring_index("text", "\n", 1)), r"[^\p{L}\p{Nd} ]+", ""))
     docs = t.documents.select("doc_id", title.alias("title")).where(F.char_length("title") >= 20)
     first = docs.groupBy("title").agg(F.min("doc_id").alias("doc_id"))  # equal titles are one candidate
     words = F.split("title", " +")

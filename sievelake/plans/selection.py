@@ -333,12 +333,12 @@ def a37_judge_items(t):
     return R.items_of(t.conversations, ["conv_id"], "turn", "text").select("conv_id", F.array_join("texts", "\n").alias("joined"), "key")
 
 
-@query("""SELECT u.conv_id, count(*)::BIGINT AS n, string_agg(DISTINCT left(a.text, 20), '|' ORDER BY left(a.text, 20)) AS starts FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.text != u.text WHERE u.role = 'user' GROUP BY u.conv_id""")
+@query("""SELECT u.conv_id, count(*)::BIGINT AS n, string_agg(DISTINCT split_part(a.text, ' ', 1), '|' ORDER BY split_part(a.text, ' ', 1)) AS starts FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.text != u.text WHERE u.role = 'user' GROUP BY u.conv_id""")
 def j17_paraphrase_items(t):
     c = t.conversations
     answers = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     both = c.where("role = 'user'").join(answers, ["conv_id", "turn"]).where("text != answer")
-    return both.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set(F.left("answer", F.lit(20)))), "|").alias("starts"))
+    return both.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set(F.substring_index("answer", " ", 1))), "|").alias("starts"))
 
 
 @query("""SELECT c.doc_id, CASE WHEN c.text IS NULL OR c.text = o.text THEN 'unchanged' ELSE CASE l.quality WHEN 1 THEN 'correct' WHEN 0 THEN 'wrong' END END AS label FROM documents c JOIN documents o ON o.doc_id = c.doc_id // 2 LEFT JOIN labels l ON l.doc_id = c.doc_id""")

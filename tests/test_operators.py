@@ -144,3 +144,28 @@ def test_judgment(spark):
     assert one(spark, T.validate_judgment(F.lit(good), F.lit(3))) == "ids differ"
     assert one(spark, T.validate_judgment(F.lit("yes"), F.lit(1))) == "not the expected JSON"
     assert one(spark, T.validate_judgment(F.lit('{"judgments":[],"x":1}'), F.lit(1))) == "another key"
+
+
+def test_passage_core_and_stretch():
+    assert H.passage_text("a “b” \\varphi_{i} \\le 3 \\unknown") == "abφi≤3\\unknown"
+    assert H.matched_stretch("$ x :=  G_{[0, 5]} p $", "G_{[0,5]}p") == "G_{[0, 5]} p" and H.matched_stretch(" a ", "zz") == "a"
+
+
+def test_streamed_log_equals_batch(spark, tmp_path):
+    from sievelake.streaming.ingest import ingest
+
+    rows = [(i % 3, i, i % 4 != 0) for i in range(24)]
+    found = None
+    for n, part in enumerate((rows[12:], rows[:5], rows[5:12])):  # files need not come in order
+        spark.createDataFrame(part, "item long, seq long, ok boolean").coalesce(1).write.mode("append").json(str(tmp_path / "log"))
+        (tmp_path / "log" / f"bad{n}.json").write_text('{"item": 1, "seq"')
+        found = ingest(spark, str(tmp_path / "log"), "item long, seq long, ok boolean", str(tmp_path / "state"), str(tmp_path / "marks"), ["item"], "seq", F.col("ok")).where("seq is not null")
+    want = A.latest_answer(spark.createDataFrame(rows, "item long, seq long, ok boolean"), ["item"], "seq", F.col("ok"))
+    assert sorted(found.select("item", "seq").collect()) == sorted(want.select("item", "seq").collect())
+
+
+def test_point_in_interval_falls_back_to_null(spark):
+    points = spark.createDataFrame([("f", 5), ("f", 1500), ("g", 5)], "f string, pos long")
+    spans = spark.createDataFrame([("f", 0, 2000), ("f", 4, 6)], "f string, a long, b long")
+    found = {(r["f"], r["pos"]): (r["a"], r["b"]) for r in N.point_in_interval(points, spans, ["f"], "pos", "a", "b").collect()}
+    assert found == {("f", 5): (0, 2000), ("f", 1500): (0, 2000), ("g", 5): (None, None)}
