@@ -2,37 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _table(df: DataFrame, name: str) -> DataFrame:
-    """A scratch table below spark.checkpoint.dir; a temporary folder only where the session names none."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("sievelake.scratch.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
-        spark.conf.set("sievelake.scratch.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..scratch import materialize
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node that edges lead to; a hub costs one aggregated row per round."""
     edges = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a is not null and b is not null and a != b").distinct()
-    edges = _table(edges, "edges")
+    edges = materialize(edges, "edges")
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = _table(both.groupBy(F.col("a").alias("component")).agg(F.min("b").alias("to")).where("to < component"), "hook")
-        labels = _table(labels.join(hook, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
+        hook = materialize(both.groupBy(F.col("a").alias("component")).agg(F.min("b").alias("to")).where("to < component"), "hook")
+        labels = materialize(labels.join(hook, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
         for side in ("a", "b"):
             edges = edges.join(hook.select(F.col("component").alias(side), F.col("to").alias("_to")), side, "left").withColumn(side, F.coalesce("_to", side)).drop("_to")
-        edges = _table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "edges")
+        edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "edges")
     return labels
 
 
@@ -42,7 +29,7 @@ def merge_groups(keys: DataFrame, id: str, key: str) -> DataFrame:
     Each key links its records to its smallest record, so a hub key of n records gives n - 1 edges.
     """
     real = keys.where(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).select(id, key).distinct()
-    least = _table(real.groupBy(key).agg(F.min(id).alias("_least"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "keys")
+    least = materialize(real.groupBy(key).agg(F.min(id).alias("_least"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "keys")
     found = connected(real.join(least, key).select(id, "_least"), id, "_least")
     every = keys.select(id).distinct()
     return every.join(found, every[id] == found["node"], "left").select(id, F.coalesce("component", id).alias("component"))
@@ -78,7 +65,7 @@ def expand_hops(edges: DataFrame, seeds: DataFrame, source: str, target: str, ci
         found = edges.join(frontier.select(F.col("node").alias(target)), target).groupBy(F.col(source).alias("node")).agg(F.array_sort(F.collect_set(target)).alias("parents")).withColumn("hop", F.lit(hop))
         if reached is not None:
             found = reached.unionByName(found.join(reached.select("node"), "node", "left_anti"))
-        reached = _table(found.select("node", "hop", "parents"), f"hop{hop}")
+        reached = materialize(found.select("node", "hop", "parents"), f"hop{hop}")
     return reached
 
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_share(counts: DataFrame, n: str) -> DataFrame:
+    """Adds share: ``n`` over the sum of all, which is one row."""
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum(n).alias("_all")))).withColumn("share", F.col(n) / F.col("_all")).drop("_all")
+
+
 def value_counts(df: DataFrame, value: str) -> DataFrame:
     """Count and share per value."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return with_share(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")), "n")
 
 
 def counts_by_set(df: DataFrame, value: str, set_column: str, sets: list[str]) -> DataFrame:
     """Value x set counts, with a total and the total's share."""
     table = df.groupBy(value).pivot(set_column, sets).count().na.fill(0, subset=sets)
-    table = table.withColumn("total", sum((F.col(f"`{s}`") for s in sets), F.lit(0)))
-    return table.withColumn("share", F.col("total") / F.sum("total").over(Window.partitionBy()))
+    return with_share(table.withColumn("total", sum((F.col(f"`{s}`") for s in sets), F.lit(0))), "total")
 
 
 def coverage(df: DataFrame, value: str, top: int = 10) -> DataFrame:

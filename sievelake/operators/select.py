@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+
 
 def seeded(seed: str, *keys: str) -> Column:
     """A pseudo-random order that depends on the seed and the keys only (MD5 of ``seed:key:key``)."""
@@ -91,7 +93,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "
 def number_all(df: DataFrame, order: str, name: str = "number") -> DataFrame:
     """All rows numbered from 1 by a unique key, without bringing them together: range offsets plus rank in the range."""
     ranged = df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.sortWithinPartitions(order).persist()
+    ranged = materialize(ranged, "numbered")
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_p").orderBy(order))

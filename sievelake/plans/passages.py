@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import passages as H
 from ..functions import scan as X
 from ..functions import text as T
 from ..functions.passages import check_passage, nearly_equal, same_passage
-from ..operators.graph import _table
 from ..operators.spans import point_in_interval
+from ..scratch import scratch_path
 from ..sources import readers as R
 from ..streaming.ingest import ingest
 from .corpus import FORMULA, TURNS_SQL, turns
@@ -20,10 +18,7 @@ from .selection import log
 
 
 def _scratch(t: Tables, name: str) -> str:
-    """A new folder below the session's shared scratch folder."""
-    _table(t.spark.range(1), "touch")  # makes sure that a folder is named
-    folder = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.conf.get("sievelake.scratch.dir")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(t.spark, name)
 
 
 @query("SELECT conv_id, turn, CASE WHEN lower(a) = lower(b) THEN 0.0 END AS zero FROM (SELECT u.conv_id, u.turn, u.text AS a, u.text AS b FROM conversations u)")
