@@ -1,41 +1,17 @@
-"""Shared pieces of the training-data operators: scratch tables, sizes and the tokeniser.
-
-Scratch tables replace lineage: they are written as Parquet below ``spark.checkpoint.dir`` (a folder that every
-executor and the driver see), so a lost executor costs no more than the tasks it was running.
-"""
+"""Shared pieces of the training-data operators: sizes and the tokeniser."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD_BYTES = 2 << 20
-
+from ..scratch import materialize  # noqa: F401
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one where the session names none (as in tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    made = spark.conf.get("sievelake.scratch.dir", None)
-    if not made:
-        made = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
-        spark.conf.set("sievelake.scratch.dir", made)
-    return made
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a scratch table and read it back: the result no longer depends on what made it."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+WORD_BYTES = 2 << 20
 
 
 def text_size(df: DataFrame, text: str = "text") -> tuple[int, int]:

@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected
 from .common import binary_column, materialize, parts_for, rolling, slices, text_size, words_of
-from .components import components
 
 BASE = 0xD6E8FEB86659FD93
 SHORT = 0xA0761D6478BD642F
@@ -367,6 +367,11 @@ def _zip_texts(batches):
         yield pa.RecordBatch.from_arrays([batch.column("s0"), pa.array([len(t) for t in texts], pa.int64()), data], names=["s0", "k", "z"])
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of the edges (a, b)."""
+    return connected(edges, "a", "b").withColumnRenamed("component", "label")
+
+
 def similarity_components(df: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row: documents linked by 100 * shared >= percent * union of shingles.
 

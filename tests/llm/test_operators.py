@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sievelake.llm import cotraining, decontaminate, fingerprints, html, jaccard, language, mixing, sharding, substrings, warc
 from sievelake.llm.common import rolling, words_of, binary_column
-from sievelake.llm.components import components
+from sievelake.llm.jaccard import components
 
 LONG = " ".join(f"w{i % 997}x{i % 31}" for i in range(30000))
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, score double, kind int"
