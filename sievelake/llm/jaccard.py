@@ -28,7 +28,7 @@ from .common import binary_column, materialize, parts_for, rolling, slices, text
 
 BASE = 0xD6E8FEB86659FD93
 SHORT = 0xA0761D6478BD642F
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 LIST_BYTES = 1 << 20
 CELLS = 512
 BLOCK = 256
