@@ -40,11 +40,13 @@ LAYOUT = r"\\n(?![a-zA-Z])|" + SPACING + r"|\\\\(?:\s*\[[^\]]*\])?|&|\$|\\label\
 FONTS = r"\\(?:math(?:bf|rm|it|sf|tt|cal|bb|frak|scr)|text(?:bf|rm|it|sf|tt|normal)?|rm|bf|it|sf|tt|cal|boldsymbol|bm|operatorname\*?)(?![a-zA-Z])|[{}]|\\(?![a-zA-Z])"
 OPERATOR = r"\\(?:square|Box|Diamond|lozenge|diamondsuit|boxminus|diamondminus|always|eventually|until|glob|even|alw|ev|fut|since|Since|once|historically|release|LTLg|LTLf|LTLu|G|F|U)(?![A-Za-z])|\\math(?:bf|sf|cal|rm)\{[GFU]\}|(?<![A-Za-z\\])[GFU](?![A-Za-z])"
 BOUNDS = r"[_^]\s*\{[^{}]*\}|[_^]\s*\\?\w+"
-# End of fixed values.
-
+BRACKETS = r"\\(?:left|right|big|Big|bigg|Bigg)(?![A-Za-z])|[{}()\[\]$.,;:\s]"
+EDGE = r"(?:\\(?:wedge|land|vee|lor|rightarrow|Rightarrow|implies|to|bigwedge|bigvee)(?![A-Za-z])|=)\s*$|^\s*(?:\\(?:wedge|land|vee|lor)(?![A-Za-z])|=)"
+DISABLED = r"(?s)\\begin\{comment\}.*?\\end\{comment\}|\\iffalse(?![a-zA-Z]).*?\\fi(?![a-zA-Z])"
 WORD = r"[\w'\-*@]+"
 NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 SYMBOL = r"\d+(?:\.\d+)?|[A-Za-z_][A-Za-z0-9_']*"
+# End of fixed values.
 
 
 def normalize_title(title: Column) -> Column:
@@ -59,7 +61,7 @@ def strip_comments(text: Column) -> Column:
 
 def strip_disabled(text: Column) -> Column:
     """Comment environments and ``\\iffalse`` ... ``\\fi`` go, then comments."""
-    return strip_comments(F.regexp_replace(text, r"(?s)\\begin\{comment\}.*?\\end\{comment\}|\\iffalse(?![a-zA-Z]).*?\\fi(?![a-zA-Z])", ""))
+    return strip_comments(F.regexp_replace(text, DISABLED, ""))
 
 
 def _among(words: Column, vocabulary: list[str]) -> Column:
@@ -95,13 +97,12 @@ def formula_key(text: Column) -> Column:
 def is_fragment(formula: Column) -> Column:
     """An operator alone, without what it applies to."""
     rest = F.regexp_replace(F.regexp_replace(formula, BOUNDS, " "), OPERATOR, " ")
-    return F.regexp_replace(rest, r"\\(?:left|right|big|Big|bigg|Bigg)(?![A-Za-z])|[{}()\[\]$.,;:\s]", "") == ""
+    return F.regexp_replace(rest, BRACKETS, "") == ""
 
 
 def looks_cut(formula: Column) -> Column:
     """Starts or ends with a connective, so that its other part is elsewhere."""
-    edge = r"(?:\\(?:wedge|land|vee|lor|rightarrow|Rightarrow|implies|to|bigwedge|bigvee)(?![A-Za-z])|=)\s*$|^\s*(?:\\(?:wedge|land|vee|lor)(?![A-Za-z])|=)"
-    return formula.rlike(edge)
+    return formula.rlike(EDGE)
 
 
 def template_of(text: Column) -> Column:
