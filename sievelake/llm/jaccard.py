@@ -255,26 +255,26 @@ def _pairs(percent: int, assume: bool):
             if stop - start <= 2:
                 continue
             ids = s0[start:stop].tolist()
-            for i in range(start + 1, stop):
-                low = start + int(np.searchsorted(n[start:i] * 100, percent * n[i]))
-                if low >= i:
-                    continue
+            lows = np.searchsorted(n[start:stop] * 100, percent * n[start:stop]).tolist()
+            tops = np.array([top(x) for x in ids], np.int64)  # component of each entry by the pairs found so far
+            for i in range(1, stop - start):
                 if not assume:
-                    j = np.arange(low, i)
-                    j = j[fits(j, np.full(len(j), i))]
-                    found.update((ids[x - start], ids[i - start]) for x in j.tolist())
+                    j = np.arange(start + lows[i], start + i)
+                    j = j[fits(j, np.full(len(j), start + i))]
+                    found.update((ids[x - start], ids[i]) for x in j.tolist())
                     continue
-                at = low
-                while at < i:  # in growing steps: in a group of copies the first one tried is linked
-                    step = np.arange(at, min(i, at + max(8, at - low)))
-                    at = int(step[-1]) + 1
-                    mine = top(ids[i - start])
-                    for x in step[fits(step, np.full(len(step), i))].tolist():
-                        other = top(ids[x - start])
-                        if other != mine:
-                            found.add((ids[x - start], ids[i - start]))
-                            up[max(other, mine)] = mine = min(other, mine)
-                            at = i
+                at, most = lows[i], 8
+                while at < i:  # in growing steps: in a group of copies the first one tried is linked, and those connected with it are skipped
+                    step = at + np.flatnonzero(tops[at:i] != tops[i])[:most]
+                    if not len(step):
+                        break
+                    at, most = int(step[-1]) + 1, 2 * most
+                    for x in step[fits(start + step, np.full(len(step), start + i))].tolist():
+                        if tops[x] != tops[i]:
+                            found.add((ids[x], ids[i]))
+                            low, high = sorted((int(tops[x]), int(tops[i])))
+                            up[high] = low
+                            tops[tops == high] = low
         pairs = sorted((min(p), max(p)) for p in found)
         yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 

@@ -106,6 +106,28 @@ def test_jaccard(spark, width, percent):
     assert kept.columns == frame(spark, []).columns and kept.where("doc_id = 0").count() == 1
 
 
+def test_jaccard_bridge_of_two_families(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_BYTES", 1)  # about a range for each list, as at large sizes
+    r = random.Random(0)
+    whole = [f"b{i}" for i in range(100)]
+    families = [[set(whole) - set(r.sample(whole[at : at + 26], lack)) for _ in range(60)] for at, lack in ((0, 19), (26, 14))]
+    sets = [*families[0], *families[1], set(whole)]
+
+    def least(sets):
+        """The smallest position that links lead to, by brute force."""
+        out = list(range(len(sets)))
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if out[i] != out[j] and 100 * len(a & b) >= 80 * len(a | b):
+                    low, high = sorted((out[i], out[j]))
+                    out = [low if x == high else x for x in out]
+        return out
+
+    assert set(least(sets)) == {0} and set(least(sets[:-1])) == {0, 60}  # only the whole one links the families
+    rows = [(i, " ".join(sorted(x))) for i, x in enumerate(sets)]
+    assert {r["component_id"] for r in jaccard.similarity_components(frame(spark, rows), width=1, percent=80).collect()} == {0}
+
+
 def test_jaccard_empty(spark):
     assert jaccard.similarity_components(frame(spark, [])).count() == 0
 
