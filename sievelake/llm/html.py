@@ -2,7 +2,7 @@
 
 A page is read as lines (block elements end a line), each with its role by markup: MAIN inside an article element, CHROME
 in menus, headers, footers, sidebars, notices, adverts, forms and reader comments, LOOSE elsewhere. Each page is paired
-with the page of the same host whose URL path is nearest, the two line sequences are aligned by longest common
+with the page of the same host whose URL path is nearest and that is no copy of it, the two line sequences are aligned by longest common
 subsequence, and the lines they share are deleted: they belong to the site's template. MAIN lines are exempt, as text
 that two articles share is a quotation or a copy. CHROME lines that are not shared go by their markup.
 
@@ -39,7 +39,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 
 MAIN_LINE, CHROME_LINE, LOOSE_LINE = "m", "c", "l"
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _OPENERS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -175,9 +175,12 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(padded, r"(?<!\d)0*(\d{12})(?!\d)", "$1")
 
 
-def neighbours(pages: DataFrame, key: str, url: str) -> DataFrame:
+def neighbours(pages: DataFrame, key: str, url: str, lines: DataFrame | None = None) -> DataFrame:
     """(page, partner) where partner is the page of the same host with the nearest path; pages alone on a host are left out.
 
+    With ``lines`` (page, lines), a run of pages that are each mostly the same as the one before is passed over: the
+    partners of its pages are the nearest before and after the run, however long it is.
+
     Pages are sorted by host and path in ranges; a page's neighbour beyond the end of a range is the first or last page
     of the range beside it, so a host of any size is spread over many tasks.
     """
@@ -186,13 +189,25 @@ def neighbours(pages: DataFrame, key: str, url: str) -> DataFrame:
     rows = rows.repartitionByRange("host", "path", "page").withColumn("part", F.spark_partition_id())
     rows = materialize(rows, "html-sorted")
     order = ["host", "path", "page"]
-    ends = rows.groupBy("part").agg(F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high"))
+    ends = rows.groupBy("part").agg(F.max(F.struct(*order)).alias("high"))
     beside = Window.orderBy("part")  # one row per range
-    ends = ends.select("part", F.lag("high").over(beside).alias("left"), F.lead("low").over(beside).alias("right"))
+    ends = ends.select("part", F.lag("high").over(beside).alias("left"))
     within = Window.partitionBy("part").orderBy(*order)
     own = F.struct("host", "path", "page")
-    near = rows.withColumns({"before": F.lag(own).over(within), "after": F.lead(own).over(within)}).join(F.broadcast(ends), "part")
-    near = near.withColumns({"before": F.coalesce("before", "left"), "after": F.coalesce("after", "right")})
+    near = rows.withColumn("before", F.lag(own).over(within)).join(F.broadcast(ends.select("part", "left")), "part").withColumn("before", F.coalesce("before", "left")).drop("left")
+    if lines is None:
+        near = near.withColumn("starts", F.lit(True))
+    else:
+        both = near.where("before.host = host").select("page", F.col("before.page").alias("partner")).join(lines, "page").join(lines.select(F.col("page").alias("partner"), F.col("lines").alias("other")), "partner")
+        copies = both.select("page", "lines", "other").mapInArrow(_copies, "page long").withColumn("copy", F.lit(True))
+        near = materialize(near.join(copies, "page", "left").withColumn("starts", F.col("copy").isNull()).drop("copy"), "html-runs")
+    first = F.when(F.col("starts"), F.struct(F.col("before").alias("x")))
+    after = F.when(F.col("starts"), F.struct(own.alias("x")))
+    ends = near.where("starts").groupBy("part").agg(F.max_by(F.struct(F.col("before").alias("x")), own).alias("left"), F.min_by(F.struct(own.alias("x")), own).alias("right"))
+    ends = near.select("part").distinct().join(ends, "part", "left")
+    ends = ends.select("part", F.last("left", True).over(beside.rowsBetween(Window.unboundedPreceding, -1)).alias("left"), F.first("right", True).over(beside.rowsBetween(1, Window.unboundedFollowing)).alias("right"))
+    near = near.withColumns({"_b": F.last(first, True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first(after, True).over(within.rowsBetween(1, Window.unboundedFollowing))})
+    near = near.join(F.broadcast(ends), "part").withColumns({"before": F.coalesce("_b", "left")["x"], "after": F.coalesce("_a", "right")["x"]})
     far = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.levenshtein(F.regexp_replace("path", "^0+|(?<=/)0+", ""), F.regexp_replace(F.col(f"{c}.path"), "^0+|(?<=/)0+", "")))
     near = near.withColumns({"d0": far("before"), "d1": far("after")})
     partner = F.when(F.col("d0").isNotNull() & (F.col("d1").isNull() | (F.col("d0") <= F.col("d1"))), F.col("before.page")).when(F.col("d1").isNotNull(), F.col("after.page"))
@@ -200,16 +215,38 @@ def neighbours(pages: DataFrame, key: str, url: str) -> DataFrame:
 
 
 def _hash_lines(batches):
+    """Per page the hashes of its lines, then their lengths (0 for those that are not loose)."""
+    for batch in batches:
+        data = []
+        for h in batch.column("html").to_pylist():
+            lines = page_lines(h)
+            data.append(np.array([*(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for t, _ in lines), *(len(t) * (r == LOOSE_LINE) for t, r in lines)], np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("page"), pa.array(data, pa.binary())], names=["page", "lines"])
+
+
+def _split(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(data, np.int64)
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
+def mostly_same(a: bytes, b: bytes) -> bool:
+    """Whether over half of the characters of the page with less loose text are in lines that both have."""
+    (own, n), (other, m) = _split(a), _split(b)
+    least = min(n.sum(), m.sum())
+    return bool(least and 2 * min(n[np.isin(own, other)].sum(), m[np.isin(other, own)].sum()) > least)
+
+
+def _copies(batches):
     for batch in batches:
-        hashes = [np.array([xxhash.xxh3_64_intdigest(t) >> 1 for t, _ in page_lines(h)], np.int64) for h in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("page"), pa.array([x.tobytes() for x in hashes], pa.binary())], names=["page", "lines"])
+        pages = [p for p, a, b in zip(*(batch.column(c).to_pylist() for c in ("page", "lines", "other")), strict=True) if mostly_same(a, b)]
+        yield pa.RecordBatch.from_pydict({"page": pa.array(pages, pa.int64())})
 
 
 def _shared(batches):
     for batch in batches:
         pages, deleted = [], []
         for page, a, b in zip(*(batch.column(c).to_pylist() for c in ("page", "lines", "other")), strict=True):
-            if positions := shared_lines(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)):
+            if not mostly_same(a, b) and (positions := shared_lines(_split(a)[0], _split(b)[0])):
                 pages.append(page)
                 deleted.append(positions)
         yield pa.RecordBatch.from_pydict({"page": pa.array(pages, pa.int64()), "deleted": pa.array(deleted, pa.list_(pa.int32()))})
@@ -243,9 +280,9 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     not read.
     """
     pages = df.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    pairs = neighbours(pages, "page_id", "url")
     lines = pages.where("page_id is not null").select(F.col("page_id").alias("page"), "html").mapInArrow(_hash_lines, "page long, lines binary")
     lines = materialize(lines.groupBy("page").agg(F.min("lines").alias("lines")), "html-lines")
+    pairs = neighbours(pages, "page_id", "url", lines)
     both = pairs.join(lines, "page").join(lines.select(F.col("page").alias("partner"), F.col("lines").alias("other")), "partner")
     gone = materialize(both.select("page", "lines", "other").mapInArrow(_shared, "page long, deleted array<int>"), "html-shared")
     packed = pages.mapInArrow(_packed_lines, "page_id long, url string, data binary")

@@ -287,6 +287,25 @@ def test_html(spark):
     assert html.extract(pages.where("false")).count() == 0
 
 
+def test_html_attribute_values_are_no_attributes():
+    for attributes in ('style="overflow:hidden"', 'title="a hidden track"', 'data-id="comments"', "data-role='navigation'", 'alt="x" title="id=menu"'):
+        assert html.page_lines(f"<div {attributes}><article><p>kept</p></article></div>") == [("kept", html.MAIN_LINE)]
+    for attributes in ("hidden", 'style="x" HIDDEN', "ID=menu", 'title="a" class="x sidebar"', "aria-hidden=true", 'role="navigation"'):
+        assert html.page_lines(f"<div {attributes}><p>gone</p></div>") == [("gone", html.CHROME_LINE)]
+
+
+def test_html_copies_are_no_template(spark):
+    page = "<body><div>Site of a</div><p>{0} tells a story of some length</p><p>and {0} ends it here</p>{1}</body>"
+    one, two = page.format("one", ""), page.format("two", "")
+    rows = [(1, "http://a.com/p/1", one), (2, "http://a.com/p/1?print=1", one), (3, "http://a.com/p/1?x=2", page.format("one", "<p>printed</p>")), (4, "http://a.com/p/2", two), (5, "http://b.com/1", one), (6, "http://b.com/2", one)]
+    rows += [(10 + i, f"http://c.com/{i}", one) for i in range(30)] + [(40, "http://c.com/99", two)]
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = "{0} tells a story of some length\n\nand {0} ends it here"
+    assert found[1] == found[2] == text.format("one") and found[3] == text.format("one") + "\n\nprinted" and found[4] == text.format("two")
+    assert found[5] == found[6] == "Site of a\n\n" + text.format("one")  # nothing else tells this host's template
+    assert {found[10 + i] for i in range(30)} == {text.format("one")} and found[40] == text.format("two")
+
+
 def test_lcs():
     r = random.Random(0)
     for _ in range(300):
