@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievelake.llm import cotraining, decontaminate, fingerprints, html, jaccard, language, mixing, sharding, substrings, warc
+from sievelake.llm import cotraining, decontaminate, fingerprints, jaccard, language, mixing, sharding, substrings, warc
 from sievelake.llm.common import rolling, words_of, binary_column
 from sievelake.llm.jaccard import components
 
@@ -267,64 +267,6 @@ def test_warc(spark, tmp_path):
         warc.parse(next(warc.members(good)).replace(b"Content-Length: 3", b"Content-Length: 4").replace(b"abc", b"abcd")[:-1])
 
 
-PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><div id="cookie-notice">We use cookies</div><header>H</header>
-<nav><ul><li><a href="/">Home</a></li></ul></nav><p>Site of {site}</p>{main}<div class="comments"><p>nice!</p></div><aside>S</aside><form><p>mail?</p></form><footer>&copy; F</footer></body></html>"""
-
-
-def test_html(spark):
-    article = "<article><h1>T &amp; U</h1><p>One\n two<br>three<p><b>Four &lt;5&gt;<script>x<y</script> six</article>"
-    loose = "<div><p>Story {0} alone</p><p>Another {0} line</p></div>"
-    rows = [(1, "http://a.com/en/1", PAGE.format(site="a", main=article)), (2, "http://a.com/en/2", PAGE.format(site="a", main=loose.format("two"))), (3, "http://a.com/en/3?x=1", PAGE.format(site="a", main=loose.format("three"))),
-            (4, "http://b.com/", PAGE.format(site="b", main=loose.format("b"))), (5, None, None), (6, "http://a.com/en/9", ""), (None, "http://a.com/en/2", "<p>no id</p>"), (2, "http://a.com/en/2", PAGE.format(site="a", main=loose.format("two")))]
-    pages = spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, text string")
-    found = {}
-    for r in html.extract(pages).collect():
-        found.setdefault(r["page_id"], []).append(r["text"])
-        assert r["n_chars"] == len(r["text"])
-    assert found[1] == ["T & U\n\nOne two three\n\nFour <5> six"]
-    assert found[2] == ["Story two alone\n\nAnother two line"] * 2 and found[3] == ["Story three alone\n\nAnother three line"]
-    assert found[4] == ["Site of b\n\nStory b alone\n\nAnother b line"] and found[5] == [""] and found[6] == [""] and found[None] == ["no id"]
-    assert html.extract(pages.where("false")).count() == 0
-
-
-def test_html_attribute_values_are_no_attributes():
-    for attributes in ('style="overflow:hidden"', 'title="a hidden track"', 'data-id="comments"', "data-role='navigation'", 'alt="x" title="id=menu"'):
-        assert html.page_lines(f"<div {attributes}><article><p>kept</p></article></div>") == [("kept", html.MAIN_LINE)]
-    for attributes in ("hidden", 'style="x" HIDDEN', "ID=menu", 'title="a" class="x sidebar"', "aria-hidden=true", 'role="navigation"'):
-        assert html.page_lines(f"<div {attributes}><p>gone</p></div>") == [("gone", html.CHROME_LINE)]
-
-
-def test_html_copies_are_no_template(spark):
-    page = "<body><div>Site of a</div><p>{0} tells a story of some length</p><p>and {0} ends it here</p>{1}</body>"
-    one, two = page.format("one", ""), page.format("two", "")
-    rows = [(1, "http://a.com/p/1", one), (2, "http://a.com/p/1?print=1", one), (3, "http://a.com/p/1?x=2", page.format("one", "<p>printed</p>")), (4, "http://a.com/p/2", two), (5, "http://b.com/1", one), (6, "http://b.com/2", one)]
-    rows += [(10 + i, f"http://c.com/{i}", one) for i in range(30)] + [(40, "http://c.com/99", two)]
-    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    text = "{0} tells a story of some length\n\nand {0} ends it here"
-    assert found[1] == found[2] == text.format("one") and found[3] == text.format("one") + "\n\nprinted" and found[4] == text.format("two")
-    assert found[5] == found[6] == "Site of a\n\n" + text.format("one")  # nothing else tells this host's template
-    assert {found[10 + i] for i in range(30)} == {text.format("one")} and found[40] == text.format("two")
-
-
-def test_lcs():
-    r = random.Random(0)
-    for _ in range(300):
-        a, b = ([r.randrange(5) for _ in range(r.randrange(14))] for _ in range(2))
-        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        got = html.shared_lines(np.array(a, np.int64), np.array(b, np.int64))
-        rest = iter(b)
-        assert len(got) == table[-1][-1] and all(a[i] in rest for i in got)
-
-
-def test_neighbours_are_nearest_on_their_host(spark):
-    pages = spark.createDataFrame([(i, f"http://h{i % 2}/p/{i // 2}") for i in range(40)] + [(99, "http://alone/x")], "page_id long, url string")
-    found = {r["page"]: r["partner"] for r in html.neighbours(pages, "page_id", "url").collect()}
-    assert 99 not in found and set(found) == set(range(40)) and all(abs(k - v) == 2 for k, v in found.items())
-
-
 def brute(pattern, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
