@@ -8,14 +8,30 @@ from pyspark.sql import functions as F
 from ..scratch import materialize
 
 
+def _roots(hook: DataFrame) -> DataFrame:
+    """Hooks (component, to) followed to their ends; what is followed doubles with each turn."""
+    while True:
+        ahead = hook.select(F.col("component").alias("to"), F.col("to").alias("_next"))
+        if not hook.join(ahead, "to", "left_semi").limit(1).count():
+            return hook
+        twice = hook.join(ahead, "to", "left").select("component", F.coalesce("_next", "to").alias("to"))
+        hook = materialize(twice, "hook")
+
+
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component): the smallest node that edges lead to; a hub costs one aggregated row per round."""
+    """(node, component): the smallest node that edges lead to; a hub costs one aggregated row per round.
+
+    In each round every component hooks to its smallest neighbour if that is smaller, and hooks are followed to their
+    ends. What is left are components without a smaller neighbour, half of them at most, so the rounds, and the turns of
+    following in each, are few for long chains too. Edges with a null end connect nothing.
+    """
     edges = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a is not null and b is not null and a != b").distinct()
     edges = materialize(edges, "edges")
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = materialize(both.groupBy(F.col("a").alias("component")).agg(F.min("b").alias("to")).where("to < component"), "hook")
+        hook = _roots(hook)
         labels = materialize(labels.join(hook, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
         for side in ("a", "b"):
             edges = edges.join(hook.select(F.col("component").alias(side), F.col("to").alias("_to")), side, "left").withColumn(side, F.coalesce("_to", side)).drop("_to")
@@ -43,7 +59,8 @@ def pick_representative(df: DataFrame, component: str, id: str, preference: list
 def upsert_match(incoming: DataFrame, known: DataFrame, new: str, old: str, key_type: str, key: str, priority: list[str]) -> DataFrame:
     """(new, old, matched_by): the known record an incoming one belongs to by its strongest matching key type."""
     rank = F.coalesce(*(F.when(F.col(key_type) == t, F.lit(i)) for i, t in enumerate(priority)))
-    both = incoming.select(new, key_type, key).join(known.select(old, key_type, key), [key_type, key]).withColumn("_rank", rank).where("_rank is not null")
+    known = known.groupBy(key_type, key).agg(F.min(old).alias(old))  # a key that many records share leads to the smallest
+    both = incoming.select(new, key_type, key).join(known, [key_type, key]).withColumn("_rank", rank).where("_rank is not null")
     best = both.groupBy(new).agg(F.min_by(F.struct(old, key_type), F.struct("_rank", old)).alias("_m"))
     return incoming.select(new).distinct().join(best, new, "left").select(new, F.col(f"_m.{old}").alias(old), F.col(f"_m.{key_type}").alias("matched_by"))
 
@@ -71,9 +88,12 @@ def expand_hops(edges: DataFrame, seeds: DataFrame, source: str, target: str, ci
 
 def merge_fields(df: DataFrame, component: str, sets: list[str], maxima: list[str], minima: list[str], flags: list[str], best: list[str], rank: Column) -> DataFrame:
     """Fields of merged records: distinct sorted unions, maxima, minima, any-of flags, and fields of the best-ranked copy."""
-    out = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in sets]
-    out += [F.max(c).alias(c) for c in maxima] + [F.min(c).alias(c) for c in minima] + [F.bool_or(c).alias(c) for c in flags]
-    return df.groupBy(component).agg(*out, F.max_by(F.struct(*best), rank).alias("_b")).select(component, *sets, *maxima, *minima, *flags, *(F.col(f"_b.{c}").alias(c) for c in best))
+    out = [F.max(c).alias(c) for c in maxima] + [F.min(c).alias(c) for c in minima] + [F.bool_or(c).alias(c) for c in flags]
+    merged = df.groupBy(component).agg(*out, F.max_by(F.struct(*best), rank).alias("_b"))
+    for c in sets:  # of a component only the distinct values meet
+        values = df.select(component, F.explode(c).alias("_v")).distinct().groupBy(component).agg(F.array_sort(F.collect_set("_v")).alias(c))
+        merged = merged.join(values, component, "left").withColumn(c, F.coalesce(c, F.array()))
+    return merged.select(component, *sets, *maxima, *minima, *flags, *(F.col(f"_b.{c}").alias(c) for c in best))
 
 
 def apply_lookups(papers: DataFrame, answers: DataFrame, id: str, service: str, status: str, link: str, state: str) -> DataFrame:

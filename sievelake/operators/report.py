@@ -54,6 +54,11 @@ def conditional_counts(df: DataFrame, group: str, subsets: dict[str, Column]) ->
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n_all"), *(F.count_if(c).alias(name) for name, c in subsets.items()))
 
 
+def counts_of_each(df: DataFrame, id: str, value: str, name: str) -> DataFrame:
+    """How many different ids have each value; an id counts for each of its values."""
+    return df.groupBy(F.col(value).alias(name)).agg(F.count_distinct(id).alias("n"))
+
+
 def exploded_counts(df: DataFrame, values: str, name: str) -> DataFrame:
     """A row counts for each distinct element of its array."""
     return df.select(F.explode(F.array_distinct(values)).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))

@@ -274,8 +274,7 @@ def j4_expand_hops(t):
 
 @query("SELECT event_type AS method, count(DISTINCT user_id)::BIGINT AS n FROM events GROUP BY 1")
 def a4_discovery_report(t):
-    methods = t.events.groupBy("user_id").agg(F.collect_list("event_type").alias("methods"))
-    return P.exploded_counts(methods, "methods", "method")
+    return P.counts_of_each(t.events, "user_id", "event_type", "method")
 
 
 @query("SELECT source, count(*)::BIGINT AS records, count(DISTINCT lang)::BIGINT AS papers FROM documents GROUP BY source")

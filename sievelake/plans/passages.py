@@ -8,6 +8,7 @@ from ..functions import passages as H
 from ..functions import scan as X
 from ..functions import text as T
 from ..functions.passages import check_passage, nearly_equal, same_passage
+from ..operators.fuzzy import fuzzy_title_join
 from ..operators.spans import point_in_interval
 from ..scratch import scratch_path
 from ..sources import readers as R
@@ -83,18 +84,9 @@ def a23_requirement_vote(t):
 
 @query()
 def j12_fuzzy_title_join(t):
-    """Pairs of documents whose first lines are alike (ratio of at least 0.88), blocked by an equal first or second half."""
-    title = F.trim(F.regexp_replace(F.lower(F.substring_index("text", "\n", 1)), r"[^\p{L}\p{Nd} ]+", ""))
-    docs = t.documents.select("doc_id", title.alias("title")).where(F.char_length("title") >= 20)
-    first = docs.groupBy("title").agg(F.min("doc_id").alias("doc_id"))  # equal titles are one candidate
-    words = F.split("title", " +")
-    half = F.greatest(F.lit(1), F.expr("size(split(title, ' +')) div 2"))
-    halves = F.array(F.concat(F.lit("<"), F.concat_ws(" ", F.slice(words, F.lit(1), half))), F.concat(F.lit(">"), F.concat_ws(" ", F.slice(words, -half, half))))
-    blocks = first.select("doc_id", "title", F.explode(halves).alias("block"))
-    a, b = blocks, blocks.select("block", F.col("doc_id").alias("other"), F.col("title").alias("other_title"))
-    both = a.join(b, "block").where("doc_id < other").select("doc_id", "other", "title", "other_title").distinct()
-    scored = both.withColumn("ratio", H.sequence_ratio("title", "other_title")).where("ratio >= 0.88")
-    return scored.groupBy("other").agg(F.min_by(F.struct("doc_id", "ratio"), "doc_id").alias("m")).select("other", "m.doc_id", "m.ratio")
+    """For every document the first one before it whose first line is alike (ratio of at least 0.88)."""
+    docs = t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
+    return fuzzy_title_join(docs, "doc_id", "title")
 
 
 def sources(t: Tables):

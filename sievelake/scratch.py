@@ -15,6 +15,9 @@ def scratch_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     made = spark.conf.get("sievelake.scratch.dir", None)
     if not made:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         made = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
         spark.conf.set("sievelake.scratch.dir", made)
     return made
