@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once, strip_comments
+
 # Licence names and the patterns that show them, tried in this order.
 PATTERNS = [
     ("cc0", r"(?i)creativecommons\.org/publicdomain/zero|cc0[\s\-]1\.0|\\cczero"),
@@ -17,12 +21,24 @@ PATTERNS = [
     ("arxiv-nonexclusive", r"(?i)arxiv\.org/licenses/nonexclusive-distrib"),
 ]
 PERMISSIVE = ["cc0", "cc-by", "cc-by-sa", "cc-by-4.0", "public-domain"]
+HINTS = ["cc", "creative", "arxiv.org"]  # in each match of a pattern
 # End of fixed values.
 
 
 def detect_license(text: Column, patterns: list[tuple[str, str]] | None = None) -> Column:
     """The first licence in the order of the patterns that the text names; null if none."""
-    return F.coalesce(*(F.when(text.rlike(p), F.lit(name)) for name, p in patterns or PATTERNS))
+    return once(text, lambda t: F.coalesce(*(F.when(t.rlike(p), F.lit(name)) for name, p in patterns or PATTERNS)))
+
+
+def detect_in_source(text: Column, patterns: list[tuple[str, str]] | None = None, hints: list[str] | None = None) -> Column:
+    """The licence that a source text names outside its comments.
+
+    ``hints``: lower-case literals on one line, one of which each match of a pattern holds. A text without any of them, as
+    most are, is searched no further; comments are taken out of the others once.
+    """
+    low = F.lower(text)
+    hinted = functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(h)) for h in hints or HINTS))
+    return F.when(hinted, detect_license(strip_comments(text), patterns))
 
 
 def normalize_license(value: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,6 +66,11 @@ def strip_disabled(text: Column) -> Column:
     return strip_comments(F.regexp_replace(text, DISABLED, ""))
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _among(words: Column, vocabulary: list[str]) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(vocabulary)))
 
@@ -72,11 +79,20 @@ def is_english(text: Column) -> Column:
     """False if over 30 % of the letters are of other scripts, if three are Turkish, or if another language has two common
     words and more than English; null counts as empty text, which is English."""
     text = F.coalesce(text, F.lit(""))
-    letters = F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\p{L}")))
-    words = F.filter(F.split(F.lower(F.regexp_replace(text, r"\\[A-Za-z]+|\$[^$]*\$", " ")), r"[^\p{L}]+"), lambda w: w != "")
-    other = F.greatest(*(_among(words, v) for v in OTHER_WORDS.values()))
-    foreign = (F.regexp_count(text, F.lit(OTHER_SCRIPT)) / letters > 0.3) | (F.regexp_count(text, F.lit(TURKISH)) >= 3)
-    return ~(foreign | ((other >= 2) & (other > _among(words, ENGLISH))))
+    size = lambda pattern: F.char_length(F.regexp_replace(text, pattern, ""))
+    # a search for bytes first: a text of ASCII letters only, or without a Turkish one, is not counted further
+    scripts = (F.octet_length(text) > F.char_length(text)) & text.rlike(OTHER_SCRIPT) & ((F.char_length(text) - size(OTHER_SCRIPT)) / F.greatest(F.lit(1), F.char_length(text) - size(r"\p{L}+")) > 0.3)
+    turkish = functools.reduce(lambda a, b: a | b, (F.contains(text, F.lit(x)) for x in TURKISH.strip("[]"))) & text.rlike(f"(?s){TURKISH}.*{TURKISH}.*{TURKISH}")
+    marked = F.contains(text, F.lit("\\")) | F.contains(text, F.lit("$"))
+    plain = F.when(marked, F.regexp_replace(text, r"\\[A-Za-z]+|\$[^$]*\$", " ")).otherwise(text)
+    words = F.split(F.lower(plain), r"[^\p{L}]+")
+    known = sorted({w for v in [ENGLISH, *OTHER_WORDS.values()] for w in v})
+
+    def mostly_other(common: Column) -> Column:
+        other = F.greatest(*(_among(common, v) for v in OTHER_WORDS.values()))
+        return (other >= 2) & (other > _among(common, ENGLISH))
+
+    return ~(scripts | turkish | once(F.filter(words, lambda w: w.isin(known)), mostly_other))
 
 
 def is_relevant(title: Column, abstract_words: Column | None = None) -> Column:

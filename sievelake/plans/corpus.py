@@ -15,6 +15,7 @@ from ..operators import spans as N
 from .registry import Tables, query
 
 NAMED = [("mit", r"(?i)MIT License"), ("apache-2.0", r"(?i)Apache License"), ("gpl", r"(?i)GNU General Public"), *L.PATTERNS]
+NAMED_HINTS = ["mit license", "apache license", "gnu general", *L.HINTS]
 DETECT_SQL = "CASE WHEN regexp_matches(text, '(?i)MIT License') THEN 'mit' WHEN regexp_matches(text, '(?i)Apache License') THEN 'apache-2.0' WHEN regexp_matches(text, '(?i)GNU General Public') THEN 'gpl' WHEN regexp_matches(text, '(?i)creativecommons.org/publicdomain/zero|cc0[\\s-]1.0') THEN 'cc0' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by-nc-nd|cc[\\s-]by[\\s-]nc[\\s-]nd') THEN 'cc-by-nc-nd' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by-nc-sa|cc[\\s-]by[\\s-]nc[\\s-]sa') THEN 'cc-by-nc-sa' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by-nc[^-\\w]|cc[\\s-]by[\\s-]nc') THEN 'cc-by-nc' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by-nd|cc[\\s-]by[\\s-]nd') THEN 'cc-by-nd' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by-sa|cc[\\s-]by[\\s-]sa') THEN 'cc-by-sa' WHEN regexp_matches(text, '(?i)creativecommons.org/licenses/by/|cc[\\s-]by[^\\s-]') THEN 'cc-by' END"
 PRIORITY = ["cc-by", "cc-by-nc", "cc0", "http://creativecommons.org/licenses/by-sa/4.0/", "publisher"]
 LICENSE_SQL = "CASE left(o_orderpriority, 1) WHEN '1' THEN 'cc-by' WHEN '2' THEN 'cc-by-nc' WHEN '3' THEN 'cc0' WHEN '4' THEN 'http://creativecommons.org/licenses/by-sa/4.0/' ELSE 'publisher' END"
@@ -32,12 +33,12 @@ PAPERS_SQL = f"papers AS (SELECT o_custkey AS paper, list_sort(list_distinct(coa
 
 @query(f"SELECT doc_id, {DETECT_SQL} AS license FROM documents")
 def p6_detect_license(t):
-    return t.documents.select("doc_id", L.detect_license(T.strip_comments(F.col("text")), NAMED).alias("license"))
+    return t.documents.select("doc_id", L.detect_in_source(F.col("text"), NAMED, NAMED_HINTS).alias("license"))
 
 
 @query(f"WITH d AS (SELECT source, {DETECT_SQL} AS x FROM documents) SELECT source, string_agg(DISTINCT x, ',' ORDER BY x) AS licenses FROM d GROUP BY source")
 def p7_scan_licenses(t):
-    found = t.documents.select("source", L.detect_license(T.strip_comments(F.col("text")), NAMED).alias("x"))
+    found = t.documents.select("source", L.detect_in_source(F.col("text"), NAMED, NAMED_HINTS).alias("x"))
     lists = found.groupBy("source").agg(F.array_sort(F.collect_set("x")).alias("x"))
     return lists.select("source", F.when(F.size("x") > 0, F.array_join("x", ",")).alias("licenses"))
 
