@@ -103,11 +103,38 @@ def test_jaccard(spark, width, percent):
     got = jaccard.similarity_components(frame(spark, rows), width=width, percent=percent).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == want
     kept = jaccard.keep_one_each(frame(spark, rows), width=width, percent=percent)
-    assert kept.columns == frame(spark, []).columns and kept.where("doc_id = 0").count() == 1
-
-
-def test_jaccard_bridge_of_two_families(spark, monkeypatch):
+    stay = {}
+    for i, (d, t) in enumerate(rows):
+        if sets[i]:
+            x = (d is None, d or 0)
+            stay.setdefault(top(i), set()).add((x, t))
+    least = {c: min(x for x, _ in members) for c, members in stay.items()}
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert kept.columns == frame(spark, []).columns and len(found) == len(least) + sum(not s for s in sets)
+    for d, t in found:
+        c = next(top(i) for i, r in enumerate(rows) if r == (d, t))
+        assert not shingles(t) or (d is None, d or 0) == least[c]
+
+
+def test_jaccard_of_repeated_and_missing_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = lambda t: t.rsplit(" ", 1)[0] + " end"
+    get = lambda rows: jaccard.similarity_components(frame(spark, rows), width=3, percent=80).collect()
+    keep = lambda rows: sorted((str(r["doc_id"]), r["text"]) for r in jaccard.keep_one_each(frame(spark, rows), width=3, percent=80).collect())
+    assert keep([(1, a), (5, a), (5, b)]) == [("1", a), ("5", b)]
+    assert len(keep([(1, a), (1, a), (1, b), (1, b), (2, ""), (2, "")])) == 4
+    found = get([(1, a), (1, b), (2, near(a)), (3, b)])
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 1), (3, 1)}
+    found = get([(1, a), (None, near(a)), (None, c), (4, near(b)), (None, b)])
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in found) == [("1", "1"), ("4", "4"), ("None", "1"), ("None", "4"), ("None", "None")]
+    assert keep([(4, near(b)), (None, b), (None, c), (None, c)]) == [("4", near(b)), ("None", c)]
+
+
+@pytest.mark.parametrize("list_rows, salt_rows", [(2048, 1 << 20), (7, 1 << 20), (7, 3)])
+def test_jaccard_bridge_of_two_families(spark, monkeypatch, list_rows, salt_rows):
     monkeypatch.setattr(jaccard, "LIST_BYTES", 1)  # about a range for each list, as at large sizes
+    monkeypatch.setattr(jaccard, "LIST_ROWS", list_rows)  # lists in blocks
+    monkeypatch.setattr(jaccard, "SALT_ROWS", salt_rows)
     r = random.Random(0)
     whole = [f"b{i}" for i in range(100)]
     families = [[set(whole) - set(r.sample(whole[at : at + 26], lack)) for _ in range(60)] for at, lack in ((0, 19), (26, 14))]
@@ -126,6 +153,8 @@ def test_jaccard_bridge_of_two_families(spark, monkeypatch):
     assert set(least(sets)) == {0} and set(least(sets[:-1])) == {0, 60}  # only the whole one links the families
     rows = [(i, " ".join(sorted(x))) for i, x in enumerate(sets)]
     assert {r["component_id"] for r in jaccard.similarity_components(frame(spark, rows), width=1, percent=80).collect()} == {0}
+    apart = jaccard.similarity_components(frame(spark, rows[:-1]), width=1, percent=80).collect()
+    assert all(r["component_id"] == (0 if r["doc_id"] < 60 else 60) for r in apart)
 
 
 def test_jaccard_empty(spark):
