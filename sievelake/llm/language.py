@@ -8,6 +8,7 @@ product: presence matrix times (landmark sets times dual weights).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,21 +24,24 @@ _FOLD: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
-    """Code point -> itself for a letter of the basic plane, else a space (built once per worker)."""
+    """Code point -> itself for a letter (Unicode categories L*, all planes), else a space (built once per worker)."""
     if not _FOLD:
-        _FOLD.append(np.array([c if chr(c).isalpha() else 32 for c in range(65536)], np.uint32))
+        _FOLD.append(np.array([c if chr(c).isalpha() else 32 for c in range(sys.maxunicode + 1)], np.uint32))
     return _FOLD[0]
 
 
 def _code_points(text: str) -> np.ndarray:
     """Lower-case letters between single spaces; empty if there is no letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(points < 65536, _letters()[np.minimum(points, 65535)], points)
+    points = _letters()[points]
     space = points == 32
     keep = ~space
     keep[1:] |= ~space[:-1]  # of several spaces the first stays
     points = points[keep]
-    return np.concatenate(([32], points, [32])).astype(np.uint32) if (points != 32).any() else points[:0]
+    if not (points != 32).any():
+        return points[:0]
+    points = points[int(points[0] == 32) : len(points) - int(points[-1] == 32)]
+    return np.concatenate(([32], points, [32])).astype(np.uint32)
 
 
 def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +115,7 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
 def classify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """All rows and columns of ``df`` with lang_pred and score (0 to 1); whole texts are read.
 
-    Null text, text without a letter, and any text under a model without languages get ``und`` and score 0; input
+    Of languages with equal scores the first by name counts. Null text, text without a letter, and any text under a model without languages get ``und`` and score 0; input
     columns named lang_pred or score are replaced; an empty table gives no rows.
     """
     held = df.sparkSession.sparkContext.broadcast(model)  # n-grams x languages
