@@ -70,11 +70,17 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+def whole_words(text: str, start: int, stop: int) -> bool:
+    """Whether no word is cut at either end of a stretch."""
+    return not (start > 0 and text[start - 1].isalnum() and text[start].isalnum()) and not (stop < len(text) and text[stop].isalnum() and text[stop - 1].isalnum())
+
+
 class Matcher:
     """The pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float):
-        self.items = [(i, t, cuts_of(len(t), int(len(t) * share))) for i, t in items]
+    def __init__(self, items: list[tuple[int, str]], share: float, exact_below: int):
+        self.exact_below = exact_below
+        self.items = [(i, t, cuts_of(len(t), int(len(t) * share) if len(t) >= exact_below else 0)) for i, t in items]
         self.automaton = ahocorasick.Automaton()
         found: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, cuts) in enumerate(self.items):
@@ -106,6 +112,8 @@ class Matcher:
         best: dict[int, tuple[int, int]] = {}
         for stop, (length, where) in self.automaton.iter(text):
             for number, i in where:
+                if len(self.items[number][1]) < self.exact_below and not whole_words(text, stop + 1 - length, stop + 1):
+                    continue
                 if best.get(number, (1,))[0] and (got := self._verify(text, stop + 1 - length, number, i)):
                     best[number] = min(best.get(number, got), got)
         return [(self.items[number][0], *got) for number, got in best.items()]
@@ -124,32 +132,33 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def _items(benchmark: DataFrame, least_chars: int, item: str, item_text: str) -> DataFrame:
+def _items(benchmark: DataFrame, item: str, item_text: str) -> DataFrame:
     plain = F.trim(F.regexp_replace(F.lower(F.col(item_text)), r"(?U)\s+", " "))
-    return benchmark.select(F.col(item).cast("long").alias("item_id"), plain.alias("text")).where(F.char_length("text") >= least_chars).orderBy("item_id", "text")
+    return benchmark.select(F.col(item).cast("long").alias("item_id"), plain.alias("text")).where("text != ''").orderBy("item_id", "text")
 
 
-def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars: int = 30, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, exact_below: int = 30, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, distance, end_pos) of every item that a document's whole text holds with at most share * length edits.
 
     Both texts are compared in lower case with single spaces; ``end_pos`` is the end of the first best stretch there.
-    Items below ``least_chars`` characters are too common to name a leak and are not searched. Each block of items is
-    one pass over the documents.
+    Items below ``exact_below`` characters have no budget and must stand between word borders, since a few edits make
+    other words of them. Each block of items is one pass over the documents.
 
-    Null and empty texts match nothing, and a null id is kept; an item that is given twice is found under each id;
+    Null and empty texts match nothing, nor do null and empty items, and a null id is kept; of equally good stretches the
+    first found counts; an item that is given twice is found under each id;
     repeated documents give repeated rows; without items or documents there are no rows; other columns are not read.
     """
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
     schema = "doc_id long, item_id long, distance long, end_pos long"
     out = None
-    for block in _blocks(_items(benchmark, least_chars, item, item_text)):
+    for block in _blocks(_items(benchmark, item, item_text)):
         held = spark.sparkContext.broadcast(block)  # at most BLOCK_CHARS and one item
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             matcher = None
             for batch in batches:
-                matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share)
+                matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share, exact_below)
                 rows = [(d, *hit) for d, t in zip(batch["doc_id"], batch["text"], strict=True) for hit in matcher.match(normal(t))]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "end_pos"]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
@@ -158,24 +167,24 @@ def matches(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def _leaks(held, share: float):
+def _leaks(held, share: float, exact_below: int):
     """Whether a text holds an item of the block, as a column function."""
 
     @F.pandas_udf("boolean")
     def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = None
         for batch in batches:
-            matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share)
+            matcher = matcher or Matcher([(i, normal(t)) for i, t in held.value], share, exact_below)
             yield pd.Series([bool(matcher.match(normal(t))) for t in batch])
 
     return leaks
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, share: float = 0.1, least_chars: int = 30, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def decontaminate(df: DataFrame, benchmark: DataFrame, share: float = 0.1, exact_below: int = 30, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``df``, with all columns, whose text holds no item; decided row by row, so nothing is shuffled.
 
     Rows with null or empty text stay.
     """
-    for block in _blocks(_items(benchmark, least_chars, item, item_text)):
-        df = df.where(~_leaks(df.sparkSession.sparkContext.broadcast(block), share)(F.col(text)))
+    for block in _blocks(_items(benchmark, item, item_text)):
+        df = df.where(~_leaks(df.sparkSession.sparkContext.broadcast(block), share, exact_below)(F.col(text)))
     return df
