@@ -20,9 +20,9 @@ def text_size(df: DataFrame, text: str = "text") -> tuple[int, int]:
     return int(row["b"]), int(row["n"])
 
 
-def parts_for(total: int, each: int, least: int = 4, most: int = 1 << 20) -> int:
+def parts_for(total: int, each: int, least: int = 4) -> int:
     """Power of two of pieces of about ``each`` bytes; it grows with the data."""
-    return 1 << max(least.bit_length() - 1, min(most.bit_length() - 1, max(0, (max(total, 1) // each)).bit_length()))
+    return 1 << max(least.bit_length() - 1, (max(total, 1) // each).bit_length())
 
 
 def binary_column(column: pa.ChunkedArray | pa.Array) -> pa.Array:

@@ -37,7 +37,7 @@ SHORT = 0xA0761D6478BD642F
 S0, S1 = 0x589965CC75374CC3, 0x1D8E4E27C47D124F
 SLICE_BYTES = 2 << 20
 LIST_BYTES = 1 << 20
-LIST_ROWS = 2048  # a longer list is cut into blocks
+LIST_ROWS = 512  # a longer list is cut into blocks
 SALT_ROWS = 1 << 20  # a list that may be longer is not brought together at all
 CELLS = 512
 INDEX_BYTES = 4 << 20

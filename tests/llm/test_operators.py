@@ -234,13 +234,46 @@ def test_language(spark, small):
     model = language.fit(docs.where(~language.held_out()))
     found = language.classify(docs.where(language.held_out()), model).toPandas()
     assert (found.lang == found.lang_pred).mean() > 0.97 and found.score.between(0, 1).all()
-    odd = language.classify(frame(spark, [(1, None), (2, "12 %% 3"), (None, ""), (3, LONG + " the and of")]), model).collect()
-    assert [r["lang_pred"] for r in odd][:3] == ["und"] * 3 and odd[3]["lang_pred"] in model["labels"] and odd[0]["score"] == 0
+    odd = language.classify(frame(spark, [(1, None), (2, "12 %% 3"), (None, ""), (4, "\U0001f600 \U0001f600 \U0001d7d8"), (3, LONG + " the and of"), (5, "\U00010400\U00010401")]), model).collect()
+    assert [r["lang_pred"] for r in odd][:4] == ["und"] * 4 and odd[4]["lang_pred"] in model["labels"] and odd[0]["score"] == 0
+    assert odd[5]["lang_pred"] in model["labels"]  # letters beyond the basic plane are letters
     empty = language.fit(docs.where("false"))
     assert {r["lang_pred"] for r in language.classify(docs.limit(3), empty).collect()} == {"und"}
     assert language.classify(docs.where("false"), model).count() == 0
 
 
+def test_language_is_kernel_ridge_regression(spark):
+    """With every row as a landmark the model is exact kernel ridge regression; here by its own normal equations."""
+    r = random.Random(2)
+    vocabulary = {"aa": ["haus", "und", "über", "weg", "dem"], "bb": ["casa", "y", "señor", "de", "la"], "cc": ["house", "and", "over", "way", "of"]}
+    rows = [(i, " ".join(r.choice(v) + r.choice(["", ",", " 7"]) for _ in range(r.randint(2, 9))), k) for i, (k, v) in enumerate(sorted(vocabulary.items()) * 14)]
+
+    def grams(text):
+        folded = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        return {folded[i : i + n] for n in (1, 2, 3, 4) for i in range(len(folded) - n + 1)}
+
+    sets = [grams(t) for _, t, _ in rows]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, fit_rows=10**6, landmarks=10**6)
+    queries = ["casa de la and", "über den weg", "of house", "weg casa and"]
+    found = language.classify(spark.createDataFrame([(i, q) for i, q in enumerate(queries)], "doc_id long, text string"), model).orderBy("doc_id").collect()
+    every, ridge = np.ones(len(rows)), 0.05 / len(rows)
+    best = {}
+    for label in vocabulary:
+        y = np.array([1.0 if k == label else -1.0 for _, _, k in rows])
+        w = np.array([1 / (y == v).sum() for v in y])
+        w /= w.sum()
+        left = np.block([[np.diag(w) @ kernel + ridge * np.eye(len(rows)), w[:, None]], [(w @ kernel)[None], np.array([[w.sum() + ridge]])]])
+        solved = np.linalg.solve(left, np.append(w * y, w @ y))
+        for q in queries:
+            near = np.array([len(grams(q) & s) / np.sqrt(len(grams(q)) * len(s)) for s in sets])
+            best.setdefault(q, {})[label] = near @ solved[:-1] + solved[-1]
+    for row, q in zip(found, queries):
+        assert row["lang_pred"] == max(best[q], key=best[q].get)
+        assert abs(row["score"] - np.clip((max(best[q].values()) + 1) / 2, 0, 1)) < 0.01  # n-grams are hashed to 2^16 cells
+
+
 def test_fingerprints(spark):
     rows = [(1, "Straße  A B"), (2, "STRASSE a b "), (3, "ét"), (4, "ét"), (5, None), (6, ""), (7, LONG), (9, "ab"), (9, "cd"), (None, "x")]
     canon = lambda s: re.sub(r"\s+", " ", unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", s or "").casefold())).strip()
@@ -328,6 +361,13 @@ def test_decontamination(spark):
     assert decontaminate.matches(frame(spark, docs), bench.where("false")).count() == 0 and decontaminate.matches(frame(spark, []), bench).count() == 0
 
 
+def test_short_items_are_whole_words(spark):
+    bench = spark.createDataFrame([(1, "Why not?"), (2, "cat"), (3, "x" * 29), (4, None), (5, " \n"), (6, "x" * 30)], "item_id long, text string")
+    docs = [(1, "so why  NOT? because"), (2, "whynot? concatenate cats"), (3, "a Cat."), (4, "y" + "x" * 29), (5, "cat why not?x"), (6, "x" * 28), (7, "why not"), (8, "x" * 15 + "-" + "x" * 15)]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(frame(spark, docs), bench).collect()}
+    assert found == {(1, 1), (3, 2), (5, 2), (5, 1), (4, 6), (6, 6), (8, 6)}
+
+
 def test_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 50)
     items = [(i, f"item number {i} " + "abc def ghi " * 4) for i in range(4)]
