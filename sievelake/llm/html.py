@@ -18,9 +18,11 @@ Pairing works on URLs alone and alignment on 64-bit line hashes. A page is parse
 from __future__ import annotations
 
 import html as entities
+import os
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -206,12 +208,10 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(padded, r"(?<!\d)0*(\d{12})(?!\d)", "$1")
 
 
-def nearness(a: Column, b: Column) -> Column:
-    """How many leading characters two paths share: their depth in the tree of the host's paths."""
-    size = F.least(F.char_length(a), F.char_length(b))
-    differs = F.transform(F.sequence(F.lit(1), size + 1), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
-    first = F.array_position(differs, True)
-    return F.when(first > 0, first - 1).otherwise(size)
+@F.pandas_udf("int")
+def nearness(a: pd.Series, b: pd.Series) -> pd.Series:
+    """How many leading characters two paths share: their depth in the tree of the host's paths; -1 where one is missing."""
+    return pd.Series([-1 if x is None or y is None else len(os.path.commonprefix((x, y))) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
 def neighbours(lines: DataFrame) -> DataFrame:
@@ -246,9 +246,9 @@ def neighbours(lines: DataFrame) -> DataFrame:
     ends = ends.select("part", F.last("left", True).over(beside.rowsBetween(Window.unboundedPreceding, -1)).alias("left"), F.first("right", True).over(beside.rowsBetween(1, Window.unboundedFollowing)).alias("right"))
     near = near.withColumns({"_b": F.last(first, True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first(after, True).over(within.rowsBetween(1, Window.unboundedFollowing))})
     near = near.join(F.broadcast(ends), "part").withColumns({"before": F.coalesce("_b", "left")["x"], "after": F.coalesce("_a", "right")["x"]})
-    shares = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), nearness(F.col("path"), F.col(f"{c}.path")))
+    shares = lambda c: nearness(F.col("path"), F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.path")))
     near = near.withColumns({"n0": shares("before"), "n1": shares("after")})
-    partner = F.when(F.col("n0").isNotNull() & (F.col("n1").isNull() | (F.col("n0") >= F.col("n1"))), F.col("before.page")).when(F.col("n1").isNotNull(), F.col("after.page"))
+    partner = F.when(F.greatest("n0", "n1") >= 0, F.when(F.col("n0") >= F.col("n1"), F.col("before.page")).otherwise(F.col("after.page")))
     return near.select("page", partner.alias("partner")).where("partner is not null")
 
 
