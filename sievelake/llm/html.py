@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from .common import materialize
 
@@ -208,7 +209,7 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(padded, r"(?<!\d)0*(\d{12})(?!\d)", "$1")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def nearness(a: pd.Series, b: pd.Series) -> pd.Series:
     """How many leading characters two paths share: their depth in the tree of the host's paths; -1 where one is missing."""
     return pd.Series([-1 if x is None or y is None else len(os.path.commonprefix((x, y))) for x, y in zip(a, b, strict=True)], dtype="int32")
