@@ -233,7 +233,7 @@ def neighbours(lines: DataFrame) -> DataFrame:
     ends = rows.groupBy("part").agg(F.max(F.struct(*order)).alias("high"))
     beside = Window.orderBy("part")  # one row per range
     ends = ends.select("part", F.lag("high").over(beside).alias("left"))
-    within = Window.partitionBy("part").orderBy(*order)
+    within, back = Window.partitionBy("part").orderBy(*order), Window.partitionBy("part").orderBy(*(F.desc(c) for c in order))
     own = F.struct("host", "path", "page")
     near = rows.withColumn("before", F.lag(own).over(within)).join(F.broadcast(ends.select("part", "left")), "part").withColumn("before", F.coalesce("before", "left")).drop("left")
     texts = lines.select("page", "lines")
@@ -244,8 +244,8 @@ def neighbours(lines: DataFrame) -> DataFrame:
     after = F.when(F.col("starts"), F.struct(own.alias("x")))
     ends = near.where("starts").groupBy("part").agg(F.max_by(F.struct(F.col("before").alias("x")), own).alias("left"), F.min_by(F.struct(own.alias("x")), own).alias("right"))
     ends = near.select("part").distinct().join(ends, "part", "left")
-    ends = ends.select("part", F.last("left", True).over(beside.rowsBetween(Window.unboundedPreceding, -1)).alias("left"), F.first("right", True).over(beside.rowsBetween(1, Window.unboundedFollowing)).alias("right"))
-    near = near.withColumns({"_b": F.last(first, True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first(after, True).over(within.rowsBetween(1, Window.unboundedFollowing))})
+    ends = ends.select("part", F.last("left", True).over(beside.rowsBetween(Window.unboundedPreceding, -1)).alias("left"), F.last("right", True).over(Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)).alias("right"))
+    near = near.withColumns({"_b": F.last(first, True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.last(after, True).over(back.rowsBetween(Window.unboundedPreceding, -1))})  # a frame to the end would be read anew for every row
     near = near.join(F.broadcast(ends), "part").withColumns({"before": F.coalesce("_b", "left")["x"], "after": F.coalesce("_a", "right")["x"]})
     shares = lambda c: nearness(F.col("path"), F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.path")))
     near = near.withColumns({"n0": shares("before"), "n1": shares("after")})
