@@ -44,6 +44,18 @@ def pair_rows(df: DataFrame, id: str, arrays: list[str]) -> DataFrame:
     )
 
 
+def numbered_pairs(df: DataFrame, id: str, order: str) -> DataFrame:
+    """Rows of a record as its pairs, with id ``<record>:D<n>`` in the given order; no record is collected."""
+    numbered = number_rows(df, [id], [order], "_n")
+    return numbered.withColumn(id, F.concat(F.col(id).cast("string"), F.lit(":D"), F.col("_n").cast("string"))).drop("_n")
+
+
+def attach_rows_by_position(rows: DataFrame, answers: DataFrame, group: str, order: str, answer_order: str, judgment: str) -> DataFrame:
+    """As ``attach_by_position``, with a group's judgments as rows in an order of their own: no group is collected."""
+    numbered, given = number_rows(rows, [group], [order], "_n"), number_rows(answers.select(group, answer_order, judgment), [group], [answer_order], "_n")
+    return numbered.join(given.select(group, "_n", judgment), [group, "_n"], "left").drop("_n")
+
+
 def augmented_pairs(df: DataFrame, id: str, text: str, rewritten: str) -> DataFrame:
     """A row ``<id>:A<n>`` per rewriting; one equal to the original or to an earlier one is left out but keeps its number."""
     each = df.select(F.col(id).alias("augmented_from"), F.col(text).alias("original"), F.posexplode(rewritten).alias("_n", "text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -87,3 +87,44 @@ def totals(df: DataFrame, group: list[str], counted: str) -> DataFrame:
     """Rows and distinct ``counted`` per combination of the group columns and in total."""
     sets = df.groupingSets([[*(F.col(g) for g in group)], []], *(F.col(g) for g in group)).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(counted).alias("n_distinct"), F.grouping_id().alias("_g"))
     return sets.select(*(F.when(F.col("_g") > 0, "all").otherwise(F.col(g).cast("string")).alias(g) for g in group), "n", "n_distinct")
+
+
+def benchmark_summary(scores: DataFrame, config: list[str], run: str, entry: str, right: str, seconds: str, cost: str) -> DataFrame:
+    """Per configuration over its runs: right entries (mean, least, most), median seconds, cost, and unstable entries.
+
+    ``scores``: one row per (config, run, entry). An entry is unstable if it is right in one run and wrong in another.
+    """
+    runs = scores.groupBy(*config, run).agg(F.count_if(right).alias("_n"), F.percentile(seconds, 0.5).alias("_s"), F.sum(cost).alias("_c"))
+    table = runs.groupBy(*config).agg(F.count(F.lit(1)).alias("runs"), F.avg("_n").alias("mean_right"), F.min("_n").alias("least"), F.max("_n").alias("most"), F.avg("_s").alias(seconds), F.avg("_c").alias(cost))
+    unstable = scores.groupBy(*config, entry).agg(F.min(right).alias("_a"), F.max(right).alias("_b")).groupBy(*config).agg(F.count_if(F.col("_a") != F.col("_b")).alias("unstable"))
+    return table.join(unstable, config)
+
+
+def entries_to_review(answers: DataFrame, entry: str, config: str, answer: str, wrong: str, top: int = 4) -> DataFrame:
+    """Entries that at least half of the configurations get wrong mostly, with their most common wrong answers."""
+    each = answers.groupBy(entry, config).agg(F.avg(F.col(wrong).cast("double")).alias("_w"))
+    found = each.groupBy(entry).agg(F.count(F.lit(1)).alias("configs"), F.count_if(F.col("_w") > 0.5).alias("mostly_wrong")).where("mostly_wrong * 2 >= configs")
+    counts = answers.where(wrong).groupBy(entry, answer).agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.withColumn("_r", F.row_number().over(Window.partitionBy(entry).orderBy(F.desc("n"), answer))).where(F.col("_r") <= top)
+    common = ranked.groupBy(entry).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", answer, "n"))), lambda x: F.concat_ws(" ", x[answer], x["n"].cast("string"))), ",").alias("answers"))
+    return found.join(common, entry)
+
+
+def formula_counts(operators: DataFrame, paper: str) -> DataFrame:
+    """Per paper the concrete and symbolic operators of its document's files, and the formulas they form.
+
+    ``operators`` as from ``scan_papers``. A formula is a unit with an operator, concrete if any of its operators is.
+    """
+    own = operators.where("in_document")
+    concrete = F.col("kind") == "concrete"
+    units = own.groupBy(paper, "path", "unit_start", "unit_end").agg(F.count_if(concrete).alias("_c"), F.count_if(~concrete).alias("_s"))
+    return units.groupBy(paper).agg(F.sum("_c").alias("concrete"), F.sum("_s").alias("symbolic"), F.count_if(F.col("_c") > 0).alias("formulas_concrete"), F.count_if(F.col("_c") == 0).alias("formulas_symbolic"))
+
+
+def paraphrase_stats(rows: DataFrame, group: str, original: str, formula: str, kept: str, missing: str, difference: str) -> DataFrame:
+    """Per set: originals, formulas, paraphrases kept and dropped, kept ones that miss a symbol, mean word difference of those kept."""
+    k = F.col(kept)
+    return rows.groupBy(group).agg(
+        F.count_distinct(F.when(k, F.col(original))).alias("originals"), F.count_distinct(F.when(k, F.col(formula))).alias("formulas"), F.count_if(k).alias("kept"), F.count_if(~k).alias("dropped"),
+        F.count_if(k & F.col(missing)).alias("missing_symbol"), F.avg(F.when(k, F.col(difference))).alias("word_difference"),
+    )

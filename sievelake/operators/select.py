@@ -86,8 +86,21 @@ def diverse_examples(df: DataFrame, rule: str, kind: str, source: str, pos: str,
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "number") -> DataFrame:
-    """Rows numbered from 1 within a group."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))
+    """Rows numbered from 1 within a group, whatever its size: a group is cut into ranges of its order.
+
+    Ranges are numbered by their own rows and by how many rows of the group the ranges before hold. Ties of ``order`` are
+    numbered in any order, so it should end in a unique key.
+    """
+    ranged = materialize(df.repartitionByRange(*group, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)), "_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*(f"_g{i}" for i in range(len(group)))).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("_before", F.coalesce(before, F.lit(0))).where("_before > 0").withColumnRenamed("_p", "_q")  # a group within one range has none before
+    rank = F.row_number().over(Window.partitionBy(*group, "_p").orderBy(*order))
+    same = F.col("_p") == F.col("_q")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    placed = ranged.withColumn("_rank", rank).join(counts, same, "left")
+    return placed.withColumn(name, (F.col("_rank") + F.coalesce("_before", F.lit(0))).cast("long")).select(*df.columns, name)
 
 
 def number_all(df: DataFrame, order: str, name: str = "number") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .select import number_rows
+
 
 def point_in_interval(points: DataFrame, spans: DataFrame, keys: list[str], pos: str, start: str, end: str, width: int = 1024) -> DataFrame:
     """Each point with the span of its file that holds it (start <= pos < end), null where none does.
@@ -69,10 +71,10 @@ def nearest(entries: DataFrame, occurrences: DataFrame, keys: list[str], id: str
 
 def quantile_at(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Per group the value at index int(q * (n - 1)) of the sorted values, by rank: no group is collected."""
-    w = Window.partitionBy(*group).orderBy(value)
-    ranked = df.where(F.col(value).isNotNull()).withColumns({"_i": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy(*group))})
-    picks = [F.max(F.when(F.col("_i") == F.floor(F.lit(q) * (F.col("_n") - 1)), F.col(value))).alias(name) for name, q in quantiles.items()]
-    return ranked.groupBy(*group).agg(*picks)
+    ranked = number_rows(df.where(F.col(value).isNotNull()), group, [value], "_i")
+    sizes = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
+    picks = [F.max(F.when(F.col("_i") - 1 == F.floor(F.lit(q) * (F.col("_n") - 1)), F.col(value))).alias(name) for name, q in quantiles.items()]
+    return ranked.join(sizes, group).groupBy(*group).agg(*picks)
 
 
 def line_formulas(operators: DataFrame, keys: list[str], kind: str) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import licensing as L
+from ..functions import scan as X
 from ..functions import text as T
 from ..operators import graph as G
 from ..operators import records as R
 from ..operators import report as P
 from ..operators import select as S
 from ..operators import spans as N
+from ..operators import votes as V
 from .registry import Tables, query
 
 NAMED = [("mit", r"(?i)MIT License"), ("apache-2.0", r"(?i)Apache License"), ("gpl", r"(?i)GNU General Public"), *L.PATTERNS]
@@ -21,6 +22,8 @@ PRIORITY = ["cc-by", "cc-by-nc", "cc0", "http://creativecommons.org/licenses/by-
 LICENSE_SQL = "CASE left(o_orderpriority, 1) WHEN '1' THEN 'cc-by' WHEN '2' THEN 'cc-by-nc' WHEN '3' THEN 'cc0' WHEN '4' THEN 'http://creativecommons.org/licenses/by-sa/4.0/' ELSE 'publisher' END"
 TIER_SQL = "CASE WHEN len({0}) = 0 THEN 'unspecified' WHEN list_has_any({0}, ['cc0', 'cc-by', 'cc-by-sa', 'cc-by-4.0', 'public-domain']) AND len(list_filter({0}, lambda x: contains(x, 'nc') OR contains(x, 'nd'))) = 0 THEN 'permissive_cc' WHEN len(list_filter({0}, lambda x: starts_with(x, 'cc-'))) > 0 THEN 'restricted_cc' ELSE 'custom_or_arxiv' END"
 
+TURNS_SQL = "turns AS (SELECT u.conv_id, u.turn, u.text AS a, v.text AS b FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1)"
+
 
 def papers(t: Tables):
     """Orders of a customer as the licences of a paper."""
@@ -105,8 +108,8 @@ def p14_exclusion_reason(t):
 
 @query("SELECT user_id || ':D' || row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS id, event_type AS label, event_id AS seq FROM events WHERE event_type != 'error'")
 def p15_pair_rows(t):
-    e = t.events.where("event_type != 'error'").groupBy(F.col("user_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))).alias("x"))
-    return R.pair_rows(e.select("id", F.col("x.event_type").alias("label"), F.col("x.event_id").alias("seq")), "id", ["label", "seq"])
+    e = t.events.where("event_type != 'error'").select(F.col("user_id").alias("id"), F.col("event_type").alias("label"), F.col("event_id").alias("seq"))
+    return R.numbered_pairs(e, "id", "seq")
 
 
 @query("""WITH c AS (SELECT conv_id, turn, text, first_value(text) OVER w AS original, row_number() OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
@@ -143,12 +146,12 @@ def p2_is_relevant(t):
     return t.documents.select("doc_id", T.is_relevant(F.col("text")).alias("relevant"))
 
 
-LOOKUPS_SQL = "look AS (SELECT o_custkey AS paper, 's' || (o_orderkey % 3) AS service, max(CASE WHEN o_orderstatus = 'P' THEN 'no_answer' WHEN o_orderstatus = 'F' THEN 'found' ELSE 'not_found' END) AS status FROM orders WHERE o_orderkey % 5 < 2 GROUP BY ALL)"
+LOOKUPS_SQL = "look AS (SELECT o_custkey AS paper, 's' || (o_orderkey % 3) AS service, max(CASE WHEN o_orderstatus = 'P' THEN 'no_answer' WHEN o_orderstatus = 'F' THEN 'found' ELSE 'not_found' END) AS status FROM orders GROUP BY ALL)"
 
 
 def lookups(t: Tables):
     status = F.when(F.col("o_orderstatus") == "P", "no_answer").when(F.col("o_orderstatus") == "F", "found").otherwise("not_found")
-    return t.orders.where("o_orderkey % 5 < 2").groupBy(F.col("o_custkey").alias("paper"), F.concat(F.lit("s"), (F.col("o_orderkey") % 3).cast("string")).alias("service")).agg(F.max(status).alias("status"))
+    return t.orders.groupBy(F.col("o_custkey").alias("paper"), F.concat(F.lit("s"), (F.col("o_orderkey") % 3).cast("string")).alias("service")).agg(F.max(status).alias("status"))
 
 
 def lookup_maps(t: Tables):
@@ -296,24 +299,28 @@ def a39_outcome_summary(t):
 
 
 FORMULA = "concat('G[0,', get_json_object(props, '$.k'), '] (', event_type, ' > ', cast(cast(value as int) as string), ' -> F[1,', if(event_id % 2 = 0, 'inf', 'T'), '] (x', cast(user_id % 3 as string), ' < ', event_type, '))')"
-TEMPLATE_SQL = "CASE WHEN event_id % 2 = 0 THEN 'G[#,#] (a > # -> F[#,inf] (b < a))' ELSE 'G[#,#] (a > # -> F[#,#] (b < a))' END"
+FORMULA_SQL = "'G[0,' || (props->>'$.k') || '] (' || event_type || ' > ' || trunc(value)::INT || ' -> F[1,' || CASE WHEN event_id % 2 = 0 THEN 'inf' ELSE 'T' END || '] (x' || (user_id % 3) || ' < ' || event_type || '))'"
+#: Formulas with operators that depend on three columns.
+PATTERN = "concat(if(value > 50, '!', ''), 'G[0,', get_json_object(props, '$.k'), '] ', event_type, if(user_id % 2 = 0, ' <-> ', ' -> '), if(event_type < 'f', 'F[1,2] p && q', 'p || q'))"
+PATTERN_SQL = "CASE WHEN value > 50 THEN '!' ELSE '' END || 'G[0,' || (props->>'$.k') || '] ' || event_type || CASE WHEN user_id % 2 = 0 THEN ' <-> ' ELSE ' -> ' END || CASE WHEN event_type < 'f' THEN 'F[1,2] p && q' ELSE 'p || q' END"
+TOKENS_SQL = f"tokens AS (SELECT event_id, regexp_extract_all({PATTERN_SQL}, '<->|->|&&|\\|\\||!|[GFUR]') AS x FROM events)"
 
 
-@query(f"SELECT event_id, {TEMPLATE_SQL} AS template FROM events")
+@query(f"""WITH f AS (SELECT event_id, {FORMULA_SQL} AS f, event_type, 'x' || (user_id % 3) AS x FROM events)
+SELECT event_id, replace(replace(regexp_replace(regexp_replace(regexp_replace(f, '\\[[^,]*,(inf)\\]', '[#,\\1]', 'g'), '\\[[^,]*,(\\d+|T)\\]', '[#,#]', 'g'), ' [0-9]+', ' #', 'g'), event_type, 'a'), x, 'b') AS template FROM f""")
 def f6_template(t):
     return t.events.select("event_id", F.expr(FORMULA).alias("f")).select("event_id", T.template_of(F.col("f")).alias("template"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'G,->,F' ELSE '<->,F,&&' END AS operators FROM events")
+@query(f"WITH {TOKENS_SQL} SELECT event_id, array_to_string(x, ',') AS operators FROM tokens")
 def f7_pattern_tokens(t):
-    pattern = F.when(F.col("event_id") % 2 == 0, F.expr(FORMULA)).otherwise(F.concat(F.lit("(p <-> q) F[0,1] && "), F.col("event_type")))
-    return t.events.select("event_id", F.array_join(T.pattern_tokens(pattern), ",").alias("operators"))
+    return t.events.select("event_id", F.array_join(T.pattern_tokens(F.expr(PATTERN)), ",").alias("operators"))
 
 
-@query("SELECT op AS operator, round(share, 9) AS share FROM (SELECT avg((event_id % 2 = 0)::INT) AS e, avg((event_id % 2 = 1)::INT) AS o FROM events) CROSS JOIN LATERAL (VALUES ('G', e), ('F', 1.0), ('implies', e), ('iff', o), ('and', o)) v(op, share)")
+@query(f"WITH {TOKENS_SQL}, o(operator, op) AS (VALUES ('G', 'G'), ('F', 'F'), ('implies', '->'), ('iff', '<->'), ('and', '&&'), ('or', '||'), ('not', '!')) SELECT operator, round(avg(list_contains(x, op)::INT), 9) AS share FROM tokens, o GROUP BY operator")
 def a12_operator_share(t):
-    pattern = F.when(F.col("event_id") % 2 == 0, F.expr(FORMULA)).otherwise(F.concat(F.lit("(p <-> q) F[0,1] && "), F.col("event_type")))
-    shares = P.operator_share(t.events.withColumn("pattern", pattern), T.pattern_tokens(F.col("pattern")), {"G": "G", "F": "F", "implies": "->", "iff": "<->", "and": "&&"})
+    rows = t.events.select(F.expr(PATTERN).alias("pattern"))
+    shares = P.operator_share(rows, T.pattern_tokens(F.col("pattern")), {"G": "G", "F": "F", "implies": "->", "iff": "<->", "and": "&&", "or": "||", "not": "!"})
     return shares.select("operator", F.round("share", 9).alias("share"))
 
 
@@ -333,22 +340,27 @@ def f4_strip_comments(t):
     return t.documents.select("doc_id", F.char_length(T.strip_comments(F.col("text"))).cast("long").alias("n_kept"))
 
 
-@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'ids differ' WHEN 2 THEN 'no with a label' WHEN 3 THEN 'yes without a label' ELSE 'not the expected JSON' END AS problem FROM events")
+@query("""WITH j AS (SELECT event_id, (props->>'$.k')::INT % 2 AS k, value, CASE WHEN value > 30 THEN 'yes' WHEN value > 5 THEN 'no' ELSE event_type END AS describes, CASE event_type WHEN 'click' THEN 'correct' WHEN 'view' THEN 'ambiguous' WHEN 'signup' THEN 'wrong' WHEN 'error' THEN event_type END AS faithful FROM events)
+SELECT event_id, CASE WHEN value > 90 THEN 'not the expected JSON' WHEN k = 1 THEN 'ids differ' WHEN describes NOT IN ('yes', 'no') THEN 'unknown answer' WHEN describes = 'no' AND faithful IS NOT NULL THEN 'no with a label' WHEN describes = 'yes' AND coalesce(faithful, 'error') = 'error' THEN 'yes without a label' END AS problem FROM j""")
 def f12_validate_judgment(t):
-    good, bad = '{"id":"D1","describes":"yes","faithful":"correct"}', '{"id":"D1","describes":"no","faithful":"wrong"}'
-    body = lambda x: f'{{"judgments":[{x}]}}'
-    texts = ["```json\n" + body(good) + "\n```", body(good + "," + good.replace("D1", "D3")), body(bad), body('{"id":"D1","describes":"yes"}'), "no JSON at all"]
-    answer = F.get(F.array(*(F.lit(x) for x in texts)), (F.col("event_id") % 5).cast("int"))
-    return t.events.select("event_id", T.validate_judgment(answer, F.when(F.col("event_id") % 5 == 1, 2).otherwise(1)).alias("problem"))
+    """Answers written from the log's columns, some in a fence, some cut short."""
+    e, v = F.col("event_type"), F.col("value")
+    describes = F.when(v > 30, "yes").when(v > 5, "no").otherwise(e)
+    faithful = F.when(e == "click", "correct").when(e == "view", "ambiguous").when(e == "signup", "wrong").when(e == "error", e)
+    one = F.struct(F.concat(F.lit("D"), (F.get_json_object("props", "$.k").cast("int") % 2 + 1).cast("string")).alias("id"), describes.alias("describes"), faithful.alias("faithful"))
+    answer = F.to_json(F.struct(F.array(one).alias("judgments")))
+    answer = F.when(v > 90, F.substring(answer, 1, 20)).when(F.col("user_id") % 2 == 0, F.concat(F.lit("```json\n"), answer, F.lit("\n```"))).otherwise(answer)
+    return t.events.select("event_id", T.validate_judgment(answer, F.lit(1)).alias("problem"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type || '|b c' END AS texts FROM events")
+@query(f"WITH {TURNS_SQL}, n AS (SELECT conv_id, turn, trim(regexp_replace(a, '\\s+', ' ', 'g')) AS x, trim(regexp_replace(b, '\\s+', ' ', 'g')) AS y, length(a) % 3 AS k FROM turns) SELECT conv_id, turn, CASE WHEN k = 0 AND x != '' AND y != '' THEN x || '|' || y END AS texts FROM n")
 def f13_validate_paraphrases(t):
-    answer = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"paraphrases":["'), F.col("event_type"), F.lit('"," b  c "]}'))).when(F.col("event_id") % 3 == 1, '{"paraphrases":["a"]}').otherwise('{"paraphrases":["a",""]}')
-    return t.events.select("event_id", F.array_join(T.validate_paraphrases(answer, 2), "|").alias("texts"))
+    """Two turns as an answer with two texts; others with one text, or with an empty third one."""
+    k = F.char_length("a") % 3
+    texts = F.when(k == 0, F.array("a", "b")).when(k == 1, F.array("a")).otherwise(F.array("a", F.lit(" ")))
+    return turns(t).select("conv_id", "turn", F.array_join(T.validate_paraphrases(F.to_json(F.struct(texts.alias("paraphrases"))), 2), "|").alias("texts"))
 
 
-TURNS_SQL = "turns AS (SELECT u.conv_id, u.turn, u.text AS a, v.text AS b FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1)"
 
 
 def turns(t: Tables):
@@ -372,20 +384,23 @@ def f19_f23_clean_and_contains(t):
     return t.documents.select("doc_id", F.char_length(T.clean_text(noisy)).cast("long").alias("n"), T.contains_ignoring_spaces(F.col("text"), F.lit("of the")).alias("has"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 'concrete' WHEN l_linenumber % 3 = 1 THEN 'symbolic' END AS kind FROM lineitem")
+@query("""WITH b AS (SELECT event_id, props->>'$.k' AS lo, CASE WHEN event_type < 'f' THEN value::VARCHAR ELSE event_type END AS hi, CASE WHEN value > 50 THEN ')' ELSE ']' END AS closing, user_id % 2 = 0 AS named FROM events),
+n AS (SELECT event_id, regexp_full_match(CASE WHEN named THEN 't' || lo ELSE lo END, '\\d+(\\.\\d+)?') AS l, regexp_full_match(hi, '\\d+(\\.\\d+)?') AS h, closing FROM b)
+SELECT event_id, CASE WHEN l AND h THEN 'concrete' WHEN l OR h OR closing = ']' THEN 'symbolic' END AS kind FROM n""")
 def f20_classify_bounds(t):
-    n = F.col("l_linenumber") % 3
-    high = F.when(n == 0, F.col("l_quantity").cast("string")).otherwise("T")
-    low = F.when(n == 2, "a").otherwise("0")
-    return t.lineitem.select("l_orderkey", "l_linenumber", T.classify_bounds(low, high, F.when(n == 2, ")").otherwise("]")).alias("kind"))
+    k = F.get_json_object("props", "$.k")
+    low = F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("t"), k)).otherwise(k)
+    high = F.when(F.col("event_type") < "f", F.col("value").cast("string")).otherwise(F.col("event_type"))
+    return t.events.select("event_id", T.classify_bounds(low, high, F.when(F.col("value") > 50, ")").otherwise("]")).alias("kind"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE '0,' || (props->>'$.k') || ',900,901' END AS missing FROM events WHERE (props->>'$.k') != '0'")
+@query("""WITH n AS (SELECT event_id, (props->>'$.k') AS k, user_id::VARCHAR AS u, (event_id % 7)::VARCHAR AS m, trunc(value)::INT::VARCHAR AS v FROM events), g AS (SELECT *, [k, u] AS x, [m, v] AS y, [u, m] AS z FROM n)
+SELECT event_id, CASE WHEN list_has_all(z, x) OR list_has_all(z, y) THEN '' ELSE coalesce(array_to_string([p FOR p, i IN list_concat(x, y) IF NOT list_contains(z, p) AND NOT list_contains(list_concat(x, y)[1:i - 1], p)], ','), '') END AS missing FROM g""")
 def f11_missing_bounds(t):
-    k = F.get_json_object("props", "$.k")
-    operators = F.array(F.array(F.lit("0"), k), F.array(F.lit("900"), F.lit("901")))
-    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("G_{[0,"), k, F.lit("]} p"))).otherwise("G p")
-    return t.events.where(k != "0").select("event_id", F.array_join(T.missing_bounds(text, operators), ",").alias("missing"))
+    """Two operators with bounds from four columns, against a transcription that holds two of them."""
+    k, u, m, v = F.get_json_object("props", "$.k"), F.col("user_id").cast("string"), (F.col("event_id") % 7).cast("string"), F.col("value").cast("int").cast("string")
+    text = F.concat(F.lit("G_{["), u, F.lit(","), m, F.lit("]} p"))
+    return t.events.select("event_id", F.array_join(T.missing_bounds(text, F.array(F.array(k, u), F.array(m, v))), ",").alias("missing"))
 
 
 @query("WITH a AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM documents) SELECT doc_id, CASE WHEN length(x) > 300 THEN regexp_replace(left(x, 300), '\\s+\\S*$', '') ELSE x END AS abstract FROM a")
@@ -443,11 +458,11 @@ def j10_link_by_file(t):
     return rows.join(names, "file", "left").join(t.labels.select("doc_id", "quality"), "doc_id", "left").select("doc_id", "item_id", "quality")
 
 
-@query("""WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents), j AS (SELECT 'src' || user_id AS source, list(event_type ORDER BY event_id)[1:5] AS x FROM events GROUP BY user_id)
-SELECT doc_id, CASE WHEN n <= 5 THEN x[n] END AS judgment FROM r LEFT JOIN j USING (source)""")
+@query("""WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents), j AS (SELECT 'src' || user_id AS source, list(event_type ORDER BY event_id) AS x FROM events GROUP BY user_id)
+SELECT doc_id, x[n] AS judgment FROM r LEFT JOIN j USING (source)""")
 def j11_attach_judgments(t):
-    given = t.events.groupBy(F.concat(F.lit("src"), F.col("user_id").cast("string")).alias("source")).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"]), 1, 5).alias("x"))
-    return R.attach_by_position(t.documents.select("doc_id", "source"), given, "source", "doc_id", "x").select("doc_id", "judgment")
+    given = t.events.select(F.concat(F.lit("src"), F.col("user_id").cast("string")).alias("source"), "event_id", F.col("event_type").alias("judgment"))
+    return R.attach_rows_by_position(t.documents.select("doc_id", "source"), given, "source", "doc_id", "event_id", "judgment").select("doc_id", "judgment")
 
 
 @query("""SELECT e.event_id, s.a, s.b FROM (SELECT event_id, user_id, event_id AS pos FROM events WHERE event_type != 'signup') e
@@ -500,10 +515,11 @@ def u2_array_set_algebra(t):
     return papers(t).select("paper", F.array_join(F.array_sort(F.array_union("source", "catalogue")), ",").alias("either"), F.array_join(F.array_sort(F.array_except("source", "catalogue")), ",").alias("only_source"), free.alias("free"))
 
 
-@query("SELECT 0::BIGINT AS missing, 0::BIGINT AS extra, 0::BIGINT AS doubled FROM (SELECT count(*) FROM documents)")
+@query("""WITH p AS (SELECT doc_id FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id FROM labels WHERE quality = 1 UNION ALL SELECT page_id FROM pages), c AS (SELECT doc_id, count(*) AS n FROM p GROUP BY 1)
+SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM c))::BIGINT AS missing, count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM documents))::BIGINT AS extra, count(*) FILTER (n > 1)::BIGINT AS doubled FROM c""")
 def u3_partition_check(t):
-    docs = S.cap_per_group(t.documents.select("doc_id", "lang", "source"), "lang", "source", "doc_id", 10)
-    return R.partition_check(t.documents, [docs.where("selection = 'kept'"), docs.where("selection != 'kept'")], "doc_id")
+    """Parts that are no partition: English documents, good ones, and the ids of the pages."""
+    return R.partition_check(t.documents, [t.documents.where("lang = 'en'"), t.labels.where("quality = 1"), t.pages.select(F.col("page_id").alias("doc_id"))], "doc_id")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -518,31 +534,84 @@ def w11_window_bounds(t):
     return t.documents.select("doc_id", N.snapped_window(middle, middle, F.col("n_chars"), none, 500, 700, 0).alias("w")).select("doc_id", "w.lo", "w.hi")
 
 
-@query("""WITH r AS (SELECT user_id % 10 AS config, event_type AS level, event_id % 3 AS run, avg((value > 20)::INT) AS right_share, avg(value) AS cost FROM events GROUP BY ALL)
-SELECT config::BIGINT AS config, level, round(avg(right_share), 9) AS mean_right, round(min(right_share), 9) AS least, round(max(right_share), 9) AS most, round(median(cost), 6) AS median_cost FROM r GROUP BY ALL""")
+@query("""WITH e AS (SELECT user_id % 10 AS config, event_type AS level, event_id % 3 AS run, props->>'$.k' AS entry, avg((value > 20)::INT) > 0.5 AS ok, avg(value) AS seconds, sum(value) AS cost FROM events GROUP BY ALL),
+r AS (SELECT config, level, run, count(*) FILTER (ok) AS n, median(seconds) AS seconds, sum(cost) AS cost FROM e GROUP BY ALL),
+u AS (SELECT config, level, count(*) AS unstable FROM (SELECT config, level, entry FROM e GROUP BY ALL HAVING count(DISTINCT ok) > 1) GROUP BY ALL)
+SELECT config::BIGINT AS config, level, count(*)::BIGINT AS runs, round(avg(n), 6) AS mean_right, min(n)::BIGINT AS least, max(n)::BIGINT AS most, round(avg(seconds), 6) AS seconds, round(avg(cost), 4) AS cost, coalesce(any_value(unstable), 0)::BIGINT AS unstable FROM r LEFT JOIN u USING (config, level) GROUP BY config, level""")
 def a30_benchmark_summary(t):
-    runs = t.events.groupBy((F.col("user_id") % 10).alias("config"), F.col("event_type").alias("level"), (F.col("event_id") % 3).alias("run")).agg(F.avg((F.col("value") > 20).cast("double")).alias("r"), F.avg("value").alias("cost"))
-    return runs.groupBy("config", "level").agg(F.round(F.avg("r"), 9).alias("mean_right"), F.round(F.min("r"), 9).alias("least"), F.round(F.max("r"), 9).alias("most"), F.round(F.percentile("cost", 0.5), 6).alias("median_cost"))
+    of = [(F.col("user_id") % 10).alias("config"), F.col("event_type").alias("level"), (F.col("event_id") % 3).alias("run"), F.get_json_object("props", "$.k").alias("entry")]
+    scores = t.events.groupBy(*of).agg((F.avg((F.col("value") > 20).cast("double")) > 0.5).alias("ok"), F.avg("value").alias("seconds"), F.sum("value").alias("cost"))
+    found = P.benchmark_summary(scores, ["config", "level"], "run", "entry", "ok", "seconds", "cost")
+    return found.withColumns({"mean_right": F.round("mean_right", 6), "seconds": F.round("seconds", 6), "cost": F.round("cost", 4)})
 
 
-@query("""WITH c AS (SELECT user_id AS entry, event_id % 4 AS config, avg((value < 15)::INT) AS wrong FROM events GROUP BY ALL) SELECT entry, count(*)::BIGINT AS configs, count(*) FILTER (wrong > 0.5)::BIGINT AS mostly_wrong FROM c GROUP BY entry HAVING count(*) FILTER (wrong > 0.5) * 2 >= count(*)""")
+@query("""WITH c AS (SELECT user_id AS entry, event_id % 4 AS config, avg((value < 40)::INT) AS wrong FROM events GROUP BY ALL),
+f AS (SELECT entry, count(*)::BIGINT AS configs, count(*) FILTER (wrong > 0.5)::BIGINT AS mostly_wrong FROM c GROUP BY entry HAVING count(*) FILTER (wrong > 0.5) * 2 >= count(*)),
+v AS (SELECT user_id AS entry, event_type AS answer, count(*) AS n FROM events WHERE value < 40 GROUP BY ALL), w AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY entry ORDER BY n DESC, answer) <= 4)
+SELECT entry, configs, mostly_wrong, string_agg(answer || ' ' || n, ',' ORDER BY n DESC, answer) AS answers FROM f JOIN w USING (entry) GROUP BY ALL""")
 def a31_entries_to_review(t):
-    each = t.events.groupBy(F.col("user_id").alias("entry"), (F.col("event_id") % 4).alias("config")).agg(F.avg((F.col("value") < 15).cast("double")).alias("wrong"))
-    found = each.groupBy("entry").agg(F.count(F.lit(1)).alias("configs"), F.count_if(F.col("wrong") > 0.5).alias("mostly_wrong"))
-    return found.where("mostly_wrong * 2 >= configs")
+    rows = t.events.select(F.col("user_id").alias("entry"), (F.col("event_id") % 4).alias("config"), F.col("event_type").alias("answer"), (F.col("value") < 40).alias("wrong"))
+    return P.entries_to_review(rows, "entry", "config", "answer", "wrong", 4)
 
 
-@query("""WITH x AS (SELECT user_id, list_distinct(list(event_type) FILTER (event_id % 2 = 0)) AS e, list_distinct(list(event_type) FILTER (event_id % 2 = 1 AND value > 60)) AS g FROM events GROUP BY user_id),
-y AS (SELECT user_id, coalesce(e, []) AS e, coalesce(g, []) AS g, len(list_intersect(coalesce(e, []), coalesce(g, []))) AS b FROM x)
-SELECT user_id, CASE WHEN len(e) = 0 AND len(g) = 0 THEN 'none right' WHEN len(e) = 0 THEN 'invented' WHEN len(g) = 0 THEN 'missed' WHEN b = len(e) AND b = len(g) THEN 'exact' WHEN b > 0 THEN 'partly' ELSE 'other' END AS verdict FROM y""")
-def a29_score_entry(t):
-    from ..operators.votes import score_entry
+WORDS_SQL = """words AS (SELECT user_id, event_type AS w, event_id % 2 = 0 AS labelled, CASE WHEN max(value) > 90 THEN 'specific' ELSE 'generic' END AS kind FROM events WHERE event_id % 2 = 0 OR value > 60 GROUP BY ALL)"""
 
-    rows = t.events.groupBy("user_id").agg(F.collect_set(F.when(F.col("event_id") % 2 == 0, F.col("event_type"))).alias("e"), F.collect_set(F.when((F.col("event_id") % 2 == 1) & (F.col("value") > 60), F.col("event_type"))).alias("g"))
-    return rows.select("user_id", score_entry(F.col("e"), F.col("g")).alias("verdict"))
+
+def labelled_and_given(t: Tables):
+    """Passages of two annotators of each user: the labelled ones (even events), and the given ones, some of them with a letter more."""
+    kind = F.when(F.max("value") > 90, "specific").otherwise("generic")
+    e = t.events.where("event_id % 2 = 0 or value > 60").groupBy("user_id", (F.col("event_id") % 2 == 0).alias("labelled"), F.col("event_type").alias("text")).agg(kind.alias("kind"))
+    text = F.when(~F.col("labelled") & (F.col("user_id") % 2 == 0), F.concat("text", F.lit("s"))).otherwise(F.col("text"))
+    return e.select("user_id", "labelled", text.alias("text"), "kind")
+
+
+@query(f"""WITH {WORDS_SQL}, e AS (SELECT user_id, count(*) AS n FROM words WHERE labelled GROUP BY 1), g AS (SELECT user_id, count(*) AS m FROM words WHERE NOT labelled GROUP BY 1),
+b AS (SELECT user_id, count(*) AS n_both, count(*) FILTER (a.kind = c.kind) AS kinds FROM words a JOIN words c USING (user_id, w) WHERE a.labelled AND NOT c.labelled GROUP BY 1)
+SELECT user_id, CASE WHEN n IS NULL THEN 'invented' WHEN m IS NULL THEN 'missed' WHEN n_both IS NULL THEN 'other' WHEN n_both < n OR n_both < m THEN 'partly' WHEN user_id % 2 = 0 THEN 'overlap' ELSE 'exact' END AS verdict,
+coalesce(n_both, 0)::BIGINT AS found, (coalesce(m, 0) - coalesce(n_both, 0))::BIGINT AS extra, coalesce(kinds, 0)::BIGINT AS kinds_right
+FROM (SELECT DISTINCT user_id FROM words) LEFT JOIN e USING (user_id) LEFT JOIN g USING (user_id) LEFT JOIN b USING (user_id)""")
+def a29_score_entry(t):
+    rows = labelled_and_given(t)
+    return V.score_entries(rows.where("labelled"), rows.where("not labelled"), "user_id", "text", "kind")
+
+
+@query(f"""WITH {WORDS_SQL}, e AS (SELECT user_id, count(*) AS n FROM words WHERE labelled GROUP BY 1), g AS (SELECT user_id, count(*) AS m FROM words WHERE NOT labelled GROUP BY 1),
+b AS (SELECT user_id, count(*) AS n_both FROM words a JOIN words c USING (user_id, w) WHERE a.labelled AND NOT c.labelled GROUP BY 1), u AS (SELECT DISTINCT user_id FROM events)
+SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'not answered' WHEN n IS NULL AND m IS NULL THEN 'n_both none' WHEN n IS NULL OR m IS NULL THEN 'one gives none' WHEN n_both = n AND n_both = m THEN 'same passages' WHEN n_both > 0 THEN 'partly the same' ELSE 'different passages' END AS agreement
+FROM u LEFT JOIN e USING (user_id) LEFT JOIN g USING (user_id) LEFT JOIN b USING (user_id)""")
+def a21_agreement(t):
+    rows = labelled_and_given(t)
+    items = t.events.select("user_id").distinct().withColumn("answered", F.col("user_id") % 7 != 0)
+    return V.agreement(items, "answered", rows.where("labelled"), rows.where("not labelled"), "user_id", "text")
+
+
+@query("""WITH p AS (SELECT user_id, 'm' || (event_id % 3) AS model, event_type AS w, CASE WHEN max(value) > 60 THEN 'specific' ELSE 'generic' END AS kind FROM events WHERE value > 30 GROUP BY ALL),
+g AS (SELECT user_id, CASE WHEN min(model) = 'm1' THEN w || 's' ELSE w END AS w, count(*) AS models, count(*) FILTER (kind = 'specific') AS s FROM p GROUP BY user_id, p.w HAVING count(*) >= 2),
+k AS (SELECT *, CASE WHEN 2 * s > models THEN 'specific' WHEN 2 * s < models THEN 'generic' ELSE 'unclear' END AS kind FROM g),
+d AS (SELECT * FROM k QUALIFY kind != 'generic' OR count(*) FILTER (kind = 'specific') OVER (PARTITION BY user_id) = 0),
+asked AS (SELECT user_id, count(DISTINCT event_id % 3) AS asked FROM events GROUP BY 1), gave AS (SELECT user_id, count(DISTINCT model) AS gave FROM p GROUP BY 1),
+kept AS (SELECT user_id, count(*) AS n, string_agg(w || ':' || kind, ',' ORDER BY w) AS passages FROM d GROUP BY 1)
+SELECT user_id, CASE WHEN n > 0 THEN 'requirement' WHEN asked - coalesce(gave, 0) >= 2 THEN 'none' ELSE 'open' END AS outcome, coalesce(passages, '') AS passages FROM asked LEFT JOIN gave USING (user_id) LEFT JOIN kept USING (user_id)""")
+def a23_requirement_vote(t):
+    """Three models' passages of each user; the second model writes a letter more."""
+    model = F.concat(F.lit("m"), (F.col("event_id") % 3).cast("string")).alias("model")
+    given = t.events.where("value > 30").groupBy("user_id", model, F.col("event_type").alias("w")).agg(F.when(F.max("value") > 60, "specific").otherwise("generic").alias("kind"))
+    given = given.withColumn("text", F.when(F.col("model") == "m1", F.concat("w", F.lit("s"))).otherwise(F.col("w"))).drop("w")
+    return V.requirement_vote(t.events.select("user_id", model).distinct(), given, "user_id", "model", "text", "kind")
+
+
+def sources(t: Tables):
+    """Formula sources made of the log: one paper per user with a main file, a part, an unused draft and a style file."""
+    low, high = F.when(F.col("value") > 50, "a").otherwise("0"), F.when(F.col("event_id") % 2 == 0, r"\infty").otherwise("T")
+    k = F.get_json_object("props", "$.k")
+    line = F.concat(F.lit(r"$\alw_{["), low, F.lit(","), k, F.lit("]} ("), F.col("event_type"), F.lit(r" > 3 \rightarrow \ev_{[1, "), high, F.lit(r"]} x)$ % \Box_{[0,1]}"))
+    body = t.events.groupBy(F.col("user_id").alias("paper_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    whole = [("main.tex", F.lit("\\begin{document}\n\\input{part}\n\\end{document}")), ("part.tex", F.col("text")), ("old.tex", F.lit(r"\Box_{[0,1]} draft")), ("own.sty", F.lit(r"\newcommand{\alw}{\square}\def\ev{\mathop{\mathbf{F}}}\newcommand{\red}[1]{#1}"))]
+    return body.select("paper_id", F.explode(F.array(*(F.struct(F.lit(n).alias("path"), x.alias("text")) for n, x in whole))).alias("f")).select("paper_id", "f.*")
 
 
-@query("WITH c AS (SELECT source, lang, count(*)::BIGINT AS n FROM documents GROUP BY source, lang) SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) = 1")
+@query("""SELECT user_id AS paper_id, sum((value <= 50)::INT + (event_id % 2 = 0)::INT)::BIGINT AS concrete, sum((value > 50)::INT + (event_id % 2 = 1)::INT)::BIGINT AS symbolic,
+count(*) FILTER (value <= 50 OR event_id % 2 = 0)::BIGINT AS formulas_concrete, count(*) FILTER (value > 50 AND event_id % 2 = 1)::BIGINT AS formulas_symbolic FROM events GROUP BY user_id""")
 def a6_formula_counts(t):
-    counts = t.documents.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "lang"))).where("r = 1").drop("r")
+    """Operators and formulas of each paper, in the files of its document."""
+    return P.formula_counts(X.scan_papers(sources(t)), "paper_id")

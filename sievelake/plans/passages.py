@@ -13,7 +13,8 @@ from ..operators.spans import point_in_interval
 from ..scratch import scratch_path
 from ..sources import readers as R
 from ..streaming.ingest import ingest
-from .corpus import FORMULA, TURNS_SQL, turns
+from ..operators import report as P
+from .corpus import FORMULA, sources, turns
 from .registry import Tables, query
 from .selection import log
 
@@ -22,28 +23,32 @@ def _scratch(t: Tables, name: str) -> str:
     return scratch_path(t.spark, name)
 
 
-@query("SELECT conv_id, turn, CASE WHEN lower(a) = lower(b) THEN 0.0 END AS zero FROM (SELECT u.conv_id, u.turn, u.text AS a, u.text AS b FROM conversations u)")
+@query()
 def f17_word_difference(t):
-    c = t.conversations
-    return c.select("conv_id", "turn", H.word_difference("text", "text").alias("zero"))
+    """Each turn against the next."""
+    return turns(t).select("conv_id", "turn", H.word_difference("a", "b").alias("difference"))
 
 
 @query()
 def a34_paraphrase_stats(t):
-    both = turns(t).withColumn("d", H.word_difference("a", "b"))
-    return both.groupBy("conv_id").agg(F.count(F.lit(1)).alias("kept"), F.avg("d").alias("mean_difference"))
+    """Turns as paraphrases of the turn before, kept if they aren't short, in sets by the conversation's number."""
+    rows = turns(t).select((F.col("conv_id") % 3).alias("part"), F.concat_ws(":", "conv_id", "turn").alias("original"), "conv_id", (F.char_length("b") >= 40).alias("kept"), (F.size(T.missing_symbols(F.col("a"), F.col("b"), F.lit("G[0,1] (the > de) U of"))) > 0).alias("missing"), H.word_difference("a", "b").alias("difference"))
+    return P.paraphrase_stats(rows, "part", "original", "conv_id", "kept", "missing", "difference")
 
 
-@query(f"WITH {TURNS_SQL} SELECT conv_id, turn, true AS same, contains(regexp_replace(b, '\\s+', '', 'g'), regexp_replace(split_part(a, ' ', 1), '\\s+', '', 'g')) AS inside FROM turns")
+@query()
 def f8_same_passage(t):
-    both = turns(t).withColumns({"whole": H.longest_common("a", "a"), "part": F.substring_index("a", " ", 1)}).withColumn("n", H.longest_common("part", "b"))
-    size = F.char_length(F.regexp_replace("part", r"\s+", ""))
-    return both.select("conv_id", "turn", (same_passage(F.col("whole"), F.col("a"), F.col("a")) & nearly_equal(F.col("whole"), F.col("a"), F.col("a"))).alias("same"), (F.col("n") == size).alias("inside"))
+    """Each turn against the next: the longest common substring, and what follows from it."""
+    both = turns(t).withColumn("n", H.longest_common("a", "b"))
+    return both.select("conv_id", "turn", "n", same_passage(F.col("n"), F.col("a"), F.col("b")).alias("same"), nearly_equal(F.col("n"), F.col("a"), F.col("b")).alias("near"))
 
 
-@query("SELECT doc_id, CASE WHEN regexp_replace(text, '\\s+', '', 'g') = '' THEN 'not a copy' ELSE 'copy' END AS state FROM documents")
+@query()
 def f9_check_passage(t):
-    return t.documents.select("doc_id", check_passage(H.ordered_pieces("text", "text")).alias("state"))
+    """The middle of each turn, the ends of each turn joined, or the turn itself, against the turn or the next one."""
+    k, n = F.col("turn") % 4, F.char_length("a")
+    text = F.when(k == 0, F.substring("a", F.lit(5), F.lit(40))).when(k == 1, F.concat(F.substring("a", F.lit(1), F.lit(30)), F.substring("a", n - 20, F.lit(30)))).otherwise(F.col("a"))
+    return turns(t).select("conv_id", "turn", check_passage(H.ordered_pieces(text, F.when(k == 3, F.col("b")).otherwise(F.col("a")))).alias("state"))
 
 
 @query("SELECT event_id, 'always' || event_type || 'φ1≤' || (props->>'$.k') || '%-x' AS core FROM events")
@@ -52,36 +57,6 @@ def f3_passage_core(t):
     return t.events.select("event_id", H.passage_core(text).alias("core"))
 
 
-@query()
-def a21_agreement(t):
-    both = turns(t).withColumn("n", H.longest_common("a", "b"))
-    state = F.when(F.col("a").isNull() | F.col("b").isNull(), "not answered").when(same_passage(F.col("n"), F.col("a"), F.col("b")), "same passages").otherwise("different passages")
-    return both.select("conv_id", "turn", state.alias("agreement"))
-
-
-@query()
-def a23_requirement_vote(t):
-    """Passages of a conversation that several turns give: groups by the first member that matches, kept from two on."""
-
-    def vote(pdf):
-        import pandas as pd
-
-        groups: list[list[tuple[int, str]]] = []
-        for turn, text in sorted(zip(pdf["turn"], pdf["text"], strict=True)):
-            size = len("".join((text or "").split()))
-            for g in groups:
-                if any(2 * H.common_length(text, x) >= max(1, min(size, len("".join((x or "").split())))) for _, x in g):
-                    g.append((turn, text))
-                    break
-            else:
-                groups.append([(turn, text)])
-        kept = [g for g in groups if len(g) >= 2]
-        rows = [(int(pdf["conv_id"].iloc[0]), len(groups), len(kept), "requirement" if kept else "none" if len(groups) < 2 else "open")]
-        return pd.DataFrame(rows, columns=["conv_id", "groups", "kept", "outcome"])
-
-    return t.conversations.select("conv_id", "turn", "text").groupBy("conv_id").applyInPandas(vote, "conv_id long, groups long, kept long, outcome string")
-
-
 @query()
 def j12_fuzzy_title_join(t):
     """For every document the first one before it whose first line is alike (ratio of at least 0.88)."""
@@ -89,20 +64,10 @@ def j12_fuzzy_title_join(t):
     return fuzzy_title_join(docs, "doc_id", "title")
 
 
-def sources(t: Tables):
-    """Formula sources made of the log: one paper per user with a main file and a style file."""
-    line = F.concat(F.lit("$"), F.expr(FORMULA.replace("G[0,", "\\\\\\\\alw_{[0,").replace("'] ('", "']} ('").replace("F[1,", "\\\\\\\\ev_{[1,").replace("'] (x'", "']} (x'")), F.lit("$ % \\Box_{[0,1]}"))
-    body = t.events.groupBy(F.col("user_id").alias("paper_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("l")))), lambda x: x["l"]), "\n").alias("body"))
-    main = body.select("paper_id", F.lit("main.tex").alias("path"), F.concat(F.lit("\\begin{document}\n\\input{part}\n\\end{document}"), F.lit("")).alias("text"))
-    part = body.select("paper_id", F.lit("part.tex").alias("path"), F.col("body").alias("text"))
-    style = body.select("paper_id", F.lit("own.sty").alias("path"), F.lit("\\newcommand{\\alw}{\\square}\\def\\ev{\\mathop{\\mathbf{F}}}\\newcommand{\\red}[1]{#1}").alias("text"))
-    return main.unionByName(part).unionByName(style)
-
-
-@query("SELECT user_id AS paper_id, 2 * count(*)::BIGINT AS operators, (count(*) + sum((event_id % 2 != 0 AND false)::INT))::BIGINT AS concrete, count(*)::BIGINT AS symbolic, true AS in_document FROM events GROUP BY user_id")
+@query("""SELECT user_id AS paper_id, 2 * count(*)::BIGINT AS operators, sum((value <= 50)::INT + (event_id % 2 = 0)::INT)::BIGINT AS concrete, sum((value > 50)::INT + (event_id % 2 = 1)::INT)::BIGINT AS symbolic, 1::BIGINT AS outside FROM events GROUP BY user_id""")
 def x1_x3_x5_scan_sources(t):
-    found = X.scan_papers(sources(t))
-    return found.groupBy("paper_id").agg(F.count(F.lit(1)).alias("operators"), F.count_if(F.col("kind") == "concrete").alias("concrete"), F.count_if(F.col("kind") == "symbolic").alias("symbolic"), F.bool_and("in_document").alias("in_document"))
+    found, own = X.scan_papers(sources(t)), F.col("in_document")
+    return found.groupBy("paper_id").agg(F.count_if(own).alias("operators"), F.count_if(own & (F.col("kind") == "concrete")).alias("concrete"), F.count_if(own & (F.col("kind") == "symbolic")).alias("symbolic"), F.count_if(~own).alias("outside"))
 
 
 @query("SELECT user_id, count(*)::BIGINT AS lines, count(*)::BIGINT AS concrete FROM events GROUP BY user_id")
@@ -117,11 +82,9 @@ def x4_scan_pages(t):
 def s1_read_keyed_json(t):
     path = _scratch(t, "keyed")
     each = t.events.groupBy("user_id").agg(F.max("event_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    entry = F.concat(F.lit('{"'), F.col("user_id").cast("string"), F.lit('":'), F.to_json(F.struct("last", "n")), F.lit("}"))
-    each.select(entry.alias("value")).repartition("value").write.text(path)  # a keyed object per file or line
-    spark = t.spark
-    rows = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,struct<last:long,n:long>>")).alias("id", "v"))
-    return rows.select(F.col("id").cast("long").alias("id"), "v.last", "v.n")
+    files = each.groupBy((F.col("user_id") % 16).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("user_id").cast("string"), F.struct("last", "n"))))).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(path)  # a keyed object per file
+    return R.read_keyed_json(t.spark, path, "struct<last:long,n:long>").withColumn("id", F.col("id").cast("long"))
 
 
 @query("SELECT event_id, event_type, value FROM events WHERE event_id % 10 != 0")
@@ -133,13 +96,13 @@ def s2_read_jsonl(t):
     return R.read_jsonl(t.spark, path, "event_id long, event_type string, value double")
 
 
-@query("SELECT 'main.tex' AS name, count(DISTINCT user_id)::BIGINT AS n FROM events UNION ALL SELECT 'own.sty', count(DISTINCT user_id) FROM events")
+@query("SELECT user_id::VARCHAR AS paper_id, '.txt' AS ext, sum(length(event_type) + 1)::BIGINT AS n_chars FROM events GROUP BY user_id")
 def s3_read_source_tree(t):
+    """A folder of text files per user, read back as files."""
     path = _scratch(t, "tree")
-    files = sources(t).where("path != 'part.tex'").select("paper_id", "path", "text")
-    files.write.parquet(path)
-    stored = t.spark.read.parquet(path)
-    return stored.where(F.lower(F.regexp_extract("path", r"(\.[a-z]+)$", 1)).isin(R.SOURCE_EXTENSIONS)).groupBy(F.col("path").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    t.events.select("user_id", F.col("event_type").alias("value")).repartition("user_id").write.partitionBy("user_id").text(path)
+    files = R.read_source_tree(t.spark, path, r"/user_id=([^/]+)/[^/]+$", [".txt"])
+    return files.groupBy("paper_id", "ext").agg(F.sum(F.char_length("text")).alias("n_chars"))
 
 
 @query("SELECT page_id, url FROM pages")
@@ -198,13 +161,14 @@ def a36_eval_coverage(t):
     return found.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT event_id, 'G_{[0, ' || (props->>'$.k') || ']} ' || event_type AS formula FROM events")
+@query("SELECT event_id, CASE WHEN value > 80 THEN '\\phi := ' ELSE '' END || 'G_{[0, ' || (props->>'$.k') || ']} ' || event_type || CASE WHEN value > 80 THEN ' rest ' ELSE '' END AS formula, value <= 80 AS found FROM events")
 def f5_trim_formula(t):
+    """Marked lines with two copies, the first of which is of another line; where neither is found the whole line is cleaned."""
     k = F.get_json_object("props", "$.k")
     written = F.concat(F.lit("G_{[0, "), k, F.lit("]} "), F.col("event_type"))
-    source = F.concat(F.lit("$ \\phi := "), written, F.lit(" $ \\\\ & rest"))
-    copy = F.concat(F.lit("G_{[0,"), k, F.lit("]}"), F.col("event_type"))
-    return t.events.select("event_id", H.trim_formula(source, copy).alias("formula"))
+    source = F.concat(F.lit("$ \\phi := "), written, F.lit(" \\\\ & rest .$"))
+    copy = F.concat(F.lit("G_{[0,"), k, F.lit("]}"), F.when(F.col("value") > 80, F.lit("q")).otherwise(F.col("event_type")))
+    return t.events.select("event_id", H.trim_formula(source, F.array(F.lit("F_{[0,1]}none"), copy)).alias("x")).select("event_id", "x.*")
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no formula' WHEN 2 THEN 'not a copy|symbol not in formula: y' ELSE 'unknown kind|mixed kinds|unknown domain' END AS flags FROM events")

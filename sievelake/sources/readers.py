@@ -26,12 +26,12 @@ def count_malformed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.agg(F.count_if(F.col("v._bad").isNull()).alias("good"), F.count_if(F.col("v._bad").isNotNull()).alias("malformed"))
 
 
-def read_source_tree(spark: SparkSession, root: str, depth_pattern: str = r"/([^/]+)/[^/]+$") -> DataFrame:
-    """(paper_id, path, ext, text) of the source files below ``root``; undecodable bytes are replaced."""
+def read_source_tree(spark: SparkSession, root: str, depth_pattern: str = r"/([^/]+)/[^/]+$", extensions: list[str] | None = None) -> DataFrame:
+    """(paper_id, path, ext, text) of the source files (of these extensions) below ``root``; undecodable bytes are replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     ext = F.lower(F.regexp_extract("path", r"(\.[A-Za-z]+)$", 1))
-    kept = files.withColumn("ext", ext).where(F.col("ext").isin(SOURCE_EXTENSIONS))
-    return kept.select(F.regexp_extract("path", depth_pattern, 1).alias("paper_id"), "path", "ext", F.try_validate_utf8(F.col("content").cast("string")).alias("_ok"), F.make_valid_utf8(F.col("content").cast("string")).alias("text")).drop("_ok")
+    kept = files.withColumn("ext", ext).where(F.col("ext").isin(extensions or SOURCE_EXTENSIONS))
+    return kept.select(F.regexp_extract("path", depth_pattern, 1).alias("paper_id"), "path", "ext", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -178,6 +178,41 @@ def test_passages():
             assert H.pieces_in_order(text, source, least=least) == pieces(text, source, least=least)
 
 
+def test_passages_as_compared():
+    text = "always within ten seconds, the (brake) is applied: G"
+    assert H.pieces_of_passage("(Always  within".lower() + " ten\nseconds.", text) == 1 and H.pieces_of_passage(" .() ", text) == 1
+    assert H.pieces_of_passage("always within ten the (brake) is applied", text) == 2 and H.pieces_of_passage("never within ten", text) == 0
+
+
+def test_groups_of_passages():
+    assert H.grouped(["abcdef", "xyz", "abcdefgh", "xyzzz", "ab", ""]) == [0, 1, 0, 1, 0, 2]
+
+
+def test_vote_and_score(spark):
+    asked = spark.createDataFrame([(i, m) for i in range(4) for m in "abc"], "item int, model string")
+    given = spark.createDataFrame([
+        (0, "a", "stop the car", "generic"), (0, "b", "stop the car now", "generic"), (0, "c", "go home", "specific"), (0, "a", "go home again", "specific"),
+        (1, "a", "one text", "specific"), (1, "b", "one text", "generic"), (2, "a", "alone", "specific"), (3, "a", "alone", "generic"), (3, "a", "alone now", "generic"), (3, "b", "else", "generic"),
+    ], "item int, model string, text string, kind string")
+    found = {r["item"]: (r["outcome"], r["passages"]) for r in V.requirement_vote(asked, given, "item", "model", "text", "kind").collect()}
+    assert found == {0: ("requirement", "go home again:specific"), 1: ("requirement", "one text:unclear"), 2: ("none", ""), 3: ("open", "")}
+    labelled = spark.createDataFrame([(0, "the long passage", "specific"), (1, "abcd", "generic"), (1, "wxyz", "generic"), (2, "abcd", "generic"), (3, "abcdefghij", "generic")], "i int, text string, kind string")
+    answer = spark.createDataFrame([(0, "the long", "specific"), (1, "abcd", "specific"), (2, "qqqq", "generic"), (3, "abcdefghij.", "generic"), (4, "new", "generic")], "i int, text string, kind string")
+    scores = {r["i"]: tuple(r)[1:] for r in V.score_entries(labelled, answer, "i", "text", "kind").collect()}
+    assert scores == {0: ("overlap", 1, 0, 1), 1: ("partly", 1, 0, 0), 2: ("other", 0, 1, 0), 3: ("exact", 1, 0, 1), 4: ("invented", 0, 1, 0)}
+
+
+def test_numbers_within_ranges(spark):
+    rng = random.Random(0)
+    rows = [(rng.choice("aaaab"), rng.randrange(10**6), None if rng.random() < 0.1 else "x") for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, k long, n string")
+    found = sorted(tuple(r) for r in S.number_rows(df, ["g"], ["k"], "number").select("g", "k", "number").collect())
+    want = []
+    for g in "ab":
+        want += [(g, k, i + 1) for i, k in enumerate(sorted(k for x, k, _ in rows if x == g))]
+    assert found == want
+
+
 def test_fuzzy_titles_against_all_pairs(spark):
     rng = random.Random(1)
     words = ["signal", "temporal", "logic", "of", "a", "robust", "control", "für", "42", "learning"]
@@ -255,7 +290,8 @@ def test_judgment(spark):
 
 def test_passage_core_and_stretch():
     assert H.passage_text("a “b” \\varphi_{i} \\le 3 \\unknown") == "abφi≤3\\unknown"
-    assert H.matched_stretch("$ x :=  G_{[0, 5]} p $", "G_{[0,5]}p") == "G_{[0, 5]} p" and H.matched_stretch(" a ", "zz") == "a"
+    assert H.matched_stretch("$ x :=  G_{[0, 5]} p. $", [None, "no", "G_{[0,5]}p.", "x"]) == ("G_{[0, 5]} p", True)
+    assert H.matched_stretch(" $a \\label{eq} & b \\\\[2pt] c,$ ", ["zz", ""]) == ("a b c", False) and H.matched_stretch(None, []) == (None, False)
 
 
 def test_streamed_log_equals_batch(spark, tmp_path):
