@@ -40,7 +40,7 @@ LIST_BYTES = 1 << 20
 LIST_ROWS = 512  # a longer list is cut into blocks
 SALT_ROWS = 1 << 20  # a list that may be longer is not brought together at all
 CELLS = 512
-INDEX_BYTES = 4 << 20
+INDEX_BYTES = 1 << 20
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
