@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievelake.llm.queries import ORACLES, QUERIES
 
@@ -55,3 +56,27 @@ def test_pipeline(spark, small):
     assert {r["doc_id"] for r in stages["mix_sources"](spark, docs, small).collect()} == set(ids)
     last = P.run(spark, small)
     assert {*P.COLUMNS, "shard"} <= set(last.columns) and last.count() > 0
+
+
+def test_stages_with_odd_tables(spark, small):
+    """Every stage on rows with nulls, repeated rows, a very long text and columns under the names it adds, and on none."""
+    import corpus_pipeline as P
+
+    text = " ".join(f"the word{i % 300} of the house is {i}" for i in range(30))
+    rows = [
+        (1, text, "en", "a", len(text)), (1, text, "en", "a", len(text)), (2, text + " end", "en", "a", 9), (3, None, "en", None, None), (4, "", None, "b", 0), (None, text, None, None, None), (None, "der weg und das haus", "de", "b", 20),
+        (5, "el camino de la casa " * 30000, "es", "hot", None), (6, "the way of the house", "en", "hot", 20), (7, "12 34", "en", "a", 5), (8, "das haus und der weg", "de", "a", 20),
+    ]
+    extra = ["score", "lang_pred", "slot", "rank", "class", "shard", "depth", "n_bytes", "component_id", "row", "mark", "s0", "_lang", "_row"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in extra:
+        docs = docs.withColumn(name, F.lit("old"))
+    found = {}
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, small)
+        assert out.columns[: len(P.COLUMNS)] == P.COLUMNS and stage(spark, docs.where("false"), small).count() == 0
+        found[name] = sorted(str(r["doc_id"]) for r in out.collect())
+    every = sorted(str(r[0]) for r in rows)
+    assert found["language_id"] == [d for d in every if d not in {"3", "4", "7"}]  # no text, or no letter
+    assert found["jaccard_join"] == sorted(["1", "3", "4", "None", "5", "6", "7", "8"])  # 2 and a null id are copies of 1
+    assert found["decontamination"] == every and found["shards"] == every and set(found["mix_sources"]) == set(every)
