@@ -171,12 +171,14 @@ def f5_trim_formula(t):
     return t.events.select("event_id", H.trim_formula(source, F.array(F.lit("F_{[0,1]}none"), copy)).alias("x")).select("event_id", "x.*")
 
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no formula' WHEN 2 THEN 'not a copy|symbol not in formula: y' ELSE 'unknown kind|mixed kinds|unknown domain' END AS flags FROM events")
+@query("""SELECT event_id, concat_ws('|', CASE WHEN user_id % 5 = 0 THEN 'no formula' WHEN value > 50 THEN 'not a copy' END, CASE WHEN event_id % 2 = 1 THEN 'unknown kind' END, CASE WHEN event_id % 2 = 1 THEN 'mixed kinds' END,
+CASE WHEN value <= 20 THEN 'unknown domain' END, CASE WHEN user_id % 5 != 0 AND user_id % 3 = 0 THEN 'symbol not in formula: q9' END) AS flags FROM events""")
 def f10_check_extraction(t):
-    n = F.col("event_id") % 4
-    source = F.concat(F.lit("$G_{[0,1]} "), F.col("event_type"), F.lit("$"))
-    formula = F.when(n == 1, " ").when(n == 2, "G q").otherwise(F.concat(F.lit("G_{[0,1]}"), F.col("event_type")))
-    kinds = F.when(n == 3, F.array(F.lit("generic"), F.lit("new"))).otherwise(F.array(F.lit("generic")))
-    symbols = F.when(n == 2, F.array(F.lit("y"), F.lit("q"))).otherwise(F.array(F.col("event_type")))
-    flags = T.check_extraction(formula, source, kinds, F.when(n == 3, "cooking").otherwise("robotics"), symbols)
+    """Formulas whose source has other bounds, kinds and domains that are none, and a symbol they lack, each by another column."""
+    e, k = F.col("event_type"), F.get_json_object("props", "$.k")
+    source = F.concat(F.lit("$G_{[0, "), F.when(F.col("value") > 50, F.lit("1000")).otherwise(k), F.lit("]} "), e, F.lit("$"))
+    formula = F.when(F.col("user_id") % 5 == 0, " ").otherwise(F.concat(F.lit("G_{[0,"), k, F.lit("]}"), e))
+    kinds = F.when(F.col("event_id") % 2 == 1, F.array(F.lit("generic"), e)).otherwise(F.array(F.lit("generic")))
+    symbols = F.when(F.col("user_id") % 3 == 0, F.array(e, F.lit("q9"))).otherwise(F.array(e))
+    flags = T.check_extraction(formula, source, kinds, F.when(F.col("value") > 20, "robotics").otherwise(e), symbols)
     return t.events.select("event_id", F.array_join(flags, "|").alias("flags"))
