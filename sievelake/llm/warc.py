@@ -114,8 +114,8 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return head, block
 
 
-_FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("digest_ok", pa.bool_()), ("payload", pa.binary())]
-_DDL = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, digest_ok boolean, payload binary"
+_FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("digest_ok", pa.bool_()), ("payload", pa.binary()), ("error", pa.string())]
+_DDL = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, digest_ok boolean, payload binary, error string"
 
 
 def _page(urn: str | None) -> int | None:
@@ -123,30 +123,52 @@ def _page(urn: str | None) -> int | None:
     return int(name) if name.lstrip("-").isdigit() else None
 
 
+def _safely(found):
+    """What an iterator gives, and at its end the error that it breaks off with."""
+    try:
+        yield from found
+    except (ValueError, zlib.error) as broken:
+        yield broken
+
+
+def _row(member: bytes | Exception, with_payload: bool) -> tuple | None:
+    """The fields of a response or revisit record, or of an error; None for other records."""
+    try:
+        if isinstance(member, Exception):
+            raise ValueError(str(member))
+        head, block = parse(member)
+        kind = head["warc-type"]
+        if kind not in ("response", "revisit"):
+            return None
+        http, _, payload = block.partition(b"\r\n\r\n")
+        fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in http.decode().split("\r\n")[1:])}
+        said = head["warc-payload-digest"].removeprefix("sha1:")
+        good = head["warc-block-digest"] == f"sha1:{digest(block)}" and (kind == "revisit" or digest(payload) == said)
+        length = len(payload) if kind == "response" else int(fields["content-length"])
+        return _page(head["warc-record-id"]), head["warc-target-uri"] or None, kind, length, said, _page(head.get("warc-refers-to")), good, payload if with_payload and kind == "response" else None, None
+    except (ValueError, KeyError) as broken:
+        return (None,) * (len(_FIELDS) - 1) + (f"{type(broken).__name__}: {broken}",)
+
+
 def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
     """A row per response or revisit record of the archives in column ``data``, in file order within an archive.
 
     ``digest_ok``: the block's digest, and a response's payload digest, are those of its header. A revisit's
     payload_bytes and payload_digest are the full payload's, from its headers; its payload is null. A record that is
-    framed wrongly or cut short fails the job; null or empty data holds no records.
+    framed wrongly, or lacks a header, is a row with ``error`` and nulls, and so is the place where the compression breaks
+    off, beyond which an archive can't be read; ``error`` is null elsewhere. Null or empty data holds no records.
     """
 
     def run(batches):
         for batch in batches:
             for data in batch.column("data").to_pylist():
                 rows, size = [], 0
-                for member in members(data or b""):
-                    head, block = parse(member)
-                    kind = head["warc-type"]
-                    if kind not in ("response", "revisit"):
+                for member in _safely(members(data or b"")):
+                    row = _row(member, with_payload)
+                    if row is None:
                         continue
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in http.decode().split("\r\n")[1:])}
-                    said = head["warc-payload-digest"].removeprefix("sha1:")
-                    good = head["warc-block-digest"] == f"sha1:{digest(block)}" and (kind == "revisit" or digest(payload) == said)
-                    length = len(payload) if kind == "response" else int(fields["content-length"])
-                    rows.append((_page(head["warc-record-id"]), head["warc-target-uri"] or None, kind, length, said, _page(head.get("warc-refers-to")), good, payload if with_payload and kind == "response" else None))
-                    size += len(payload) if with_payload else 0
+                    rows.append(row)
+                    size += len(row[-2] or b"")
                     if len(rows) >= 5000 or size > 16 << 20:
                         yield _rows(rows)
                         rows, size = [], 0

@@ -391,3 +391,16 @@ def test_cotraining_odd_rows(spark):
     found = cotraining.classify(frame(spark, rows), labels, sample_rows=100, rounds=1, add=5).collect()
     assert len(found) == len(rows)
     assert all((r["predicted"] == 1) == (r["doc_id"] % 2 == 1) for r in found if r["doc_id"] is not None and 40 <= r["doc_id"] < 60)
+
+
+def test_warc_with_broken_records(spark):
+    import zlib
+
+    good = [warc.record(i, f"http://x/{i}", b"text %d" % i, None) for i in range(3)]
+    inner = zlib.decompress(good[1], 31)
+    again = lambda data: (lambda z: z.compress(data) + z.flush())(zlib.compressobj(6, zlib.DEFLATED, 31))
+    wrong = [again(inner.replace(b"Content-Length: ", b"Content-Length: 9", 1)), again(b"no header end"), again(inner.replace(b"WARC-Type", b"Other")), again(b"\xff\r\n\r\n")]
+    archives = [b"".join([good[0], *wrong, good[2]]), good[0] + good[1][:-9], b"not gzip" + good[0], b"", None]
+    found = warc.read_archives(spark.createDataFrame([(x,) for x in archives], "data binary")).collect()
+    assert sorted(r["page_id"] for r in found if r["error"] is None) == [0, 0, 2]
+    assert sum(r["error"] is not None for r in found) == 6 and all(r["page_id"] is None for r in found if r["error"])
