@@ -150,7 +150,7 @@ def classify(
 
     ``labels`` (key, label 0 or 1) is sampled by a hash of the id down to about ``sample_rows`` rows; every fourth of
     them is kept aside for the calibration. In each of ``rounds`` rounds each view scores all unlabelled rows and hands
-    its ``add`` surest of each class to the other view.
+    its ``add`` surest of each class to the other view, of equally sure rows those with the smaller ids.
 
     Null text is empty; a null source or language is a value of its own; rows with a null id are scored but never
     learned from; of repeated labels of an id one counts (the smallest); without labels of both classes every score is

@@ -115,8 +115,9 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
 def classify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """All rows and columns of ``df`` with lang_pred and score (0 to 1); whole texts are read.
 
-    Of languages with equal scores the first by name counts. Null text, text without a letter, and any text under a model without languages get ``und`` and score 0; input
-    columns named lang_pred or score are replaced; an empty table gives no rows.
+    Of languages with equal scores the first by name counts. Null text, text without a letter, and any text under a model
+    without languages get ``und`` and score 0; input columns named lang_pred or score are replaced; an empty table gives
+    no rows.
     """
     held = df.sparkSession.sparkContext.broadcast(model)  # n-grams x languages
 

@@ -64,8 +64,10 @@ def mix_sources(
     Adds class, epoch, block, release, deadline and slot; ordering by (slot, rank) gives the mixture. ``weights`` maps
     sources to target shares of text; without it they are (characters of the source)^alpha. A source whose share is
     below one slot of ``frame`` shares one class with the others like it. Blocks hold ``block_chars`` characters of a
-    source (``length`` names a column that has their number) in a seeded order. ``exhausted``: "repeat" goes on until every source is used up once, and starts used up
-    sources anew (epoch 1, 2, ...), so that no document is lost; "stop" ends before the first source runs out.
+    source (``length`` names a column that has their number) in a seeded order. ``exhausted``: "repeat" goes on until
+    every source is used up once, and starts used up sources anew (epoch 1, 2, ...), so that no document is lost; "stop"
+    ends before the first source runs out. Of equal deadlines the first class by name is served first; documents of
+    equal place in the seeded order go by id, a null id first, then by length.
 
     A null source is a class of its own (named as empty text); null and empty texts count one character, so they keep
     a place; sources missing in ``weights`` are not scheduled; repeated rows are scheduled as rows of their own; an

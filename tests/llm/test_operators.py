@@ -229,6 +229,38 @@ def test_mixture(spark):
     assert mixing.mix_sources(df.where("false")).count() == 0
 
 
+def test_equal_deadlines_go_by_name():
+    assert mixing.edf_frame({"b": 1, "a": 1}, 2) == {"a": [0], "b": [1]}
+
+
+@pytest.mark.parametrize("count", [60, 1500])
+def test_mixture_row_by_row(spark, count):
+    """Blocks, epochs, slots and ranks of every row against a plain loop over the seeded order."""
+    frame_, block = 20, 300
+    rows = [(i, "x" * (1 + i * 37 % 90), "a" if i % 3 else "b" if i % 2 else "c") for i in range(count)] + [(5, "y" * 11, "a"), (6, None, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = F.xxhash64(F.lit(3), F.col("doc_id").cast("string"))
+    seeded = [(r["doc_id"], r["source"], len(r["text"] or "x"), r["o"]) for r in df.withColumn("o", order).collect()]
+    unsigned = len(rows) >= 512  # the order starts with the hash's upper bits where there are several cells
+    classes = {k: sorted((o % 2**64 if unsigned else o, i, n) for i, s, n, o in seeded if s == k) for k in "abc"}
+    share = mixing.shares({k: sum(n for *_, n in x) ** 0.8 for k, x in classes.items()}, frame_)
+    slots = mixing.edf_frame(share, frame_)
+    slot = lambda k, b: b // share[k] * frame_ + slots[k][b % share[k]]
+    blocks = {k: -(-sum(n for *_, n in x) // block) for k, x in classes.items()}
+    end = max(slot(k, b - 1) + 1 for k, b in blocks.items())
+    want = []
+    for k, x in classes.items():
+        before = 0
+        for rank, (_, i, n) in enumerate(x):
+            epoch, b = 0, before // block
+            while slot(k, b) < end:
+                want.append((i, k, epoch, b, b * frame_ // share[k], -(-(b + 1) * frame_ // share[k]), slot(k, b), rank))
+                epoch, b = epoch + 1, b + blocks[k]
+            before += n
+    got = mixing.mix_sources(df, block_chars=block, frame=frame_, seed=3).select("doc_id", "class", "epoch", "block", "release", "deadline", "slot", "rank")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_language(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = language.fit(docs.where(~language.held_out()))
