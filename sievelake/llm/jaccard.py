@@ -167,7 +167,8 @@ def _postings(width: int, percent: int, bits: int, part_bits: int, held):
                 s0, s1 = _per_doc(_mix(hashes, S0), bounds), _per_doc(_mix(hashes, S1), bounds)
                 marks = signatures(hashes, bounds)
                 m = e - s
-                parts = pa.array((s0 >> np.uint64(64 - part_bits)).astype(np.int64))
+                # these rows only pass by the lists, so they are dealt by id and text: copies of a text are not one group
+                parts = pa.array((rows.slice(s, m).to_numpy().view(np.uint64) >> np.uint64(64 - part_bits)).astype(np.int64))
                 own = [ids.slice(s, m), rows.slice(s, m), marks32.slice(s, m), pa.array(n.astype(np.int64)), pa.array(s0.view(np.int64)), pa.array(s1.view(np.int64)), pa.array([x.tobytes() for x in marks], pa.binary())]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), parts, pa.nulls(m, pa.binary()), *own], schema=_POST_SCHEMA)
                 _, first = np.unique(np.stack([s0, s1], axis=1), axis=0, return_index=True)
