@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, language, warc
+from . import conversations, cotraining, language, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
@@ -149,6 +149,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination}
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's planted faults and its cheapest repair."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.all_conversations(rows, conversations.repair(conversations.damage(rows)))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination, "op12_repair_conversations": op12_repair_conversations}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
