@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, cotraining, language, warc
+from . import conversations, cotraining, language, licenses, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
@@ -155,6 +155,13 @@ def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.all_conversations(rows, conversations.repair(conversations.damage(rows)))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination, "op12_repair_conversations": op12_repair_conversations}
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence phrases and the licences whose texts or notices it holds."""
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *labels, "score")
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination, "op12_repair_conversations": op12_repair_conversations, "op13_license_scan": op13_license_scan}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
