@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, cotraining, language, licenses, warc
+from . import alignment, conversations, cotraining, language, licenses, warc
 from .common import materialize
 from .decontaminate import matches
 from .fingerprints import edited
@@ -149,6 +149,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str, folder: str = "/opt/tokenizers") -> DataFrame:
+    """Every document's groups and links of two public tokenizers."""
+    found = alignment.align(_table(spark, sf_dir, "documents").select("doc_id", "text"), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's planted faults and its cheapest repair."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -162,6 +168,6 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *labels, "score")
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination, "op12_repair_conversations": op12_repair_conversations, "op13_license_scan": op13_license_scan}
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_substring_dedup": op2_substring_dedup, "op3_language_id": op3_language_id, "op4_extendible_shards": op4_extendible_shards, "op5_html_main_text": op5_html_main_text, "op6_exact_fingerprint": op6_exact_fingerprint, "op7_warc_roundtrip": op7_warc_roundtrip, "op8_quality_cotraining": op8_quality_cotraining, "op9_jaccard_join": op9_jaccard_join, "op10_decontamination": op10_decontamination, "op11_align_tokenizers": op11_align_tokenizers, "op12_repair_conversations": op12_repair_conversations, "op13_license_scan": op13_license_scan}
 
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_extendible_shards": OP4_SQL, "op7_warc_roundtrip": OP7_SQL, "op9_jaccard_join": OP9_SQL}
