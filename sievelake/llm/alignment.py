@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import re
 
@@ -30,7 +31,7 @@ WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205
 #: The A tokenizer's words, as stated for its vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STEPS = 1 << 16
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 LONG_SPACE = re.compile(r"\s{1000}")
 
 
@@ -67,6 +68,7 @@ class Tokens:
         self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
         for i, piece in self.a_bytes.items():
             self.a_sizes[i] = len(piece)
+        self.a_lengths = self.a_sizes.tolist()
         self.b_sizes = np.array([len(p) for p in self.b_bytes], np.int64)
 
     def encode_a(self, text: str) -> list[int]:
@@ -75,9 +77,9 @@ class Tokens:
         return self.a.encode_ordinary(text)
 
     def same(self, text: str, a: list[int], b: list[int]) -> bool:
-        """Whether both token sequences are the bytes of space + text."""
+        """Whether both token sequences are the bytes of space + text; a byte-level one can only lack some."""
         whole = b" " + text.encode()
-        return b"".join(self.b_bytes[i] for i in b) == whole and b"".join(self.a_bytes[i] for i in a) == whole
+        return b"".join(map(self.b_bytes.__getitem__, b)) == whole and sum(map(self.a_lengths.__getitem__, a)) == len(whole)
 
 
 @functools.lru_cache(maxsize=2)
@@ -175,7 +177,7 @@ class Aligned:
         a = [x if g else [] for x, g in zip(a, self.good)]
         b = [x if g else [] for x, g in zip(b, self.good)]
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        ids = [np.fromiter((i for x in side for i in x), np.int64, int(n.sum())) for side, n in ((a, self.n_a), (b, self.n_b))]
+        ids = [np.fromiter(itertools.chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, self.n_a), (b, self.n_b))]
         ends = [np.cumsum(sizes[x]) for sizes, x in zip((known.a_sizes, known.b_sizes), ids)]
         cuts = merge_path(*ends, steps)
         links_a, links_b, common = [], [], []
