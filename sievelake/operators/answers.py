@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import Fold, running_values
+
 
 def latest_answer(log: DataFrame, keys: list[str], seq: str, ok: Column) -> DataFrame:
     """Per key the last successful row; if there is none, the first failed one."""
@@ -69,24 +71,23 @@ def failed_checks(log: DataFrame, problems: str, model: str, models: list[str])
 
 def budget_cut(log: DataFrame, run: str, seq: str, cost: str, budget: float) -> DataFrame:
     """Rows that start before the run's cumulative cost reaches the budget."""
-    spent = F.coalesce(F.sum(cost).over(Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return log.withColumn("spent_before", spent).where(F.col("spent_before") < budget)
+    spent = running_values(log, [run], [seq], {"spent_before": Fold("sum", F.col(cost), inclusive=False)})
+    return spent.withColumn("spent_before", F.coalesce("spent_before", F.lit(0.0))).where(F.col("spent_before") < budget)
 
 
 def log_runs(lines: DataFrame, file: str, line: str, starts: Column) -> DataFrame:
     """Adds run: how many start lines the file has up to this line."""
-    return lines.withColumn("run", F.sum(F.when(starts, 1).otherwise(0)).over(Window.partitionBy(file).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)))
+    return running_values(lines, [file], [line], {"run": Fold("sum", F.when(starts, 1).otherwise(0))})
 
 
 def cooldown_answers(log: DataFrame, keys: list[str], seq: str, ts: str, warning: Column, result: Column, cooldown: int = 1020) -> DataFrame:
     """Result rows with answered: no warning since the previous result, and after the end of the last cooldown."""
-    order = Window.partitionBy(*keys).orderBy(seq)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    marked = log.withColumns({"_w": F.when(warning, F.col(seq)), "_r": F.when(result, F.col(seq)), "_t": F.when(warning, F.col(ts))})
-    marked = marked.withColumns({"_lw": F.max("_w").over(before), "_lr": F.max("_r").over(before), "_lt": F.last("_t", ignorenulls=True).over(before)})
+    marked = log.withColumns({"_warning": F.coalesce(warning, F.lit(False)), "_result": F.coalesce(result, F.lit(False))})
+    before = lambda kind, when, what: Fold(kind, F.when(F.col(when), F.col(what)), inclusive=False)
+    marked = running_values(marked, keys, [seq], {"_lw": before("max", "_warning", seq), "_lr": before("max", "_result", seq), "_lt": before("last", "_warning", ts)})
     quiet = F.col("_lw").isNull() | (F.coalesce(F.col("_lr"), F.lit(-1)) > F.col("_lw"))
     over = F.col("_lt").isNull() | (F.col(ts) >= F.col("_lt") + F.make_dt_interval(secs=F.lit(cooldown)))
-    return marked.where(result).withColumn("answered", quiet & over).drop("_w", "_r", "_t", "_lw", "_lr", "_lt")
+    return marked.where("_result").withColumn("answered", quiet & over).drop("_warning", "_result", "_lw", "_lr", "_lt")
 
 
 def lookup_evidence(results: DataFrame, keys: list[str], seq: str, answered: str) -> DataFrame:

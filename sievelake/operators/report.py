@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import count_in_ranges
+
 
 def with_share(counts: DataFrame, n: str) -> DataFrame:
     """Adds share: ``n`` over the sum of all, which is one row."""
@@ -128,3 +130,14 @@ def paraphrase_stats(rows: DataFrame, group: str, original: str, formula: str, k
         F.count_distinct(F.when(k, F.col(original))).alias("originals"), F.count_distinct(F.when(k, F.col(formula))).alias("formulas"), F.count_if(k).alias("kept"), F.count_if(~k).alias("dropped"),
         F.count_if(k & F.col(missing)).alias("missing_symbol"), F.avg(F.when(k, F.col(difference))).alias("word_difference"),
     )
+
+
+def eval_coverage(entries: DataFrame, marks: DataFrame, requirements: DataFrame, keys: list[str], id: str, start: str, end: str, pos: str) -> DataFrame:
+    """(state, requirement, n): labelled entries by whether they lie in a region (null bounds: none) and are marked there, and
+    whether they have requirements and all of them stand in the region of the marked entry."""
+    found = entries.join(count_in_ranges(entries, marks, keys, id, start, end, pos).withColumnRenamed("n", "_marks"), id)
+    found = found.join(count_in_ranges(entries, requirements, keys, id, start, end, pos).withColumnRenamed("n", "_inside"), id)
+    found = found.join(requirements.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wanted")), keys, "left")
+    state = F.when(F.col(start).isNull(), "in no region").when(F.col("_marks") > 0, "marked").otherwise("inside, not marked")
+    wanted = F.when(F.col("_wanted").isNull(), "none").when((state == "marked") & (F.col("_inside") == F.col("_wanted")), "inside").otherwise("outside")
+    return found.groupBy(state.alias("state"), wanted.alias("requirement")).agg(F.count(F.lit(1)).alias("n"))

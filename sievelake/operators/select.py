@@ -49,13 +49,14 @@ def stable_sample(df: DataFrame, id: str, n: int, seed: str = "0") -> DataFrame:
 def quota_sample(df: DataFrame, id: str, classes: list[tuple[str, Column, int]], total: int, seed: str = "0") -> DataFrame:
     """A quota of rows of each class (a row belongs to the first that fits), the rest up to ``total`` from all others."""
     name = F.coalesce(*(F.when(fits, F.lit(c)) for c, fits, _ in classes), F.lit("rest"))
-    rank = F.row_number().over(Window.partitionBy("_class").orderBy(seeded(seed, id), id))
-    ranked = df.withColumn("_class", name).withColumn("_rank", rank)
-    quota = F.coalesce(*(F.when(F.col("_class") == c, F.lit(q)) for c, _, q in classes), F.lit(0))
-    chosen = ranked.where(F.col("_rank") <= quota)
+    named, order = df.withColumn("class", name), (seeded(seed, id), F.col(id))
+    chosen = None
+    for c, _, quota in classes:  # a limit of each class: every task gives its first rows only
+        part = named.where(F.col("class") == c).orderBy(*order).limit(quota)
+        chosen = part if chosen is None else chosen.unionByName(part)
     left = total - sum(q for _, _, q in classes)
-    rest = df.join(chosen.select(id), id, "left_anti").orderBy(seeded(seed, id), id).limit(max(left, 0)).withColumn("_class", F.lit("rest"))
-    return chosen.drop("_rank").unionByName(rest).withColumnRenamed("_class", "class")
+    rest = df.join(chosen.select(id), id, "left_anti").orderBy(*order).limit(max(left, 0)).withColumn("class", F.lit("rest"))
+    return chosen.unionByName(rest)
 
 
 def first_n(df: DataFrame, group: list[str], order: list[Column | str], n: int) -> DataFrame:

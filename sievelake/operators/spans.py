@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+from .scans import Fold, ranges, running, running_values
 from .select import number_rows
 
 
@@ -26,33 +28,39 @@ def asof_heading(points: DataFrame, headings: DataFrame, keys: list[str], pos: s
     p = points.withColumns({"_k": F.lit(1), level: F.lit(None).cast("int"), title: F.lit(None).cast("string")})
     h = headings.select(*keys, pos, level, title).withColumn("_k", F.lit(0))
     both = p.unionByName(h, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(pos, "_k").rowsBetween(Window.unboundedPreceding, 0)
+    folds: dict[str, Fold] = {}
     for i in range(levels):
-        mine = F.when(F.col(level) == i, F.struct(F.col(pos).alias("at"), F.col(title).alias("t")))
-        both = both.withColumns({f"_h{i}": F.last(mine, ignorenulls=True).over(w), f"_r{i}": F.max(F.when(F.col(level) < i, F.col(pos))).over(w)})
+        folds[f"_h{i}"] = Fold("last", F.when(F.col(level) == i, F.struct(F.col(pos).alias("at"), F.col(title).alias("t"))))
+        folds[f"_r{i}"] = Fold("max", F.when(F.col(level) < i, F.col(pos)))
+    both = running_values(both, keys, [pos, "_k"], folds)
     path = F.array_compact(F.array(*(F.when(F.col(f"_r{i}").isNull() | (F.col(f"_h{i}.at") >= F.col(f"_r{i}")), F.col(f"_h{i}.t")) for i in range(levels))))
     return both.where("_k = 1").withColumn("section", path).select(*points.columns, "section")
 
 
 def page_context(pages: DataFrame, doc: str, page: str, text: str, around: int = 1500) -> DataFrame:
     """Page text with the end of the page before and the start of the next, and the offset where the page begins."""
-    w = Window.partitionBy(doc).orderBy(page)
-    before, after = F.coalesce(F.right(F.lag(text).over(w), F.lit(around)), F.lit("")), F.coalesce(F.left(F.lead(text).over(w), F.lit(around)), F.lit(""))
-    return pages.withColumns({"context": F.concat(before, F.coalesce(F.col(text), F.lit("")), after), "offset": F.length(before).cast("long")})
+    dealt = ranges(pages, [doc], [page])
+    ends = Fold("last", F.right(F.coalesce(F.col(text), F.lit("")), F.lit(around)), inclusive=False)
+    starts = Fold("last", F.left(F.coalesce(F.col(text), F.lit("")), F.lit(around)), inclusive=False)
+    found = running(running(dealt, [doc], [page], {"_before": ends}), [doc], [page], {"_after": starts}, backward=True)
+    before, after = F.coalesce("_before", F.lit("")), F.coalesce("_after", F.lit(""))
+    return found.withColumns({"context": F.concat(before, F.coalesce(F.col(text), F.lit("")), after), "offset": F.length(before).cast("long")}).drop("_before", "_after", "_range")
 
 
 def merge_windows(windows: DataFrame, keys: list[str], start: str, end: str, gap: int = 200, most: int = 15) -> DataFrame:
     """(keys, run, chunk, start, end, n): windows that start within ``gap`` of the run's end so far form one run; a run of
     more than ``most`` is split into equal chunks."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    runs = windows.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach + gap), 1).otherwise(0))
-    runs = runs.withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rank = F.row_number().over(Window.partitionBy(*keys, "run").orderBy(start, end)) - 1
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, "run"))
-    chunks = F.ceil(size / most)
-    runs = runs.withColumn("chunk", F.floor(rank * chunks / size))
-    return runs.groupBy(*keys, "run", "chunk").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
+    order = [start, end]
+    found = running(ranges(windows, keys, order), keys, order, {"_reach": Fold("max", F.col(end), inclusive=False), "_n": Fold("sum", F.lit(1))})
+    fresh = F.col("_reach").isNull() | (F.col(start) > F.col("_reach") + gap)
+    found = materialize(found.withColumn("_new", F.when(fresh, F.col("_n"))).drop("_reach"), "windows")
+    order = [*order, "_n"]  # rows of equal bounds keep their place from here on
+    # a run goes from its first row's number to the next run's
+    found = materialize(running(found, keys, order, {"run": Fold("sum", F.when(F.col("_new").isNotNull(), 1)), "_first": Fold("last", F.col("_new"))}), "windows")
+    found = running(found, keys, order, {"_next": Fold("last", F.col("_new"), inclusive=False), "_all": Fold("max", F.col("_n"))}, backward=True)
+    size = F.coalesce("_next", F.col("_all") + 1) - F.col("_first")
+    chunk = F.floor((F.col("_n") - F.col("_first")) * F.ceil(size / most) / size)
+    return found.withColumn("chunk", chunk).groupBy(*keys, "run", "chunk").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
 
 
 def snapped_window(start: Column, end: Column, length: Column, breaks: Column, before: int = 2000, after: int = 3000, snap: int = 600) -> Column:
@@ -63,12 +71,6 @@ def snapped_window(start: Column, end: Column, length: Column, breaks: Column, b
     return F.struct(F.coalesce(low, lo).alias("lo"), F.coalesce(high, hi).alias("hi"))
 
 
-def nearest(entries: DataFrame, occurrences: DataFrame, keys: list[str], id: str, order: list[Column], value: list[str]) -> DataFrame:
-    """Per entry the occurrence of its group that is least by the given order."""
-    both = entries.join(occurrences, keys)
-    return both.groupBy(id).agg(F.min_by(F.struct(*value), F.struct(*order)).alias("_v")).select(id, "_v.*")
-
-
 def quantile_at(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Per group the value at index int(q * (n - 1)) of the sorted values, by rank: no group is collected."""
     ranked = number_rows(df.where(F.col(value).isNotNull()), group, [value], "_i")

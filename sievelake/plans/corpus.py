@@ -10,6 +10,7 @@ from ..functions import text as T
 from ..operators import graph as G
 from ..operators import records as R
 from ..operators import report as P
+from ..operators import scans as C
 from ..operators import select as S
 from ..operators import spans as N
 from ..operators import votes as V
@@ -485,11 +486,13 @@ def j14_asof_heading(t):
     return found.select("event_id", F.array_join("section", "/").alias("section"))
 
 
-@query("""SELECT a.event_id, arg_min(b.event_id, (abs(b.value - a.value), b.event_id)) AS nearest FROM events a JOIN events b ON a.user_id = b.user_id AND a.props = b.props AND b.event_type = 'click' WHERE a.event_type = 'purchase' GROUP BY a.event_id""")
+@query("""SELECT a.event_id, arg_min(b.event_id, (abs(b.value - a.value), abs(b.event_id - a.event_id), b.event_id)) AS nearest FROM events a JOIN events b ON a.user_id = b.user_id AND a.props = b.props AND b.event_type = 'click' WHERE a.event_type = 'purchase' GROUP BY a.event_id""")
 def j15_nearest_occurrence(t):
+    """The click of each purchase's user and props that is nearest by value, then by place in the log."""
     e = t.events.select("event_id", "user_id", "props", "value", "event_type")
-    a, b = e.where("event_type = 'purchase'").drop("event_type"), e.where("event_type = 'click'").select("user_id", "props", F.col("event_id").alias("nearest"), F.col("value").alias("v"))
-    return N.nearest(a, b, ["user_id", "props"], "event_id", [F.abs(F.col("v") - F.col("value")), F.col("nearest")], ["nearest"])
+    a = e.where("event_type = 'purchase'").select("event_id", F.col("event_id").alias("place"), "user_id", "props", "value")
+    b = e.where("event_type = 'click'").select("user_id", "props", F.col("event_id").alias("nearest"), F.col("event_id").alias("at"), F.col("value").alias("v"))
+    return C.nearest(a, b, ["user_id", "props"], "event_id", [("value", "v"), ("place", "at")], "nearest")
 
 
 @query("SELECT l_orderkey, bool_or(l_returnflag = 'R') AS concrete, count(*)::BIGINT AS operators FROM lineitem GROUP BY l_orderkey")

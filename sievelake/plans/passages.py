@@ -149,16 +149,17 @@ def t1_ingest_answers(t):
 
 
 @query("""WITH s AS (SELECT user_id, event_id AS a, event_id + 900 AS b FROM events WHERE event_type = 'signup' AND value < 20), e AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'purchase'),
-x AS (SELECT e.*, min(s.a) AS a FROM e LEFT JOIN s ON s.user_id = e.user_id AND s.a <= e.event_id AND e.event_id < s.b GROUP BY ALL)
-SELECT CASE WHEN a IS NULL THEN 'in no region' WHEN EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = x.user_id AND c.props = x.props AND c.event_id >= a AND c.event_id < a + 900) THEN 'marked' ELSE 'inside, not marked' END AS state, count(*)::BIGINT AS n FROM x GROUP BY ALL""")
+x AS (SELECT e.*, min(s.a) AS a FROM e LEFT JOIN s ON s.user_id = e.user_id AND s.a <= e.event_id AND e.event_id < s.b GROUP BY ALL),
+r AS (SELECT x.event_id, count(*) AS n, count(*) FILTER (v.event_id >= a AND v.event_id < a + 900) AS inside FROM x JOIN events v ON v.event_type = 'view' AND v.user_id = x.user_id AND v.props = x.props GROUP BY 1),
+y AS (SELECT CASE WHEN a IS NULL THEN 'in no region' WHEN EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = x.user_id AND c.props = x.props AND c.event_id >= a AND c.event_id < a + 900) THEN 'marked' ELSE 'inside, not marked' END AS state, r.n, r.inside FROM x LEFT JOIN r USING (event_id))
+SELECT state, CASE WHEN n IS NULL THEN 'none' WHEN state = 'marked' AND inside = n THEN 'inside' ELSE 'outside' END AS requirement, count(*)::BIGINT AS n FROM y GROUP BY ALL""")
 def a36_eval_coverage(t):
+    """Purchases as labelled formulas: in a region, marked there by a click, and with all their requirements (views) in it."""
     e = t.events.select("event_id", "user_id", "props", "event_type", "value")
     spans = e.where("event_type = 'signup' and value < 20").select("user_id", F.col("event_id").alias("a"), (F.col("event_id") + 900).alias("b"))
     entries = point_in_interval(e.where("event_type = 'purchase'").select("user_id", "props", F.col("event_id").alias("pos")), spans, ["user_id"], "pos", "a", "b")
-    marks = e.where("event_type = 'click'").select("user_id", "props", F.col("event_id").alias("mark"))
-    found = entries.join(marks, ["user_id", "props"], "left").groupBy("user_id", "pos", "a").agg(F.max(F.coalesce((F.col("mark") >= F.col("a")) & (F.col("mark") < F.col("b")), F.lit(False))).alias("marked"))
-    state = F.when(F.col("a").isNull(), "in no region").when(F.col("marked"), "marked").otherwise("inside, not marked")
-    return found.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    of = lambda kind: e.where(F.col("event_type") == kind).select("user_id", "props", F.col("event_id").alias("mark"))
+    return P.eval_coverage(entries, of("click"), of("view"), ["user_id", "props"], "pos", "a", "b", "mark")
 
 
 @query("SELECT event_id, CASE WHEN value > 80 THEN '\\phi := ' ELSE '' END || 'G_{[0, ' || (props->>'$.k') || ']} ' || event_type || CASE WHEN value > 80 THEN ' rest ' ELSE '' END AS formula, value <= 80 AS found FROM events")
