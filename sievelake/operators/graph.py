@@ -51,18 +51,21 @@ def merge_groups(keys: DataFrame, id: str, key: str) -> DataFrame:
     return every.join(found, every[id] == found["node"], "left").select(id, F.coalesce("component", id).alias("component"))
 
 
-def pick_representative(df: DataFrame, component: str, id: str, preference: list[Column]) -> DataFrame:
-    """(component, kept): the record that is best by the preferences, in order, then smallest by id."""
-    return df.groupBy(component).agg(F.max_by(id, F.struct(*preference, (-F.col(id)).alias("_id"))).alias("kept"))
+def extend_components(labels: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component) that change or come in when edges are added to stored components; all other labels stay.
 
-
-def upsert_match(incoming: DataFrame, known: DataFrame, new: str, old: str, key_type: str, key: str, priority: list[str]) -> DataFrame:
-    """(new, old, matched_by): the known record an incoming one belongs to by its strongest matching key type."""
-    rank = F.coalesce(*(F.when(F.col(key_type) == t, F.lit(i)) for i, t in enumerate(priority)))
-    known = known.groupBy(key_type, key).agg(F.min(old).alias(old))  # a key that many records share leads to the smallest
-    both = incoming.select(new, key_type, key).join(known, [key_type, key]).withColumn("_rank", rank).where("_rank is not null")
-    best = both.groupBy(new).agg(F.min_by(F.struct(old, key_type), F.struct("_rank", old)).alias("_m"))
-    return incoming.select(new).distinct().join(best, new, "left").select(new, F.col(f"_m.{old}").alias(old), F.col(f"_m.{key_type}").alias("matched_by"))
+    Edges are lifted to the components of their ends, so the work grows with the new edges and the components they join, not
+    with the graph. ``labels`` should be a written table. Edges with a null end connect nothing.
+    """
+    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    ends = materialize(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    found = materialize(ends.join(labels, "node", "left").select("node", "component"), "found")
+    at = found.select("node", F.coalesce("component", "node").alias("top"))
+    lifted = edges.join(at.withColumnsRenamed({"node": "a", "top": "x"}), "a").join(at.withColumnsRenamed({"node": "b", "top": "y"}), "b")
+    moves = materialize(connected(lifted, "x", "y").where("node != component").select(F.col("node").alias("component"), F.col("component").alias("_to")), "moves")
+    moved = labels.join(moves, "component").select("node", F.col("_to").alias("component"))
+    fresh = found.where("component is null").select("node").join(moves.select(F.col("component").alias("node"), "_to"), "node", "left").select("node", F.coalesce("_to", "node").alias("component"))
+    return moved.unionByName(fresh)
 
 
 def remap_ids(df: DataFrame, id: str, parents: str, mapping: DataFrame, old: str, kept: str) -> DataFrame:
@@ -100,10 +103,18 @@ def apply_lookups(papers: DataFrame, answers: DataFrame, id: str, service: str,
     """Answers recorded as a map; a gained link turns an unavailable paper into a pending one."""
     got = answers.groupBy(id).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(service, status)))).alias("lookups"), F.min(link).alias("_link"))
     merged = papers.join(got, id, "left")
-    return merged.withColumns({
-        link: F.coalesce(F.col(f"{link}_known"), F.col("_link")),
-        state: F.when((F.col(state) == "unavailable") & F.col(f"{link}_known").isNull() & F.col("_link").isNotNull(), "pending").otherwise(F.col(state)),
-    }).drop("_link", f"{link}_known")
+    gained = F.col(f"{link}_known").isNull() & F.col("_link").isNotNull()
+    return merged.withColumns({link: F.coalesce(F.col(f"{link}_known"), F.col("_link")), state: F.when((F.col(state) == "unavailable") & gained, "pending").otherwise(F.col(state)), "gained": gained}).drop("_link", f"{link}_known")
+
+
+def duplicates_by_owner(papers: DataFrame, id: str, link: str, gained: str, labels: DataFrame) -> DataFrame:
+    """(node, component) that change because a gained link is another paper's: the two are one work.
+
+    The owner is the smallest paper that had the link before, else the smallest that gained it.
+    """
+    owners = materialize(papers.where(F.col(link).isNotNull()).groupBy(link).agg(F.min_by(id, F.struct(gained, id)).alias("_owner"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "owners")
+    edges = papers.where(gained).select(id, link).join(owners, link).where(F.col(id) != F.col("_owner"))
+    return extend_components(labels, edges, id, "_owner")
 
 
 def sync_status(papers: DataFrame, files: DataFrame, id: str, state: str, kind: str, size: str, least_pdf: int = 1024) -> DataFrame:

@@ -31,6 +31,20 @@ def collect_locations(df: DataFrame, keys: list[str], order: list[str], location
     return ranked.where("_rank = 1").drop("_rank", "_loc").join(later, keys, "left").withColumn("also_at", F.coalesce("also_at", F.array()))
 
 
+def ordered_union(df: DataFrame, group: str, values: str, place: str) -> DataFrame:
+    """(group, values): distinct elements of a group's arrays, by the first row (by ``place``) and position that hold them."""
+    each = df.select(group, F.col(place).alias("_place"), F.posexplode(values).alias("_i", "_v")).where("_v is not null")
+    first = each.groupBy(group, "_v").agg(F.min(F.struct("_place", "_i")).alias("_at"))
+    return first.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_v"))), lambda x: x["_v"]).alias(values))
+
+
+def merged_lookups(df: DataFrame, group: str, lookups: str, place: str, none: str = "no_answer") -> DataFrame:
+    """(group, lookups): per service the answer of the first row (by ``place``) that has one; ``none`` only where no row has."""
+    each = df.select(group, F.col(place).alias("_place"), F.explode(lookups).alias("_service", "_status"))
+    best = each.groupBy(group, "_service").agg(F.min_by("_status", F.struct((F.col("_status") == none), "_place")).alias("_status"))
+    return best.groupBy(group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_service", "_status")))).alias(lookups))
+
+
 def drop_if_paired(unpaired: DataFrame, paired: DataFrame, keys: list[str], id: str, pos: str) -> DataFrame:
     """Adds reason: names the last paired record with the same keys; null where there is none."""
     last = paired.groupBy(*keys).agg(F.max_by(id, F.struct(pos, id)).alias("_paired"))

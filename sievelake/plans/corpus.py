@@ -14,6 +14,9 @@ from ..operators import scans as C
 from ..operators import select as S
 from ..operators import spans as N
 from ..operators import votes as V
+from ..scratch import materialize, scratch_path
+from ..sources.buckets import BucketStore
+from ..operators import catalogue as K
 from .registry import Tables, query
 
 NAMED = [("mit", r"(?i)MIT License"), ("apache-2.0", r"(?i)Apache License"), ("gpl", r"(?i)GNU General Public"), *L.PATTERNS]
@@ -211,14 +214,24 @@ def s5_sync_inventory(t):
     return G.sync_status(known, files, "paper", "state", "kind", "size")
 
 
-@query(f"""WITH {LOOKUPS_SQL}, g AS (SELECT paper, count(*) AS n, min('u' || paper) FILTER (status = 'found') AS link FROM look GROUP BY paper)
-SELECT c_custkey AS paper, coalesce(n, 0)::BIGINT AS answered, CASE WHEN c_custkey % 2 = 0 THEN 'known' ELSE link END AS link, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 != 0 AND link IS NOT NULL THEN 'pending' WHEN c_custkey % 3 = 0 THEN 'unavailable' ELSE 'pending' END AS state FROM customer LEFT JOIN g ON paper = c_custkey""")
+@query(f"""WITH RECURSIVE {LOOKUPS_SQL}, links AS (SELECT o_custkey AS paper, min('u' || (o_orderkey % 400)) FILTER (o_orderstatus = 'F') AS link FROM orders GROUP BY 1),
+g AS (SELECT paper, count(*) AS n FROM look GROUP BY paper),
+p AS (SELECT c_custkey AS paper, coalesce(n, 0) AS answered, c_custkey % 2 != 0 AND link IS NOT NULL AS gained, CASE WHEN c_custkey % 2 = 0 THEN 'u' || c_custkey ELSE link END AS link,
+  CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 != 0 AND link IS NOT NULL THEN 'pending' WHEN c_custkey % 3 = 0 THEN 'unavailable' ELSE 'pending' END AS state FROM customer LEFT JOIN g ON g.paper = c_custkey LEFT JOIN links l ON l.paper = c_custkey),
+o AS (SELECT link, arg_min(paper, (gained, paper)) AS owner FROM p WHERE link IS NOT NULL GROUP BY link),
+e AS (SELECT paper AS a, owner AS b FROM p JOIN o USING (link) WHERE gained AND paper != owner UNION SELECT c_custkey, c_custkey - c_custkey % 10 FROM customer WHERE c_custkey % 10 IN (1, 2)),
+two AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(a, b) AS (SELECT a, b FROM two UNION SELECT r.a, t.b FROM reach r JOIN two t ON r.b = t.a), c AS (SELECT a, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT paper, answered::BIGINT AS answered, link, state, coalesce(component, paper) AS same_work FROM p LEFT JOIN c ON a = paper""")
 def j5_apply_lookups(t):
+    """Answers of lookups; a paper that gains a link that another one owns becomes one work with it, beside works that are known to be one."""
     c = F.col("c_custkey")
-    known = t.customer.select(c.alias("paper"), F.when(c % 2 == 0, "known").alias("link_known"), F.when(c % 3 == 0, "unavailable").otherwise("pending").alias("state"))
-    answers = lookups(t).withColumn("link", F.when(F.col("status") == "found", F.concat(F.lit("u"), F.col("paper").cast("string"))))
-    merged = G.apply_lookups(known, answers, "paper", "service", "status", "link", "state")
-    return merged.select("paper", F.coalesce(F.size(F.map_keys("lookups")), F.lit(0)).cast("long").alias("answered"), "link", "state")
+    known = t.customer.select(c.alias("paper"), F.when(c % 2 == 0, F.concat(F.lit("u"), c.cast("string"))).alias("link_known"), F.when(c % 3 == 0, "unavailable").otherwise("pending").alias("state"))
+    links = t.orders.where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("paper")).agg(F.min(F.concat(F.lit("u"), (F.col("o_orderkey") % 400).cast("string"))).alias("link"))
+    merged = materialize(G.apply_lookups(known, lookups(t).join(links, "paper", "left"), "paper", "service", "status", "link", "state"), "lookups")
+    stored = G.connected(t.customer.where("c_custkey % 10 in (1, 2)").select("c_custkey", (F.col("c_custkey") - F.col("c_custkey") % 10).alias("kept")), "c_custkey", "kept")
+    changed = materialize(G.duplicates_by_owner(merged, "paper", "link", "gained", stored), "labels")
+    labels = stored.join(changed.select("node"), "node", "left_anti").unionByName(changed).withColumnRenamed("node", "paper")
+    return merged.join(labels, "paper", "left").select("paper", F.coalesce(F.size(F.map_keys("lookups")), F.lit(0)).cast("long").alias("answered"), "link", "state", F.coalesce("component", "paper").alias("same_work"))
 
 
 KEYS_SQL = "keys AS (SELECT doc_id, 1 AS p, md5(text) AS key FROM documents UNION ALL SELECT doc_id, 2, split_part(text, chr(10), 1) FROM documents WHERE length(split_part(text, chr(10), 1)) > 15)"
@@ -229,12 +242,52 @@ def keys(t: Tables):
     return d.select("doc_id", F.lit("hash").alias("type"), F.md5(F.col("text").cast("binary")).alias("key")).unionByName(d.where(F.char_length(F.substring_index("text", "\n", 1)) > 15).select("doc_id", F.lit("title").alias("type"), F.substring_index("text", "\n", 1).alias("key")))
 
 
-@query(f"""WITH {KEYS_SQL}, m AS (SELECT a.doc_id AS new, b.doc_id AS old, a.p FROM keys a JOIN keys b ON a.p = b.p AND a.key = b.key WHERE a.doc_id % 2 = 1 AND b.doc_id % 2 = 0),
-best AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY new ORDER BY p, old) = 1)
-SELECT d.doc_id AS new, old, CASE p WHEN 1 THEN 'hash' WHEN 2 THEN 'title' END AS matched_by FROM documents d LEFT JOIN best ON d.doc_id = new WHERE d.doc_id % 2 = 1""")
+#: Documents as papers: even ones are known, odd ones come in. Copies share an arXiv id or a DOI, some ids are aliases.
+PAPER_SQL = """SELECT doc_id, split_part(text, chr(10), 1) AS title, md5(text) AS h, n_chars,
+CASE WHEN doc_id % 2 = 0 THEN CASE WHEN doc_id % 4 = 0 THEN 'W' ELSE 'V' END || doc_id WHEN doc_id % 16 = 1 THEN 'W' || (doc_id - 1) ELSE 'P' || doc_id END AS paper_id,
+CASE WHEN doc_id % 3 = 0 OR doc_id % 7 = 1 THEN left(md5(text), 12) END AS arxiv_id, CASE WHEN doc_id % 5 < 2 THEN CASE WHEN doc_id % 2 = 0 THEN '10.A/' ELSE '10.a/' END || left(md5(text), 10) END AS doi,
+CASE WHEN doc_id % 8 = 0 THEN 'P' || (doc_id + 1) END AS alias, CASE doc_id % 3 WHEN 0 THEN 'no_answer' WHEN 1 THEN 'found' ELSE 'not_found' END AS answer, 'W' || (4 * (doc_id % 50)) AS parent FROM documents"""
+
+
+def paper_rows(t: Tables):
+    """Documents as rows of a catalogue, with seq."""
+    d, one = F.col("doc_id"), lambda c: F.array_compact(F.array(c))
+    name = lambda p, n: F.concat(F.lit(p), n.cast("string"))
+    h, none = F.md5(F.col("text").cast("binary")), F.array().cast("array<string>")
+    return t.documents.select(
+        d.alias("seq"), F.when(d % 4 == 0, name("W", d)).when(d % 2 == 0, name("V", d)).when(d % 16 == 1, name("W", d - 1)).otherwise(name("P", d)).alias("paper_id"), F.when((d % 3 == 0) | (d % 7 == 1), F.left(h, F.lit(12))).alias("arxiv_id"),
+        F.when(d % 5 < 2, F.concat(F.when(d % 2 == 0, "10.A/").otherwise("10.a/"), F.left(h, F.lit(10)))).alias("doi"), F.substring_index("text", "\n", 1).alias("title"), one(F.when(d % 8 == 0, name("P", d + 1))).alias("alternate_ids"),
+        none.alias("alternate_dois"), F.col("n_chars").cast("long").alias("cited_by"), (d % 2 == 0).alias("is_oa"), F.array("lang").alias("methods"), (d % 4).cast("int").alias("hop"), F.array(name("W", 4 * (d % 50))).alias("parent_ids"),
+        F.array("source").alias("pdf_mirrors"), F.create_map(F.lit("s"), F.when(d % 3 == 0, "no_answer").when(d % 3 == 1, "found").otherwise("not_found")).alias("lookups"), F.lit("pending").alias("status"),
+    )
+
+
+@query(f"""WITH RECURSIVE p AS ({PAPER_SQL}), n AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN '0:' || paper_id ELSE '1:' || lpad(doc_id::VARCHAR, 20, '0') END AS paper, regexp_replace(lower(title), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+', '', 'g') AS nt FROM p),
+k AS (SELECT paper, doc_id % 2 = 0 AS known, r, key FROM (SELECT paper, doc_id, unnest([0, 1, 1, 2, 3, 4]) AS r, unnest([paper_id, CASE WHEN doc_id % 2 = 0 THEN alias END, CASE WHEN doc_id % 2 = 1 THEN paper_id END, arxiv_id, lower(doi), CASE WHEN length(nt) >= 16 THEN nt END]) AS key FROM n) WHERE key IS NOT NULL AND key != ''),
+owner AS (SELECT r, key, min(paper) AS owner FROM k WHERE known GROUP BY ALL),
+m AS (SELECT paper, r, owner FROM k JOIN owner USING (r, key) WHERE NOT known QUALIFY row_number() OVER (PARTITION BY paper ORDER BY r, owner) = 1),
+br AS (SELECT m.paper, m.owner, n.arxiv_id AS key FROM m JOIN n USING (paper) JOIN n o ON o.paper = m.owner WHERE m.r != 2 AND o.arxiv_id IS NULL AND n.arxiv_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY m.owner ORDER BY m.paper) = 1),
+alone AS (SELECT paper FROM n WHERE doc_id % 2 = 1 AND paper NOT IN (SELECT paper FROM m)),
+held AS (SELECT paper, r, key FROM k WHERE paper IN (SELECT paper FROM alone) AND r != 1 UNION ALL SELECT paper, 2, key FROM br), lead AS (SELECT r, key, min(paper) AS leader FROM held GROUP BY ALL),
+led AS (SELECT k.paper, leader FROM k JOIN lead USING (r, key) WHERE k.paper IN (SELECT paper FROM alone) AND leader < k.paper QUALIFY row_number() OVER (PARTITION BY k.paper ORDER BY r, leader) = 1),
+e AS (SELECT paper AS a, owner AS b FROM m UNION SELECT paper, leader FROM led UNION SELECT br.owner, o.owner FROM br JOIN owner o ON o.r = 2 AND o.key = br.key WHERE br.owner != o.owner),
+two AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(a, b) AS (SELECT a, b FROM two UNION SELECT x.a, t.b FROM reach x JOIN two t ON x.b = t.a), comp AS (SELECT a AS paper, least(a, min(b)) AS c FROM reach GROUP BY a),
+g AS (SELECT n.*, coalesce(c, paper) AS c, doc_id % 2 = 0 AS known FROM n LEFT JOIN comp USING (paper)),
+top AS (SELECT c, arg_max(paper, (known, CASE WHEN known THEN starts_with(paper_id, 'W') END, CASE WHEN known THEN doi IS NOT NULL END, CASE WHEN known THEN n_chars END, CASE WHEN known THEN paper_id ELSE lpad((1000000000 - doc_id)::VARCHAR, 12, '0') END)) AS kept FROM g GROUP BY c),
+w AS (SELECT g.*, kept, k.paper_id AS kept_id, known OR g.paper = kept AS base FROM g JOIN top USING (c) JOIN n k ON k.paper = kept),
+d AS (SELECT paper_id AS old, kept_id FROM w WHERE known AND paper_id != kept_id),
+par AS (SELECT c, kept_id, string_agg(DISTINCT coalesce(d.kept_id_d, w.parent), ',' ORDER BY coalesce(d.kept_id_d, w.parent)) FILTER (coalesce(d.kept_id_d, w.parent) != w.kept_id) AS parents FROM w LEFT JOIN (SELECT old, kept_id AS kept_id_d FROM d) d ON d.old = w.parent GROUP BY ALL),
+out AS (SELECT c, kept_id AS paper_id, arg_min(arxiv_id, (paper != kept, NOT known, paper)) FILTER (arxiv_id IS NOT NULL) AS arxiv_id, arg_min(doi, (paper != kept, NOT known, paper)) FILTER (doi IS NOT NULL AND base) AS doi, max(n_chars)::BIGINT AS cited_by, min(doc_id % 4)::INT AS hop,
+  coalesce(arg_min(answer, (paper != kept, NOT known, paper)) FILTER (answer != 'no_answer'), 'no_answer') AS answer, list_concat(list(alias) FILTER (base AND alias IS NOT NULL), list(paper_id) FILTER (paper_id != kept_id)) AS aliases, count(*)::BIGINT AS n FROM w GROUP BY ALL)
+SELECT paper_id, arxiv_id, doi, cited_by, hop, answer, coalesce(array_to_string(list_sort(list_distinct(aliases)), ','), '') AS aliases, coalesce(parents, '') AS parents FROM out JOIN par USING (c)""")
 def j1_upsert_papers(t):
-    k = keys(t)
-    return G.upsert_match(k.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "new"), k.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "old"), "new", "old", "type", "key", ["hash", "title"])
+    """Papers that come in, merged into a stored catalogue or added to it; the catalogue afterwards."""
+    store = BucketStore(t.spark, scratch_path(t.spark, "catalogue"), K.SCHEMA, ["paper_id"])
+    rows = paper_rows(t)
+    store.change(materialize(rows.where("seq % 2 = 0"), "known"))
+    K.upsert(store, rows.where("seq % 2 = 1"))
+    joined = lambda c: F.array_join(c, ",").alias(c.replace("alternate_ids", "aliases").replace("parent_ids", "parents"))
+    return store.read().select("paper_id", "arxiv_id", "doi", "cited_by", "hop", F.element_at("lookups", F.lit("s")).alias("answer"), joined("alternate_ids"), joined("parent_ids"))
 
 
 MERGE_SQL = f"""{KEYS_SQL}, g AS (SELECT p, key, min(doc_id) AS x FROM keys GROUP BY ALL), e AS (SELECT DISTINCT doc_id AS a, x AS b FROM keys JOIN g USING (p, key)), two AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
@@ -250,12 +303,21 @@ def j2_merge_duplicates(t):
     return merged(t)
 
 
-@query(f"""WITH RECURSIVE {MERGE_SQL}, pick AS (SELECT component, arg_max(d.doc_id, (n_chars, -d.doc_id)) AS kept, max(n_chars) AS n_chars, min(lang) AS lang, list_sort(list_distinct(list(source))) AS sources, bool_or(lang = 'en') AS any_en FROM comp JOIN documents d USING (doc_id) GROUP BY component)
-SELECT component, kept, n_chars, array_to_string(sources, ',') AS sources, any_en FROM pick""")
+@query(f"""WITH RECURSIVE {MERGE_SQL}, r AS (SELECT component, d.*, 's' || (doc_id % 3) AS service, CASE doc_id % 5 WHEN 0 THEN 'found' WHEN 1 THEN 'not_found' ELSE 'no_answer' END AS status FROM comp JOIN documents d USING (doc_id)),
+pick AS (SELECT component, arg_max(doc_id, (n_chars, -doc_id)) AS kept, max(n_chars) AS n_chars, list_sort(list_distinct(list(source))) AS sources, bool_or(lang = 'en') AS any_en FROM r GROUP BY component),
+look AS (SELECT component, string_agg(service || '=' || status, ',' ORDER BY service) AS lookups FROM (SELECT component, service, arg_min(status, (status = 'no_answer', -n_chars, doc_id)) AS status FROM r GROUP BY ALL) GROUP BY component),
+meth AS (SELECT component, string_agg(lang, ',' ORDER BY o) AS methods FROM (SELECT component, lang, min(row(-n_chars, doc_id)) AS o FROM r GROUP BY ALL) GROUP BY component)
+SELECT component, kept, n_chars, array_to_string(sources, ',') AS sources, any_en, lookups, methods FROM pick JOIN look USING (component) JOIN meth USING (component)""")
 def a1_merge_fields(t):
-    docs = t.documents.select("doc_id", "n_chars", "lang", F.array("source").alias("sources"), (F.col("lang") == "en").alias("any_en")).join(merged(t), "doc_id")
+    """Copies as one record: an answered lookup beats one without an answer, methods stay in the order of the copies."""
+    d = F.col("doc_id")
+    status = F.when(d % 5 == 0, "found").when(d % 5 == 1, "not_found").otherwise("no_answer")
+    docs = t.documents.select("doc_id", "n_chars", "lang", F.array("source").alias("sources"), (F.col("lang") == "en").alias("any_en"), F.array("lang").alias("methods"), F.create_map(F.concat(F.lit("s"), (d % 3).cast("string")), status).alias("lookups"), F.struct(-F.col("n_chars"), d).alias("place"))
+    docs = materialize(docs.join(merged(t), "doc_id"), "copies")
     out = G.merge_fields(docs.withColumn("kept", F.col("doc_id")), "component", ["sources"], ["n_chars"], ["lang"], ["any_en"], ["kept"], F.struct("n_chars", -F.col("doc_id")))
-    return out.select("component", "kept", "n_chars", F.array_join("sources", ",").alias("sources"), "any_en")
+    out = out.join(R.merged_lookups(docs, "component", "lookups", "place"), "component").join(R.ordered_union(docs, "component", "methods", "place"), "component")
+    found = F.array_join(F.transform(F.array_sort(F.map_entries("lookups")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return out.select("component", "kept", "n_chars", F.array_join("sources", ",").alias("sources"), "any_en", found.alias("lookups"), F.array_join("methods", ",").alias("methods"))
 
 
 @query("""WITH e AS (SELECT o_custkey AS paper, o_orderkey % 1500 AS parent FROM orders), m AS (SELECT c_custkey AS old, c_custkey - c_custkey % 10 AS kept FROM customer WHERE c_custkey % 10 IN (1, 2)),
