@@ -103,15 +103,16 @@ def _sketch(docs: DataFrame, width: int, bits: int, groups: int) -> np.ndarray:
     The tasks' counts are added up in two steps, first in ``groups`` groups of tasks.
     """
     chunk = 1 << max(0, bits - 6)
-    unpack = lambda x: np.frombuffer(pa.decompress(x, chunk * 8, codec="zstd", asbytes=True), np.uint64)
+    unpack = lambda x, kind: np.frombuffer(pa.decompress(x, chunk * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
     pack = lambda x: pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
     def count(batches):
-        total = np.zeros(1 << bits, np.uint64)
+        # one array for the task (a task has fewer shingles than 2^32); a slice only touches the slots of its own shingles
+        total = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             texts = binary_column(batch.column("text"))
             for s, e in slices(texts, SLICE_BYTES):
-                total += np.bincount(_slots(shingle_sets(texts[s:e], width)[0], bits), minlength=1 << bits).astype(np.uint64)
+                np.add.at(total, _slots(shingle_sets(texts[s:e], width)[0], bits), 1)
         parts = [(i, total[i * chunk : (i + 1) * chunk]) for i in range((1 << bits) // chunk)]
         parts = [(i, x) for i, x in parts if x.any()]
         group = TaskContext.get().partitionId() % groups
@@ -122,7 +123,7 @@ def _sketch(docs: DataFrame, width: int, bits: int, groups: int) -> np.ndarray:
             total = np.zeros(chunk, np.uint64)
             for batch in batches:
                 for x in batch.column("counts").to_pylist():
-                    total += unpack(x)
+                    total += unpack(x, np.uint64 if last else np.uint32)
             data = np.ceil(np.log2(total.astype(np.float64) + 1) * 2).astype(np.uint8).tobytes() if last else pack(total)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([data], pa.binary())})
 
