@@ -48,6 +48,19 @@ DISABLED = r"(?s)\\begin\{comment\}.*?\\end\{comment\}|\\iffalse(?![a-zA-Z]).*?\
 WORD = r"[\w'\-*@]+"
 NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 SYMBOL = r"\d+(?:\.\d+)?|[A-Za-z_][A-Za-z0-9_']*"
+#: What lays a formula out inside the stretch that is kept.
+INNER = r"\\label\{[^{}]*\}|\\(?:nonumber|notag|displaystyle|textstyle|scriptstyle|allowbreak)(?![a-zA-Z])|\\[hv]space\*?\{[^{}]*\}|\\q?quad(?![a-zA-Z])|\\\\(?:\s*\[[^\]]*\])?|&"
+#: Commands and the characters they print; characters written in several ways; marks and layout of passages.
+PRINTED = {
+    "alpha": "α", "beta": "β", "gamma": "γ", "delta": "δ", "epsilon": "ε", "varepsilon": "ε", "zeta": "ζ", "eta": "η", "theta": "θ", "vartheta": "θ", "iota": "ι", "kappa": "κ", "lambda": "λ", "mu": "μ", "nu": "ν", "xi": "ξ",
+    "pi": "π", "rho": "ρ", "sigma": "σ", "tau": "τ", "upsilon": "υ", "phi": "φ", "varphi": "φ", "chi": "χ", "psi": "ψ", "omega": "ω",
+    "Gamma": "Γ", "Delta": "Δ", "Theta": "Θ", "Lambda": "Λ", "Xi": "Ξ", "Pi": "Π", "Sigma": "Σ", "Phi": "Φ", "Psi": "Ψ", "Omega": "Ω",
+    "in": "∈", "notin": "∉", "forall": "∀", "exists": "∃", "le": "≤", "leq": "≤", "ge": "≥", "geq": "≥", "neq": "≠", "ne": "≠", "to": "→", "rightarrow": "→", "Rightarrow": "⇒", "leftarrow": "←", "wedge": "∧", "land": "∧",
+    "vee": "∨", "lor": "∨", "neg": "¬", "lnot": "¬", "infty": "∞", "cdot": "·", "times": "×", "oplus": "⊕", "sqcap": "⊓", "sqcup": "⊔", "subseteq": "⊆", "sqsubseteq": "⊑", "cap": "∩", "cup": "∪", "Box": "□", "square": "□",
+}
+SAME = {"−": "-", "–": "-", "—": "-", "’": "'", "‘": "'", "′": "'"}
+PASSAGE_MARKS = r"\\(?:math(?:bf|rm|it|sf|tt|cal|bb)|text(?:bf|rm|it|sf|tt)?|emph|bm|boldsymbol|operatorname)(?![a-zA-Z])|[{}_^]"
+PASSAGE_LAYOUT = r"\\n(?![a-zA-Z])|\\[,;:! ]|~|\\q?quad(?![a-zA-Z])|-?\\\\|-\s+(?=[a-z])|\$|``|''|[\"“”]|⟦/?[A-Z]\d+⟧|\\(?![a-zA-Z])|\s+"
 # End of fixed values.
 
 
@@ -62,8 +75,8 @@ def strip_comments(text: Column) -> Column:
 
 
 def strip_disabled(text: Column) -> Column:
-    """Comment environments and ``\\iffalse`` ... ``\\fi`` go, then comments."""
-    return strip_comments(F.regexp_replace(text, DISABLED, ""))
+    """Comments go, then comment environments and ``\\iffalse`` ... ``\\fi``."""
+    return F.regexp_replace(strip_comments(text), DISABLED, "")
 
 
 def once(value: Column, use) -> Column:
@@ -203,6 +216,60 @@ def contains_ignoring_spaces(text: Column, part: Column) -> Column:
     return F.contains(without_spaces(text), without_spaces(part))
 
 
+def find_ignoring_spaces(text: Column, part: Column) -> Column:
+    """Struct (start, stop) of the first place of ``part`` in ``text``, white space aside, as positions in ``text``; else null.
+
+    The text is searched by a pattern of the part's characters with any white space between them.
+    """
+    escaped = F.regexp_replace(without_spaces(part), r"(?s)([^A-Za-z0-9])", r"\\$1")
+    spaced = F.regexp_replace(escaped, r"(?s)(\\?.)", r"$1\\s*")
+    pattern = F.substring(spaced, F.lit(1), F.char_length(spaced) - 3)  # without white space after the last one
+    found = once(pattern, lambda p: F.struct(F.regexp_instr(text, p).alias("at"), F.char_length(F.regexp_substr(text, p)).alias("n")))
+    place = F.struct((found["at"] - 1).cast("long").alias("start"), (found["at"] - 1 + found["n"]).cast("long").alias("stop"))
+    return F.when((F.char_length(without_spaces(part)) > 0) & (found["at"] > 0), place)
+
+
+def layout_map(text: Column) -> Column:
+    """Struct (tokens, places): the text as layout and single characters, and which tokens are characters that count.
+
+    ``places`` leads from a position in the text without layout to the token it came from.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s)({LAYOUT}|.)"), 1)
+    kept = lambda t: (F.char_length(t) == 1) & ~t.rlike(r"^[~&$\s]$")
+    return once(tokens, lambda t: F.struct(t.alias("tokens"), F.filter(F.transform(t, lambda x, i: F.when(kept(x), i)), lambda i: i.isNotNull()).alias("places")))
+
+
+def cleaned_formula(formula: Column) -> Column:
+    """Without labels, row breaks, alignment and style commands, with single spaces, without final punctuation."""
+    return F.rtrim(F.trim(F.regexp_replace(F.regexp_replace(formula, INNER, " "), r"\s+", " ")), F.lit(".,;"))
+
+
+def trim_formula(source: Column, copies: Column) -> Column:
+    """Struct (formula, found): the stretch of the source that the first copy found in it stands for, layout aside, cleaned, and
+    true; else all of the source, cleaned. A null source has no formula."""
+
+    def stretch(m: Column) -> Column:
+        core = F.array_join(F.transform(m["places"], lambda i: F.get(m["tokens"], i)), "")
+        bare = F.transform(copies, lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), LAYOUT, ""))
+        places = F.transform(bare, lambda c: F.struct(F.when(c != "", F.position(c, core)).otherwise(0).alias("at"), F.char_length(c).alias("n")))
+        hit = F.get(F.filter(places, lambda h: h["at"] > 0), F.lit(0))
+        first, last = F.get(m["places"], hit["at"] - 1), F.get(m["places"], hit["at"] + hit["n"] - 2)
+        return F.when(hit.isNotNull(), F.array_join(F.slice(m["tokens"], first + 1, last - first + 1), ""))
+
+    found = once(layout_map(source), stretch)
+    whole = F.regexp_replace(F.trim(source), r"^\$+|\$+$", "")
+    return F.struct(cleaned_formula(F.coalesce(found, whole)).alias("formula"), found.isNotNull().alias("found"))
+
+
+def passage_core(text: Column) -> Column:
+    """A passage as it is compared with its copy: NFKC, printed characters for symbols, without fonts, marks and layout."""
+    one = F.translate(F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True)), "".join(SAME), "".join(SAME.values()))
+    printed = F.create_map(*(F.lit(x) for pair in PRINTED.items() for x in pair))
+    parts = F.regexp_extract_all(one, F.lit(r"(?s)(\\[A-Za-z]+|[^\\]+|\\)"), 1)
+    signs = F.transform(parts, lambda p: F.when(F.startswith(p, F.lit("\\")), F.coalesce(F.try_element_at(printed, F.substring(p, 2, 1 << 20)), p)).otherwise(p))
+    return F.when(text.isNotNull(), F.regexp_replace(F.regexp_replace(F.array_join(signs, ""), PASSAGE_MARKS, ""), PASSAGE_LAYOUT, ""))
+
+
 def first_abstract(text: Column, most: int = 2500) -> Column:
     """The abstract environment's text with single spaces, cut at a word before ``most`` characters."""
     found = F.trim(F.regexp_replace(F.regexp_extract(text, r"(?s)\\begin\{abstract\}(.*?)\\end\{abstract\}", 1), r"\s+", " "))
@@ -262,19 +329,78 @@ def validate_paraphrases(answer: Column, k: int) -> Column:
 
 
 # Kinds of passages and domains that an answer may name.
-KINDS = ["generic", "specific"]
-DOMAINS = ["automotive", "aerospace", "robotics", "medical", "energy", "industrial", "network", "biology", "generic", "other"]
+KINDS = ["specific", "generic"]
+DOMAINS = [
+    "aerial robotics", "automotive", "aviation", "epidemiology", "industrial machinery", "marine robotics", "mechatronics", "mobile robotics", "power systems", "railway", "robotic manipulation", "smart city", "smart home", "social dynamics", "generic",
+]
 # End of fixed values.
 
 
-def check_extraction(formula: Column, source: Column, kinds: Column, domain: Column, symbols: Column) -> Column:
-    """Flags of an extracted formula: none, not a copy (layout aside), unknown kind or domain, mixed kinds, symbols it lacks."""
-    core = lambda c: F.regexp_replace(F.regexp_replace(c, LAYOUT, ""), FONTS, "")
+def _symbols(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, LAYOUT, ""), FONTS, "")
+
+
+def in_formula(symbol: Column, formula: Column) -> Column:
+    """Whether a symbol is written in a formula, or another one of its indexed family (``x_3`` where the formula has ``x_i``)."""
+    core, whole = _symbols(symbol), _symbols(formula)
+    family = F.regexp_extract(core, r"^([^_^]*)[_^]", 1)
+    written = F.regexp_replace(family, r"([^A-Za-z0-9])", r"\\$1")
+    return F.contains(whole, core) | ((family != "") & F.regexp_like(whole, F.concat(F.lit(r"(?<![A-Za-z\\])"), written, F.lit("(?![A-Za-z])"))))
+
+
+def check_extraction(formula: Column, source: Column, passages: Column, domain: Column, symbols: Column, transcribed: Column, operators: Column) -> Column:
+    """What is wrong with one answer, in the order of its parts.
+
+    ``passages``: array of structs (kind, state), where the state is what ``check_passage`` says; ``operators``: arrays of the
+    bounds of a line's operators, which a formula ``transcribed`` from a picture is held against instead of its source.
+    """
+    core = lambda c: F.regexp_replace(c, LAYOUT, "")
     none = F.coalesce(F.trim(formula), F.lit("")) == ""
-    lacking = F.filter(symbols, lambda s: ~F.contains(core(formula), core(s)))
-    flags = F.array(
-        F.when(none, "no formula"), F.when(~none & ~F.contains(core(source), core(formula)), "not a copy"), F.when(F.exists(kinds, lambda k: ~k.isin(KINDS)), "unknown kind"),
-        F.when(F.size(F.array_distinct(kinds)) > 1, "mixed kinds"), F.when(~F.coalesce(domain.isin(DOMAINS), F.lit(False)), "unknown domain"),
-        F.when(~none & (F.size(lacking) > 0), F.concat(F.lit("symbol not in formula: "), F.array_join(lacking, ", "))),
+    lacking = missing_bounds(formula, operators)
+    several = F.size(passages) > 1
+    which = lambda i: F.when(several, F.concat(F.lit(" (passage "), (i + 1).cast("string"), F.lit(")"))).otherwise("")
+    first = F.array_compact(F.array(
+        F.when(none, "no formula").when(transcribed & (F.size(lacking) > 0), F.concat(F.lit("bounds missing: "), F.array_join(lacking, ", "))).when(~transcribed & ~F.contains(core(source), core(formula)), "not a copy"),
+    ))
+    state = lambda p: F.when(p["state"] == "joined", "passage joined").when(p["state"] == "not a copy", "passage not a copy")
+    kind = lambda p: F.when(~F.coalesce(p["kind"].isin(KINDS), F.lit(False)), F.concat(F.lit("unknown kind: "), F.coalesce(F.when(p["kind"] != "", p["kind"]), F.lit("(none)"))))
+    each = F.flatten(F.transform(passages, lambda p, i: F.transform(F.array_compact(F.array(state(p), kind(p))), lambda x: F.concat(x, which(i)))))
+    mixed = F.when(F.size(F.array_distinct(F.transform(passages, lambda p: p["kind"]))) > 1, "mixed kinds")
+    unknown = F.when(~F.coalesce(domain.isin(DOMAINS), F.lit(False)), F.concat(F.lit("unknown domain: "), F.coalesce(F.when(domain != "", domain), F.lit("(none)"))))
+    strange = F.transform(F.filter(symbols, lambda x: ~in_formula(x, F.coalesce(formula, F.lit("")))), lambda x: F.concat(F.lit("symbol not in formula: "), x))
+    return F.concat(first, each, F.array_compact(F.array(mixed, unknown)), strange)
+
+
+def given_passages(passages: Column) -> Column:
+    """Passages (structs with text) of an answer that count: no blank ones, none that only says null or none, each text once, spaces aside."""
+    real = F.filter(passages, lambda p: ~F.coalesce(F.lower(F.trim(p["text"])), F.lit("")).isin("", "null", "none"))
+    texts = F.transform(real, lambda p: without_spaces(p["text"]))
+    return F.filter(real, lambda p, i: F.array_position(texts, without_spaces(p["text"])) == i + 1)
+
+
+def verdict_by_agreement(first: Column, second: Column) -> Column:
+    """Whom a third answer supports, by how far it agrees with the first and with the second one."""
+    agreed = lambda c: c.isin("same passages", "both none")
+    partly = (first == "partly the same") | (second == "partly the same")
+    return F.when(agreed(first) & agreed(second), "agrees with both").when(agreed(first), "sides with the first").when(agreed(second), "sides with the second").when(partly, "partly agrees").otherwise("agrees with neither")
+
+
+# Where an arXiv id stands in a link.
+ARXIV_LINK = r"arxiv\.org/(?:abs|pdf)/([0-9]{4}\.[0-9]{4,5}|[a-z\-]+/[0-9]{7})"
+# End of fixed values.
+WORK = "struct<id:string,ids:struct<arxiv:string>,doi:string,display_name:string,publication_year:int,cited_by_count:long,open_access:struct<is_oa:boolean,oa_url:string>,locations:array<struct<license:string,landing_page_url:string,pdf_url:string>>>"
+
+
+def project_work(work: Column) -> Column:
+    """A catalogue work (JSON) as a record: ids, the arXiv id from its own link or else from its locations', PDF links, licences."""
+    w = F.from_json(work, WORK)
+    places = F.coalesce(w["locations"], F.array().cast("array<struct<license:string,landing_page_url:string,pdf_url:string>>"))
+    links = F.flatten(F.transform(places, lambda p: F.array(p["landing_page_url"], p["pdf_url"])))
+    arxiv = lambda c: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), ARXIV_LINK, 1), F.lit(""))
+    found = F.get(F.filter(F.transform(links, arxiv), lambda x: x.isNotNull()), F.lit(0))
+    pdfs = F.array_distinct(F.filter(F.concat(F.transform(places, lambda p: p["pdf_url"]), F.array(w["open_access"]["oa_url"])), lambda u: F.coalesce(u != "", F.lit(False))))
+    licenses = F.array_sort(F.array_distinct(F.filter(F.transform(places, lambda p: F.lower(p["license"])), lambda x: F.coalesce(x != "", F.lit(False)))))
+    return F.struct(
+        F.element_at(F.split(w["id"], "/"), -1).alias("paper_id"), F.coalesce(arxiv(w["ids"]["arxiv"]), found).alias("arxiv_id"), w["doi"].alias("doi"), w["display_name"].alias("title"), w["publication_year"].alias("year"),
+        F.coalesce(w["cited_by_count"], F.lit(0)).alias("cited_by"), F.coalesce(w["open_access"]["is_oa"], F.lit(False)).alias("is_oa"), pdfs.alias("pdf_mirrors"), licenses.alias("licenses"),
     )
-    return F.array_compact(flags)

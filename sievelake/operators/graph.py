@@ -124,7 +124,30 @@ def sync_status(papers: DataFrame, files: DataFrame, id: str, state: str, kind:
     return papers.join(have, id, "left").withColumn(state, status).drop("_l", "_p")
 
 
-def needs_lookup(lookups: Column, service: str) -> Column:
-    """Not asked yet, or without an answer."""
+def needs_lookup(lookups: Column, service: str, doi: Column, arxiv_id: Column, title: Column, state: Column, least_title: int = 15) -> Column:
+    """Whether a service could tell something new: it was not asked or gave no answer, and the paper has what it is asked by.
+
+    ``semantic_scholar`` is asked by DOI; the title lookups serve papers without an arXiv id: ``arxiv_title`` by titles of
+    ``least_title`` characters, others by any title of a paper that is not downloaded.
+    """
     status = F.element_at(lookups, F.lit(service))
-    return status.isNull() | (status == "no_answer")
+    open_ = F.coalesce(status == "no_answer", F.lit(True))
+    some = lambda c: F.coalesce(c != "", F.lit(False))
+    if service == "semantic_scholar":
+        return open_ & some(doi)
+    if service == "arxiv_title":
+        return open_ & ~some(arxiv_id) & (F.char_length(F.coalesce(title, F.lit(""))) >= least_title)
+    return open_ & ~some(arxiv_id) & some(title) & ~F.coalesce(state.isin("downloaded_latex", "downloaded_pdf"), F.lit(False))
+
+
+def download_queue(papers: DataFrame, state: str, transient: Column, mode: str) -> DataFrame:
+    """Pending papers, and of the unavailable ones all (mode ``all``) or those whose failure may pass (mode ``transient``)."""
+    if mode not in ("all", "transient"):
+        raise ValueError(f"unknown mode: {mode}")
+    again = F.lit(True) if mode == "all" else F.coalesce(transient, F.lit(False))
+    return papers.where((F.col(state) == "pending") | ((F.col(state) == "unavailable") & again))
+
+
+def upgrade_queue(papers: DataFrame, state: str, link: str, answer: str) -> DataFrame:
+    """Papers held as PDF that have a source link and for which no answer (such as that there is no source) is recorded."""
+    return papers.where((F.col(state) == "downloaded_pdf") & F.coalesce(F.col(link) != "", F.lit(False)) & F.col(answer).isNull())

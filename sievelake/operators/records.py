@@ -65,24 +65,49 @@ def numbered_pairs(df: DataFrame, id: str, order: str) -> DataFrame:
 
 
 def attach_rows_by_position(rows: DataFrame, answers: DataFrame, group: str, order: str, answer_order: str, judgment: str) -> DataFrame:
-    """As ``attach_by_position``, with a group's judgments as rows in an order of their own: no group is collected."""
+    """The n-th row of a group gets its n-th judgment in the judgments' own order, null where there is none: no group is collected."""
     numbered, given = number_rows(rows, [group], [order], "_n"), number_rows(answers.select(group, answer_order, judgment), [group], [answer_order], "_n")
     return numbered.join(given.select(group, "_n", judgment), [group, "_n"], "left").drop("_n")
 
 
 def augmented_pairs(df: DataFrame, id: str, text: str, rewritten: str) -> DataFrame:
     """A row ``<id>:A<n>`` per rewriting; one equal to the original or to an earlier one is left out but keeps its number."""
-    each = df.select(F.col(id).alias("augmented_from"), F.col(text).alias("original"), F.posexplode(rewritten).alias("_n", "text"))
-    first = F.row_number().over(Window.partitionBy("augmented_from", "text").orderBy("_n"))
-    each = each.withColumn("_first", first).where((F.col("_first") == 1) & (F.col("text") != F.col("original")))
-    return each.select(F.concat(F.col("augmented_from").cast("string"), F.lit(":A"), (F.col("_n") + 1).cast("string")).alias("id"), "augmented_from", "text")
+    return _augmented(df.select(F.col(id).alias("augmented_from"), F.col(text).alias("original"), F.posexplode(rewritten).alias("_n", "text")).withColumn("_n", F.col("_n") + 1))
 
 
-def attach_by_position(rows: DataFrame, answers: DataFrame, group: str, order: str, judgments: str) -> DataFrame:
-    """The n-th row of a group gets the n-th element of the group's judgments; null where there is none."""
-    numbered = number_rows(rows, [group], [order], "_n")
-    each = answers.select(group, F.posexplode(judgments).alias("_i", "judgment")).select(group, (F.col("_i") + 1).cast("long").alias("_n"), "judgment")
-    return numbered.join(each, [group, "_n"], "left").drop("_n")
+def augmented_rows(df: DataFrame, id: str, order: str, text: str) -> DataFrame:
+    """The same for rows: the first row of an id is the original, the later ones are its rewritings; no group is collected."""
+    rows = number_rows(df.select(id, order, text), [id], [order], "_n")
+    first = rows.where("_n = 1").select(F.col(id).alias("augmented_from"), F.col(text).alias("original"))
+    later = rows.where("_n > 1").select(F.col(id).alias("augmented_from"), F.col(text).alias("text"), (F.col("_n") - 1).alias("_n"))
+    return _augmented(later.join(first, "augmented_from"))
+
+
+def _augmented(each: DataFrame) -> DataFrame:
+    each = each.where("text != original").withColumn("_key", F.md5(F.col("text").cast("binary")))
+    first = each.groupBy("augmented_from", "_key").agg(F.min_by("text", "_n").alias("text"), F.min("_n").alias("_n"))
+    return first.select(F.concat(F.col("augmented_from").cast("string"), F.lit(":A"), F.col("_n").cast("string")).alias("id"), "augmented_from", "text")
+
+
+def described_rows(formulas: DataFrame, pairs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """A row per description of a formula, linked to the record whose file it was read from, if that holds the same text.
+
+    ``formulas``: formula, number, path, text; ``pairs``: formula, realization, nl; ``manifest``: file, record, text. Files are
+    compared by name, texts without white space at the ends. Formulas without a description have one row, with null in nl.
+    """
+    name = F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1)
+    known = manifest.where("file != ''").select(F.regexp_extract("file", r"([^/]*)$", 1).alias("_file"), "record", F.trim(F.regexp_replace("text", r"^\s+|\s+$", "")).alias("_known"))
+    same = (F.col("_name") == F.col("_file")) & (F.md5(F.col("_text").cast("binary")) == F.md5(F.col("_known").cast("binary"))) & (F.col("_text") == F.col("_known"))
+    linked = formulas.withColumns({"_name": name, "_text": F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", "")}).join(known, same, "left")
+    both = linked.drop("_name", "_file", "_text", "_known").join(pairs, "formula", "left")
+    id = F.coalesce(F.col("record").cast("string"), F.concat(F.lit("stlnl_"), F.col("number").cast("string")))
+    return both.withColumn("id", F.when(F.col("nl").isNotNull(), F.concat(id, F.lit(":R"), F.col("realization").cast("string"))))
+
+
+def conversion_counts(rows: DataFrame) -> DataFrame:
+    """One row of counts over ``described_rows``: formulas, those without a description, those with one but not linked, descriptions."""
+    each = rows.groupBy("formula").agg(F.count("nl").alias("_n"), F.bool_or(F.col("record").isNotNull()).alias("_linked"))
+    return each.agg(F.count(F.lit(1)).alias("formulas"), F.count_if(F.col("_n") == 0).alias("without_description"), F.count_if((F.col("_n") > 0) & ~F.col("_linked")).alias("not_linked"), F.sum("_n").alias("descriptions"))
 
 
 def items_of(df: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
@@ -105,7 +130,7 @@ def part_of(df: DataFrame, set_column: str, label: str) -> DataFrame:
 
 
 def write_split(df: DataFrame, path: str, set_column: str, label: str, form: str = "parquet") -> None:
-    """Write the rows by set and part."""
+    """Write the rows by set and part, all at once: the job's commit makes them visible."""
     part_of(df, set_column, label).write.partitionBy(set_column, "part").format(form).save(path)
 
 

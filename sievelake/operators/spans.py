@@ -63,12 +63,60 @@ def merge_windows(windows: DataFrame, keys: list[str], start: str, end: str, gap
     return found.withColumn("chunk", chunk).groupBy(*keys, "run", "chunk").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
 
 
-def snapped_window(start: Column, end: Column, length: Column, breaks: Column, before: int = 2000, after: int = 3000, snap: int = 600) -> Column:
-    """Struct (lo, hi): a window around a span, clipped to the text, moved to a paragraph break within ``snap``."""
-    lo, hi = F.greatest(start - before, F.lit(0)), F.least(end + after, length)
-    low = F.array_max(F.filter(breaks, lambda b: (b <= lo) & (b >= lo - snap)))
-    high = F.array_min(F.filter(breaks, lambda b: (b >= hi) & (b <= hi + snap)))
-    return F.struct(F.coalesce(low, lo).alias("lo"), F.coalesce(high, hi).alias("hi"))
+def marks_of(texts: DataFrame, keys: list[str], text: str, patterns: dict[str, str]) -> DataFrame:
+    """(keys, kind, pos, stop): where each pattern stands in each text, from left to right without overlaps.
+
+    A text is cut after each match; where a piece ends is the sum of the lengths up to it. (A piece starts where the one before
+    ended; without that the search would begin anew at each character after the last match.)
+    """
+    sized = None
+    for kind, pattern in patterns.items():
+        pieces = texts.select(*keys, F.lit(kind).alias("kind"), F.posexplode(F.regexp_extract_all(text, F.lit(f"(?s)\\G.*?(?:{pattern})"), 0)).alias("_i", "_piece"))
+        one = pieces.select(*keys, "kind", "_i", F.char_length("_piece").cast("long").alias("_n"), F.char_length(F.regexp_extract("_piece", f"(?s)^.*?({pattern})$", 1)).cast("long").alias("_match"))
+        sized = one if sized is None else sized.unionByName(one)
+    placed = running_values(sized, [*keys, "kind"], ["_i"], {"stop": Fold("sum", F.col("_n"))})
+    return placed.select(*keys, "kind", (F.col("stop") - F.col("_match")).alias("pos"), "stop")
+
+
+def beside(points: DataFrame, marks: DataFrame, keys: list[str], at: str, before: dict[str, str], after: dict[str, str]) -> DataFrame:
+    """``points`` with the last mark (struct pos, stop) at or before ``at`` for each kind in ``before``, and the first one after ``at``
+    for each in ``after`` (column name: kind). Marks are at ``_at``; nothing is joined."""
+    both = points.withColumns({"_at": F.col(at), "_side": F.lit(1)}).unionByName(marks.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    dealt = ranges(both, keys, ["_at", "_side"])
+    mark = lambda kind: F.when((F.col("_side") == 0) & (F.col("kind") == kind), F.struct("pos", "stop"))
+    found = dealt
+    if before:
+        found = running(found, keys, ["_at", "_side"], {n: Fold("last", mark(k)) for n, k in before.items()})
+    if after:
+        found = running(found, keys, ["_at", "_side"], {n: Fold("last", mark(k), inclusive=False) for n, k in after.items()}, backward=True)
+    return found.where("_side = 1").select(*points.columns, *before, *after)
+
+
+def window_bounds(formulas: DataFrame, texts: DataFrame, keys: list[str], start: str, end: str, text: str, hard: str, paragraph: str, line: str, math: str, before: int = 2000, after: int = 3000, snap: int = 600) -> DataFrame:
+    """``formulas`` with lo and hi: the context of text[start:end], within its section, cut at a paragraph break or a line.
+
+    A section goes from one match of ``hard`` to the next. A cut ``before`` or ``after`` characters away moves outwards to a break that is at
+    most ``snap`` away, else to the line's border, and out of a ``math`` span that it falls into.
+    """
+    marks = materialize(marks_of(texts, keys, text, {"hard": hard, "paragraph": paragraph, "line": line, "math": math}), "marks")
+    at = lambda kinds, place: marks.where(F.col("kind").isin(kinds)).withColumn("_at", F.col(place))
+    rows = formulas.select(*keys, F.col(start).alias("_start"), F.col(end).alias("_end"), *(c for c in formulas.columns if c not in keys))
+    rows = beside(rows, at(["hard"], "pos"), keys, "_start", {"_b": "hard"}, {"_a": "hard"}).join(texts.select(*keys, F.char_length(text).cast("long").alias("_length")), keys)
+    rows = rows.withColumns({"_floor": F.coalesce("_b.pos", F.lit(0)), "_ceiling": F.coalesce("_a.pos", "_length")}).drop("_a", "_b")
+    rows = materialize(rows.withColumns({"_lo": F.greatest("_floor", F.col("_start") - before), "_hi": F.least("_ceiling", F.col("_end") + after)}).withColumn("_before_hi", F.col("_hi") - 1), "bounds")
+    rows = beside(rows, at(["paragraph", "line"], "stop"), keys, "_lo", {"_p": "paragraph", "_l": "line"}, {})
+    low = F.when(F.col("_p.stop") >= F.greatest(F.col("_floor"), F.col("_lo") - snap), F.col("_p.stop")).otherwise(F.greatest(F.col("_floor"), F.coalesce("_l.stop", F.lit(0))))
+    rows = materialize(rows.withColumn("_lo", F.when(F.col("_lo") > F.col("_floor"), low).otherwise(F.col("_lo"))).drop("_p", "_l"), "bounds")
+    stops = at(["paragraph"], "stop").unionByName(at(["line"], "pos"))
+    rows = beside(rows, stops, keys, "_before_hi", {}, {"_p": "paragraph", "_l": "line"})
+    high = F.when(F.col("_p.stop") <= F.least(F.col("_ceiling"), F.col("_hi") + snap), F.col("_p.stop")).otherwise(F.least(F.col("_ceiling"), F.coalesce("_l.pos", F.col("_ceiling"))))
+    rows = rows.withColumn("_hi", F.when(F.col("_hi") < F.col("_ceiling"), high).otherwise(F.col("_hi"))).drop("_p", "_l")
+    rows = materialize(rows.withColumns({"_under_lo": F.col("_lo") - 1, "_under_hi": F.col("_hi") - 1}), "bounds")
+    rows = materialize(beside(rows, at(["math"], "pos"), keys, "_under_lo", {"_m": "math"}, {}), "bounds")
+    rows = beside(rows, at(["math"], "pos"), keys, "_under_hi", {"_n": "math"}, {})
+    lo = F.when(F.col("_m.stop") > F.col("_lo"), F.col("_m.pos")).otherwise(F.col("_lo"))
+    hi = F.when(F.col("_n.stop") > F.col("_hi"), F.col("_n.stop")).otherwise(F.col("_hi"))
+    return rows.withColumns({"lo": F.least(lo, "_start"), "hi": F.greatest(hi, "_end")}).select(*formulas.columns, "lo", "hi")
 
 
 def quantile_at(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:

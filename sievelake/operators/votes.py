@@ -114,21 +114,22 @@ def score_entries(labelled: DataFrame, given: DataFrame, item: str, text: str, k
     return sizes.select(item, verdict.alias("verdict"), F.col("a_found").alias("found"), (F.col("b") - F.col("b_found")).alias("extra"), "kinds_right")
 
 
-def requirement_vote(asked: DataFrame, given: DataFrame, item: str, model: str, text: str, kind: str, needed: int = 2) -> DataFrame:
+def requirement_vote(asked: DataFrame, given: DataFrame, item: str, model: str, text: str, kind: str, copy: str, prefer: list[str], needed: int = 2) -> DataFrame:
     """The vote of the models on an item's passages: outcome, and the kept passages with their kinds.
 
-    ``asked``: (item, model) of every answer, ``given``: the passages of the answers. Passages are grouped in the order of
-    (model, text), each with the first group that has a matching member. A group that ``needed`` models give is kept, with
+    ``asked``: (item, model) of every answer, ``given``: the passages of the answers, with whether each is a ``copy`` of the
+    excerpt. Passages are grouped in the order of (model, text), the models of ``prefer`` first, each with the first group that has a matching member. A group that ``needed`` models give is kept, with
     the kind that most of them give it (each model's first passage of the group counts), or ``unclear``; generic ones go if
-    a specific one is kept. The text is the first model's. requirement: some are kept; none: ``needed`` answers have no
+    a specific one is kept. The text is that of the first model whose passage is a copy, else of the first one. requirement: some are kept; none: ``needed`` answers have no
     passage; else open. An item's passages meet in one row, so their number is that of its models' answers.
     """
-    ordered = given.groupBy(item).agg(F.array_sort(F.collect_list(F.struct(F.col(model).alias("m"), F.col(text).alias("t"), F.col(kind).alias("k")))).alias("_p"))
+    place = F.coalesce(*(F.when(F.col(model) == m, F.lit(i)) for i, m in enumerate(prefer)), F.lit(len(prefer)))
+    ordered = given.groupBy(item).agg(F.array_sort(F.collect_list(F.struct(place.alias("o"), F.col(model).alias("m"), F.col(text).alias("t"), F.col(kind).alias("k"), F.col(copy).alias("c")))).alias("_p"))
     each = ordered.select(item, "_p", passage_groups(F.col("_p.t")).alias("_g")).select(item, F.posexplode(F.arrays_zip("_p", "_g")).alias("_i", "_z")).select(item, "_i", "_z._p.*", F.col("_z._g").alias("g"))
-    votes = each.groupBy(item, "g", "m").agg(F.min_by(F.struct("t", "k"), "_i").alias("v"), F.min("_i").alias("_i"))
+    votes = each.groupBy(item, "g", "m").agg(F.min_by(F.struct("t", "k", "c"), "_i").alias("v"), F.min("_i").alias("_i"))
     kinds = votes.groupBy(item, "g", F.col("v.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     most = kinds.groupBy(item, "g").agg(F.sum("n").alias("models"), F.max(F.struct("n", "k")).alias("top")).where(F.col("models") >= needed)
-    first = votes.groupBy(item, "g").agg(F.min_by("v.t", "_i").alias("t"))
+    first = votes.groupBy(item, "g").agg(F.min_by("v.t", F.struct(~F.coalesce(F.col("v.c"), F.lit(False)), "_i")).alias("t"))
     kept = most.join(first, [item, "g"]).withColumn("kind", F.when(2 * F.col("top.n") > F.col("models"), F.col("top.k")).otherwise("unclear"))
     kept = kept.groupBy(item).agg(F.max((F.col("kind") == "specific")).alias("_s"), F.array_sort(F.collect_list(F.struct("t", "kind"))).alias("_k"))
     kept = kept.withColumn("_k", F.when(F.col("_s"), F.filter("_k", lambda x: x["kind"] != "generic")).otherwise(F.col("_k")))

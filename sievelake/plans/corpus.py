@@ -18,6 +18,8 @@ from ..scratch import materialize, scratch_path
 from ..sources.buckets import BucketStore
 from ..operators import catalogue as K
 from .registry import Tables, query
+from .turns import TURNS_SQL, turns
+from .turns import quoted as _words
 
 NAMED = [("mit", r"(?i)MIT License"), ("apache-2.0", r"(?i)Apache License"), ("gpl", r"(?i)GNU General Public"), *L.PATTERNS]
 NAMED_HINTS = ["mit license", "apache license", "gnu general", *L.HINTS]
@@ -26,7 +28,6 @@ PRIORITY = ["cc-by", "cc-by-nc", "cc0", "http://creativecommons.org/licenses/by-
 LICENSE_SQL = "CASE left(o_orderpriority, 1) WHEN '1' THEN 'cc-by' WHEN '2' THEN 'cc-by-nc' WHEN '3' THEN 'cc0' WHEN '4' THEN 'http://creativecommons.org/licenses/by-sa/4.0/' ELSE 'publisher' END"
 TIER_SQL = "CASE WHEN len({0}) = 0 THEN 'unspecified' WHEN list_has_any({0}, ['cc0', 'cc-by', 'cc-by-sa', 'cc-by-4.0', 'public-domain']) AND len(list_filter({0}, lambda x: contains(x, 'nc') OR contains(x, 'nd'))) = 0 THEN 'permissive_cc' WHEN len(list_filter({0}, lambda x: starts_with(x, 'cc-'))) > 0 THEN 'restricted_cc' ELSE 'custom_or_arxiv' END"
 
-TURNS_SQL = "turns AS (SELECT u.conv_id, u.turn, u.text AS a, v.text AS b FROM conversations u JOIN conversations v ON v.conv_id = u.conv_id AND v.turn = u.turn + 1)"
 
 
 def papers(t: Tables):
@@ -78,10 +79,6 @@ def p10_p11_license_of(t):
     return rows.select("paper", L.license_of(F.col("source"), F.col("tier"), F.get("source", F.lit(0))).alias("license"))
 
 
-def _words(v: list[str]) -> str:
-    return "[" + ", ".join(f"'{w}'" for w in v) + "]"
-
-
 @query(
     "WITH w AS (SELECT doc_id, text, regexp_extract_all(lower(regexp_replace(text, '\\\\[A-Za-z]+|\\$[^$]*\\$', ' ', 'g')), '\\p{L}+') AS words FROM documents), c AS (SELECT doc_id, len(regexp_extract_all(text, '[ğışĞİŞ]')) AS tr, "
     f"len(list_filter(words, lambda x: list_contains({_words(T.ENGLISH)}, x))) AS en, greatest({', '.join(f'len(list_filter(words, lambda x: list_contains({_words(v)}, x)))' for v in T.OTHER_WORDS.values())}) AS other FROM w) "
@@ -116,13 +113,18 @@ def p15_pair_rows(t):
     return R.numbered_pairs(e, "id", "seq")
 
 
+@query(f"WITH {PAPERS_SQL}, n AS (SELECT paper, source, catalogue, unnest(range(1, greatest(len(source), len(catalogue)) + 1)) AS i FROM papers) SELECT paper || ':D' || i AS id, source[i] AS source, catalogue[i] AS catalogue FROM n")
+def p15_aligned_pairs(t):
+    """A row per place of two aligned lists of a record."""
+    return R.pair_rows(papers(t).withColumnRenamed("paper", "id"), "id", ["source", "catalogue"])
+
+
 @query("""WITH c AS (SELECT conv_id, turn, text, first_value(text) OVER w AS original, row_number() OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, split_part(text, ' ', 1) ORDER BY n) AS again FROM c WHERE n > 1)
-SELECT conv_id || ':A' || (n - 1) AS id, conv_id AS augmented_from, split_part(text, ' ', 1) AS text FROM f WHERE again = 1 AND split_part(text, ' ', 1) != split_part(original, ' ', 1)""")
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, text ORDER BY n) AS again FROM c WHERE n > 1)
+SELECT conv_id || ':A' || (n - 1) AS id, conv_id AS augmented_from, text FROM f WHERE again = 1 AND text != original""")
 def p16_augmented_pairs(t):
-    c = t.conversations.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.substring_index(x["text"], " ", 1)).alias("x"))
-    c = c.select("conv_id", F.get("x", F.lit(0)).alias("text"), F.slice("x", F.lit(2), F.size("x")).alias("more"))
-    return R.augmented_pairs(c, "conv_id", "text", "more")
+    """Later turns as rewritings of the first one."""
+    return R.augmented_rows(t.conversations.select("conv_id", "turn", "text"), "conv_id", "turn", "text")
 
 
 @query("SELECT doc_id FROM documents d LEFT JOIN labels l USING (doc_id) WHERE (doc_id % 3 = 0 AND quality = 1) OR (doc_id % 3 != 0 AND (quality IS NULL OR quality = 1))")
@@ -136,13 +138,27 @@ def p18_leak_safe_split(t):
     return t.documents.select("doc_id", S.split_of(F.md5(F.col("text").cast("binary")), [("train", 80), ("valid", 10), ("test", 10)]).alias("split"))
 
 
-@query("SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)/?$', 1) AS id, regexp_extract(html, '<html lang=\"(\\w+)\"', 1) AS lang, starts_with(url, 'https') AS open FROM pages")
+@query("""WITH p AS (SELECT *, page_id % 5 AS k, lpad((page_id % 10000)::VARCHAR, 4, '0') AS n FROM pages)
+SELECT page_id, 'W' || page_id AS paper_id, CASE WHEN k = 0 THEN '2001.' || n WHEN k = 1 THEN 'cs/000' || n WHEN k = 2 THEN '1902.' || n || '1' END AS arxiv_id, CASE WHEN k = 3 THEN '10.1/' || page_id END AS doi, page_id % 90 AS cited_by,
+page_id % 2 = 0 AS is_oa, CASE k WHEN 0 THEN url WHEN 1 THEN 'https://arxiv.org/pdf/cs/000' || n || '|' || url WHEN 2 THEN 'http://arxiv.org/pdf/1902.' || n || '1|' || url WHEN 3 THEN url || '|' || url || '?oa' ELSE '' END AS pdf_mirrors, CASE k WHEN 0 THEN '' WHEN 1 THEN 'cc-by' WHEN 2 THEN 'cc-by,cc0' WHEN 3 THEN 'cc-by-nc' ELSE '' END AS licenses,
+regexp_extract(html, '<html lang="(\\w+)"', 1) AS lang FROM p""")
 def p1_project_work(t):
-    url = F.col("url")
-    return t.pages.select(
-        "page_id", F.lower(F.regexp_extract(url, "://([^/?#]*)", 1)).alias("host"), F.regexp_extract(F.regexp_replace(url, "[?#].*$", ""), "([^/]*)/?$", 1).alias("id"), F.regexp_extract("html", '<html lang="(\\w+)"', 1).alias("lang"),
-        F.startswith("url", F.lit("https")).alias("open"),
+    """Works of a catalogue, as JSON made of the pages: with an arXiv id of their own, in a location's link, or with none."""
+    k, n, url, none = F.col("page_id") % 5, F.lpad((F.col("page_id") % 10000).cast("string"), 4, "0"), F.col("url"), F.lit(None).cast("string")
+    place = lambda license, landing, pdf: F.struct(license.alias("license"), landing.alias("landing_page_url"), pdf.alias("pdf_url"))
+    cs, new = F.concat(F.lit("https://arxiv.org/pdf/cs/000"), n), F.concat(F.lit("http://arxiv.org/pdf/1902."), n, F.lit("1"))
+    places = (
+        F.when(k == 0, F.array(place(none, F.lit("https://host/x"), url))).when(k == 1, F.array(place(F.lit("CC-BY"), F.lit("https://arxiv.org/nothing"), cs), place(F.lit("cc-by"), url, url)))
+        .when(k == 2, F.array(place(F.lit("CC0"), F.concat(F.lit("https://arxiv.org/abs/1902."), n, F.lit("1")), new), place(F.lit("cc-by"), cs, url))).when(k == 3, F.array(place(F.lit("cc-by-nc"), none, url), place(F.lit(""), none, url)))
+    )
+    oa = F.struct((F.col("page_id") % 2 == 0).alias("is_oa"), F.when(k == 3, F.concat(url, F.lit("?oa"))).when(k == 1, cs).alias("oa_url"))
+    ids = F.when(k == 0, F.struct(F.concat(F.lit("https://arxiv.org/abs/2001."), n).alias("arxiv")))
+    work = F.struct(
+        F.concat(F.lit("https://openalex.org/W"), F.col("page_id").cast("string")).alias("id"), ids.alias("ids"), F.when(k == 3, F.concat(F.lit("10.1/"), F.col("page_id").cast("string"))).alias("doi"),
+        F.regexp_extract("html", '<html lang="(\\w+)"', 1).alias("display_name"), (F.col("page_id") % 90).alias("cited_by_count"), oa.alias("open_access"), places.alias("locations"),
     )
+    rows = t.pages.select("page_id", T.project_work(F.to_json(work)).alias("w"))
+    return rows.select("page_id", "w.paper_id", "w.arxiv_id", "w.doi", "w.cited_by", "w.is_oa", F.array_join("w.pdf_mirrors", "|").alias("pdf_mirrors"), F.array_join("w.licenses", ",").alias("licenses"), F.col("w.title").alias("lang"))
 
 
 @query("SELECT doc_id, regexp_matches(lower(text), '" + "|".join(T.RELEVANCE_TERMS) + "') AS relevant FROM documents")
@@ -162,9 +178,17 @@ def lookup_maps(t: Tables):
     return lookups(t).groupBy("paper").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("service", "status")))).alias("lookups"))
 
 
-@query(f"WITH {LOOKUPS_SQL}, p AS (SELECT DISTINCT paper FROM look) SELECT p.paper, coalesce(a.status IS NULL OR a.status = 'no_answer', true) AS needs FROM p LEFT JOIN look a ON a.paper = p.paper AND a.service = 's1'")
+@query(f"""WITH {LOOKUPS_SQL}, m AS (SELECT paper, max(status) FILTER (service = 's0') AS a, max(status) FILTER (service = 's1') AS b, max(status) FILTER (service = 's2') AS c FROM look GROUP BY paper),
+p AS (SELECT c_custkey AS paper, CASE WHEN c_custkey % 3 = 0 THEN '10.1/x' END AS doi, CASE WHEN c_custkey % 5 = 0 THEN '2001.1' END AS arxiv, left(c_name, 8 + c_custkey % 12) AS title, CASE WHEN c_custkey % 7 = 0 THEN 'downloaded_pdf' ELSE 'pending' END AS state FROM customer)
+SELECT p.paper, coalesce(a = 'no_answer', true) AND doi IS NOT NULL AS semantic_scholar, coalesce(b = 'no_answer', true) AND arxiv IS NULL AND length(title) >= 15 AS arxiv_title, coalesce(c = 'no_answer', true) AND arxiv IS NULL AND state = 'pending' AS hal FROM p LEFT JOIN m USING (paper)""")
 def p3_needs_lookup(t):
-    return lookup_maps(t).select("paper", G.needs_lookup(F.col("lookups"), "s1").alias("needs"))
+    """What each of three services could still tell about the customers, taken as papers."""
+    c, names = F.col("c_custkey"), {"s0": "semantic_scholar", "s1": "arxiv_title", "s2": "hal"}
+    asked = lookups(t).withColumn("service", F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.col("service")))
+    maps = asked.groupBy("paper").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("service", "status")))).alias("lookups"))
+    p = t.customer.select(c.alias("paper"), F.when(c % 3 == 0, "10.1/x").alias("doi"), F.when(c % 5 == 0, "2001.1").alias("arxiv"), F.left("c_name", (c % 12 + 8).cast("int")).alias("title"), F.when(c % 7 == 0, "downloaded_pdf").otherwise("pending").alias("state"))
+    needs = lambda s: G.needs_lookup(F.col("lookups"), s, F.col("doi"), F.col("arxiv"), F.col("title"), F.col("state")).alias(s)
+    return p.join(maps, "paper", "left").select("paper", *(needs(s) for s in names.values()))
 
 
 @query(f"""WITH {LOOKUPS_SQL} SELECT s.service, (SELECT count(DISTINCT paper) FROM look) - count(*) FILTER (status != 'no_answer')::BIGINT AS still_to_ask, count(*) FILTER (status = 'found')::BIGINT AS found, count(*) FILTER (status = 'no_answer')::BIGINT AS no_answer, count(*) FILTER (status = 'not_found')::BIGINT AS not_found FROM look s GROUP BY s.service""")
@@ -194,16 +218,28 @@ def p5_classify_failure(t):
     return rows.select("event_id", F.coalesce(F.col("reason").rlike(TRANSIENT), F.lit(False)).alias("transient"), F.coalesce(F.concat("reason", F.lit(" ("), note, F.lit(")")), "reason").alias("reason"))
 
 
-@query(f"""WITH r AS (SELECT event_id, event_type, value, {REASON_SQL} AS reason FROM events) SELECT event_id FROM r WHERE event_type = 'purchase' OR regexp_matches(reason, '{TRANSIENT}') UNION ALL SELECT event_id FROM r WHERE event_type = 'signup' AND value > 50""")
+@query(f"""WITH r AS (SELECT event_id, user_id % 4 AS k, value, {REASON_SQL} AS reason FROM events), q AS (SELECT *, CASE k WHEN 0 THEN 'pending' WHEN 1 THEN 'unavailable' WHEN 2 THEN 'downloaded_pdf' ELSE 'downloaded_latex' END AS state FROM r)
+SELECT event_id, 'transient' AS queue FROM q WHERE state = 'pending' OR (state = 'unavailable' AND coalesce(regexp_matches(reason, '{TRANSIENT}'), false)) UNION ALL SELECT event_id, 'all' FROM q WHERE state IN ('pending', 'unavailable')
+UNION ALL SELECT event_id, 'upgrade' FROM q WHERE state = 'downloaded_pdf' AND event_id % 3 != 0 AND value <= 50""")
 def p4_download_queue(t):
-    rows = t.events.select("event_id", "event_type", "value", _reason().alias("reason"))
-    return rows.where((F.col("event_type") == "purchase") | F.col("reason").rlike(TRANSIENT)).select("event_id").unionByName(rows.where("event_type = 'signup' and value > 50").select("event_id"))
-
-
-@query(f"""WITH r AS (SELECT user_id % 4 AS status, {REASON_SQL} AS reason FROM events) SELECT status::BIGINT AS status, count(*)::BIGINT AS n_all, count(*) FILTER (reason IS NOT NULL)::BIGINT AS with_reason, count(*) FILTER (regexp_matches(reason, '{TRANSIENT}'))::BIGINT AS transient FROM r GROUP BY 1""")
+    """The queues of both modes, and that of PDFs for which a source may exist: no answer is recorded for values up to 50."""
+    k = F.col("user_id") % 4
+    state = F.when(k == 0, "pending").when(k == 1, "unavailable").when(k == 2, "downloaded_pdf").otherwise("downloaded_latex")
+    rows = t.events.select("event_id", state.alias("state"), _reason().alias("reason"), F.when(F.col("event_id") % 3 != 0, "u").alias("link"), F.when(F.col("value") > 50, "no source").alias("answer"))
+    again = F.col("reason").rlike(TRANSIENT)
+    queues = [("transient", G.download_queue(rows, "state", again, "transient")), ("all", G.download_queue(rows, "state", again, "all")), ("upgrade", G.upgrade_queue(rows, "state", "link", "answer"))]
+    named = [q.select("event_id", F.lit(n).alias("queue")) for n, q in queues]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@query(f"""WITH {LOOKUPS_SQL}, r AS (SELECT user_id % 4 AS status, {REASON_SQL} AS reason FROM events), u AS (SELECT paper % 4 AS status, count(DISTINCT paper) AS n FROM look WHERE status = 'no_answer' GROUP BY 1)
+SELECT r.status::BIGINT AS status, count(*)::BIGINT AS n_all, count(*) FILTER (reason IS NOT NULL)::BIGINT AS with_reason, count(*) FILTER (regexp_matches(reason, '{TRANSIENT}'))::BIGINT AS transient, coalesce(any_value(u.n), 0)::BIGINT AS unanswered FROM r LEFT JOIN u ON u.status = r.status GROUP BY 1""")
 def a38_download_report(t):
+    """Downloads by status, how many failures may pass, and how many papers of the status have a lookup without an answer."""
     rows = t.events.select((F.col("user_id") % 4).alias("status"), _reason().alias("reason"))
-    return P.conditional_counts(rows, "status", {"with_reason": F.col("reason").isNotNull(), "transient": F.col("reason").rlike(TRANSIENT)})
+    counts = P.conditional_counts(rows, "status", {"with_reason": F.col("reason").isNotNull(), "transient": F.col("reason").rlike(TRANSIENT)})
+    open_ = P.conditional_counts(lookup_maps(t).withColumn("status", F.col("paper") % 4), "status", {"unanswered": F.exists(F.map_values("lookups"), lambda x: x == "no_answer")}).drop("n_all")
+    return counts.join(open_, "status", "left").na.fill(0, ["unanswered"])
 
 
 @query("""WITH f AS (SELECT o_custkey AS paper, bool_or(o_orderstatus = 'F' AND o_orderkey % 4 = 0) AS l, bool_or(o_orderstatus = 'P' AND o_totalprice / 100 > 1024) AS p FROM orders GROUP BY 1)
@@ -398,13 +434,17 @@ def f2_formula_key(t):
     return t.events.select("event_id", T.formula_key(F.regexp_replace(written, r"\.\$$", ".")).alias("key"))
 
 
-@query("SELECT doc_id, length(regexp_replace(text, '%[^\\n]*', '', 'g'))::BIGINT AS n_kept FROM documents")
+@query("SELECT doc_id, length(regexp_replace(text, '%[^\\n]*', '', 'g'))::BIGINT + 1 + (doc_id % 2 = 0)::INT AS n_kept FROM documents")
 def f4_strip_comments(t):
-    return t.documents.select("doc_id", F.char_length(T.strip_comments(F.col("text"))).cast("long").alias("n_kept"))
+    """Texts between a comment environment (with a commented-out end in it) and, for even ones, a disabled block."""
+    off = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\\iffalse "), F.col("source"), F.lit(" % \\fi x\n\\fi "))).otherwise("")
+    text = F.concat(F.lit("\\begin{comment}a % \\end{comment}\n"), F.col("source"), F.lit("\\end{comment}"), F.col("text"), F.lit("\n"), off)
+    return t.documents.select("doc_id", F.char_length(T.strip_disabled(text)).cast("long").alias("n_kept"))
 
 
-@query("""WITH j AS (SELECT event_id, (props->>'$.k')::INT % 2 AS k, value, CASE WHEN value > 30 THEN 'yes' WHEN value > 5 THEN 'no' ELSE event_type END AS describes, CASE event_type WHEN 'click' THEN 'correct' WHEN 'view' THEN 'ambiguous' WHEN 'signup' THEN 'wrong' WHEN 'error' THEN event_type END AS faithful FROM events)
-SELECT event_id, CASE WHEN value > 90 THEN 'not the expected JSON' WHEN k = 1 THEN 'ids differ' WHEN describes NOT IN ('yes', 'no') THEN 'unknown answer' WHEN describes = 'no' AND faithful IS NOT NULL THEN 'no with a label' WHEN describes = 'yes' AND coalesce(faithful, 'error') = 'error' THEN 'yes without a label' END AS problem FROM j""")
+@query("""WITH j AS (SELECT event_id, (props->>'$.k')::INT % 2 AS k, value, CASE WHEN value > 30 THEN 'yes' WHEN value > 5 THEN 'no' ELSE event_type END AS describes, CASE event_type WHEN 'click' THEN 'correct' WHEN 'view' THEN 'ambiguous' WHEN 'signup' THEN 'wrong' WHEN 'error' THEN event_type END AS faithful FROM events),
+p AS (SELECT *, CASE WHEN value > 90 THEN 'not the expected JSON' WHEN k = 1 THEN 'ids differ' WHEN describes NOT IN ('yes', 'no') THEN 'unknown answer' WHEN describes = 'no' AND faithful IS NOT NULL THEN 'no with a label' WHEN describes = 'yes' AND coalesce(faithful, 'error') = 'error' THEN 'yes without a label' END AS problem FROM j)
+SELECT event_id, problem, CASE WHEN problem IS NULL THEN CASE WHEN describes = 'no' THEN 'no' ELSE faithful END END AS label FROM p""")
 def f12_validate_judgment(t):
     """Answers written from the log's columns, some in a fence, some cut short."""
     e, v = F.col("event_type"), F.col("value")
@@ -413,7 +453,8 @@ def f12_validate_judgment(t):
     one = F.struct(F.concat(F.lit("D"), (F.get_json_object("props", "$.k").cast("int") % 2 + 1).cast("string")).alias("id"), describes.alias("describes"), faithful.alias("faithful"))
     answer = F.to_json(F.struct(F.array(one).alias("judgments")))
     answer = F.when(v > 90, F.substring(answer, 1, 20)).when(F.col("user_id") % 2 == 0, F.concat(F.lit("```json\n"), answer, F.lit("\n```"))).otherwise(answer)
-    return t.events.select("event_id", T.validate_judgment(answer, F.lit(1)).alias("problem"))
+    rows = t.events.select("event_id", T.validate_judgment(answer, F.lit(1)).alias("problem"), T.judged_label(describes, faithful).alias("label"))
+    return rows.withColumn("label", F.when(F.col("problem").isNull(), F.col("label")))
 
 
 @query(f"WITH {TURNS_SQL}, n AS (SELECT conv_id, turn, trim(regexp_replace(a, '\\s+', ' ', 'g')) AS x, trim(regexp_replace(b, '\\s+', ' ', 'g')) AS y, length(a) % 3 AS k FROM turns) SELECT conv_id, turn, CASE WHEN k = 0 AND x != '' AND y != '' THEN x || '|' || y END AS texts FROM n")
@@ -424,16 +465,11 @@ def f13_validate_paraphrases(t):
     return turns(t).select("conv_id", "turn", F.array_join(T.validate_paraphrases(F.to_json(F.struct(texts.alias("paraphrases"))), 2), "|").alias("texts"))
 
 
-
-
-def turns(t: Tables):
-    c = t.conversations
-    return c.select("conv_id", "turn", F.col("text").alias("a")).join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b")), ["conv_id", "turn"])
-
-
-@query(f"WITH {TURNS_SQL}, w AS (SELECT conv_id, turn, list_transform(regexp_extract_all(a, '[A-Za-z0-9_''\\-*@]+'), lambda x: lower(x)) AS words FROM turns) SELECT conv_id, turn, coalesce(array_to_string(list_sort(list_distinct(list_filter(words, lambda w: list_contains({_words(T.KEYWORDS)}, w) OR w = 'the' OR length(w) = 1 OR regexp_matches(w, '[_0-9]')))), ' '), '') AS frozen FROM w")
+@query(f"WITH {TURNS_SQL}, w AS (SELECT conv_id, turn, list_transform(regexp_extract_all(a, '[A-Za-z0-9_''\\-*@]+'), lambda x: lower(x)) AS words, list_transform(regexp_extract_all(b, '[A-Za-z0-9_''\\-*@]+'), lambda x: lower(x)) AS other FROM turns), f AS (SELECT *, coalesce(list_sort(list_distinct(list_filter(words, lambda w: list_contains({_words(T.KEYWORDS)}, w) OR w = 'the' OR length(w) = 1 OR regexp_matches(w, '[_0-9]')))), []) AS frozen FROM w) SELECT conv_id, turn, array_to_string(frozen, ' ') AS frozen, coalesce(array_to_string(list_filter(frozen, lambda w: len(list_filter(other, lambda x: x = w)) < len(list_filter(words, lambda x: x = w))), ' '), '') AS lost FROM f")
 def f15_frozen_words(t):
-    return turns(t).select("conv_id", "turn", F.array_join(T.frozen_words(F.col("a"), F.lit("G[0,1] the > 3")), " ").alias("frozen"))
+    frozen = T.frozen_words(F.col("a"), F.lit("G[0,1] the > 3"))
+    rows = turns(t).withColumn("f", frozen)
+    return rows.select("conv_id", "turn", F.array_join("f", " ").alias("frozen"), F.array_join(T.lost_words(F.col("a"), F.col("b"), F.col("f")), " ").alias("lost"))
 
 
 @query(f"WITH {TURNS_SQL}, w AS (SELECT conv_id, turn, list_transform(regexp_extract_all(a, '\\d+(?:\\.\\d+)?|[A-Za-z_][A-Za-z0-9_'']*'), lambda x: lower(x)) AS x, list_transform(regexp_extract_all(b, '\\d+(?:\\.\\d+)?|[A-Za-z_][A-Za-z0-9_'']*'), lambda x: lower(x)) AS y FROM turns) SELECT conv_id, turn, len(list_distinct(list_filter(x, lambda w: (regexp_matches(w, '[_0-9]') OR w IN ('the', 'de', 'of')) AND NOT list_contains(y, w))))::BIGINT AS missing FROM w")
@@ -441,10 +477,13 @@ def f16_missing_symbols(t):
     return turns(t).select("conv_id", "turn", F.size(T.missing_symbols(F.col("a"), F.col("b"), F.lit("G[0,1] (the > de) U of"))).cast("long").alias("missing"))
 
 
-@query("SELECT doc_id, length(text)::BIGINT AS n, contains(regexp_replace(text, '\\s+', '', 'g'), 'ofthe') AS has FROM documents")
+@query("""WITH m AS (SELECT doc_id, text, length(text)::BIGINT AS n, regexp_extract(text, 'o\\s*f\\s*t\\s*h\\s*e') AS hit FROM documents)
+SELECT doc_id, n, hit != '' AS has, CASE WHEN hit != '' THEN strpos(text, hit) - 1 END AS start, CASE WHEN hit != '' THEN strpos(text, hit) - 1 + length(hit) END AS stop FROM m""")
 def f19_f23_clean_and_contains(t):
+    """Texts without control characters, and where they first hold two words, however spaced."""
     noisy = F.concat(F.char(F.lit(7)), F.col("text"))
-    return t.documents.select("doc_id", F.char_length(T.clean_text(noisy)).cast("long").alias("n"), T.contains_ignoring_spaces(F.col("text"), F.lit("of the")).alias("has"))
+    rows = t.documents.select("doc_id", F.char_length(T.clean_text(noisy)).cast("long").alias("n"), T.contains_ignoring_spaces(F.col("text"), F.lit("of the")).alias("has"), T.find_ignoring_spaces(F.col("text"), F.lit("of\nthe ")).alias("s"))
+    return rows.select("doc_id", "n", "has", "s.start", "s.stop")
 
 
 @query("""WITH b AS (SELECT event_id, props->>'$.k' AS lo, CASE WHEN event_type < 'f' THEN value::VARCHAR ELSE event_type END AS hi, CASE WHEN value > 50 THEN ')' ELSE ']' END AS closing, user_id % 2 = 0 AS named FROM events),
@@ -514,11 +553,29 @@ def j9_drop_if_paired(t):
     return R.drop_if_paired(rows.where("event_type = 'click'"), rows.where("event_type = 'view'"), ["user_id", "props"], "event_id", "event_id").select("event_id", "reason")
 
 
-@query("""SELECT d.doc_id, b.item_id, l.quality FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id % 50 AND length(b.text) > 100 LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+DESCRIBED_SQL = """m AS (SELECT doc_id % 50 AS file, arg_min(text, doc_id) AS text, min(doc_id) AS record FROM documents WHERE text IS NOT NULL GROUP BY 1),
+f AS (SELECT d.doc_id, m.record FROM documents d LEFT JOIN m ON m.file = d.doc_id % 50 AND regexp_replace(m.text, '^\\s+|\\s+$', '', 'g') = regexp_replace(coalesce(d.text, ''), '^\\s+|\\s+$', '', 'g') AND d.doc_id % 7 != 6),
+r AS (SELECT f.doc_id AS formula, f.record, c.turn, c.text AS nl FROM f LEFT JOIN conversations c ON c.conv_id = f.doc_id)"""
+
+
+def described(t: Tables):
+    """Documents as formulas read from numbered files, turns as their descriptions, the first document of a file as what it holds."""
+    file = lambda p: F.concat(F.lit(p), (F.col("doc_id") % 50).cast("string"), F.lit(".stl"))
+    path = F.when(F.col("doc_id") % 7 == 6, F.lit("/x/other.stl")).otherwise(file("/x/f"))
+    formulas = t.documents.select(F.col("doc_id").alias("formula"), F.col("doc_id").alias("number"), path.alias("path"), F.concat(F.col("text"), F.lit("\n")).alias("text"))
+    pairs = t.conversations.select(F.col("conv_id").alias("formula"), F.col("turn").alias("realization"), F.col("text").alias("nl"))
+    manifest = t.documents.where("text is not null").groupBy(file("stl/f").alias("file")).agg(F.min("doc_id").alias("record"), F.min_by("text", "doc_id").alias("text"))
+    return R.described_rows(formulas, pairs, manifest)
+
+
+@query(f"WITH {DESCRIBED_SQL} SELECT formula, CASE WHEN nl IS NOT NULL THEN CASE WHEN record IS NULL THEN 'stlnl_' || formula ELSE record::VARCHAR END || ':R' || turn END AS id, record, length(nl)::BIGINT AS n_chars FROM r")
 def j10_link_by_file(t):
-    rows = t.documents.select("doc_id", F.concat(F.lit("/x/f"), (F.col("doc_id") % 50).cast("string"), F.lit(".txt")).alias("path")).withColumn("file", F.regexp_extract("path", r"([^/]+)\.txt$", 1))
-    names = t.benchmark.where(F.char_length("text") > 100).select("item_id", F.concat(F.lit("f"), F.col("item_id").cast("string")).alias("file"))
-    return rows.join(names, "file", "left").join(t.labels.select("doc_id", "quality"), "doc_id", "left").select("doc_id", "item_id", "quality")
+    return described(t).select("formula", "id", "record", F.char_length("nl").cast("long").alias("n_chars"))
+
+
+@query(f"WITH {DESCRIBED_SQL}, g AS (SELECT formula, count(nl) AS n, bool_or(record IS NOT NULL) AS linked FROM r GROUP BY formula) SELECT count(*)::BIGINT AS formulas, count(*) FILTER (n = 0)::BIGINT AS without_description, count(*) FILTER (n > 0 AND NOT linked)::BIGINT AS not_linked, sum(n)::BIGINT AS descriptions FROM g")
+def j10_conversion_counts(t):
+    return R.conversion_counts(described(t))
 
 
 @query("""WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents), j AS (SELECT 'src' || user_id AS source, list(event_type ORDER BY event_id) AS x FROM events GROUP BY user_id)
@@ -592,11 +649,24 @@ def u4_unjudged_rest(t):
     return t.documents.select("doc_id").join(t.labels.select("doc_id"), "doc_id", "left_anti")
 
 
-@query("SELECT doc_id, greatest(n_chars // 2 - 500, 0)::BIGINT AS lo, least(n_chars // 2 + 700, n_chars)::BIGINT AS hi FROM documents")
+def _marks_sql(name: str, pattern: str) -> str:
+    """Where a pattern stands, as DuckDB counts it."""
+    return f"""{name} AS (SELECT doc_id, stop - length(regexp_extract(s, '(?s)^.*?({pattern})$', 1)) AS pos, stop FROM (SELECT doc_id, s, sum(length(s)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS stop FROM (SELECT doc_id, x[i] AS s, i FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '(?s).*?(?:{pattern})') AS x FROM documents)))))"""
+
+
+@query(f"""WITH {_marks_sql("hard", "[|]")}, {_marks_sql("par", "[.] *[\n]")}, {_marks_sql("line", "[.]")}, {_marks_sql("math", ",[^,.]+,")},
+p AS (SELECT doc_id, text, length(text) AS n, length(text) // 2 AS s, least(length(text) // 2 + 10, length(text)) AS e FROM documents WHERE text IS NOT NULL),
+a AS (SELECT *, coalesce((SELECT max(pos) FROM hard h WHERE h.doc_id = p.doc_id AND pos <= s), 0) AS lowest, coalesce((SELECT min(pos) FROM hard h WHERE h.doc_id = p.doc_id AND pos > s), n) AS top FROM p),
+b AS (SELECT *, greatest(lowest, s - 500) AS l, least(top, e + 700) AS h FROM a),
+c AS (SELECT *, (SELECT max(stop) FROM par m WHERE m.doc_id = b.doc_id AND stop <= l) AS lp, coalesce((SELECT max(stop) FROM line m WHERE m.doc_id = b.doc_id AND stop <= l), 0) AS ll, (SELECT min(stop) FROM par m WHERE m.doc_id = b.doc_id AND stop >= h) AS hp, coalesce((SELECT min(pos) FROM line m WHERE m.doc_id = b.doc_id AND pos >= h), top) AS hl FROM b),
+d AS (SELECT *, CASE WHEN l <= lowest THEN l WHEN lp >= greatest(lowest, l - 200) THEN lp ELSE greatest(lowest, ll) END AS l2, CASE WHEN h >= top THEN h WHEN hp <= least(top, h + 200) THEN hp ELSE least(top, hl) END AS h2 FROM c)
+SELECT doc_id, least(s, coalesce((SELECT max(pos) FROM math m WHERE m.doc_id = d.doc_id AND pos < l2 AND l2 < stop), l2))::BIGINT AS lo, greatest(e, coalesce((SELECT max(stop) FROM math m WHERE m.doc_id = d.doc_id AND pos < h2 AND h2 < stop), h2))::BIGINT AS hi FROM d""")
 def w11_window_bounds(t):
-    middle = F.expr("n_chars div 2")
-    none = F.array().cast("array<bigint>")
-    return t.documents.select("doc_id", N.snapped_window(middle, middle, F.col("n_chars"), none, 500, 700, 0).alias("w")).select("doc_id", "w.lo", "w.hi")
+    """The window around the middle of each text: bars part sections, sentences at line ends paragraphs, sentences lines; commas enclose formulas."""
+    docs = t.documents.where("text is not null").select("doc_id", "text")
+    n = F.char_length("text").cast("long")
+    middle = docs.select("doc_id", F.floor(n / 2).cast("long").alias("s"), F.least(F.floor(n / 2) + 10, n).cast("long").alias("e"))
+    return N.window_bounds(middle, docs, ["doc_id"], "s", "e", "text", "[|]", "[.] *[\n]", "[.]", ",[^,.]+,", 500, 700, 200).select("doc_id", "lo", "hi")
 
 
 @query("""WITH e AS (SELECT user_id % 10 AS config, event_type AS level, event_id % 3 AS run, props->>'$.k' AS entry, avg((value > 20)::INT) > 0.5 AS ok, avg(value) AS seconds, sum(value) AS cost FROM events GROUP BY ALL),
@@ -650,19 +720,19 @@ def a21_agreement(t):
     return V.agreement(items, "answered", rows.where("labelled"), rows.where("not labelled"), "user_id", "text")
 
 
-@query("""WITH p AS (SELECT user_id, 'm' || (event_id % 3) AS model, event_type AS w, CASE WHEN max(value) > 60 THEN 'specific' ELSE 'generic' END AS kind FROM events WHERE value > 30 GROUP BY ALL),
-g AS (SELECT user_id, CASE WHEN min(model) = 'm1' THEN w || 's' ELSE w END AS w, count(*) AS models, count(*) FILTER (kind = 'specific') AS s FROM p GROUP BY user_id, p.w HAVING count(*) >= 2),
+@query("""WITH p AS (SELECT user_id, 'm' || (event_id % 3) AS model, event_type AS w, CASE WHEN max(value) > 60 THEN 'specific' ELSE 'generic' END AS kind, min(value) < 50 AS copy FROM events GROUP BY ALL),
+g AS (SELECT user_id, CASE arg_min(model, (NOT copy, model != 'm2', model)) WHEN 'm1' THEN w || 's' ELSE w END AS w, count(*) AS models, count(*) FILTER (kind = 'specific') AS s FROM p GROUP BY user_id, p.w HAVING count(*) >= 2),
 k AS (SELECT *, CASE WHEN 2 * s > models THEN 'specific' WHEN 2 * s < models THEN 'generic' ELSE 'unclear' END AS kind FROM g),
 d AS (SELECT * FROM k QUALIFY kind != 'generic' OR count(*) FILTER (kind = 'specific') OVER (PARTITION BY user_id) = 0),
 asked AS (SELECT user_id, count(DISTINCT event_id % 3) AS asked FROM events GROUP BY 1), gave AS (SELECT user_id, count(DISTINCT model) AS gave FROM p GROUP BY 1),
 kept AS (SELECT user_id, count(*) AS n, string_agg(w || ':' || kind, ',' ORDER BY w) AS passages FROM d GROUP BY 1)
 SELECT user_id, CASE WHEN n > 0 THEN 'requirement' WHEN asked - coalesce(gave, 0) >= 2 THEN 'none' ELSE 'open' END AS outcome, coalesce(passages, '') AS passages FROM asked LEFT JOIN gave USING (user_id) LEFT JOIN kept USING (user_id)""")
 def a23_requirement_vote(t):
-    """Three models' passages of each user; the second model writes a letter more."""
+    """Three models' passages of each user; the second model writes a letter more, the third one is preferred."""
     model = F.concat(F.lit("m"), (F.col("event_id") % 3).cast("string")).alias("model")
-    given = t.events.where("value > 30").groupBy("user_id", model, F.col("event_type").alias("w")).agg(F.when(F.max("value") > 60, "specific").otherwise("generic").alias("kind"))
+    given = t.events.groupBy("user_id", model, F.col("event_type").alias("w")).agg(F.when(F.max("value") > 60, "specific").otherwise("generic").alias("kind"), (F.min("value") < 50).alias("copy"))
     given = given.withColumn("text", F.when(F.col("model") == "m1", F.concat("w", F.lit("s"))).otherwise(F.col("w"))).drop("w")
-    return V.requirement_vote(t.events.select("user_id", model).distinct(), given, "user_id", "model", "text", "kind")
+    return V.requirement_vote(t.events.select("user_id", model).distinct(), given, "user_id", "model", "text", "kind", "copy", ["m2"])
 
 
 def sources(t: Tables):

@@ -14,9 +14,10 @@ from ..scratch import scratch_path
 from ..sources import readers as R
 from ..streaming.ingest import ingest
 from ..operators import report as P
-from .corpus import FORMULA, sources, turns
+from .corpus import FORMULA, sources
 from .registry import Tables, query
 from .selection import log
+from .turns import turns
 
 
 def _scratch(t: Tables, name: str) -> str:
@@ -51,10 +52,13 @@ def f9_check_passage(t):
     return turns(t).select("conv_id", "turn", check_passage(H.ordered_pieces(text, F.when(k == 3, F.col("b")).otherwise(F.col("a")))).alias("state"))
 
 
-@query("SELECT event_id, 'always' || event_type || 'φ1≤' || (props->>'$.k') || '%-x' AS core FROM events")
+@query("""WITH c AS (SELECT conv_id, turn, event_type, (props->>'$.k') AS k, regexp_replace(text, '-\\s+([a-z])', '\\1', 'g') AS text FROM conversations c JOIN events e ON e.event_id = c.conv_id)
+SELECT conv_id, turn, regexp_replace(nfc_normalize(text), '[{}_^~$]|``|\\x27\\x27|["“”]|⟦/?[A-Z]\\d+⟧|\\s+', '', 'g') || 'φ1≤' || k || '%-x' || event_type AS core FROM c""")
 def f3_passage_core(t):
-    text = F.concat(F.lit("always  “"), F.col("event_type"), F.lit("” $\\varphi_{1} \\leq "), F.get_json_object("props", "$.k"), F.lit("$\\%\n−\\mathbf{x}"))
-    return t.events.select("event_id", H.passage_core(text).alias("core"))
+    """Turns with a formula after them as they are compared with a copy."""
+    e = t.events.select(F.col("event_id").alias("conv_id"), "event_type", F.get_json_object("props", "$.k").alias("k"))
+    text = F.concat(F.col("text"), F.lit(" “$\\varphi_{1} \\leq "), F.col("k"), F.lit("$\\%\n−\\mathbf{x}"), F.col("event_type"))
+    return t.conversations.select("conv_id", "turn", "text").join(e, "conv_id").select("conv_id", "turn", T.passage_core(text).alias("core"))
 
 
 @query()
@@ -96,6 +100,14 @@ def s2_read_jsonl(t):
     return R.read_jsonl(t.spark, path, "event_id long, event_type string, value double")
 
 
+@query("SELECT count(*) FILTER (event_id % 10 != 0)::BIGINT AS good, count(*) FILTER (event_id % 10 = 0)::BIGINT AS malformed FROM events")
+def s2_count_malformed(t):
+    path = _scratch(t, "jsonl")
+    line = F.to_json(F.struct("event_id", "event_type", "value"))
+    t.events.select(F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 15)).otherwise(line).alias("value")).write.text(path)
+    return R.count_malformed(t.spark, path, "event_id long, event_type string, value double")
+
+
 @query("SELECT user_id::VARCHAR AS paper_id, '.txt' AS ext, sum(length(event_type) + 1)::BIGINT AS n_chars FROM events GROUP BY user_id")
 def s3_read_source_tree(t):
     """A folder of text files per user, read back as files."""
@@ -169,17 +181,29 @@ def f5_trim_formula(t):
     written = F.concat(F.lit("G_{[0, "), k, F.lit("]} "), F.col("event_type"))
     source = F.concat(F.lit("$ \\phi := "), written, F.lit(" \\\\ & rest .$"))
     copy = F.concat(F.lit("G_{[0,"), k, F.lit("]}"), F.when(F.col("value") > 80, F.lit("q")).otherwise(F.col("event_type")))
-    return t.events.select("event_id", H.trim_formula(source, F.array(F.lit("F_{[0,1]}none"), copy)).alias("x")).select("event_id", "x.*")
+    return t.events.select("event_id", T.trim_formula(source, F.array(F.lit("F_{[0,1]}none"), copy)).alias("x")).select("event_id", "x.*")
 
 
-@query("""SELECT event_id, concat_ws('|', CASE WHEN user_id % 5 = 0 THEN 'no formula' WHEN value > 50 THEN 'not a copy' END, CASE WHEN event_id % 2 = 1 THEN 'unknown kind' END, CASE WHEN event_id % 2 = 1 THEN 'mixed kinds' END,
-CASE WHEN value <= 20 THEN 'unknown domain' END, CASE WHEN user_id % 5 != 0 AND user_id % 3 = 0 THEN 'symbol not in formula: q9' END) AS flags FROM events""")
+@query("""WITH e AS (SELECT *, user_id % 5 = 0 AS none, event_id % 4 = 3 AS transcribed, event_id % 3 = 0 AS two, CASE WHEN k % 3 = 0 THEN 'passage joined' WHEN k % 3 = 1 THEN 'passage not a copy' END AS state FROM (SELECT *, (props->>'$.k')::INT AS k FROM events))
+SELECT event_id, concat_ws('|', CASE WHEN none THEN 'no formula' WHEN transcribed AND value > 50 THEN 'bounds missing: 1000, 1001' WHEN NOT transcribed AND value > 50 THEN 'not a copy' END,
+CASE WHEN state IS NOT NULL THEN state || CASE WHEN two THEN ' (passage 1)' ELSE '' END END, CASE WHEN event_id % 2 = 1 THEN 'unknown kind: ' || event_type || CASE WHEN two THEN ' (passage 1)' ELSE '' END END,
+CASE WHEN two AND event_id % 5 = 0 THEN 'unknown kind: (none) (passage 2)' END, CASE WHEN two AND (event_id % 2 = 1 OR event_id % 5 = 0) THEN 'mixed kinds' END,
+CASE WHEN value <= 20 THEN 'unknown domain: ' || event_type WHEN value > 95 THEN 'unknown domain: (none)' END, CASE WHEN none THEN 'symbol not in formula: ' || event_type END,
+CASE WHEN user_id % 3 = 0 OR none THEN 'symbol not in formula: ' || CASE WHEN user_id % 3 = 0 THEN 'q_9' ELSE 'x_{3}' END END) AS flags FROM e""")
 def f10_check_extraction(t):
-    """Formulas whose source has other bounds, kinds and domains that are none, and a symbol they lack, each by another column."""
+    """Answers whose formula is none, no copy, or a transcription without its line's bounds; with one or two passages, some joined
+    or not copies, of kinds and domains that are none; and with a symbol of an indexed family or a strange one."""
     e, k = F.col("event_type"), F.get_json_object("props", "$.k")
-    source = F.concat(F.lit("$G_{[0, "), F.when(F.col("value") > 50, F.lit("1000")).otherwise(k), F.lit("]} "), e, F.lit("$"))
-    formula = F.when(F.col("user_id") % 5 == 0, " ").otherwise(F.concat(F.lit("G_{[0,"), k, F.lit("]}"), e))
-    kinds = F.when(F.col("event_id") % 2 == 1, F.array(F.lit("generic"), e)).otherwise(F.array(F.lit("generic")))
-    symbols = F.when(F.col("user_id") % 3 == 0, F.array(e, F.lit("q9"))).otherwise(F.array(e))
-    flags = T.check_extraction(formula, source, kinds, F.when(F.col("value") > 20, "robotics").otherwise(e), symbols)
+    formula = F.when(F.col("user_id") % 5 == 0, " ").otherwise(F.concat(F.lit("G_{[0,"), k, F.lit("]}"), e, F.lit(" > x_{i}")))
+    source = F.concat(F.lit("$G_{[0, "), F.when(F.col("value") > 50, F.lit("1000")).otherwise(k), F.lit("]} "), e, F.lit(" > x_{i}$"))
+    n = k.cast("int") % 3
+    state = F.when(n == 0, "joined").when(n == 1, "not a copy").otherwise("copy")
+    passage = lambda kind, state: F.struct(kind.alias("kind"), state.alias("state"))
+    first = passage(F.when(F.col("event_id") % 2 == 1, e).otherwise("generic"), state)
+    second = passage(F.when(F.col("event_id") % 5 == 0, "").otherwise("generic"), F.lit("copy"))
+    passages = F.when(F.col("event_id") % 3 == 0, F.array(first, second)).otherwise(F.array(first))
+    domain = F.when(F.col("value") <= 20, e).when(F.col("value") > 95, "").when(F.col("event_id") % 2 == 0, "aerial robotics").otherwise("smart home")
+    symbols = F.array(e, F.when(F.col("user_id") % 3 == 0, F.lit("q_9")).otherwise(F.lit("x_{3}")))
+    operators = F.when(F.col("value") > 50, F.array(F.array(F.lit("1000"), F.lit("1001")))).otherwise(F.array(F.array(k)))
+    flags = T.check_extraction(formula, source, passages, domain, symbols, F.col("event_id") % 4 == 3, operators)
     return t.events.select("event_id", F.array_join(flags, "|").alias("flags"))

@@ -10,7 +10,12 @@ from ..operators import records as R
 from ..operators import report as P
 from ..operators import select as S
 from ..operators import votes as V
+from ..scratch import scratch_path
+from ..sources.named import read_named_texts, write_named_texts
+from ..sources.readers import numbered_names
 from .registry import Tables, query
+from .turns import TURNS_SQL, turns
+from .turns import quoted as _words
 
 LABELS = {"view": "correct", "click": "ambiguous", "purchase": "wrong", "signup": "no"}
 LABEL_SQL = "CASE event_type WHEN 'view' THEN 'correct' WHEN 'click' THEN 'ambiguous' WHEN 'purchase' THEN 'wrong' WHEN 'signup' THEN 'no' END"
@@ -138,18 +143,27 @@ def o7_deterministic_order(t):
     return S.number_rows(t.documents.select("doc_id", "source", "lang"), ["source"], ["lang", "doc_id"]).select("doc_id", "source", "number")
 
 
-@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id)::BIGINT AS number, 'f' || lpad((row_number() OVER (ORDER BY doc_id))::VARCHAR, 5, '0') || '.txt' AS file FROM documents WHERE lang = 'en'")
+@query("""WITH k AS (SELECT event_id, event_type || chr(10) || props AS text, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS status FROM events WHERE value > 90)
+SELECT status, status || '-f' || lpad((row_number() OVER (PARTITION BY status ORDER BY event_id))::VARCHAR, 5, '0') || '.txt' AS file, text FROM k""")
 def s8_numbered_export(t):
-    from ..sources.readers import numbered_names
-
-    return numbered_names(S.number_all(t.documents.where("lang = 'en'").select("doc_id"), "doc_id"), "number")
+    """Texts in numbered files, separately per status, written together and read back."""
+    status = F.when(F.col("event_type") == "error", "rejected").otherwise("ok")
+    rows = t.events.where("value > 90").select("event_id", status.alias("status"), F.concat("event_type", F.lit("\n"), "props").alias("text"))
+    numbered = S.number_rows(rows, ["status"], ["event_id"], "number")
+    named = numbered_names(numbered, "number").withColumn("file", F.concat("status", F.lit("-"), "file"))
+    path = scratch_path(t.spark, "export")
+    write_named_texts(named, path, "file", "text")
+    return read_named_texts(t.spark, path).select(F.regexp_extract("file", "^([a-z]+)-", 1).alias("status"), "file", "text")
 
 
 @query(f"""WITH {LOG_SQL}, {LATEST_SQL}, {VOTE_SQL}, s AS (SELECT item % 4 AS set, item, final, bool_or(final IS NULL) OVER (PARTITION BY item % 4) AS open FROM voted WHERE how != 'undecided' AND item % 4 != 3 OR item % 4 = 3)
 SELECT set::BIGINT AS set, item, CASE WHEN open OR final = 'correct' THEN 'pairs' WHEN final = 'ambiguous' THEN 'pairs_ambiguous' ELSE 'dropped' END AS part FROM s""")
 def s6_split_parts(t):
+    """Judged sets in parts by label, written as JSON Lines and read back."""
     rows = voted(t).withColumn("set", F.col("item") % 4).where((F.col("how") != "undecided") & (F.col("set") != 3) | (F.col("set") == 3))
-    return R.part_of(rows, "set", "final").select("set", "item", "part")
+    path = scratch_path(t.spark, "split")
+    R.write_split(rows.select("set", "item", "final"), path, "set", "final", "json")
+    return t.spark.read.schema("item long, final string, set long, part string").json(path).select("set", "item", "part")
 
 
 @query(f"WITH {LOG_SQL} SELECT item, model, seq, event_type, cost FROM (SELECT *, row_number() OVER (PARTITION BY item, model ORDER BY (event_type != 'error') DESC, CASE WHEN event_type != 'error' THEN -seq ELSE seq END) AS r FROM log) WHERE r = 1")
@@ -198,9 +212,13 @@ ITEMS_SQL = "items AS (SELECT item, max_by(content, seq) AS content FROM log GRO
 SELECT i.item, m.model, CASE WHEN u IS NULL THEN 'new' WHEN NOT u THEN 'incomplete' WHEN c != i.content THEN 'outdated' ELSE 'stored' END AS state
 FROM items i CROSS JOIN (SELECT DISTINCT model FROM log) m LEFT JOIN asked a ON a.item = i.item AND a.model = m.model""")
 def j6_plan_tasks(t):
+    return _tasks(t).select("item", "model", "state")
+
+
+def _tasks(t):
     models = t.spark.createDataFrame([("m0",), ("m1",), ("m2",)], "model string")
     best = log(t).groupBy("item", "model").agg(F.max_by("content", F.when(ok(), F.col("seq"))).alias("content"), F.max(F.when(ok(), 1).otherwise(0)).alias("u"))
-    return A.plan_tasks(_items(t), models, best, "item", "model", "content", F.col("u") == 1).select("item", "model", "state")
+    return A.plan_tasks(_items(t), models, best, "item", "model", "content", F.col("u") == 1)
 
 
 @query(f"WITH {LOG_SQL}, {ITEMS_SQL} SELECT l.item, l.seq FROM log l JOIN items i ON l.item = i.item AND l.content = i.content")
@@ -231,10 +249,14 @@ def j19_answer_by_label(t):
     return voted(t).join(answers, "item").select("item", "final", V.answer_by_label(F.col("answers"), F.col("final"))["seq"].alias("reason_seq"))
 
 
-@query(f"WITH {LOG_SQL} SELECT model, count(*)::BIGINT AS calls, count(*) FILTER (event_type = 'error')::BIGINT AS failures, round(sum(cost), 2) AS total_cost, round(avg(cost), 6) AS mean_cost, round(avg(k), 6) AS mean_seconds FROM log GROUP BY model")
+@query(f"""WITH {LOG_SQL}, {ITEMS_SQL}, asked AS (SELECT item, model, max_by(content, seq) FILTER (event_type != 'error') AS c, bool_or(event_type != 'error') AS u FROM log GROUP BY ALL),
+todo AS (SELECT m.model, count(*) FILTER (u IS NULL OR NOT u OR c != i.content) AS n FROM items i CROSS JOIN (SELECT DISTINCT model FROM log) m LEFT JOIN asked a ON a.item = i.item AND a.model = m.model GROUP BY 1),
+r AS (SELECT model, count(*)::BIGINT AS calls, count(*) FILTER (event_type = 'error')::BIGINT AS failures, round(sum(cost), 2) AS total_cost, avg(cost) AS mean_cost, round(avg(k), 6) AS mean_seconds FROM log GROUP BY model)
+SELECT model, calls, failures, total_cost, round(mean_cost, 6) AS mean_cost, mean_seconds, n::BIGINT AS to_do, round(mean_cost * n, 4) AS planned_cost FROM r JOIN todo USING (model)""")
 def a18_cost_report(t):
-    report = A.cost_report(log(t), "model", ok(), "cost", "k")
-    return report.select("model", "calls", "failures", F.round("total_cost", 2).alias("total_cost"), F.round("mean_cost", 6).alias("mean_cost"), F.round("mean_seconds", 6).alias("mean_seconds"))
+    """What the calls of each model cost, and what the tasks that are still to be asked will."""
+    report = A.planned_cost(A.cost_report(log(t), "model", ok(), "cost", "k"), _tasks(t), "model")
+    return report.select("model", "calls", "failures", F.round("total_cost", 2).alias("total_cost"), F.round("mean_cost", 6).alias("mean_cost"), F.round("mean_seconds", 6).alias("mean_seconds"), "to_do", F.round("planned_cost", 4).alias("planned_cost"))
 
 
 @query(f"""WITH {LOG_SQL}, p AS (SELECT DISTINCT seq, model, 'check ' || x AS c FROM (SELECT seq, model, unnest([k % 5, k % 7, k % 5]) AS x FROM log))
@@ -310,12 +332,35 @@ def a17_description_report(t):
     return P.conditional_counts(t.documents.select("lang", "text"), "lang", subsets)
 
 
-@query(f"""WITH {LOG_SQL}, {LATEST_SQL}, {VOTE_SQL} SELECT CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN a IN ('wrong', 'no') AND b NOT IN ('wrong', 'no') THEN 'requirement' WHEN a NOT IN ('wrong', 'no') AND b IN ('wrong', 'no') THEN 'requirement' WHEN a != b THEN 'kind' END AS dispute, count(*)::BIGINT AS n FROM voted GROUP BY ALL""")
+AGREE_SQL = "CASE WHEN {0} IS NULL OR {1} IS NULL THEN 'not answered' WHEN {0} IN ('wrong', 'no') AND {1} IN ('wrong', 'no') THEN 'both none' WHEN {0} IN ('wrong', 'no') OR {1} IN ('wrong', 'no') THEN 'one gives none' WHEN {0} = {1} THEN 'same passages' ELSE 'partly the same' END"
+
+
+@query(f"""WITH {LOG_SQL}, {LATEST_SQL}, {VOTE_SQL}, g AS (SELECT *, {AGREE_SQL.format('a', 'b')} AS ab, {AGREE_SQL.format('c', 'a')} AS ca, {AGREE_SQL.format('c', 'b')} AS cb FROM voted),
+v AS (SELECT CASE WHEN ab = 'not answered' THEN NULL WHEN ab = 'one gives none' THEN 'requirement' WHEN a != b THEN 'kind' END AS dispute,
+CASE WHEN c IS NULL THEN 'not asked' WHEN ca IN ('same passages', 'both none') AND cb IN ('same passages', 'both none') THEN 'agrees with both' WHEN ca IN ('same passages', 'both none') THEN 'sides with the first' WHEN cb IN ('same passages', 'both none') THEN 'sides with the second'
+  WHEN ca = 'partly the same' OR cb = 'partly the same' THEN 'partly agrees' ELSE 'agrees with neither' END AS verdict FROM g) SELECT dispute, verdict, count(*)::BIGINT AS n FROM v GROUP BY ALL""")
 def a22_dispute_and_verdict(t):
+    """What two answers differ in, and whom the third one supports, by how far each two agree."""
     none = lambda c: F.col(c).isin("wrong", "no")
-    agreement = F.when(F.col("a").isNull() | F.col("b").isNull(), "not answered").when(none("a") != none("b"), "one gives none").otherwise("same passages")
-    rows = voted(t).withColumn("dispute", F.when(agreement != "not answered", V.dispute_of(agreement, F.col("a"), F.col("b"), F.lit(1), F.lit(1))))
-    return rows.groupBy("dispute").agg(F.count(F.lit(1)).alias("n"))
+
+    def agreement(x: str, y: str):
+        state = F.when(F.col(x).isNull() | F.col(y).isNull(), "not answered").when(none(x) & none(y), "both none").when(none(x) | none(y), "one gives none")
+        return state.when(F.col(x) == F.col(y), "same passages").otherwise("partly the same")
+
+    ab = agreement("a", "b")
+    dispute = F.when(ab != "not answered", V.dispute_of(ab, F.col("a"), F.col("b"), F.lit(1), F.lit(1)))
+    verdict = F.when(F.col("c").isNull(), "not asked").otherwise(T.verdict_by_agreement(agreement("c", "a"), agreement("c", "b")))
+    return voted(t).groupBy(dispute.alias("dispute"), verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 4 AS k, event_type, 'p' || user_id AS p FROM events)
+SELECT event_id, event_type || '|' || p AS texts FROM e""")
+def f14_answer_passages(t):
+    """Passages of answers: one that says there is none, a blank one and one that is given twice (spaces aside) don't count."""
+    e, k = F.col("event_type"), F.col("event_id") % 4
+    odd = F.when(k == 0, " None ").when(k == 1, "null").when(k == 2, F.concat(F.left(e, F.lit(2)), F.lit(" "), F.substring(e, 3, 100))).otherwise("")
+    given = F.array(*(F.struct(x.alias("text"), F.lit("generic").alias("kind")) for x in (e, odd, F.concat(F.lit("p"), F.col("user_id").cast("string")))))
+    return t.events.select("event_id", F.array_join(F.transform(T.given_passages(given), lambda p: p["text"]), "|").alias("texts"))
 
 
 @query("""WITH e AS (SELECT user_id AS region, (event_id % 40) AS id, event_id AS pos FROM events WHERE event_type = 'view'), q AS (SELECT DISTINCT user_id AS region, (event_id % 40) AS id FROM events WHERE event_type IN ('view', 'click') AND event_id % 2 = 0),
@@ -340,17 +385,27 @@ def j17_paraphrase_items(t):
     return both.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set(F.substring_index("answer", " ", 1))), "|").alias("starts"))
 
 
-@query("""SELECT c.doc_id, CASE WHEN c.text IS NULL OR c.text = o.text THEN 'unchanged' ELSE CASE l.quality WHEN 1 THEN 'correct' WHEN 0 THEN 'wrong' END END AS label FROM documents c JOIN documents o ON o.doc_id = c.doc_id // 2 LEFT JOIN labels l ON l.doc_id = c.doc_id""")
+@query(f"""WITH {TURNS_SQL}, r AS (SELECT *, CASE WHEN length(b) % 5 = 0 THEN a WHEN length(b) % 7 = 0 THEN a ELSE b END AS t FROM turns),
+w AS (SELECT *, list_transform(regexp_extract_all(a, '[A-Za-z0-9_\\x27\\-*@]+'), lambda x: lower(x)) AS wa, list_transform(regexp_extract_all(t, '[A-Za-z0-9_\\x27\\-*@]+'), lambda x: lower(x)) AS wt, list_transform(regexp_extract_all(a, '\\d+(?:\\.\\d+)?|[A-Za-z_][A-Za-z0-9_\\x27]*'), lambda x: lower(x)) AS sa, list_transform(regexp_extract_all(t, '\\d+(?:\\.\\d+)?|[A-Za-z_][A-Za-z0-9_\\x27]*'), lambda x: lower(x)) AS st FROM r),
+f AS (SELECT *, list_distinct(list_filter(wa, lambda w: list_contains({_words(T.KEYWORDS)}, w) OR w IN ('the', 'de', 'of', 'g', 'u') OR length(w) = 1 OR regexp_matches(w, '[_0-9]'))) AS frozen FROM w)
+SELECT conv_id, turn, CASE WHEN t = a THEN 'unchanged' WHEN length(b) % 3 != 0 THEN CASE WHEN length(b) % 2 = 0 THEN 'correct' ELSE 'wrong' END END AS label, len(list_filter(frozen, lambda w: len(list_filter(wt, lambda x: x = w)) < len(list_filter(wa, lambda x: x = w))))::BIGINT AS lost,
+len(list_distinct(list_filter(sa, lambda w: (regexp_matches(w, '[_0-9]') OR w IN ('the', 'de', 'of')) AND NOT list_contains(st, w))))::BIGINT AS missing FROM f""")
 def j20_label_paraphrases(t):
-    docs = t.documents.select("doc_id", "text")
-    rows = docs.withColumn("of", F.expr("doc_id div 2")).join(docs.select(F.col("doc_id").alias("of"), F.col("text").alias("original")), "of")
-    votes = docs.join(t.labels, "doc_id").select("doc_id", "text", F.when(F.col("quality") == 1, "correct").otherwise("wrong").alias("label"))
-    return R.label_rewritings(rows, votes, ["doc_id"], "text", "original", "label").select("doc_id", "label")
+    """Next turns as rewritings of turns: their label by the vote on the text, the words and symbols that they lost."""
+    n = F.char_length("b")
+    both = turns(t)
+    rows = both.withColumns({"text": F.when(n % 5 == 0, F.lit(None)).when(n % 7 == 0, F.col("a")).otherwise(F.col("b")), "original": F.col("a")})
+    votes = both.where(n % 3 != 0).select("conv_id", "turn", F.col("b").alias("text"), F.when(n % 2 == 0, "correct").otherwise("wrong").alias("label"))
+    found = R.label_rewritings(rows, votes, ["conv_id", "turn"], "text", "original", "label")
+    formula, text = F.lit("G[0,1] (the > de) U of"), F.coalesce("text", "original")
+    found = found.withColumns({"_text": text, "_frozen": T.frozen_words(F.col("original"), formula)})
+    lost = T.lost_words(F.col("original"), F.col("_text"), F.col("_frozen"))
+    return found.select("conv_id", "turn", "label", F.size(lost).cast("long").alias("lost"), F.size(T.missing_symbols(F.col("original"), F.col("_text"), formula)).cast("long").alias("missing"))
 
 
 @query(f"""WITH {LOG_SQL}, s AS (SELECT item, seq, substr(sha256(content), 1, 16) AS key, 'p/' || event_type || CASE WHEN seq % 2 = 0 THEN ':high' ELSE '' END AS name FROM log)
-SELECT seq, key, CASE WHEN contains(name, ':') THEN split_part(name, ':', 1) ELSE name END AS model, CASE WHEN contains(name, ':') THEN split_part(name, ':', 2) ELSE 'off' END AS level FROM s""")
+SELECT seq, key, substr(sha256('{{"p0":"' || name || '","p1":' || seq || ',"p2":["a","' || item || '"]}}'), 1, 16) AS item_key, CASE WHEN contains(name, ':') THEN split_part(name, ':', 1) ELSE name END AS model, CASE WHEN contains(name, ':') THEN split_part(name, ':', 2) ELSE 'off' END AS level FROM s""")
 def f18_f22_keys_and_labels(t):
     name = F.concat(F.lit("p/"), F.col("event_type"), F.when(F.col("seq") % 2 == 0, ":high").otherwise(""))
     model, level = T.split_model_label(name)
-    return log(t).select("seq", T.content_key_text(F.col("content")).alias("key"), model.alias("model"), level.alias("level"))
+    return log(t).select("seq", T.content_key_text(F.col("content")).alias("key"), T.content_key(name, F.col("seq"), F.array(F.lit("a"), F.col("item").cast("string"))).alias("item_key"), model.alias("model"), level.alias("level"))

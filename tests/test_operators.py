@@ -178,10 +178,11 @@ def test_passages():
             assert H.pieces_in_order(text, source, least=least) == pieces(text, source, least=least)
 
 
-def test_passages_as_compared():
-    text = "always within ten seconds, the (brake) is applied: G"
-    assert H.pieces_of_passage("(Always  within".lower() + " ten\nseconds.", text) == 1 and H.pieces_of_passage(" .() ", text) == 1
-    assert H.pieces_of_passage("always within ten the (brake) is applied", text) == 2 and H.pieces_of_passage("never within ten", text) == 0
+def test_passages_as_compared(spark):
+    text = F.lit("always within ten seconds, the (brake) is applied: G")
+    pieces_of = lambda passage: one(spark, H.ordered_pieces(F.lit(passage), text))
+    assert pieces_of("(always  within ten\nseconds.") == 1 and pieces_of(" .() ") == 1 and pieces_of(None) == 1
+    assert pieces_of("always within ten the (brake) is applied") == 2 and pieces_of("never within ten") == 0
 
 
 def test_groups_of_passages():
@@ -194,7 +195,7 @@ def test_vote_and_score(spark):
         (0, "a", "stop the car", "generic"), (0, "b", "stop the car now", "generic"), (0, "c", "go home", "specific"), (0, "a", "go home again", "specific"),
         (1, "a", "one text", "specific"), (1, "b", "one text", "generic"), (2, "a", "alone", "specific"), (3, "a", "alone", "generic"), (3, "a", "alone now", "generic"), (3, "b", "else", "generic"),
     ], "item int, model string, text string, kind string")
-    found = {r["item"]: (r["outcome"], r["passages"]) for r in V.requirement_vote(asked, given, "item", "model", "text", "kind").collect()}
+    found = {r["item"]: (r["outcome"], r["passages"]) for r in V.requirement_vote(asked, given.withColumn("copy", F.lit(None).cast("boolean")), "item", "model", "text", "kind", "copy", []).collect()}
     assert found == {0: ("requirement", "go home again:specific"), 1: ("requirement", "one text:unclear"), 2: ("none", ""), 3: ("open", "")}
     labelled = spark.createDataFrame([(0, "the long passage", "specific"), (1, "abcd", "generic"), (1, "wxyz", "generic"), (2, "abcd", "generic"), (3, "abcdefghij", "generic")], "i int, text string, kind string")
     answer = spark.createDataFrame([(0, "the long", "specific"), (1, "abcd", "specific"), (2, "qqqq", "generic"), (3, "abcdefghij.", "generic"), (4, "new", "generic")], "i int, text string, kind string")
@@ -288,12 +289,6 @@ def test_judgment(spark):
     assert one(spark, T.validate_judgment(F.lit('{"judgments":[],"x":1}'), F.lit(1))) == "another key"
 
 
-def test_passage_core_and_stretch():
-    assert H.passage_text("a “b” \\varphi_{i} \\le 3 \\unknown") == "abφi≤3\\unknown"
-    assert H.matched_stretch("$ x :=  G_{[0, 5]} p. $", [None, "no", "G_{[0,5]}p.", "x"]) == ("G_{[0, 5]} p", True)
-    assert H.matched_stretch(" $a \\label{eq} & b \\\\[2pt] c,$ ", ["zz", ""]) == ("a b c", False) and H.matched_stretch(None, []) == (None, False)
-
-
 def test_streamed_log_equals_batch(spark, tmp_path):
     from sievelake.streaming.ingest import ingest
 
