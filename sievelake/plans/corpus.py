@@ -11,6 +11,7 @@ from ..operators import graph as G
 from ..operators import records as R
 from ..operators import report as P
 from ..operators import scans as C
+from ..operators import sketches as Q
 from ..operators import select as S
 from ..operators import spans as N
 from ..operators import votes as V
@@ -625,6 +626,19 @@ def a32_region_sizes(t):
     return N.quantile_at(t.documents.select("source", "n_chars"), ["source"], "n_chars", {"median": 0.5, "p90": 0.9, "most": 1.0})
 
 
+@query("""SELECT source, count(n_chars)::BIGINT AS n, true AS median_near, true AS p90_near, true AS texts_near FROM documents WHERE lang IN ('en', 'de', 'fr') GROUP BY source HAVING count(n_chars) > 0""")
+def a32_a8_size_profiles(t):
+    """Profiles per source and language, kept as a table and added up for some languages, against the exact ranks and counts:
+    quantiles by 2 % of the rank, distinct texts by 10 %."""
+    docs = t.documents.select("source", "lang", "n_chars", F.md5(F.col("text").cast("binary")).alias("text"))
+    kept = materialize(Q.profiles(docs, ["source", "lang"], "n_chars", "text"), "profiles")
+    found = Q.merged(kept.where("lang in ('en', 'de', 'fr')"), ["source"], {"median": 0.5, "p90": 0.9}).withColumnRenamed("source", "_source")
+    rows = docs.where("lang in ('en', 'de', 'fr') and n_chars is not null").join(found, F.col("source").eqNullSafe(F.col("_source")))
+    exact = rows.groupBy("source", "n", "n_keys").agg(*(F.count_if(F.col("n_chars") < F.col(q)).alias(f"{q}_low") for q in ("median", "p90")), *(F.count_if(F.col("n_chars") <= F.col(q)).alias(f"{q}_high") for q in ("median", "p90")), F.count_distinct("text").alias("texts"))
+    near = lambda q, share: ((F.col(f"{q}_low") <= (share + 0.02) * F.col("n") + 1) & (F.col(f"{q}_high") >= (share - 0.02) * F.col("n") - 1)).alias(f"{q}_near")
+    return exact.select("source", "n", near("median", 0.5), near("p90", 0.9), (F.abs(F.col("n_keys") - F.col("texts")) <= 0.1 * F.col("texts")).alias("texts_near"))
+
+
 @query("SELECT 'documents' AS set, 0::BIGINT AS set_rank, doc_id AS id, lang FROM documents UNION ALL SELECT 'pages', 1, page_id, NULL FROM pages UNION ALL SELECT 'benchmark', 2, item_id, NULL FROM benchmark")
 def u1_concat_sets(t):
     both = R.concat_sets(("documents", t.documents.select(F.col("doc_id").alias("id"), "lang")), ("pages", t.pages.select(F.col("page_id").alias("id"))), ("benchmark", t.benchmark.select(F.col("item_id").alias("id"))))
