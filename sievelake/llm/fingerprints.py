@@ -2,7 +2,8 @@
 
 A text is brought to a canonical form (Unicode NFKC, full case folding, white space as one space) and digested to 192
 bits by three chained xxHash64 and its length. Texts with one digest are then compared byte by byte: where a digest
-stands for several canonical texts, all but the first carry their number, so equal fingerprints mean equal texts.
+stands for the canonical texts of several documents, all but the first carry their number, so documents with equal
+fingerprints have equal texts. An edited text that is no document's is named by its digest alone.
 """
 
 from __future__ import annotations

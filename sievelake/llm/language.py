@@ -70,11 +70,12 @@ def _packed(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", fit_rows: int = 2400, landmarks: int = 320, ridge: float = 0.05) -> dict:
     """A model from at most about ``fit_rows`` labelled rows, as many of each language where there are so many.
 
+    A language has 20 rows at least, so only the ``fit_rows`` / 20 most frequent labels (ties: the first by name) are learned.
     Rows without text or label are not used. The sample is chosen by a hash of the key, so it doesn't depend on the
     partitioning. Without usable rows the model knows no language and predicts ``und``.
     """
     rows = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"), F.col(key).cast("string").alias("key")).dropna()
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # one row per language
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max(1, fit_rows // 20)).collect()}
     if not counts:
         return {"labels": [], "weights": np.zeros((DIMS, 0), np.float32)}
     each = max(20, fit_rows // len(counts))

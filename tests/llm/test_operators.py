@@ -75,6 +75,21 @@ def test_substrings(spark):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_substrings_with_the_outermost_ids(spark):
+    """A null id is no number: it comes after 2^63 - 1, and both keep what they are."""
+    text = " ".join(f"w{i}" for i in range(20))
+    for ids, first in (([2**63 - 1, None], 2**63 - 1), ([None, 2**63 - 1, -(2**63), 0, 1, 2, 3], -(2**63)), ([None, None], None)):
+        found = substrings.remove_repeats(frame(spark, [(i, text) for i in ids])).collect()
+        assert sorted(str(r["doc_id"]) for r in found) == sorted(map(str, ids))
+        assert all(r["n_removed"] == (0 if r["doc_id"] == first else 20) for r in found)
+
+
+def test_languages_are_bounded(spark):
+    rows = [(i, f"label{i % 300} word{i % 300} text", f"l{i % 300:03d}") for i in range(600)] + [(1000 + i, "the common words of it", "en") for i in range(9)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=200)
+    assert len(model["labels"]) <= 10 and "en" in model["labels"]
+
+
 @pytest.mark.parametrize("width, percent", [(3, 90), (5, 80), (2, 60)])
 def test_jaccard(spark, width, percent):
     rows = corpus(3, 80)
