@@ -79,11 +79,33 @@ def best_example(df: DataFrame, group: str, tests: list[Column], text: str, pos:
 
 
 def diverse_examples(df: DataFrame, rule: str, kind: str, source: str, pos: str, n: int = 3) -> DataFrame:
-    """Up to ``n`` rows per rule from its largest kinds, each of another source (one row per source, then the kinds' first)."""
-    sizes = df.groupBy(rule, kind).agg(F.count(F.lit(1)).alias("kind_size"))
-    one = first_n(df, [rule, source], [pos], 1).join(sizes, [rule, kind])
-    one = first_n(one, [rule, kind], [pos], 1)
-    return first_n(one, [rule], [F.col("kind_size").desc(), F.col(pos)], n)
+    """Up to ``n`` rows per rule, each of another source: the first of each of its kinds, the largest kinds first, then of all its rows.
+
+    A kind all of whose sources are taken is passed over. As at most n sources are taken, the first n sources of a kind, and
+    the first 2 n of a rule, are all that can be chosen from. Adds kind_size and choice, the place in the rule's list.
+    """
+    sizes = df.groupBy(rule, kind).agg(F.count(F.lit(1)).alias("kind_size"), F.min(pos).alias("_first"))
+    each = first_n(df, [rule, kind, source], [pos], 1)
+    same = [each[c].eqNullSafe(sizes[c]) for c in (rule, kind)]
+    each = each.join(sizes, same[0] & same[1]).select(*(each[c] for c in df.columns), "kind_size", "_first").withColumn("_order", F.struct(-F.col("kind_size"), "_first"))
+    pools = [materialize(first_n(each, [rule, kind], [pos], n), "examples"), materialize(first_n(first_n(each, [rule, source], [pos], 1), [rule], [pos], 2 * n), "examples")]
+    names = [*df.columns, "kind_size"]
+    taken = pools[0].select(rule).distinct().select(F.col(rule).alias("_rule"), F.array().cast(df.select(F.array(source)).schema[0].dataType).alias("_used"), F.lit(None).cast(each.schema["_order"].dataType).alias("_last"))
+    out = None
+    for kinds, pool in ((True, pools[0]), (False, pools[1])):
+        for _ in range(n):
+            open_ = pool.join(taken, pool[rule].eqNullSafe(F.col("_rule"))).where((F.size("_used") < n) & ~F.coalesce(F.array_contains("_used", F.col(source)), F.lit(False)))
+            if kinds:
+                open_ = open_.where(F.col("_last").isNull() | (F.col("_order") > F.col("_last")))
+            best = open_.groupBy(rule).agg(F.min_by(F.struct(*names, "_order", F.size("_used").alias("_n")), F.struct("_order", pos) if kinds else F.col(pos)).alias("_row"))
+            best = materialize(best.select("_row.*"), "examples")
+            choice = best.select(*names, (F.col("_n") + 1).alias("choice"))
+            out = choice if out is None else out.unionByName(choice)
+            new = best.select(F.col(rule).alias("_r"), F.col(source).alias("_s"), F.col("_order").alias("_o"))
+            both = taken.join(new, F.col("_rule").eqNullSafe(F.col("_r")), "left")
+            grown = F.when(F.col("_o").isNotNull(), F.array_append("_used", F.col("_s"))).otherwise(F.col("_used"))
+            taken = materialize(both.select("_rule", grown.alias("_used"), F.coalesce("_o", "_last").alias("_last")), "examples")
+    return out
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "number") -> DataFrame:

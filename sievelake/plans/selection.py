@@ -88,12 +88,20 @@ def w13_best_example(t):
     return S.best_example(docs, "lang", [F.contains("text", F.lit(",")), F.contains("text", F.lit("."))], "text", "doc_id").select("lang", "doc_id", "n_chars")
 
 
-@query("""WITH k AS (SELECT lang, doc_id % 7 AS kind, source, doc_id, count(*) OVER (PARTITION BY lang, doc_id % 7) AS kind_size FROM documents),
-a AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) = 1),
-b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY lang, kind ORDER BY doc_id) = 1)
-SELECT lang, kind::BIGINT AS kind, source, doc_id, kind_size::BIGINT AS kind_size FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY kind_size DESC, doc_id) <= 3""")
+def _examples_sql(n: int) -> str:
+    """The greedy choice, a step at a time: first of the kinds in their order, then of all rows."""
+    steps = ["c0 AS (SELECT lang, NULL::BIGINT AS doc_id, NULL AS source, NULL::BIGINT AS o FROM d WHERE false)"]
+    for i in range(1, 2 * n + 1):
+        of_kind = f"AND d.o > coalesce((SELECT max(o) FROM c{i - 1} c WHERE c.lang = d.lang), 0)" if i <= n else ""
+        order = "d.o, doc_id" if i <= n else "doc_id"
+        steps.append(f"""c{i} AS (SELECT * FROM c{i - 1} UNION ALL (SELECT lang, doc_id, source, o FROM d WHERE source NOT IN (SELECT source FROM c{i - 1} c WHERE c.lang = d.lang) AND (SELECT count(*) FROM c{i - 1} c WHERE c.lang = d.lang) < {n} {of_kind} QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {order}) = 1))""")
+    return f"""WITH k AS (SELECT doc_id, lang, source, CASE WHEN n_chars > 4000 THEN 'long' ELSE 'short' END AS kind FROM documents), s AS (SELECT *, count(*) OVER (PARTITION BY lang, kind) AS kind_size, min(doc_id) OVER (PARTITION BY lang, kind) AS first FROM k),
+d AS (SELECT *, dense_rank() OVER (PARTITION BY lang ORDER BY kind_size DESC, first) AS o FROM s), {', '.join(steps)} SELECT c.lang, d.kind, c.source, c.doc_id, d.kind_size::BIGINT AS kind_size FROM c{2 * n} c JOIN d USING (doc_id)"""
+
+
+@query(_examples_sql(3))
 def w14_diverse_examples(t):
-    docs = t.documents.select("lang", (F.col("doc_id") % 7).alias("kind"), "source", "doc_id")
+    docs = t.documents.select("lang", F.when(F.col("n_chars") > 4000, "long").otherwise("short").alias("kind"), "source", "doc_id")
     return S.diverse_examples(docs, "lang", "kind", "source", "doc_id").select("lang", "kind", "source", "doc_id", "kind_size")
 
 

@@ -112,3 +112,21 @@ def test_quota_ranks_no_rest(many):
     assert len(rows) == len({r["k"] for r in rows}) == 20
     assert sum(r["class"] == "tens" for r in rows) == 7 and all(r["k"] % 2 == 1 for r in rows if r["class"] == "odd")
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_examples_are_chosen_greedily(many):
+    rng = random.Random(6)
+    rows = [(i, rng.choice("rst"), rng.choice("aabc"), rng.choice("uvw" if i % 2 else "u")) for i in rng.sample(range(500), 40)] + [(900, "q", "a", "u"), (901, "q", "b", "u"), (902, "q", "b", "u"), (903, None, "a", None), (904, None, "b", None)]
+    found = {}
+    for r in S.diverse_examples(many.createDataFrame(rows, "pos long, rule string, kind string, paper string"), "rule", "kind", "paper", "pos").collect():
+        found.setdefault(r["rule"], []).append((r["choice"], r["pos"]))
+    for rule in "rstq":
+        mine = sorted(r for r in rows if r[1] == rule)
+        kinds = sorted({k for _, _, k, _ in mine}, key=lambda k: (-sum(x[2] == k for x in mine), min(x[0] for x in mine if x[2] == k)))
+        chosen, papers = [], set()
+        for group in [[r for r in mine if r[2] == k] for k in kinds] + [mine] * 3:
+            pool = [r for r in group if r[3] not in papers]
+            if pool and len(chosen) < 3:
+                chosen.append(pool[0][0])
+                papers.add(pool[0][3])
+        assert [p for _, p in sorted(found[rule])] == chosen
