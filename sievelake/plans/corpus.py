@@ -89,13 +89,18 @@ def p12_is_english(t):
     return t.documents.select("doc_id", T.is_english(F.col("text")).alias("english"))
 
 
-@query("SELECT event_id, (props->>'$.k')::INT % 2 = 0 AS fragment, (props->>'$.k')::INT % 3 = 0 AS cut FROM events")
+@query("""WITH e AS (SELECT *, (props->>'$.k')::INT % 4 AS k FROM events) SELECT event_id, k < 2 OR (k = 2 AND value <= 50) AS fragment, user_id % 5 IN (0, 1) OR (event_id % 3 = 0 AND user_id % 5 != 4) AS cut FROM e""")
 def p13_is_fragment(t):
-    k = F.get_json_object("props", "$.k").cast("int")
-    bounds = F.concat(F.lit(r"\square_{[0,"), k.cast("string"), F.lit("]}"))
-    formula = F.concat(bounds, F.when(k % 2 == 0, "").otherwise(" p > 3"))
-    row = F.concat(F.lit(r"\square_{[0,1]} p "), F.when(k % 3 == 0, r"\wedge ").otherwise(" q"))
-    return t.events.select("event_id", T.is_fragment(formula).alias("fragment"), T.looks_cut(row).alias("cut"))
+    """Operators alone, with bounds and brackets in several ways or with what they apply to; rows that begin or end with a connective."""
+    k, lit = F.get_json_object("props", "$.k").cast("int") % 4, F.lit
+    operator = F.when(F.col("user_id") % 3 == 0, r"\square").when(F.col("user_id") % 3 == 1, r"\mathbf{G}").otherwise(r"F")
+    bounds = F.concat(F.when(F.col("value") > 70, "_{[").otherwise("^{("), lit("0, "), F.col("event_id").cast("string"), lit("]}"))
+    rest = F.when(k == 0, "").when(k == 1, r" \left( \right) .").when(k == 2, F.when(F.col("value") > 50, r" \phi").otherwise(r" $ : $")).otherwise(F.concat(lit(" ("), F.col("event_type"), lit(" > 3)")))
+    u = F.col("user_id") % 5
+    end = F.when(u == 0, r" \wedge ").when(u == 1, " = ").when(u == 2, r" \wedge q").otherwise("")
+    start = F.when((F.col("event_id") % 3 == 0) & (u != 4), r" \lor ").when(F.col("event_id") % 3 == 0, r" \lorem ").otherwise("")
+    row = F.concat(start, lit("p_"), F.col("event_type"), end)
+    return t.events.select("event_id", T.is_fragment(F.concat(operator, bounds, rest)).alias("fragment"), T.looks_cut(row).alias("cut"))
 
 
 @query("""SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'undecided' WHEN d.n > 1 THEN 'same text' WHEN lang != 'en' THEN 'not English' WHEN contains(text, '%%%') THEN 'not transcribed alike' WHEN quality = 0 THEN 'operator alone' END AS reason
@@ -429,10 +434,20 @@ def f1_normalize_title(t):
     return t.documents.select("doc_id", T.normalize_title(F.substring_index("text", "\n", 1)).alias("title"))
 
 
-@query("SELECT event_id, 'x\\lep->y\\Box' || event_type AS key FROM events")
+@query(r"""WITH e AS (SELECT *, (props->>'$.k')::INT % 4 AS k FROM events)
+SELECT event_id, CASE user_id % 3 WHEN 2 THEN '\Diamond' ELSE '\Box' END || '_[0,' || k || ']' || CASE WHEN k = 3 THEN 'x_' || k || '=' ELSE '' END || event_type || CASE event_id % 4 WHEN 3 THEN '\ge' ELSE '\le' END || trunc(value)::INT || CASE k WHEN 0 THEN '\rightarrow' WHEN 1 THEN '\Leftrightarrow' WHEN 2 THEN '\wedge' ELSE '\neg' END || 'U\phi' AS key FROM e""")
 def f2_formula_key(t):
-    written = F.concat(F.lit(r"$x \leqslant "), F.when(F.col("event_id") % 2 == 0, r"\mathrm{p}").otherwise("p"), F.lit(r" -> y \square "), F.col("event_type"), F.lit(r" \quad .$"))
-    return t.events.select("event_id", T.formula_key(F.regexp_replace(written, r"\.\$$", ".")).alias("key"))
+    """Formulas whose operators, relations, connectives, fonts and layout are written in different ways, by five columns."""
+    k, lit = F.get_json_object("props", "$.k").cast("int") % 4, F.lit
+    box = F.when(F.col("user_id") % 3 == 0, r"\square").when(F.col("user_id") % 3 == 1, r"\Box").otherwise(r"\lozenge")
+    relation = F.when(F.col("event_id") % 4 == 0, r" \le ").when(F.col("event_id") % 4 == 1, r"\leq ").when(F.col("event_id") % 4 == 2, r"\,\leqslant ").otherwise(r" \geqslant ")
+    arrow = F.when(k == 0, F.when(F.col("value") > 50, r" \implies ").otherwise(r" \to ")).when(k == 1, r"\iff ").when(k == 2, r" \land ").otherwise(r" \lnot ")
+    name = F.when(F.col("value") > 30, F.concat(lit(r"\mathrm{"), F.col("event_type"), lit("}"))).otherwise(F.col("event_type"))
+    until = F.when(F.col("value") > 60, r"\mathcal{U}").when(F.col("value") > 40, r"\until ").otherwise("U")
+    phi = F.when(F.col("user_id") % 2 == 0, r"\varphi").otherwise(r"\phi ")
+    end = F.when(F.col("event_id") % 3 == 0, r" \quad .$").when(F.col("event_id") % 3 == 1, r" \\ & ,").otherwise(r"\label{eq} \nonumber")
+    written = F.concat(F.when(F.col("event_id") % 3 == 0, "$ ").otherwise(r"\begin{align} "), box, lit("_{[0, "), k.cast("string"), lit(r"]}\left "), F.when(k == 3, F.concat(lit("x_{"), k.cast("string"), lit(r"} \coloneqq "))).otherwise(""), name, relation, F.col("value").cast("int").cast("string"), arrow, until, phi, end)
+    return t.events.select("event_id", T.formula_key(written).alias("key"))
 
 
 @query("SELECT doc_id, length(regexp_replace(text, '%[^\\n]*', '', 'g'))::BIGINT + 1 + (doc_id % 2 = 0)::INT AS n_kept FROM documents")
