@@ -6,8 +6,8 @@ line sequences are aligned by longest common subsequence. Shared lines belong to
 
 * a shared line outside an article is deleted;
 * a region whose text is mostly shared, over all pairs of the host, is a part of the template, and all its lines are
-  deleted, inside an article too. A line that two articles share in a region of otherwise different text is a quotation,
-  and stays.
+  deleted; inside an article only where a container's name there says so too (a share box, related links): a quotation or an
+  opening that all articles of a host repeat is text, and so is a line that two articles share in a region of otherwise different text.
 
 Markup confirms: menus, headers, footers, sidebars, notices, adverts, forms and reader comments go by their elements and
 names also where they differ from page to page or where a page has no partner, and a page with an article is its article.
@@ -84,7 +84,8 @@ def page_lines(html: str | None) -> list[tuple[str, str, int]]:
 
     An end tag closes up to its element; without one an element lasts until an ancestor ends. An inline element does not
     keep a block that follows from standing on a line of its own. The region is a hash of the chain of containers, with
-    their names and classes but without digits, which number posts.
+    their names and classes but without digits, which number posts; its last bit says that one of them, within the article,
+    is named like a part of a layout.
     """
     if not html:
         return []
@@ -153,7 +154,8 @@ def page_lines(html: str | None) -> list[tuple[str, str, int]]:
         if name not in INLINE and (name not in TEXTUAL or attributes):
             own = " ".join(v for k, v in attributes if k in ("class", "id"))
             if own or name not in TEXTUAL:
-                region = xxhash.xxh3_64_intdigest(f"{region}/{name} {_DIGITS.sub('', own)}".encode("utf-8", "surrogatepass")) >> 1
+                layout = 0 if name in MAIN and not inside else region & 1 | bool(_LAYOUT.search(own))
+                region = xxhash.xxh3_64_intdigest(f"{region}/{name} {_DIGITS.sub('', own)}".encode("utf-8", "surrogatepass")) >> 2 << 1 | layout
         stack.append((name, chrome, inside or name in MAIN, region))
     flush()
     return out
@@ -165,9 +167,10 @@ def article_role(roles: str) -> str:
 
 
 def main_text(texts: list[str], roles: str, regions: list[int], shared: set[int], template: set[int]) -> str:
-    """The lines that may be main text and that neither a template region nor, outside an article, sharing deletes."""
+    """The lines that may be main text and that neither a template region (in an article: one named like it) nor, outside an article, sharing deletes."""
     role = article_role(roles)
-    return "\n\n".join(t for i, (t, r, g) in enumerate(zip(texts, roles, regions, strict=True)) if r == role and g not in template and (role == MAIN_LINE or i not in shared))
+    gone = {g for g in template if role == LOOSE_LINE or g & 1}
+    return "\n\n".join(t for i, (t, r, g) in enumerate(zip(texts, roles, regions, strict=True)) if r == role and g not in gone and (role == MAIN_LINE or i not in shared))
 
 
 def shared_lines(own: np.ndarray, other: np.ndarray) -> list[int]:

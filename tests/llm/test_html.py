@@ -169,6 +169,18 @@ def test_html_brute_force(spark):
     assert len(told) > 30 and sum("friends" in found[p] for p in told) * 2 < len(told)  # the rest are copies on other hosts
 
 
+def test_text_that_all_articles_repeat_stays(spark):
+    """A quotation and an opening that every article of a host has are text; a share box is not, though it stands in the articles too."""
+    pages = []
+    for i in range(4):
+        own = " ".join(f"word{i}x{k}" for k in range(80))
+        pages.append((i, f"http://a.com/{i}", f"<body><nav>Menu</nav><article><section class='lead'><p>The same opening</p></section><p>{own}</p><div class='quote'><p>The same words quoted</p></div><div class='share'><p>Tell your friends</p></div></article></body>"))
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        own = " ".join(f"word{i}x{k}" for k in range(80))
+        assert found[i] == f"The same opening\n\n{own}\n\nThe same words quoted"
+
+
 def test_the_partner_decides(spark):
     page = "<body><p>Only on a</p><p>Story of the first page</p><p>It goes on for a while, and ends</p></body>"
     other = "<body><p>{}</p><p>Another story of the site</p><p>It is told at some length here</p></body>"
