@@ -20,6 +20,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STEPS = 1 << 16
 SLICE_BYTES = 2 << 20
+TOGETHER = 4096
 LONG_SPACE = re.compile(r"\s{1000}")
 
 
@@ -68,7 +70,7 @@ class Tokens:
         self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
         for i, piece in self.a_bytes.items():
             self.a_sizes[i] = len(piece)
-        self.a_lengths = self.a_sizes.tolist()
+        self.b_pieces = pa.array(self.b_bytes, pa.large_binary())
         self.b_sizes = np.array([len(p) for p in self.b_bytes], np.int64)
 
     def encode_a(self, text: str) -> list[int]:
@@ -76,10 +78,42 @@ class Tokens:
             return _reference(self.path).encode(text, add_special_tokens=False).ids
         return self.a.encode_ordinary(text)
 
-    def same(self, text: str, a: list[int], b: list[int]) -> bool:
-        """Whether both token sequences are the bytes of space + text; a byte-level one can only lack some."""
-        whole = b" " + text.encode()
-        return b"".join(map(self.b_bytes.__getitem__, b)) == whole and sum(map(self.a_lengths.__getitem__, a)) == len(whole)
+    def encode_units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A tokens of space + text of every unit, one after the other, and how many each has.
+
+        Short units between solid characters are encoded together, as the text they would be cut from.
+        """
+        size = np.array([len(t.encode()) for t in texts], np.int64) + 1
+        plain = [self.in_order and len(t) < 1000 and t[:1] > " " and t[-1:] > " " and not WIDE_SPACE.search(t[0] + t[-1]) for t in texts]
+        parts, counts, i = [], np.zeros(len(texts), np.int64), 0
+        while i < len(texts):
+            j = i + 1
+            if plain[i]:
+                while j < len(texts) and j - i < TOGETHER and plain[j]:
+                    j += 1
+                ids = np.array(self.a.encode_ordinary(" " + " ".join(texts[i:j])), np.int64)
+                counts[i:j] = np.diff(np.searchsorted(np.cumsum(self.a_sizes[ids]), np.cumsum(size[i:j])) + 1, prepend=0)
+            else:
+                ids = np.array(self.encode_a(" " + texts[i]), np.int64)
+                counts[i] = len(ids)
+            parts.append(ids)
+            i = j
+        return np.concatenate([np.zeros(0, np.int64), *parts]), counts
+
+    def good_units(self, texts: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether both token sequences of each unit are the bytes of space + unit; byte-level ones can only lack some."""
+        whole = [b" " + t.encode() for t in texts]
+        size, unit_a, unit_b = np.array([len(w) for w in whole], np.int64), np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
+        total = lambda unit, sizes: np.bincount(unit, sizes, len(texts)).astype(np.int64)
+        good = (total(unit_a, self.a_sizes[a]) == size) & (total(unit_b, self.b_sizes[b]) == size)
+        # of the units of the right length, the bytes one after the other
+        made = self.b_pieces.take(pa.array(b[good[unit_b]]))
+        ends = np.frombuffer(made.buffers()[1], np.int64)[: len(made) + 1]
+        data = np.frombuffer(made.buffers()[2], np.uint8)[ends[0] : ends[-1]] if len(made) else np.zeros(0, np.uint8)
+        wanted = np.frombuffer(b"".join(w for w, g in zip(whole, good) if g), np.uint8)
+        some = np.flatnonzero(good)
+        wrong = np.bincount(np.repeat(some, size[some])[data != wanted], minlength=len(texts))
+        return good & (wrong == 0)
 
 
 @functools.lru_cache(maxsize=2)
@@ -171,13 +205,14 @@ class Aligned:
     """
 
     def __init__(self, known: Tokens, texts: list[str], steps: int = STEPS):
-        a = [known.encode_a(" " + t) for t in texts]
+        a, n_a = known.encode_units(texts)
         b = known.b.encode(texts, num_threads=1) if texts else []
-        self.good = np.array([known.same(*x) for x in zip(texts, a, b)], bool)
-        a = [x if g else [] for x, g in zip(a, self.good)]
-        b = [x if g else [] for x, g in zip(b, self.good)]
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        ids = [np.fromiter(itertools.chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, self.n_a), (b, self.n_b))]
+        n_b = np.fromiter(map(len, b), np.int64, len(b))
+        b = np.fromiter(itertools.chain.from_iterable(b), np.int64, int(n_b.sum()))
+        self.good = known.good_units(texts, a, n_a, b, n_b)
+        a, b = a[np.repeat(self.good, n_a)], b[np.repeat(self.good, n_b)]
+        self.n_a, self.n_b = n_a * self.good, n_b * self.good
+        ids = [a, b]
         ends = [np.cumsum(sizes[x]) for sizes, x in zip((known.a_sizes, known.b_sizes), ids)]
         cuts = merge_path(*ends, steps)
         links_a, links_b, common = [], [], []
@@ -197,16 +232,25 @@ class Aligned:
         self.n_groups = np.bincount(owner[shared], minlength=len(texts)) if len(shared) else np.zeros(len(texts), np.int64)
         self.groups = self._texts(ids, shared, shared_b, len(texts))
 
-    def _texts(self, ids, shared, shared_b, n) -> list[str]:
-        a, b = (list(map(str, x.tolist())) for x in ids)
-        made, i, j = [], 0, 0
-        for x, y in zip((shared + 1).tolist(), (shared_b + 1).tolist()):
-            made.append(f"{','.join(a[i:x])}|{','.join(b[j:y])}")
-            i, j = x, y
-        ends = np.cumsum(self.n_groups).tolist()
-        return [";".join(made[p:q]) for p, q in zip([0, *ends[:-1]], ends)] if n else []
-
-
+    def _texts(self, ids, shared, shared_b, n) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each unit: all tokens in the order of the groups, each with the sign after it."""
+        if not len(shared):
+            return [b""] * n
+        group = [np.repeat(np.arange(len(shared)), np.diff(last + 1, prepend=0)) for last in (shared, shared_b)]
+        place = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        sign = np.zeros(len(place), np.int32)  # a comma, but after a group's last tokens
+        sign[shared], sign[len(ids[0]) + shared_b] = 1, 2
+        written = pc.binary_join_element_wise(pc.cast(pa.array(np.concatenate(ids)[place]), pa.large_string()), SIGNS.take(pa.array(sign[place])), pa.scalar("", pa.large_string()))
+        ends = np.frombuffer(written.buffers()[1], np.int64)[written.offset : written.offset + len(written) + 1]
+        data = written.buffers()[2].to_pybytes()
+        # where each unit's last group ends, without its last sign
+        tokens = np.cumsum(self.n_a + self.n_b)
+        stops = ends[tokens]
+        starts = np.append(ends[0], stops[:-1])
+        return [data[p : q - 1] if q > p else b"" for p, q in zip(starts.tolist(), stops.tolist())]
+
+
+SIGNS = pa.array([",", "|", ";"], pa.large_string())
 SUMS = ("n_a", "n_b", "n_groups", "n_links")
 ROWS = "slice long, keys binary, rows array<struct<n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string,groups:string>>, doc_unit binary, times binary, link_unit binary, link_pair binary, pairs_a binary, pairs_b binary, counts binary"
 
@@ -223,8 +267,8 @@ def _slice(known: Tokens, texts: pa.Array, with_groups: bool) -> dict:
     word, doc = word[used], doc[used]
     sums = {s: np.bincount(doc, getattr(aligned, s)[word], n).astype(np.int64) for s in SUMS}
     ends = np.cumsum(np.bincount(doc, minlength=n)).tolist()
-    groups = [";".join([aligned.groups[w] for w in word[p:q].tolist()]) for p, q in zip([0, *ends[:-1]], ends)]
-    rows = [dict(zip(SUMS, map(int, r)), groups_sha256=hashlib.sha256(g.encode()).hexdigest() if g else "", groups=g if with_groups else None) for *r, g in zip(*sums.values(), groups)]
+    groups = [b";".join([aligned.groups[w] for w in word[p:q].tolist()]) for p, q in zip([0, *ends[:-1]], ends)]
+    rows = [dict(zip(SUMS, map(int, r)), groups_sha256=hashlib.sha256(g).hexdigest() if g else "", groups=g.decode() if with_groups else None) for *r, g in zip(*sums.values(), groups)]
     # distinct id pairs, the links of each unit, and the units of each text
     keys, link_pair = np.unique(aligned.a << 32 | aligned.b, return_inverse=True)
     size = max(len(coded.dictionary), 1)
