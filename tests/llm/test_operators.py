@@ -172,6 +172,28 @@ def test_jaccard_bridge_of_two_families(spark, monkeypatch, list_rows, salt_rows
     assert all(r["component_id"] == (0 if r["doc_id"] < 60 else 60) for r in apart)
 
 
+@pytest.mark.parametrize("map_bits", [29, 15])
+def test_jaccard_bitmap_of_rows(spark, monkeypatch, map_bits):
+    monkeypatch.setattr(jaccard, "MAP_BITS", map_bits)  # 15: fewer bits than the rows ask for
+    docs = spark.range(20_000).select(F.xxhash64("id").alias("row"), "id", F.col("id").cast("string").alias("text"))
+    few = docs.where("id % 10 = 0").select("row")
+    near = jaccard._only_near(docs, few)
+    assert near.columns == docs.columns and near.where("id % 10 = 0").count() == 2000
+    assert near.where("id % 10 != 0").count() < 18_000 * (0.03 if map_bits == 29 else 0.1)
+    assert jaccard._only_near(docs, few.where("false")).count() == 0
+
+
+def test_jaccard_shuffles_few_texts(spark):
+    r = random.Random(1)
+    rows = [(i, " ".join(f"{r.getrandbits(40):x}" for _ in range(300))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(9)]
+    stages = lambda: {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None))}
+    before = stages()
+    assert sorted(x["doc_id"] for x in jaccard.keep_one_each(frame(spark, rows), width=5, percent=95).select("doc_id").collect()) == list(range(600))
+    sent = sum(size for key, size in stages().items() if key not in before)
+    assert 0 < sent < 0.5 * sum(len(t) for _, t in rows)  # the texts that need no search stay where they are
+
+
 def test_jaccard_empty(spark):
     assert jaccard.similarity_components(frame(spark, [])).count() == 0
 
