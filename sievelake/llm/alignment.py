@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, materialize, slices
+from .common import binary_column, materialize
 
 #: White space beyond ASCII, as the tokenizers' patterns know it: texts with it are one unit.
 WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -252,7 +252,19 @@ class Aligned:
 
 SIGNS = pa.array([",", "|", ";"], pa.large_string())
 SUMS = ("n_a", "n_b", "n_groups", "n_links")
-ROWS = "slice long, keys binary, rows array<struct<n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string,groups:string>>, doc_unit binary, times binary, link_unit binary, link_pair binary, pairs_a binary, pairs_b binary, counts binary"
+ROWS = "slice long, keys binary, rows array<struct<n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string,groups:string>>, doc_units binary, units binary, times binary, unit_links binary, link_pair binary, pairs_a binary, pairs_b binary, counts binary"
+#: Bytes of a group of rows in the table of slices: a task reads, and holds, one at a time.
+GROUP_BYTES = 16 << 20
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in the smallest type that holds them, after a byte with its size."""
+    size = next(k for k in (1, 2, 4, 8) if int(numbers.max(initial=0)) < 1 << 8 * k)
+    return bytes([size]) + np.ascontiguousarray(numbers, f"<u{size}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def _slice(known: Tokens, texts: pa.Array, with_groups: bool) -> dict:
@@ -281,23 +293,32 @@ def _slice(known: Tokens, texts: pa.Array, with_groups: bool) -> dict:
     at = np.repeat(first[unit_of] - np.cumsum(each) + each, each) + np.arange(each.sum())
     held = np.unique(np.repeat(doc_of, each) * max(len(keys), 1) + own[at] % max(len(keys), 1))
     counts = np.bincount(held % max(len(keys), 1), minlength=len(keys)) if len(held) else np.zeros(len(keys), np.int64)
-    small = lambda x: np.ascontiguousarray(x, np.int32).tobytes()
-    return {"rows": rows, "doc_unit": small(doc_of) + small(unit_of), "times": small(times), "link_unit": small(aligned.unit), "link_pair": small(link_pair), "pairs_a": small(keys >> 32), "pairs_b": small(keys & 0xFFFFFFFF), "counts": small(counts)}
+    # texts and units are in order, so how many rows each has tells whose they are
+    numbers = {"doc_units": np.bincount(doc_of, minlength=n), "units": unit_of, "times": times, "unit_links": np.bincount(aligned.unit, minlength=size), "link_pair": link_pair, "pairs_a": keys >> 32, "pairs_b": keys & 0xFFFFFFFF, "counts": counts}
+    return {"rows": rows} | {k: _packed(v) for k, v in numbers.items()}
+
+
+def _cuts(texts: pa.Array, most: int):
+    """Consecutive row ranges of at most ``most`` bytes of text (one row at least)."""
+    ends, at = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))), 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield at, stop
+        at = stop
 
 
 def sliced(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", slice_bytes: int = SLICE_BYTES, with_groups: bool = False) -> DataFrame:
     """One row per slice of texts: the figures of its texts, and its distinct id pairs with the texts that hold them."""
     kind = docs.schema[key].dataType.simpleString()
     schema = ROWS.replace("keys binary", f"keys array<{kind}>")
-    fields = ("doc_unit", "times", "link_unit", "link_pair", "pairs_a", "pairs_b", "counts")
+    fields = ("doc_units", "units", "times", "unit_links", "link_pair", "pairs_a", "pairs_b", "counts")
     row = pa.list_(pa.struct([*((s, pa.int64()) for s in SUMS), ("groups_sha256", pa.string()), ("groups", pa.string())]))
 
     def run(batches):
         known, number = tokens(a_path, b_path), TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = binary_column(batch.column(1))
-            for p, q in slices(texts, slice_bytes):
-                found = _slice(known, texts.slice(p, q - p), with_groups)
+            for p, q in _cuts(batch.column(1), slice_bytes):
+                found = _slice(known, binary_column(batch.column(1).slice(p, q - p)), with_groups)
                 keys = pa.ListArray.from_arrays(pa.array([0, q - p], pa.int32()), batch.column(0).slice(p, q - p))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), keys, pa.array([found["rows"]], row), *(pa.array([found[f]], pa.binary()) for f in fields)], names=["slice", "keys", "rows", *fields])
                 number += 1
@@ -316,8 +337,8 @@ def _pairs(slices_: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for number, *columns in zip(*(batch.column(n).to_pylist() for n in ("slice", "pairs_a", "pairs_b", "counts"))):
-                a, b, n = (np.frombuffer(c, np.int32) for c in columns)
-                yield pa.record_batch({"slice": np.full(len(a), number), "i": np.arange(len(a), dtype=np.int32), "a": a, "b": b, "n": n.astype(np.int64)})
+                a, b, n = map(_unpacked, columns)
+                yield pa.record_batch({"slice": np.full(len(a), number), "i": np.arange(len(a), dtype=np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32), "n": n})
 
     return slices_.select("slice", "pairs_a", "pairs_b", "counts").mapInArrow(run, "slice long, i int, a int, b int, n long")
 
@@ -333,37 +354,32 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
     rows are texts of their own, whatever their keys; other columns are not read; no rows give no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
-    parts = materialize(sliced(docs, a_path, b_path, key, text, slice_bytes, with_groups), "aligned-slices")
+    parts = materialize(sliced(docs, a_path, b_path, key, text, slice_bytes, with_groups), "aligned-slices", **{"parquet.block.size": GROUP_BYTES})
     counts = materialize(pair_counts(parts), "pair-counts").withColumnsRenamed({"a": "_a", "b": "_b"})
-    known = _pairs(parts).where("n > 0").join(counts, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
-    # each slice's own pairs, as one array in a row
-    back = known.groupBy(F.col("slice").alias("_slice")).agg(F.collect_list(F.struct("i", "n_docs", "best")).alias("found"))
+    known = _pairs(parts).where("n > 0").join(counts, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))).select("slice", "i", "n_docs", "best")
     names = [*SUMS, "groups_sha256", *(["groups"] if with_groups else [])]
-    keep = ["keys", "rows", "doc_unit", "times", "link_unit", "link_pair"]
+    keep = ["doc_units", "units", "times", "unit_links", "link_pair"]
+
+    def run(slice_: pa.Table, own: pa.Table) -> pa.Table:
+        """A slice with its own pairs: one slice is in memory at a time, however many a partition has."""
+        one = slice_.combine_chunks()
+        rows = pa.concat_arrays(one.column("rows").chunks).flatten()
+        doc_units, word, times, unit_links, pair = (_unpacked(one.column(c)[0].as_py()) for c in keep)
+        doc, unit = np.repeat(np.arange(len(rows)), doc_units), np.repeat(np.arange(len(unit_links)), unit_links)
+        n_pairs = int(pair.max(initial=-1)) + 1
+        count, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
+        i = own.column("i").to_numpy()
+        count[i], best[i] = own.column("n_docs").to_numpy(), own.column("best").to_numpy()
+        sums = {}
+        for name, weight in (("n_best", best), ("count_sum", count)):
+            # whole numbers: added as such, not as floating-point weights
+            of_unit, of_doc = np.zeros(len(unit_links), np.int64), np.zeros(len(rows), np.int64)
+            np.add.at(of_unit, unit, weight[pair])
+            np.add.at(of_doc, doc, of_unit[word] * times)
+            sums[name] = pa.array(of_doc)
+        keys = pa.concat_arrays(one.column("keys").chunks).flatten()
+        return pa.Table.from_arrays([keys, *sums.values(), *(rows.field(n) for n in names)], names=[key, *sums, *names])
 
-    def run(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                one = batch.slice(r, 1)
-                rows = one.column("rows").flatten()
-                doc_unit, times, unit, pair = (np.frombuffer(one.column(c)[0].as_py(), np.int32).astype(np.int64) for c in keep[2:])
-                doc, word = doc_unit[: len(times)], doc_unit[len(times) :]
-                n_pairs = int(pair.max()) + 1 if len(pair) else 0
-                count, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
-                found = one.column("found").flatten()
-                if len(found):
-                    i = found.field("i").to_numpy()
-                    count[i], best[i] = found.field("n_docs").to_numpy(), found.field("best").to_numpy(zero_copy_only=False)
-                n_units = int(max(unit.max(initial=-1), word.max(initial=-1))) + 1
-                sums = {}
-                for name, weight in (("n_best", best), ("count_sum", count)):
-                    # whole numbers: added as such, not as floating-point weights
-                    of_unit, of_doc = np.zeros(n_units, np.int64), np.zeros(len(rows), np.int64)
-                    np.add.at(of_unit, unit, weight[pair])
-                    np.add.at(of_doc, doc, of_unit[word] * times)
-                    sums[name] = pa.array(of_doc)
-                yield pa.RecordBatch.from_arrays([one.column("keys").flatten(), *sums.values(), *(rows.field(n) for n in names)], names=[key, *sums, *names])
-
-    whole = parts.select("slice", *keep).join(back, F.col("slice") == F.col("_slice"), "left").select(*keep, "found")
     figures = ", ".join(f"{n} {'string' if n.startswith('groups') else 'long'}" if n != "n_groups" else "n_groups long" for n in names)
-    return whole.mapInArrow(run, f"`{key}` {kind}, n_best long, count_sum long, {figures}")
+    whole = parts.select("slice", "keys", "rows", *keep).groupBy("slice").cogroup(known.groupBy("slice"))
+    return whole.applyInArrow(run, f"`{key}` {kind}, n_best long, count_sum long, {figures}")

@@ -129,3 +129,26 @@ def test_query(spark, small):
     want = dict(zip((r["doc_id"] for r in rows), plain([r["text"] for r in rows])))
     found = QUERIES["op11_align_tokenizers"](spark, small).collect()
     assert {r["doc_id"]: tuple(r)[1:] for r in found} == want and len(found) == len(rows)
+
+
+def test_a_slice_is_small(small):
+    """What a slice hands on takes less than one and a half times its text, with numbers of any size intact."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{small}/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    size, made = 0, 0
+    for p, q in L._cuts(texts, L.SLICE_BYTES):
+        found = L._slice(L.tokens(A, B), L.binary_column(texts.slice(p, q - p)), False)
+        made += sum(len(v) for v in found.values() if isinstance(v, bytes))
+        size += sum(len((t or "").encode()) for t in texts.slice(p, q - p).to_pylist())
+    assert size and made < 1.5 * size
+    for top in (0, 255, 256, 65535, 65536, 2**32, 2**40):
+        assert L._unpacked(L._packed(np.array([0, top, 1]))).tolist() == [0, top, 1]
+    assert L._unpacked(L._packed(np.zeros(0, np.int64))).tolist() == []
+
+
+def test_a_task_holds_one_slice_at_a_time(spark, small):
+    """Slices go to Python one by one, not in batches of a whole partition, and no array is made of a slice's pairs."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    plan = L.align(docs, A, B, slice_bytes=1 << 14)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
