@@ -109,3 +109,65 @@ def test_text_of_a_vote(spark):
     text = lambda g, prefer: V.requirement_vote(asked, g, "item", "model", "text", "kind", "copy", prefer).first()["passages"]
     assert text(given, []) == "stop the car now:generic" and text(given, ["c"]) == "stop the cars:generic" and text(given, ["a"]) == "stop the car now:generic"
     assert text(given.withColumn("copy", F.lit(None).cast("boolean")), ["c", "b"]) == "stop the cars:generic"
+
+
+def test_alike_texts_by_bounds(monkeypatch):
+    """Pairs that the bounds let through are those of the longest common subsequence, whatever the lengths and the way; pieces are difflib's."""
+    import difflib
+    import random
+
+    from sievelake.functions import alike
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+            row = new
+        return row[-1]
+
+    rng, texts = random.Random(3), []
+    for n in (1, 4, 10, 30, 62, 63, 64, 70, 126, 127, 200) * 2:
+        base = "".join(rng.choice("abcd éß") for _ in range(n))
+        for edits in (0, n // 12, n // 8, n // 5):
+            t = list(base)
+            for _ in range(edits):
+                t.insert(rng.randint(0, len(t)), rng.choice("abcx"))
+                del t[rng.randrange(len(t))]
+            texts.append("".join(t))
+    near = lambda a, b: 200 * longest(a, b) >= 88 * (len(a) + len(b))
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if near(texts[i], texts[j])}
+    assert len(want) > 60
+    for few, held in ((0, 1 << 24), (16, 1 << 24), (0, 5000)):
+        monkeypatch.setattr(alike, "FEW", few)
+        monkeypatch.setattr(alike, "BITS_BYTES", held)
+        found = [tuple(sorted(p)) for p in alike.alike_pairs(texts, None, 88).T.tolist()]
+        assert set(found) == want and len(found) == len(want)
+        cut = {tuple(p) for p in alike.alike_pairs(texts[:30], texts[30:], 88).T.tolist()}
+        assert cut == {(i, j - 30) for i, j in want if i < 30 <= j}
+    for i, j in sorted(want)[::3]:
+        for a, b in ((texts[i], texts[j]), (texts[j], texts[i]), (texts[i] * 5, texts[j] * 4)):
+            n = sum(k.size for k in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+            assert alike.matched(a, b) == n == alike.matched(a, b, n) and alike.matched(a, b, n + 1) == -1
+
+
+def test_titles_of_one_language_are_compared_in_time(spark):
+    """Long titles of the same few syllables share nearly all trigrams; a table of pairs by shared trigrams would have millions of rows."""
+    import difflib
+    import random
+    import time
+
+    from sievelake.operators.fuzzy import fuzzy_title_join
+
+    rng, rows = random.Random(5), []
+    word = lambda: "".join(rng.choice(["the", "an", "ed", "er", "on", "ti", "ha", "re"]) for _ in range(rng.randint(1, 4)))
+    rows = [(i, " ".join(word() for _ in range(40))) for i in range(1500)]
+    rows += [(1500 + k, rows[7 * k][1].replace("the", "teh", 2)) for k in range(40)] + [(1600, "".join(word() for _ in range(4000)))]
+    rows.append((1601, rows[-1][1][:9000] + "x" + rows[-1][1][9000:]))
+    began = time.time()
+    found = {r["other"]: (r["id"], r["ratio"]) for r in fuzzy_title_join(spark.createDataFrame(rows, "id long, title string"), "id", "title").collect()}
+    assert time.time() - began < 120
+    assert {k: v[0] for k, v in found.items()} == {1500 + k: 7 * k for k in range(40)} | {1601: 1600}
+    for k in (1500, 1539):
+        assert found[k][1] == difflib.SequenceMatcher(None, rows[found[k][0]][1], rows[k][1], autojunk=False).ratio()
