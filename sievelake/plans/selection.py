@@ -152,12 +152,12 @@ def o7_deterministic_order(t):
 
 
 @query("""WITH k AS (SELECT event_id, event_type || chr(10) || props AS text, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS status FROM events WHERE value > 90)
-SELECT status, status || '-f' || lpad((row_number() OVER (PARTITION BY status ORDER BY event_id))::VARCHAR, 5, '0') || '.txt' AS file, text FROM k""")
+SELECT status, status || '-f' || printf('%05d', row_number() OVER (PARTITION BY status ORDER BY event_id NULLS FIRST, text NULLS FIRST)) || '.txt' AS file, text FROM k""")
 def s8_numbered_export(t):
-    """Texts in numbered files, separately per status, written together and read back."""
+    """Texts in numbered files, separately per status, written together and read back. Numbers have five digits or more."""
     status = F.when(F.col("event_type") == "error", "rejected").otherwise("ok")
     rows = t.events.where("value > 90").select("event_id", status.alias("status"), F.concat("event_type", F.lit("\n"), "props").alias("text"))
-    numbered = S.number_rows(rows, ["status"], ["event_id"], "number")
+    numbered = S.number_rows(rows, ["status"], ["event_id", "text"], "number")
     named = numbered_names(numbered, "number").withColumn("file", F.concat("status", F.lit("-"), "file"))
     path = scratch_path(t.spark, "export")
     write_named_texts(named, path, "file", "text")

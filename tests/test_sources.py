@@ -94,3 +94,18 @@ def test_windows_of_texts(spark):
         math = where(",[^,.]+,")
         lo, hi = next((a for a, b in math if a < lo < b), lo), next((b for a, b in math if a < hi < b), hi)
         assert found[d] == (min(lo, s), max(hi, s)), (d, text)
+
+
+def test_numbers_of_more_than_five_digits():
+    """SQL and names of the export agree beyond 99,999 files, where events share an id or have none, and on both sides of the order."""
+    import duckdb
+
+    from sievelake.plans import ALL_ORACLES
+
+    connection = duckdb.connect()
+    connection.sql("create table events as select i as event_id, 'view' as event_type, 91.0 as value, '{}' as props from range(100002) t(i)")
+    connection.sql("insert into events values (null, 'error', 95.0, 'b'), (7, 'error', 95.0, 'b'), (7, 'error', 95.0, 'a')")
+    found = connection.sql(ALL_ORACLES["s8_numbered_export"]).fetchall()
+    names = sorted(f for s, f, _ in found if s == "ok")
+    assert len(set(names)) == 100002 and names == sorted(f"ok-f{i:05d}.txt" for i in range(1, 100003))
+    assert sorted((f, t) for s, f, t in found if s == "rejected") == [("rejected-f00001.txt", "error\nb"), ("rejected-f00002.txt", "error\na"), ("rejected-f00003.txt", "error\nb")]
