@@ -161,7 +161,8 @@ def s8_numbered_export(t):
     named = numbered_names(numbered, "number").withColumn("file", F.concat("status", F.lit("-"), "file"))
     path = scratch_path(t.spark, "export")
     write_named_texts(named, path, "file", "text")
-    return read_named_texts(t.spark, path).select(F.regexp_extract("file", "^([a-z]+)-", 1).alias("status"), "file", "text")
+    # no text is empty, so an empty file stands for a missing one
+    return read_named_texts(t.spark, path, empty=True).select(F.regexp_extract("file", "^([a-z]+)-", 1).alias("status"), "file", F.nullif("text", F.lit("")).alias("text"))
 
 
 @query(f"""WITH {LOG_SQL}, {LATEST_SQL}, {VOTE_SQL}, s AS (SELECT item % 4 AS set, item, final, bool_or(final IS NULL) OVER (PARTITION BY item % 4) AS open FROM voted WHERE how != 'undecided' AND item % 4 != 3 OR item % 4 = 3)

@@ -5,10 +5,16 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+#: Files of a folder at most, so that none is long to list.
+FOLDER_FILES = 1000
+#: Characters of files that are handed on together when they are read.
+BATCH_SIZE = 4 << 20
+
 
 @dataclass
 class _Written(WriterCommitMessage):
@@ -30,7 +36,9 @@ class _Writer(DataSourceWriter):
             name, text = row
             if not name or "/" in name or name.startswith("."):
                 raise ValueError(f"no file name: {name!r}")
-            with files.open_output_stream(f"{folder}/{name}") as out:
+            if n % FOLDER_FILES == 0:
+                files.create_dir(f"{folder}/{n // FOLDER_FILES:06d}")
+            with files.open_output_stream(f"{folder}/{n // FOLDER_FILES:06d}/{name}") as out:
                 out.write((text or "").encode())
             n += 1
         return _Written(folder, n)
@@ -60,7 +68,7 @@ def _at(path: str):
 
 
 class NamedTexts(DataSource):
-    """Format ``named_texts``: rows (name, text), each a file of that name in one of the folders ``part-<n>`` of the path."""
+    """Format ``named_texts``: rows (name, text), each a file of that name in a folder of one of the folders ``part-<n>`` of the path."""
 
     @classmethod
     def name(cls) -> str:
@@ -79,9 +87,34 @@ def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> None:
     df.select(name, text).write.format("named_texts").mode("append").save(path)
 
 
-def read_named_texts(spark, path: str) -> DataFrame:
-    """(file, text) of what ``write_named_texts`` wrote; empty files have no row, since Spark reads none."""
-    from pyspark.sql import functions as F
+def _below(files: pafs.FileSystem, folder: str) -> list[str]:
+    return sorted(f.path for f in files.get_file_info(pafs.FileSelector(folder)))
+
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "[!_]*").load(path)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("content").cast("string").alias("text"))
+def read_named_texts(spark, path: str, empty: bool = False) -> DataFrame:
+    """(file, text) of what ``write_named_texts`` wrote; empty files have a row only with ``empty``.
+
+    The driver lists the folders of the writing tasks, a task lists and reads one of them: no list of all files is made.
+    """
+    files, root = _at(path)
+    parts = [p for p in _below(files, root) if p.rsplit("/", 1)[-1].startswith("part-")]
+
+    def run(batches):
+        at = _at(path)[0]
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                names, texts, size = [], [], 0
+                for folder in _below(at, parts[i]):
+                    for file in _below(at, folder):
+                        with at.open_input_stream(file) as data:
+                            text = data.read().decode()
+                        if text or empty:
+                            names.append(file.rsplit("/", 1)[-1])
+                            texts.append(text)
+                            size += len(text)
+                        if size > BATCH_SIZE or len(names) >= FOLDER_FILES:
+                            yield pa.record_batch([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["file", "text"])
+                            names, texts, size = [], [], 0
+                yield pa.record_batch([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["file", "text"])
+
+    return spark.range(0, len(parts), 1, max(len(parts), 1)).mapInArrow(run, "file string, text string")

@@ -109,3 +109,39 @@ def test_numbers_of_more_than_five_digits():
     names = sorted(f for s, f, _ in found if s == "ok")
     assert len(set(names)) == 100002 and names == sorted(f"ok-f{i:05d}.txt" for i in range(1, 100003))
     assert sorted((f, t) for s, f, t in found if s == "rejected") == [("rejected-f00001.txt", "error\nb"), ("rejected-f00002.txt", "error\na"), ("rejected-f00003.txt", "error\nb")]
+
+
+def test_files_are_not_listed_in_one_place(spark, monkeypatch):
+    """Folders stay short, and a read makes no list of all files; empty files have a row where they are asked for."""
+    from sievelake.sources import named
+
+    monkeypatch.setattr(named, "FOLDER_FILES", 3)
+    path = scratch_path(spark, "named")
+    writer = _Writer(path)
+    writer.commit([writer.write(iter([(f"{k}{i}", "" if i == 4 else f"é{i}") for i in range(n)])) for k, n in (("a", 8), ("b", 3), ("c", 0))])
+    assert max(len(names) for _, _, names in os.walk(path)) == 3
+    want = {(f"{k}{i}", "" if i == 4 else f"é{i}") for k, n in (("a", 8), ("b", 3)) for i in range(n)}
+    found = read_named_texts(spark, path, empty=True)
+    assert "binaryFile" not in found._jdf.queryExecution().toString() and found.rdd.getNumPartitions() == 2
+    rows = [tuple(r) for r in found.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert {tuple(r) for r in read_named_texts(spark, path).collect()} == {r for r in want if r[1]}
+    none = scratch_path(spark, "named")
+    write_named_texts(spark.createDataFrame([], "n string, t string"), none, "n", "t")
+    assert read_named_texts(spark, none, empty=True).count() == 0
+
+
+def test_export_of_odd_events(spark):
+    """Rows without a text, without an id, with equal ids and without a kind are exported, as the SQL has them."""
+    import duckdb
+
+    from sievelake.plans import ALL_ORACLES, ALL_QUERIES
+
+    folder = scratch_path(spark, "odd")
+    rows = [(None, "error", 95.0, "b"), (7, "error", 95.0, "b"), (7, "error", 95.0, "a"), (8, "error", 95.0, None), (9, None, 95.0, "c"), (10, "view", 95.0, ""), (11, "view", 3.0, "d"), (None, "view", None, "e")]
+    spark.createDataFrame(rows, "event_id long, event_type string, value double, props string").write.parquet(f"{folder}/events.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"create view events as select * from '{folder}/events.parquet/*.parquet'")
+    want = connection.sql(ALL_ORACLES["s8_numbered_export"]).fetchall()
+    found = [tuple(r) for r in ALL_QUERIES["s8_numbered_export"](spark, folder).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str) and len(want) == 6
